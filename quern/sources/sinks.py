@@ -55,10 +55,10 @@ def table_bytes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def size_label(megabytes, digits: int):
-    """``512 MB`` below 1024 MB, else ``1.5 GB``."""
-    small = F.concat(F.format_string(f"%.{digits}f", megabytes), F.lit(" MB"))
+    """``512 MB`` below 1024 MB, else ``1.5 GB``; ties round half-even."""
+    small = F.concat(F.format_string(f"%.{digits}f", F.bround(megabytes, digits)), F.lit(" MB"))
     return F.when(megabytes < 1024, small).otherwise(
-        F.concat(F.format_string("%.1f", megabytes / 1024), F.lit(" GB")))
+        F.concat(F.format_string("%.1f", F.bround(megabytes / 1024, 1)), F.lit(" GB")))
 
 
 def size_estimate(docs: DataFrame, source: str) -> DataFrame:
