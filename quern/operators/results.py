@@ -77,7 +77,7 @@ def union_results(*tagged: DataFrame) -> DataFrame:
 
 
 def score_text(score: Column) -> Column:
-    return F.format_string("%.4f", score.cast("decimal(20,6)"))
+    return F.round(score.cast("decimal(20,6)"), 4).cast("string")
 
 
 def format_product(hits: DataFrame) -> DataFrame:

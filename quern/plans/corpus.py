@@ -377,7 +377,7 @@ def dual_encode(spark, d):
         F.round(F.array_max("dense").cast("double"), 5).alias("dense_peak"))
 
 
-@query("SELECT vec_id AS doc_id, CASE WHEN vec_id % 7 = 0 THEN 63 ELSE -1 END AS found_dim FROM embeddings WHERE vec_id % 7 IN (0, 1)")
+@query("SELECT vec_id AS doc_id, CASE WHEN vec_id % 7 = 0 THEN 63::BIGINT ELSE -1::BIGINT END AS found_dim FROM embeddings WHERE vec_id % 7 IN (0, 1)")
 def vector_dim_check(spark, d):
     """Every seventh vector is cut short and another one removed; the check must find exactly these."""
     damaged = F.when(F.col("doc_id") % 7 == 0, F.slice("embedding", 1, 63)).when(F.col("doc_id") % 7 != 1, F.col("embedding"))

@@ -39,6 +39,7 @@ def _tsv(spark: SparkSession, paths: str | list[str], columns: list[str], multi_
         spark.read.schema(schema)
         .option("sep", "\t").option("quote", '"').option("escape", '"')
         .option("multiLine", str(multi_line).lower()).option("mode", "PERMISSIVE")
+        .option("columnPruning", "false")  # short rows are only recognised when all columns are parsed
         .option("columnNameOfCorruptRecord", BAD)
         .csv(paths)
     )

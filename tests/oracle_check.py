@@ -76,7 +76,7 @@ def main() -> int:
             problem = difference(ours, con.execute(sql).df()) if sql else None
             note = kinds(df, con, sql) if sql else "no SQL"
         except Exception as e:  # noqa: BLE001
-            problem, note, took, ours = f"{type(e).__name__}: {str(e)[:600]}", None, time.time() - start, ()
+            problem, note, took, ours = f"{type(e).__name__}: {str(e)[:1500]}", None, time.time() - start, ()
         failed += problem is not None
         print(f"{'FAIL' if problem else 'ok':4} {name:28} {len(ours):8} rows {took:6.2f}s {problem or ''} {note or ''}", flush=True)
     return failed
