@@ -34,8 +34,8 @@ def bucket(col: str, n: int):
     return F.pmod(F.xxhash64(col), F.lit(n)).cast("int")
 
 
-def block_topk(queries: DataFrame, docs: DataFrame, kernel: Callable[[pa.Table, pa.Table], pa.Table],
-               n_queries: int, n_doc_rows: int, rows_per_slice: int) -> DataFrame:
+def score_blocks(queries: DataFrame, docs: DataFrame, kernel: Callable[[pa.Table, pa.Table], pa.Table],
+                 n_queries: int, n_doc_rows: int, rows_per_slice: int, schema: str = HITS_SCHEMA) -> DataFrame:
     """Run ``kernel(queries, docs)`` on every (document slice, query block).
 
     Documents are copied once per query block and queries once per slice, so the
@@ -50,7 +50,7 @@ def block_topk(queries: DataFrame, docs: DataFrame, kernel: Callable[[pa.Table,
     return (
         left.groupBy("slice", "block")
         .cogroup(right.groupBy("slice", "block"))
-        .applyInArrow(lambda q, d: kernel(q, d), HITS_SCHEMA)
+        .applyInArrow(lambda q, d: kernel(q, d), schema)
     )
 
 

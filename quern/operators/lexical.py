@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions.text import tokens
-from quern.operators.matching import dot_topk, matched_groups
+from quern.operators.matching import dot_topk, match_counts_by
 from quern.session import stage
 
 K1 = 1.2
@@ -125,22 +125,21 @@ def bm25_weights(postings: DataFrame, lengths: DataFrame) -> DataFrame:
     )
 
 
-def query_postings(queries: DataFrame, docs: DataFrame, boosts: Mapping[str, float],
-                   keep: Sequence[str] = (), han: str = "run",
+def query_postings(queries: DataFrame, docs: DataFrame, boosts: Mapping[str, float], han: str = "run",
                    index: LexicalIndex | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Query terms, the postings they touch, and field lengths.
 
-    The touched postings are staged: frequency, weights, bounds, strong and weak
-    scoring all read that small table instead of tokenising the corpus again.
+    The touched postings are staged: document frequency, weights and the size of
+    the slices all read that table instead of tokenising the corpus again.
     """
     boosts = {f: b for f, b in boosts.items() if f in docs.columns}
     terms = query_terms(queries, boosts, han)
     vocabulary = terms.select(*TERM).distinct()
-    if index is not None and not keep:
+    if index is not None:
         postings = index.postings.join(vocabulary, TERM, "left_semi")
         lengths = index.lengths.where(F.col("field").isin(list(boosts)))
     else:
-        postings = token_counts(docs, list(boosts), keep, han, vocabulary)
+        postings = token_counts(docs, list(boosts), (), han, vocabulary)
         lengths = field_lengths(docs, list(boosts), han)
     return terms, stage(postings, "postings"), lengths
 
@@ -153,17 +152,22 @@ def bm25_topk(queries: DataFrame, docs: DataFrame, boosts: Mapping[str, float],
     ``allowed(doc_id)`` filters documents before ranking while the statistics
     stay corpus-wide.
     """
-    terms, postings, lengths = query_postings(queries, docs, boosts, (), han, index)
+    terms, postings, lengths = query_postings(queries, docs, boosts, han, index)
     weighted = bm25_weights(postings, lengths).select("doc_id", term_key().alias("term"), "doc_weight")
     if allowed is not None:
         weighted = weighted.join(allowed.select("doc_id"), "doc_id", "left_semi")
-    return dot_topk(terms, stage(weighted, "weights"), k)
+    return dot_topk(terms, weighted, k, queries.count(), postings.count())
 
 
 def match_counts(queries: DataFrame, docs: DataFrame, fields: Sequence[str],
-                 group: Sequence[str] = (), han: str = "run") -> DataFrame:
-    """Exact number of matching documents per query, and per ``group`` when given."""
+                 value: str | None = None, han: str = "run") -> DataFrame:
+    """Exact number of matching documents per query, and per ``value`` when given.
+
+    The facet value travels with the postings, so no join back to the documents.
+    """
     boosts = {f: 1.0 for f in fields if f in docs.columns}
     terms = query_terms(queries, boosts, han)
-    postings = token_counts(docs, list(boosts), group, han, terms.select(*TERM).distinct())
-    return matched_groups(terms, postings.withColumn("term", term_key()), group)
+    keep = [value] if value else []
+    postings = stage(token_counts(docs, list(boosts), keep, han, terms.select(*TERM).distinct())
+                     .select("doc_id", *keep, term_key().alias("term")), "matches")
+    return match_counts_by(terms, postings, value, queries.count(), postings.count())

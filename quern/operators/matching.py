@@ -7,15 +7,13 @@ terms of the product.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.operators.blocks import best_of, block_topk, hits_table
+from quern.operators.blocks import best_of, hits_table, score_blocks
 from quern.operators.ranking import SCORE_DIGITS, rank_cut, rounded
 
 POSTINGS_PER_SLICE = 2_000_000
@@ -33,31 +31,47 @@ def dot_scores(query_terms: DataFrame, doc_terms: DataFrame) -> DataFrame:
     )
 
 
-def _dot_kernel(k: int):
-    def score(queries: pa.Table, docs: pa.Table) -> pa.Table:
-        if queries.num_rows == 0 or docs.num_rows == 0:
-            return hits_table([])
+class _Postings:
+    """One slice of documents against the terms of one query block, as arrays sorted by term."""
+
+    def __init__(self, queries: pa.Table, docs: pa.Table):
         vocabulary = pc.unique(queries["term"])
         known = pc.index_in(docs["term"], value_set=vocabulary)
-        docs = docs.filter(pc.is_valid(known))
+        self.docs = docs.filter(pc.is_valid(known))
         term = known.drop_null().to_numpy()
-        doc_ids, position = np.unique(docs["doc_id"].to_numpy(), return_inverse=True)
-        by_term = np.argsort(term, kind="stable")
-        position, weight = position[by_term], docs["doc_weight"].to_numpy()[by_term]
-        start = np.searchsorted(term[by_term], np.arange(len(vocabulary) + 1))
+        self.doc_ids, self.first, position = np.unique(
+            self.docs["doc_id"].to_numpy(), return_index=True, return_inverse=True)
+        self.by_term = np.argsort(term, kind="stable")
+        self.position = position[self.by_term]
+        self.start = np.searchsorted(term[self.by_term], np.arange(len(vocabulary) + 1))
+        self.vocabulary = vocabulary
+
+    def column(self, name: str) -> np.ndarray:
+        return self.docs[name].to_numpy()[self.by_term]
+
+    def rows(self, term: int) -> slice:
+        return slice(self.start[term], self.start[term + 1])
+
+    def each_query(self, queries: pa.Table):
+        """``(query_id, term numbers, row range)`` per query of the sorted table."""
+        ids, start = np.unique(queries["query_id"].to_numpy(), return_index=True)
+        term = pc.index_in(queries["term"], value_set=self.vocabulary).to_numpy()
+        for q, lo, hi in zip(ids, start, np.append(start[1:], queries.num_rows)):
+            yield int(q), term[lo:hi], slice(lo, hi)
+
 
+def _dot_kernel(k: int):
+    def score(queries: pa.Table, docs: pa.Table) -> pa.Table:
         queries = queries.sort_by("query_id")
-        q_ids, q_start = np.unique(queries["query_id"].to_numpy(), return_index=True)
-        q_end = np.append(q_start[1:], queries.num_rows)
-        q_term = pc.index_in(queries["term"], value_set=vocabulary).to_numpy()
-        q_weight = queries["query_weight"].to_numpy()
-        parts = []
-        total = np.zeros(len(doc_ids))
-        for q, lo, hi in zip(q_ids, q_start, q_end):
+        postings = _Postings(queries, docs)
+        doc_ids, weight = postings.doc_ids, postings.column("doc_weight")
+        query_weight = queries["query_weight"].to_numpy()
+        parts, total = [], np.zeros(len(doc_ids))
+        for q, terms, rows in postings.each_query(queries):
             total[:] = 0.0
-            for t, w in zip(q_term[lo:hi], q_weight[lo:hi]):
-                rows = slice(start[t], start[t + 1])
-                total[position[rows]] += w * weight[rows]  # a document holds a term once
+            for t, w in zip(terms, query_weight[rows]):
+                at = postings.rows(t)
+                total[postings.position[at]] += w * weight[at]  # a document holds a term once
             hit = np.flatnonzero(total)
             scores = np.round(total[hit], SCORE_DIGITS)
             best = best_of(scores, doc_ids[hit], k)
@@ -66,40 +80,56 @@ def _dot_kernel(k: int):
     return score
 
 
-def dot_topk(query_terms: DataFrame, doc_terms: DataFrame, k: int) -> DataFrame:
+def dot_topk(query_terms: DataFrame, doc_terms: DataFrame, k: int,
+             n_queries: int | None = None, n_postings: int | None = None) -> DataFrame:
     """Exact top-k of many queries over a table of weighted document terms.
 
-    ``doc_terms`` should be a stored or staged table: its row count sizes the
-    slices. A term shared by most documents costs additions inside the slices,
-    never rows in a join or an exchange.
+    A term shared by most documents costs additions inside the slices, never rows
+    in a join or an exchange. The two counts size the blocks; they are taken from
+    the tables when the caller does not know them.
     """
     query_terms = query_terms.select("query_id", "term", F.col("query_weight").cast("double"))
     doc_terms = doc_terms.select("doc_id", "term", F.col("doc_weight").cast("double"))
-    n_queries = query_terms.agg(F.count_distinct("query_id")).first()[0]
-    per_slice = block_topk(query_terms, doc_terms, _dot_kernel(k), n_queries,
-                           doc_terms.count(), POSTINGS_PER_SLICE)
-    return rank_cut(per_slice, k)
-
-
-def matched_groups(query_terms: DataFrame, doc_terms: DataFrame, group: Sequence[str] = ()) -> DataFrame:
-    """Documents per query that match any term: ``(query_id, *group, doc_count)``.
-
-    Documents with the same group and the same set of matched terms are counted
-    once up front, so copies and short texts collapse before any query is
-    involved; the match is then made per distinct set.
+    if n_queries is None:
+        n_queries = query_terms.agg(F.count_distinct("query_id")).first()[0]
+    if n_postings is None:
+        n_postings = doc_terms.count()
+    return rank_cut(score_blocks(query_terms, doc_terms, _dot_kernel(k), n_queries, n_postings,
+                                 POSTINGS_PER_SLICE), k)
+
+
+COUNTS_SCHEMA = "query_id bigint, value string, doc_count bigint"
+
+
+def _count_kernel(queries: pa.Table, docs: pa.Table) -> pa.Table:
+    queries = queries.sort_by("query_id")
+    postings = _Postings(queries, docs)
+    value = postings.docs["value"].combine_chunks().dictionary_encode()
+    names, code = value.dictionary, value.indices.to_numpy()[postings.first]
+    out = {"query_id": [], "value": [], "doc_count": []}
+    for q, terms, _ in postings.each_query(queries):
+        hit = np.zeros(len(postings.doc_ids), dtype=bool)
+        for t in terms:
+            hit[postings.position[postings.rows(t)]] = True
+        counts = np.bincount(code[hit], minlength=len(names))
+        for i in np.flatnonzero(counts):
+            out["query_id"].append(q)
+            out["value"].append(names[int(i)].as_py())
+            out["doc_count"].append(int(counts[i]))
+    return pa.table(out, schema=pa.schema(
+        [("query_id", pa.int64()), ("value", pa.string()), ("doc_count", pa.int64())]))
+
+
+def match_counts_by(query_terms: DataFrame, doc_terms: DataFrame, value: str | None,
+                    n_queries: int, n_postings: int) -> DataFrame:
+    """Documents per query that match any term, by ``value`` of the document when given.
+
+    Each slice counts its matching documents per query and value, so only counts
+    leave it: ``(query_id[, value], doc_count)``.
     """
-    group = list(group)
-    sets = (
-        doc_terms.groupBy("doc_id", *group)
-        .agg(F.array_sort(F.collect_set("term")).alias("terms"))
-        .groupBy("terms", *group)
-        .agg(F.count(F.lit(1)).alias("doc_count"), F.min("doc_id").alias("set_id"))
-    )
-    return (
-        sets.select("set_id", *group, "doc_count", F.explode("terms").alias("term"))
-        .join(query_terms.select("query_id", "term").distinct(), "term")
-        .select("query_id", "set_id", *group, "doc_count")
-        .distinct()
-        .groupBy("query_id", *group)
-        .agg(F.sum("doc_count").alias("doc_count"))
-    )
+    label = F.col(value).cast("string") if value else F.lit("")
+    docs = doc_terms.select("doc_id", "term", F.coalesce(label, F.lit("")).alias("value"))
+    counts = score_blocks(query_terms.select("query_id", "term"), docs, _count_kernel, n_queries,
+                          n_postings, POSTINGS_PER_SLICE, COUNTS_SCHEMA)
+    keys = ["query_id", F.col("value").alias(value)] if value else ["query_id"]
+    return counts.groupBy(*keys).agg(F.sum("doc_count").alias("doc_count"))

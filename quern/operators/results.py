@@ -13,7 +13,7 @@ from quern.operators.lexical import match_counts
 
 def facet(queries: DataFrame, docs: DataFrame, fields: Sequence[str], key: str, size: int = 10) -> DataFrame:
     """Top ``size`` values of ``key`` by matching documents; ties by value. No hits are computed."""
-    counts = match_counts(queries, docs, fields, [key])
+    counts = match_counts(queries, docs, fields, key)
     order = Window.partitionBy("query_id").orderBy(F.desc("doc_count"), F.asc(key))
     return (
         counts.withColumn("position", F.row_number().over(order))

@@ -51,4 +51,4 @@ def sparse_text_topk(queries: DataFrame, docs: DataFrame, text: str, k: int, han
         .groupBy("doc_id", "term")
         .agg(F.log1p(F.count(F.lit(1))).alias("doc_weight"))
     )
-    return dot_topk(query_terms, stage(doc_terms, "sparse"), k)
+    return dot_topk(query_terms, stage(doc_terms, "sparse"), k, queries.count())

@@ -7,8 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.operators.blocks import (HITS_SCHEMA, QUERIES_PER_BLOCK, best_of, block_topk,
-                                    hits_table)
+from quern.operators.blocks import HITS_SCHEMA, QUERIES_PER_BLOCK, best_of, hits_table, score_blocks
 from quern.operators.ranking import SCORE_DIGITS, rank_cut
 from quern.session import ship_package, stage
 
@@ -63,7 +62,7 @@ def knn_exact(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
     """
     queries = queries.select("query_id", "embedding")
     vectors = vectors.select("doc_id", "embedding")
-    return rank_cut(block_topk(queries, vectors, _l2_kernel(k), queries.count(), vectors.count(),
+    return rank_cut(score_blocks(queries, vectors, _l2_kernel(k), queries.count(), vectors.count(),
                                VECTORS_PER_SLICE), k)
 
 
@@ -109,7 +108,7 @@ def rank_lists(queries: DataFrame, centroids: DataFrame, k: int) -> DataFrame:
     """
     as_docs = centroids.select(F.col("cell").cast("bigint").alias("doc_id"), "embedding")
     queries = queries.select("query_id", "embedding")
-    scored = block_topk(queries, as_docs, _l2_kernel(k, CENTROID_DIGITS), queries.count(),
+    scored = score_blocks(queries, as_docs, _l2_kernel(k, CENTROID_DIGITS), queries.count(),
                         as_docs.count(), VECTORS_PER_SLICE)
     return rank_cut(scored, k).select("query_id", F.col("doc_id").cast("int").alias("cell"),
                                       F.col("rank").alias("list_rank"))

@@ -164,10 +164,9 @@ def load_report_rollup(spark, d):
     return sinks.load_report(prepare.drop_blank_passages(fx.passages(spark, d)), "domain")
 
 
-@query("SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT doc_id FROM documents WHERE NOT EXISTS (SELECT 1 FROM labels WHERE labels.doc_id = documents.doc_id)")
 def missing_sources_anti(spark, d):
-    found = fx.table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"))
-    return names.missing_sources(fx.table(spark, d, "customer").select("c_custkey"), found, "c_custkey")
+    return names.missing_sources(fx.table(spark, d, "documents").select("doc_id"), fx.table(spark, d, "labels"), "doc_id")
 
 
 @query("SELECT c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
