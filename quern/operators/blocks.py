@@ -26,8 +26,8 @@ QUERIES_PER_BLOCK = 1024
 
 
 def group_count(rows: int, rows_per_group: int, parallelism: int) -> int:
-    """Enough groups to bound each one, and to occupy the cores on smaller data."""
-    return max(1, math.ceil(rows / rows_per_group), min(parallelism, rows // 500))
+    """Enough groups to bound each one, and to occupy the cores evenly on smaller data."""
+    return max(1, math.ceil(rows / rows_per_group), min(2 * parallelism, rows // 500))
 
 
 def bucket(col: str, n: int):

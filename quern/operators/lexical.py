@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,20 +21,9 @@ def term_key() -> Column:
     return F.concat_ws(":", "field", "token")
 
 
-@dataclass(frozen=True)
-class LexicalIndex:
-    """``postings(doc_id, field, token, tf, field_length)`` and ``lengths(doc_id, field, field_length)``."""
-
-    postings: DataFrame
-    lengths: DataFrame
-
-    def write(self, path: str) -> None:
-        self.postings.write.partitionBy("field").parquet(f"{path}/postings")
-        self.lengths.write.partitionBy("field").parquet(f"{path}/lengths")
-
-    @staticmethod
-    def read(spark, path: str) -> "LexicalIndex":
-        return LexicalIndex(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/lengths"))
+# Every document field also holds this one pseudo-token, so the table of postings
+# carries the length of all fields, matched or not, and the corpus is read once.
+LENGTH_MARK = ""
 
 
 def analysed(docs: DataFrame, fields: Sequence[str], keep: Sequence[str] = (), han: str = "run") -> DataFrame:
@@ -54,29 +42,38 @@ def analysed(docs: DataFrame, fields: Sequence[str], keep: Sequence[str] = (), h
 
 
 def token_counts(docs: DataFrame, fields: Sequence[str], keep: Sequence[str] = (), han: str = "run",
-                 vocabulary: DataFrame | None = None) -> DataFrame:
-    """Term frequency per document and field.
+                 vocabulary: DataFrame | None = None, with_lengths: bool = False) -> DataFrame:
+    """Term frequency per document and field: ``(doc_id, *keep, field, field_length, token, tf)``.
 
     With a ``vocabulary`` of ``(field, token)`` the other tokens are dropped
     before the aggregation, so the exchange carries only what queries can match.
     """
-    occurrences = analysed(docs, fields, keep, han).select(
-        "doc_id", *keep, "field", F.size("tokens").cast("bigint").alias("field_length"),
-        F.explode("tokens").alias("token"))
+    rows = analysed(docs, fields, keep, han)
+    listed = F.col("tokens")
+    if with_lengths:
+        listed = F.array_append(listed, F.lit(LENGTH_MARK))
+    occurrences = rows.select("doc_id", *keep, "field", F.size("tokens").cast("bigint").alias("field_length"),
+                              F.explode(listed).alias("token"))
     if vocabulary is not None:
         occurrences = occurrences.join(vocabulary, TERM, "left_semi")
     return occurrences.groupBy("doc_id", *keep, "field", "field_length", "token").agg(
         F.count(F.lit(1)).alias("tf"))
 
 
-def field_lengths(docs: DataFrame, fields: Sequence[str], han: str = "run") -> DataFrame:
-    return analysed(docs, fields, (), han).select(
-        "doc_id", "field", F.size("tokens").cast("bigint").alias("field_length"))
+def build_index(docs: DataFrame, fields: Sequence[str], han: str = "run") -> DataFrame:
+    """All postings and field lengths; write it once when many query batches follow.
+
+    Partition the written table by ``field``: a search reads only its own fields.
+    """
+    return token_counts(docs, fields, han=han, with_lengths=True)
+
 
+def postings_of(index: DataFrame) -> DataFrame:
+    return index.where(F.col("token") != LENGTH_MARK)
 
-def build_index(docs: DataFrame, fields: Sequence[str], han: str = "run") -> LexicalIndex:
-    """The reusable form; write it once when many query batches follow."""
-    return LexicalIndex(token_counts(docs, fields, han=han), field_lengths(docs, fields, han))
+
+def lengths_of(index: DataFrame) -> DataFrame:
+    return index.where(F.col("token") == LENGTH_MARK).select("doc_id", "field", "field_length")
 
 
 def field_stats(lengths: DataFrame) -> DataFrame:
@@ -89,9 +86,9 @@ def document_frequency(postings: DataFrame) -> DataFrame:
     return postings.groupBy(*TERM).agg(F.count(F.lit(1)).alias("df"))
 
 
-def term_stats(index: LexicalIndex) -> DataFrame:
+def term_stats(index: DataFrame) -> DataFrame:
     """``(field, token, df, total_tf)`` over the corpus."""
-    return index.postings.groupBy(*TERM).agg(
+    return postings_of(index).groupBy(*TERM).agg(
         F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total_tf"))
 
 
@@ -125,38 +122,39 @@ def bm25_weights(postings: DataFrame, lengths: DataFrame) -> DataFrame:
     )
 
 
-def query_postings(queries: DataFrame, docs: DataFrame, boosts: Mapping[str, float], han: str = "run",
-                   index: LexicalIndex | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Query terms, the postings they touch, and field lengths.
+def query_index(terms: DataFrame, docs: DataFrame, fields: Sequence[str], han: str = "run",
+                index: DataFrame | None = None) -> DataFrame:
+    """The part of the index the query terms touch, and all field lengths, staged.
 
-    The touched postings are staged: document frequency, weights and the size of
-    the slices all read that table instead of tokenising the corpus again.
+    Document frequency, mean length, weights and the size of the slices all read
+    this table instead of tokenising the corpus again.
     """
-    boosts = {f: b for f, b in boosts.items() if f in docs.columns}
-    terms = query_terms(queries, boosts, han)
-    vocabulary = terms.select(*TERM).distinct()
+    marks = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.lit(LENGTH_MARK).alias("token")) for f in fields]))
+    lengths = terms.sparkSession.range(1).select(marks.alias("m")).select("m.*")
+    vocabulary = terms.select(*TERM).distinct().unionByName(lengths)
     if index is not None:
-        postings = index.postings.join(vocabulary, TERM, "left_semi")
-        lengths = index.lengths.where(F.col("field").isin(list(boosts)))
+        touched = index.where(F.col("field").isin(list(fields))).join(vocabulary, TERM, "left_semi")
     else:
-        postings = token_counts(docs, list(boosts), (), han, vocabulary)
-        lengths = field_lengths(docs, list(boosts), han)
-    return terms, stage(postings, "postings"), lengths
+        touched = token_counts(docs, fields, (), han, vocabulary, with_lengths=True)
+    return stage(touched, "postings")
 
 
 def bm25_topk(queries: DataFrame, docs: DataFrame, boosts: Mapping[str, float], k: int,
-              han: str = "run", index: LexicalIndex | None = None,
+              han: str = "run", index: DataFrame | None = None,
               allowed: DataFrame | None = None) -> DataFrame:
     """BM25 top-k of many queries at once; the score sums ``boost * BM25`` over fields.
 
     ``allowed(doc_id)`` filters documents before ranking while the statistics
     stay corpus-wide.
     """
-    terms, postings, lengths = query_postings(queries, docs, boosts, han, index)
-    weighted = bm25_weights(postings, lengths).select("doc_id", term_key().alias("term"), "doc_weight")
+    boosts = {f: b for f, b in boosts.items() if f in docs.columns}
+    terms = query_terms(queries, boosts, han)
+    touched = query_index(terms, docs, list(boosts), han, index)
+    weighted = bm25_weights(postings_of(touched), lengths_of(touched)).select(
+        "doc_id", term_key().alias("term"), "doc_weight")
     if allowed is not None:
         weighted = weighted.join(allowed.select("doc_id"), "doc_id", "left_semi")
-    return dot_topk(terms, weighted, k, queries.count(), postings.count())
+    return dot_topk(terms, weighted, k, queries.count(), touched.count())
 
 
 def match_counts(queries: DataFrame, docs: DataFrame, fields: Sequence[str],

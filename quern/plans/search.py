@@ -8,6 +8,7 @@ from quern.operators import fusion, lexical, prepare, results, sparse, vector
 from quern.plans import fixtures as fx
 from quern.plans import sql
 from quern.plans.registry import query
+from quern.session import stage
 
 PASSAGE = {"passage": 1.0}
 PASSAGE_FIELDS = {"passage": 2.0, "chunk_text": 1.0}
@@ -43,8 +44,8 @@ SELECT token, count(*) AS df, sum(tf)::BIGINT AS total_tf, (SELECT count(*) FROM
   (SELECT round(avg(dl), 6) FROM p_len) AS avg_length
 FROM p_post GROUP BY token""")
 def term_stats(spark, d):
-    index = lexical.build_index(fx.passages(spark, d), ["passage"])
-    corpus = lexical.field_stats(index.lengths)
+    index = stage(lexical.build_index(fx.passages(spark, d), ["passage"]), "index")
+    corpus = lexical.field_stats(lexical.lengths_of(index))
     return lexical.term_stats(index).join(F.broadcast(corpus), "field").select(
         "token", "df", "total_tf", "n_docs", F.round("avg_length", 6).alias("avg_length"))
 
