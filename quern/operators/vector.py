@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quern.operators.blocks import HITS_SCHEMA, QUERIES_PER_BLOCK, best_of, hits_table, score_blocks
 from quern.operators.ranking import SCORE_DIGITS, rank_cut
@@ -13,6 +15,7 @@ from quern.session import ship_package, stage
 
 VECTORS_PER_SLICE = 16_384
 CENTROID_DIGITS = 9
+MAX_LISTS = 65_536
 
 
 def dimension_errors(vectors: DataFrame, dim: int, column: str = "embedding") -> DataFrame:
@@ -36,15 +39,19 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return flat.astype(np.float64).reshape(len(column), -1)
 
 
-def _l2_kernel(k: int, digits: int = SCORE_DIGITS):
-    """Score ``1 / (1 + d^2)`` of every pair in the group by one matrix product, best ``k`` per query."""
+def _scores(q: np.ndarray, d: np.ndarray, digits: int) -> np.ndarray:
+    """``1 / (1 + d^2)`` of every pair by one matrix product."""
+    squared = (q * q).sum(1)[:, None] + (d * d).sum(1)[None, :] - 2.0 * (q @ d.T)
+    return np.round(1.0 / (1.0 + np.maximum(squared, 0.0)), digits)
+
+
+def _l2_kernel(k: int):
+    """Best ``k`` documents per query within one group."""
     def score(queries: pa.Table, docs: pa.Table) -> pa.Table:
         if queries.num_rows == 0 or docs.num_rows == 0:
             return hits_table([])
-        q, d = _matrix(queries["embedding"]), _matrix(docs["embedding"])
         ids = docs["doc_id"].to_numpy()
-        squared = (q * q).sum(1)[:, None] + (d * d).sum(1)[None, :] - 2.0 * (q @ d.T)
-        scores = np.round(1.0 / (1.0 + np.maximum(squared, 0.0)), digits)
+        scores = _scores(_matrix(queries["embedding"]), _matrix(docs["embedding"]), SCORE_DIGITS)
         parts = []
         for q_id, row in zip(queries["query_id"].to_pylist(), scores):
             best = best_of(row, ids, k)
@@ -53,17 +60,47 @@ def _l2_kernel(k: int, digits: int = SCORE_DIGITS):
     return score
 
 
+def _score_in_place(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
+    """Score vectors where they lie against at most one block of queries, sent to every task.
+
+    The corpus is scanned and never shuffled; each batch gives ``k`` rows per
+    query and the rank cut drops most of them before the exchange. When both
+    sides carry a ``cell``, a query meets only the vectors of its cells.
+    """
+    spark = vectors.sparkSession
+    ship_package(spark)
+    sent = spark.sparkContext.broadcast(queries.toArrow())
+    kernel, by_cell = _l2_kernel(k), "cell" in queries.columns
+
+    def run(batches):
+        block = sent.value
+        for batch in batches:
+            docs = pa.Table.from_batches([batch])
+            if not by_cell:
+                yield from kernel(block, docs).to_batches()
+                continue
+            for cell in pc.unique(docs["cell"]).to_pylist():
+                probing = block.filter(pc.equal(block["cell"], cell))
+                members = docs.filter(pc.equal(docs["cell"], cell))
+                yield from kernel(probing, members).to_batches()
+
+    return vectors.mapInArrow(run, HITS_SCHEMA)
+
+
 def knn_exact(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
     """The true ``k`` nearest vectors of every query.
 
-    The work is queries x vectors by definition, done as matrix products on
-    bounded blocks with ``k`` rows leaving each. Beyond roughly 10^9 pairs use
-    ``knn_ivf``; the choice is the caller's and never silent.
+    Up to ``QUERIES_PER_BLOCK`` queries travel to the vectors. More are scored in
+    bounded blocks (see ``blocks``). The work is queries x vectors by definition:
+    beyond roughly 10^9 pairs use ``knn_ivf``; the choice is never made silently.
     """
     queries = queries.select("query_id", "embedding")
     vectors = vectors.select("doc_id", "embedding")
-    return rank_cut(score_blocks(queries, vectors, _l2_kernel(k), queries.count(), vectors.count(),
-                               VECTORS_PER_SLICE), k)
+    n_queries = queries.count()
+    if n_queries <= QUERIES_PER_BLOCK:
+        return rank_cut(_score_in_place(queries, vectors, k), k)
+    return rank_cut(score_blocks(queries, vectors, _l2_kernel(k), n_queries, vectors.count(),
+                                 VECTORS_PER_SLICE), k)
 
 
 def mean_centroids(vectors: DataFrame, cell: str = "cell") -> DataFrame:
@@ -95,23 +132,44 @@ def train_centroids(vectors: DataFrame, n_lists: int, seed: int = 0, max_rows: i
     return vectors.sparkSession.createDataFrame(rows, "cell int, embedding array<double>")
 
 
+def _nearest_lists(rows: DataFrame, centroids: DataFrame, k: int, keep: list[str]) -> DataFrame:
+    """Each row with its ``k`` nearest lists, by a map: the centroids are sent to every task.
+
+    Distances are rounded before ranking, ties by list number.
+    """
+    spark = rows.sparkSession
+    ship_package(spark)
+    lists = centroids.select(F.col("cell").cast("int").alias("cell"), "embedding").limit(MAX_LISTS + 1).toArrow()
+    if lists.num_rows > MAX_LISTS:
+        raise ValueError(f"more than {MAX_LISTS} lists")
+    sent = spark.sparkContext.broadcast(lists)
+    schema = T.StructType([*(rows.schema[c] for c in keep), T.StructField("cell", T.IntegerType()),
+                           T.StructField("list_rank", T.LongType())])
+
+    def run(batches):
+        numbers, centres = sent.value["cell"].to_numpy(), _matrix(sent.value["embedding"])
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            if table.num_rows == 0:
+                continue
+            scores = _scores(_matrix(table["embedding"]), centres, CENTROID_DIGITS)
+            best = np.stack([best_of(row, numbers, k) for row in scores])
+            out = table.select(keep).take(np.repeat(np.arange(len(best)), best.shape[1]))
+            out = out.append_column("cell", pa.array(numbers[best.ravel()], pa.int32()))
+            out = out.append_column("list_rank", pa.array(np.tile(np.arange(1, best.shape[1] + 1), len(best)), pa.int64()))
+            yield from out.to_batches()
+
+    return rows.mapInArrow(run, schema)
+
+
 def assign_lists(vectors: DataFrame, centroids: DataFrame) -> DataFrame:
-    """Put every vector in the list of its nearest centroid: adds ``cell``."""
-    nearest = rank_lists(vectors.select(F.col("doc_id").alias("query_id"), "embedding"), centroids, 1)
-    return vectors.join(nearest.select(F.col("query_id").alias("doc_id"), "cell"), "doc_id")
+    """Put every vector in the list of its nearest centroid: adds ``cell``. Store the result partitioned by it."""
+    return _nearest_lists(vectors, centroids, 1, vectors.columns).drop("list_rank")
 
 
 def rank_lists(queries: DataFrame, centroids: DataFrame, k: int) -> DataFrame:
-    """The ``k`` lists nearest to every query: ``(query_id, cell, list_rank)``.
-
-    Distances are rounded before ranking, ties by list number.
-    """
-    as_docs = centroids.select(F.col("cell").cast("bigint").alias("doc_id"), "embedding")
-    queries = queries.select("query_id", "embedding")
-    scored = score_blocks(queries, as_docs, _l2_kernel(k, CENTROID_DIGITS), queries.count(),
-                        as_docs.count(), VECTORS_PER_SLICE)
-    return rank_cut(scored, k).select("query_id", F.col("doc_id").cast("int").alias("cell"),
-                                      F.col("rank").alias("list_rank"))
+    """The ``k`` lists nearest to every query: ``(query_id, cell, list_rank)``."""
+    return _nearest_lists(queries.select("query_id", "embedding"), centroids, k, ["query_id"])
 
 
 def choose_probes(ranked: DataFrame, sizes: DataFrame, n_probe: int, k: int) -> DataFrame:
@@ -128,46 +186,49 @@ def choose_probes(ranked: DataFrame, sizes: DataFrame, n_probe: int, k: int) ->
     )
 
 
+def _score_lists(pairs: DataFrame, vectors: DataFrame, probes: DataFrame, sizes: DataFrame, k: int) -> DataFrame:
+    """Score (list, slice, query block) groups, each bounded on both sides."""
+    per_list = F.broadcast(
+        sizes.withColumn("slices", F.ceil(F.col("vectors") / VECTORS_PER_SLICE).cast("int"))
+        .join(probes.groupBy("cell").agg(F.count(F.lit(1)).alias("probing")), "cell")
+        .withColumn("blocks", F.ceil(F.col("probing") / QUERIES_PER_BLOCK).cast("int"))
+        .select("cell", "slices", "blocks"))
+    number = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    place = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
+    left = pairs.join(per_list, "cell").select(
+        "query_id", "embedding", "cell", number("slices").alias("slice"), place("query_id", "blocks").alias("block"))
+    right = vectors.join(per_list, "cell").select(
+        "doc_id", "embedding", "cell", place("doc_id", "slices").alias("slice"), number("blocks").alias("block"))
+    kernel, keys = _l2_kernel(k), ["cell", "slice", "block"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(lambda q, d: kernel(q, d), HITS_SCHEMA)
+
+
 def knn_ivf(queries: DataFrame, vectors: DataFrame, centroids: DataFrame, k: int, n_probe: int,
             with_candidates: bool = False) -> DataFrame:
     """Approximate top-k: exact distances, but only in the lists nearest to each query.
 
-    ``vectors`` carry their list in ``cell``. Lists are cut into slices of bounded
-    size, so a list holding a third of all vectors is searched by many tasks; the
-    probes of a query are copied to each slice of its lists. With
-    ``with_candidates`` the number of vectors compared is added, to be read
+    ``vectors`` carry their list in ``cell``; unprobed lists are skipped. Up to
+    ``QUERIES_PER_BLOCK`` queries travel to the vectors. For more, lists are cut
+    into slices of bounded size, so a list holding a third of all vectors is
+    searched by many tasks, and the probes of a query are copied to the slices of
+    its lists. With ``with_candidates`` the number of vectors compared is added, to be read
     beside recall.
     """
-    spark = vectors.sparkSession
-    ship_package(spark)
+    ship_package(vectors.sparkSession)
+    queries = queries.select("query_id", "embedding")
+    vectors = vectors.select("doc_id", "embedding", "cell")
     n_lists = centroids.count()
     sizes = vectors.groupBy("cell").agg(F.count(F.lit(1)).alias("vectors"))
     ranked = rank_lists(queries, centroids, n_lists)
     probes = stage(choose_probes(ranked, sizes, n_probe, k), "probes")
 
-    per_list = (
-        sizes.withColumn("slices", F.ceil(F.col("vectors") / VECTORS_PER_SLICE).cast("int"))
-        .join(probes.groupBy("cell").agg(F.count(F.lit(1)).alias("probing")), "cell")
-        .withColumn("blocks", F.ceil(F.col("probing") / QUERIES_PER_BLOCK).cast("int"))
-        .select("cell", "slices", "blocks")
-    )
-    number = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    place = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
-    # One row per list of a trained index: a size the caller fixed with n_lists.
-    small = F.broadcast(per_list)
-    left = (
-        probes.select("query_id", "cell").join(queries.select("query_id", "embedding"), "query_id")
-        .join(small, "cell")
-        .select("query_id", "embedding", "cell", number("slices").alias("slice"), place("query_id", "blocks").alias("block"))
-    )
-    right = (
-        vectors.select("doc_id", "embedding", "cell").join(small, "cell")
-        .select("doc_id", "embedding", "cell", place("doc_id", "slices").alias("slice"), number("blocks").alias("block"))
-    )
-    kernel = _l2_kernel(k)
-    keys = ["cell", "slice", "block"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
-        lambda q, d: kernel(q, d), HITS_SCHEMA)
+    pairs = probes.select("query_id", "cell").join(queries, "query_id")
+    # The lists being searched: at most one row per centroid, a number the caller fixed.
+    probed = F.broadcast(probes.select("cell").distinct())
+    if queries.count() <= QUERIES_PER_BLOCK:
+        found = _score_in_place(pairs, vectors.join(probed, "cell", "left_semi"), k)
+    else:
+        found = _score_lists(pairs, vectors, probes, sizes, k)
     hits = rank_cut(found, k)
     if with_candidates:
         compared = probes.groupBy("query_id").agg(F.sum("vectors").alias("candidates"))
