@@ -30,6 +30,11 @@ def group_count(rows: int, rows_per_group: int, parallelism: int) -> int:
     return max(1, math.ceil(rows / rows_per_group), min(2 * parallelism, rows // 500))
 
 
+def fresh(df: DataFrame) -> DataFrame:
+    """The same columns under new identities, so that both sides may stem from one table."""
+    return df.select(*[F.col(c).alias(c) for c in df.columns])
+
+
 def bucket(col: str, n: int):
     return F.pmod(F.xxhash64(col), F.lit(n)).cast("int")
 
@@ -45,6 +50,7 @@ def score_blocks(queries: DataFrame, docs: DataFrame, kernel: Callable[[pa.Table
     blocks = max(1, math.ceil(n_queries / QUERIES_PER_BLOCK))
     slices = group_count(n_doc_rows, rows_per_slice, docs.sparkSession.sparkContext.defaultParallelism)
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    queries, docs = fresh(queries), fresh(docs)
     left = queries.withColumn("block", bucket("query_id", blocks)).withColumn("slice", every(slices))
     right = docs.withColumn("slice", bucket("doc_id", slices)).withColumn("block", every(blocks))
     return (

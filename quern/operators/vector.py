@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quern.operators.blocks import HITS_SCHEMA, QUERIES_PER_BLOCK, best_of, hits_table, score_blocks
+from quern.operators.blocks import HITS_SCHEMA, QUERIES_PER_BLOCK, best_of, fresh, hits_table, score_blocks
 from quern.operators.ranking import SCORE_DIGITS, rank_cut
 from quern.session import ship_package, stage
 
@@ -195,9 +195,9 @@ def _score_lists(pairs: DataFrame, vectors: DataFrame, probes: DataFrame, sizes:
         .select("cell", "slices", "blocks"))
     number = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     place = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
-    left = pairs.join(per_list, "cell").select(
+    left = fresh(pairs).join(per_list, "cell").select(
         "query_id", "embedding", "cell", number("slices").alias("slice"), place("query_id", "blocks").alias("block"))
-    right = vectors.join(per_list, "cell").select(
+    right = fresh(vectors).join(per_list, "cell").select(
         "doc_id", "embedding", "cell", place("doc_id", "slices").alias("slice"), number("blocks").alias("block"))
     kernel, keys = _l2_kernel(k), ["cell", "slice", "block"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(lambda q, d: kernel(q, d), HITS_SCHEMA)
