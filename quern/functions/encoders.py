@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -29,11 +30,14 @@ _WORD = regex.compile(r"[\p{L}\p{N}]+")
 def hashed_bag_of_words(dim: int) -> DenseFactory:
     """Unit vector of token counts in ``dim`` buckets; a token's bucket is taken from its MD5."""
     def load():
+        @lru_cache(1 << 18)
+        def bucket(token: str) -> int:
+            return int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % dim
+
         def encode(texts: list[str]) -> np.ndarray:
             out = np.zeros((len(texts), dim))
             for row, text in zip(out, texts):
-                buckets = [int(hashlib.md5(t.encode()).hexdigest()[:8], 16) % dim for t in _WORD.findall(text.lower())]
-                np.add.at(row, buckets, 1.0)
+                row += np.bincount([bucket(t) for t in _WORD.findall(text.lower())], minlength=dim)
             norm = np.linalg.norm(out, axis=1, keepdims=True)
             return out / np.where(norm == 0.0, 1.0, norm)
         return encode

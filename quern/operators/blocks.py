@@ -22,7 +22,8 @@ from quern.session import ship_package
 HITS_SCHEMA = "query_id bigint, doc_id bigint, score double"
 _HITS_ARROW = pa.schema([("query_id", pa.int64()), ("doc_id", pa.int64()), ("score", pa.float64())])
 
-QUERIES_PER_BLOCK = 1024
+QUERIES_PER_BLOCK = 1024  # whole query rows, such as vectors
+TERMS_PER_BLOCK = 50_000  # rows of queries that are one row per term
 
 
 def group_count(rows: int, rows_per_group: int, parallelism: int) -> int:
@@ -40,14 +41,17 @@ def bucket(col: str, n: int):
 
 
 def score_blocks(queries: DataFrame, docs: DataFrame, kernel: Callable[[pa.Table, pa.Table], pa.Table],
-                 n_queries: int, n_doc_rows: int, rows_per_slice: int, schema: str = HITS_SCHEMA) -> DataFrame:
+                 n_query_rows: int, rows_per_block: int, n_doc_rows: int, rows_per_slice: int,
+                 schema: str = HITS_SCHEMA) -> DataFrame:
     """Run ``kernel(queries, docs)`` on every (document slice, query block).
 
+    All rows of a query share a block and all rows of a document share a slice.
+
     Documents are copied once per query block and queries once per slice, so the
     exchange moves ``docs * blocks + queries * slices`` rows.
     """
     ship_package(docs.sparkSession)
-    blocks = max(1, math.ceil(n_queries / QUERIES_PER_BLOCK))
+    blocks = max(1, math.ceil(n_query_rows / rows_per_block))
     slices = group_count(n_doc_rows, rows_per_slice, docs.sparkSession.sparkContext.defaultParallelism)
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     queries, docs = fresh(queries), fresh(docs)

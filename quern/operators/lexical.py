@@ -154,7 +154,7 @@ def bm25_topk(queries: DataFrame, docs: DataFrame, boosts: Mapping[str, float],
         "doc_id", term_key().alias("term"), "doc_weight")
     if allowed is not None:
         weighted = weighted.join(allowed.select("doc_id"), "doc_id", "left_semi")
-    return dot_topk(terms, weighted, k, queries.count(), touched.count())
+    return dot_topk(terms, weighted, k, touched.count())
 
 
 def match_counts(queries: DataFrame, docs: DataFrame, fields: Sequence[str],
@@ -168,4 +168,4 @@ def match_counts(queries: DataFrame, docs: DataFrame, fields: Sequence[str],
     keep = [value] if value else []
     postings = stage(token_counts(docs, list(boosts), keep, han, terms.select(*TERM).distinct())
                      .select("doc_id", *keep, term_key().alias("term")), "matches")
-    return match_counts_by(terms, postings, value, queries.count(), postings.count())
+    return match_counts_by(terms, postings, value, postings.count())

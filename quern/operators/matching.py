@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.operators.blocks import best_of, hits_table, score_blocks
+from quern.operators.blocks import TERMS_PER_BLOCK, best_of, hits_table, score_blocks
 from quern.operators.ranking import SCORE_DIGITS, rank_cut, rounded
 
 POSTINGS_PER_SLICE = 2_000_000
@@ -81,21 +81,19 @@ def _dot_kernel(k: int):
 
 
 def dot_topk(query_terms: DataFrame, doc_terms: DataFrame, k: int,
-             n_queries: int | None = None, n_postings: int | None = None) -> DataFrame:
+             n_postings: int | None = None) -> DataFrame:
     """Exact top-k of many queries over a table of weighted document terms.
 
     A term shared by most documents costs additions inside the slices, never rows
-    in a join or an exchange. The two counts size the blocks; they are taken from
-    the tables when the caller does not know them.
+    in a join or an exchange. ``n_postings`` sizes the slices; it is counted when
+    the caller does not know it.
     """
     query_terms = query_terms.select("query_id", "term", F.col("query_weight").cast("double"))
     doc_terms = doc_terms.select("doc_id", "term", F.col("doc_weight").cast("double"))
-    if n_queries is None:
-        n_queries = query_terms.agg(F.count_distinct("query_id")).first()[0]
     if n_postings is None:
         n_postings = doc_terms.count()
-    return rank_cut(score_blocks(query_terms, doc_terms, _dot_kernel(k), n_queries, n_postings,
-                                 POSTINGS_PER_SLICE), k)
+    return rank_cut(score_blocks(query_terms, doc_terms, _dot_kernel(k), query_terms.count(), TERMS_PER_BLOCK,
+                                 n_postings, POSTINGS_PER_SLICE), k)
 
 
 COUNTS_SCHEMA = "query_id bigint, value string, doc_count bigint"
@@ -121,7 +119,7 @@ def _count_kernel(queries: pa.Table, docs: pa.Table) -> pa.Table:
 
 
 def match_counts_by(query_terms: DataFrame, doc_terms: DataFrame, value: str | None,
-                    n_queries: int, n_postings: int) -> DataFrame:
+                    n_postings: int) -> DataFrame:
     """Documents per query that match any term, by ``value`` of the document when given.
 
     Each slice counts its matching documents per query and value, so only counts
@@ -129,7 +127,7 @@ def match_counts_by(query_terms: DataFrame, doc_terms: DataFrame, value: str | N
     """
     label = F.col(value).cast("string") if value else F.lit("")
     docs = doc_terms.select("doc_id", "term", F.coalesce(label, F.lit("")).alias("value"))
-    counts = score_blocks(query_terms.select("query_id", "term"), docs, _count_kernel, n_queries,
-                          n_postings, POSTINGS_PER_SLICE, COUNTS_SCHEMA)
+    counts = score_blocks(query_terms.select("query_id", "term"), docs, _count_kernel, query_terms.count(),
+                          TERMS_PER_BLOCK, n_postings, POSTINGS_PER_SLICE, COUNTS_SCHEMA)
     keys = ["query_id", F.col("value").alias(value)] if value else ["query_id"]
     return counts.groupBy(*keys).agg(F.sum("doc_count").alias("doc_count"))

@@ -99,8 +99,8 @@ def knn_exact(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
     n_queries = queries.count()
     if n_queries <= QUERIES_PER_BLOCK:
         return rank_cut(_score_in_place(queries, vectors, k), k)
-    return rank_cut(score_blocks(queries, vectors, _l2_kernel(k), n_queries, vectors.count(),
-                                 VECTORS_PER_SLICE), k)
+    return rank_cut(score_blocks(queries, vectors, _l2_kernel(k), n_queries, QUERIES_PER_BLOCK,
+                                 vectors.count(), VECTORS_PER_SLICE), k)
 
 
 def mean_centroids(vectors: DataFrame, cell: str = "cell") -> DataFrame:

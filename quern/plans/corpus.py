@@ -291,7 +291,7 @@ SELECT event_id, coalesce((props::JSON->>'$.k')::BIGINT, -1) AS k, 'none' AS abs
   coalesce((props::JSON->>'$.k')::BIGINT, -1) AS nested FROM events""")
 def json_safe_access(spark, d):
     inner = F.to_json(F.struct(F.col("props").alias("inner")))
-    return fx.table(spark, d, "events").select("event_id", jsonlog.decode(F.col("props")).alias("v"),
+    return fx.spread(fx.table(spark, d, "events")).select("event_id", jsonlog.decode(F.col("props")).alias("v"),
                                                jsonlog.decode(inner).alias("w")).select(
         "event_id", jsonlog.get_or(F.col("v"), "$.k", "bigint", -1).alias("k"),
         jsonlog.get_or(F.col("v"), "$.a.b", "string", "none").alias("absent"),
@@ -321,7 +321,7 @@ def agent_log_classify(spark, d):
     result = F.when(F.col("p_partkey") % 5 == 4, F.lit("{broken")).otherwise(result)
     outputs = F.array(F.struct(F.lit("memory_id").alias("name"), F.lit("m1").alias("result")),
                       F.struct(F.lit("response").alias("name"), result.alias("result")))
-    logs = fx.table(spark, d, "part").select(F.col("p_partkey").alias("doc_id"), F.to_json(
+    logs = fx.spread(fx.table(spark, d, "part")).select(F.col("p_partkey").alias("doc_id"), F.to_json(
         F.struct(F.array(F.struct(outputs.alias("output"))).alias("inference_results"))).alias("response"))
     return jsonlog.classify_outputs(logs, "response", "doc_id")
 

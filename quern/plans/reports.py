@@ -84,9 +84,9 @@ def _distinct(p: str, hits: str, name: str) -> str:
                  _distinct("v", "v_hits", "dense"), _distinct("p", "p_hits", "lexical")) + """
 SELECT query_id, position, dense, lexical FROM v_texts FULL OUTER JOIN p_texts USING (query_id, position)""")
 def compare_dense_lexical(spark, d):
-    texts = fx.passages(spark, d).select("doc_id", "passage")
-    dense = search.dense_hits(spark, d, 50).join(texts, "doc_id")
-    lexical_side = search.lexical_hits(spark, d, 50).join(texts, "doc_id")
+    passages = fx.passages(spark, d)
+    dense = results.attach(search.dense_hits(spark, d, 50), passages, "passage")
+    lexical_side = results.attach(search.lexical_hits(spark, d, 50), passages, "passage")
     return results.compare(dense, lexical_side, "passage", ("dense", "lexical"))
 
 
@@ -100,13 +100,13 @@ FROM p_hits JOIN passages USING (doc_id)
 UNION ALL SELECT query_id, rank, doc_id, 'Q: ' || question_text || chr(10) || 'A: ' || coalesce(answers[1], ''), score,
   item_name, doc_id::VARCHAR, 'qna_search' FROM c_hits JOIN catalog USING (doc_id)""")
 def union_tool_results(spark, d):
-    passages = prepare.passage_chunk(fx.passages(spark, d)).select("doc_id", "chunk_text", "domain")
-    catalog = fx.catalog(spark, d)
+    passages, catalog = fx.passages(spark, d), fx.catalog(spark, d)
     about = {"name": F.col("domain"), "id": F.col("doc_id")}
-    semantic = results.tag(search.dense_hits(spark, d, 5).join(passages, "doc_id"), "semantic_search", F.col("chunk_text"), about)
-    lexical_side = results.tag(search.lexical_hits(spark, d, 5).join(passages, "doc_id"), "lexical_search", F.col("chunk_text"), about)
-    qna = lexical.bm25_topk(fx.catalog_queries(spark, d), catalog, search.QUESTION_FIELDS, 5).join(
-        catalog.select("doc_id", "question_text", "answers", "item_name"), "doc_id")
+    with_chunk = lambda hits: prepare.passage_chunk(results.attach(hits, passages, "passage", "domain"))
+    semantic = results.tag(with_chunk(search.dense_hits(spark, d, 5)), "semantic_search", F.col("chunk_text"), about)
+    lexical_side = results.tag(with_chunk(search.lexical_hits(spark, d, 5)), "lexical_search", F.col("chunk_text"), about)
+    qna = results.attach(lexical.bm25_topk(fx.catalog_queries(spark, d), catalog, search.QUESTION_FIELDS, 5),
+                         catalog, "question_text", "answers", "item_name")
     qna = results.tag(qna, "qna_search", results.answer_content(), {"name": F.col("item_name"), "id": F.col("doc_id")})
     return results.union_results(semantic, lexical_side, qna).select(
         "query_id", "rank", "doc_id", "content", "score", F.col("metadata")["name"].alias("name"),
@@ -126,10 +126,12 @@ FROM v_hits LEFT JOIN (SELECT * FROM passages WHERE domain <> 'fr') USING (doc_i
 def result_format(spark, d):
     """Display blocks; French passages are left out of the text join, so their fields read N/A."""
     from quern.functions.text import preview
-    docs = prepare.question_chunk(prepare.concat_bullets(fx.catalog(spark, d)))
-    products = lexical.bm25_topk(fx.catalog_queries(spark, d), docs, search.PRODUCT_FIELDS, 3).join(docs, "doc_id")
+    docs = prepare.concat_bullets(fx.catalog(spark, d))
+    products = prepare.question_chunk(results.attach(
+        lexical.bm25_topk(fx.catalog_queries(spark, d), docs, search.PRODUCT_FIELDS, 3),
+        docs, "category_name", "item_name", "brand_name", "product_description"))
     passages = fx.passages(spark, d).where("domain <> 'fr'")
-    near = search.dense_hits(spark, d, 3).join(passages, "doc_id", "left")
+    near = results.attach(search.dense_hits(spark, d, 3), passages, "domain", "pid", "passage", how="left")
     shown = lambda df, kind, text: df.select(
         "query_id", "rank", F.lit(kind).alias("kind"), "block", preview(text).alias("preview"))
     return shown(results.format_product(products), "product", "chunk_text").unionByName(
@@ -189,7 +191,7 @@ def _summaries(spark, d):
     docs = prepare.concat_bullets(fx.catalog(spark, d))
     passage_side = fx.passage_queries(spark, d).select((F.col("query_id") + 1000000000).alias("query_id"), "query_text")
     asked = fx.catalog_queries(spark, d).unionByName(passage_side)
-    hits = lexical.bm25_topk(asked, docs, search.PRODUCT_FIELDS, 5).join(docs.select("doc_id", "item_name"), "doc_id")
+    hits = results.attach(lexical.bm25_topk(asked, docs, search.PRODUCT_FIELDS, 5), docs, "item_name")
     return asked, conversation.summarise(asked, results.total_hits(asked, docs, list(search.PRODUCT_FIELDS)), hits)
 
 
@@ -217,9 +219,8 @@ _RAG_BASE = (sql.PASSAGES, sql.PASSAGE_QUERIES, sql.sparse("s", 3), _CONTEXT)
 
 
 def _contexts(spark, d):
-    docs = prepare.passage_chunk(fx.passages(spark, d))
-    hits = search.sparse_hits(spark, d, 3).join(docs, "doc_id")
-    return conversation.context(hits, ["domain", "pid", "passage", "chunk_text"], 10)
+    hits = results.attach(search.sparse_hits(spark, d, 3), fx.passages(spark, d), "domain", "pid", "passage")
+    return conversation.context(prepare.passage_chunk(hits), ["domain", "pid", "passage", "chunk_text"], 10)
 
 
 @query(sql.with_(*_RAG_BASE) + "SELECT * FROM ctx")

@@ -60,7 +60,7 @@ SELECT query_id, rank, doc_id, score, item_name, brand_name FROM c_hits JOIN cat
 def bm25_multifield_topk(spark, d):
     docs = prepare.concat_bullets(fx.catalog(spark, d))
     hits = lexical.bm25_topk(fx.catalog_queries(spark, d), docs, PRODUCT_FIELDS, 3)
-    return hits.join(docs.select("doc_id", "item_name", "brand_name"), "doc_id")
+    return results.attach(hits, docs, "item_name", "brand_name")
 
 
 @query(sql.with_(*_CATALOG_BASE, sql.bm25("c", "catalog", QUESTION_FIELDS, "catalog_queries", 5)) + """
@@ -69,7 +69,8 @@ FROM c_hits JOIN catalog USING (doc_id)""")
 def qna_search_topk(spark, d):
     docs = fx.catalog(spark, d)
     hits = lexical.bm25_topk(fx.catalog_queries(spark, d), docs, QUESTION_FIELDS, 5)
-    return hits.join(docs.select("doc_id", results.answer_content().alias("content")), "doc_id")
+    return results.attach(hits, docs, "question_text", "answers").select(
+        "query_id", "rank", "doc_id", "score", results.answer_content().alias("content"))
 
 
 @query(sql.with_(*_PASSAGE_BASE, sql.bm25("p", "passages", PASSAGE_FIELDS, "passage_queries", 5)) + """
@@ -77,7 +78,7 @@ SELECT query_id, rank, doc_id, score, domain, pid FROM p_hits JOIN passages USIN
 def passage_multifield_topk(spark, d):
     docs = prepare.passage_chunk(fx.passages(spark, d))
     hits = lexical.bm25_topk(fx.passage_queries(spark, d), docs, PASSAGE_FIELDS, 5)
-    return hits.join(docs.select("doc_id", "domain", "pid"), "doc_id")
+    return results.attach(hits, docs, "domain", "pid")
 
 
 @query(sql.with_(*_PASSAGE_BASE, sql.bm25(

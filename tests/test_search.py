@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quern.operators import blocks, fusion, lexical, matching, results, sparse, vector
+from quern.operators import fusion, lexical, matching, results, sparse, vector
 from quern.operators.ranking import rank_cut
 
 
@@ -45,7 +45,7 @@ def test_bm25_equals_all_pairs(spark, skewed, monkeypatch):
     for boosts in ({"body": 1.0}, {"body": 2.0, "kind": 1.5}):
         expected = rows(brute_bm25(queries, docs, boosts, 7), *HITS)
         assert rows(lexical.bm25_topk(queries, docs, boosts, 7), *HITS) == expected
-        monkeypatch.setattr(blocks, "QUERIES_PER_BLOCK", 10)
+        monkeypatch.setattr(matching, "TERMS_PER_BLOCK", 30)
         monkeypatch.setattr(matching, "POSTINGS_PER_SLICE", 300)
         assert rows(lexical.bm25_topk(queries, docs, boosts, 7), *HITS) == expected
         monkeypatch.undo()
@@ -122,8 +122,7 @@ def test_exact_knn(spark, cloud, monkeypatch):
         best = sorted(range(len(data)), key=lambda i: (-score[i], i))[:6]
         assert [(r[2], r[3]) for r in got if r[0] == q] == [(i, score[i]) for i in best]
     assert [r[2] for r in got if r[0] == 0][:2] == [0, 1]
-    for module in (blocks, vector):
-        monkeypatch.setattr(module, "QUERIES_PER_BLOCK", 7)
+    monkeypatch.setattr(vector, "QUERIES_PER_BLOCK", 7)
     monkeypatch.setattr(vector, "VECTORS_PER_SLICE", 40)
     assert rows(vector.knn_exact(queries, vectors, 6), *HITS) == got
 
@@ -142,8 +141,7 @@ def test_ivf(spark, cloud, monkeypatch):
     share = some.select("query_id", "candidates").distinct().agg(F.avg("candidates")).first()[0] / 600
     print(f"recall {recall:.3f} with {share:.3f} of the vectors compared")
     assert recall > share
-    for module in (blocks, vector):
-        monkeypatch.setattr(module, "QUERIES_PER_BLOCK", 7)
+    monkeypatch.setattr(vector, "QUERIES_PER_BLOCK", 7)
     monkeypatch.setattr(vector, "VECTORS_PER_SLICE", 40)
     assert rows(vector.knn_ivf(queries, vectors, centroids, 5, 2), *HITS) == got
 
