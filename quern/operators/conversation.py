@@ -78,10 +78,15 @@ def _joined(rows: DataFrame, keys: Sequence[str], order: str, line, separator: s
         F.array_join(F.transform(items, lambda e: e["_l"]), separator).alias(name))
 
 
+def asked_sessions(memory: DataFrame, queries: DataFrame) -> DataFrame:
+    """Only the sessions some query belongs to, before any message is shuffled."""
+    return memory.join(queries.select(*SESSION).distinct(), SESSION, "left_semi")
+
+
 def enhance_queries(queries: DataFrame, memory: DataFrame) -> DataFrame:
     """Add ``enhanced``: the query with the two latest user messages of its session as context."""
     line = F.concat(F.lit("Previous: "), text_or_empty("text"))
-    context = _joined(recent(memory, 2, "user"), SESSION, "position", line, "; ", "_context")
+    context = _joined(recent(asked_sessions(memory, queries), 2, "user"), SESSION, "position", line, "; ", "_context")
     enhanced = F.concat("query_text", F.lit(" (Context: "), "_context", F.lit(")"))
     return (
         queries.join(context, SESSION, "left")

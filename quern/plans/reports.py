@@ -239,8 +239,9 @@ _PROMPTS = sql.with_(*_RAG_BASE, sql.MEMORY, _SESSION_QUERIES, """hist AS (
 
 
 def _prompts(spark, d):
-    return conversation.prompts(_session_queries(spark, d), _contexts(spark, d),
-                                conversation.history(fx.memory(spark, d), 10), SYSTEM_PROMPT, INSTRUCTIONS)
+    asked = _session_queries(spark, d)
+    history = conversation.history(conversation.asked_sessions(fx.memory(spark, d), asked), 10)
+    return conversation.prompts(asked, _contexts(spark, d), history, SYSTEM_PROMPT, INSTRUCTIONS)
 
 
 @query(_PROMPTS + "SELECT * FROM prompts")

@@ -46,21 +46,23 @@ def _tsv(spark: SparkSession, paths: str | list[str], columns: list[str], multi_
 
 
 def read_passages(spark: SparkSession, paths: str | list[str], domain: str | None = None,
-                  multi_line: bool = True) -> DataFrame:
+                  multi_line: bool = True, with_order: bool = False) -> DataFrame:
     """``pid, passage, domain, chunk_text`` from tab separated files.
 
     A row with one column is skipped, a row with more keeps its first two, an
     empty passage is kept. The domain is the folder name unless given.
     ``multi_line`` honours line breaks inside quotes, at the price of one task
     per file: store a large corpus as many files, or switch it off when no
-    passage holds a line break and the files can be split.
+    passage holds a line break and the files can be split. ``with_order`` adds the
+    columns that order rows as they stand in the files.
     """
     rows = _tsv(spark, paths, ["pid", "passage"], multi_line)
     folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
     passage = F.coalesce("passage", F.lit(""))
     return rows.where(F.col("passage").isNotNull() | F.col(BAD).isNull()).select(
         F.coalesce("pid", F.lit("")).alias("pid"), passage.alias("passage"),
-        (F.lit(domain) if domain else folder).alias("domain"), passage.alias("chunk_text"))
+        (F.lit(domain) if domain else folder).alias("domain"), passage.alias("chunk_text"),
+        *(in_file_order() if with_order else []))
 
 
 def in_file_order() -> list:
