@@ -16,6 +16,7 @@ from quern.session import ship_package, stage
 VECTORS_PER_SLICE = 16_384
 CENTROID_DIGITS = 9
 MAX_LISTS = 65_536
+MAX_SENT_PROBES = 1_000_000
 
 
 def dimension_errors(vectors: DataFrame, dim: int, column: str = "embedding") -> DataFrame:
@@ -60,29 +61,32 @@ def _l2_kernel(k: int):
     return score
 
 
-def _score_in_place(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
+def _score_in_place(queries: DataFrame, vectors: DataFrame, k: int, probes: DataFrame | None = None) -> DataFrame:
     """Score vectors where they lie against at most one block of queries, sent to every task.
 
     The corpus is scanned and never shuffled; each batch gives ``k`` rows per
-    query and the rank cut drops most of them before the exchange. When both
-    sides carry a ``cell``, a query meets only the vectors of its cells.
+    query and the rank cut drops most of them before the exchange. With
+    ``probes(query_id, cell)`` a query meets only the vectors of its cells. The
+    caller has checked the number of queries and probes.
     """
     spark = vectors.sparkSession
     ship_package(spark)
-    sent = spark.sparkContext.broadcast(queries.toArrow())
-    kernel, by_cell = _l2_kernel(k), "cell" in queries.columns
+    sent = spark.sparkContext.broadcast((queries.toArrow(), probes.toArrow() if probes is not None else None))
+    kernel = _l2_kernel(k)
 
     def run(batches):
-        block = sent.value
+        block, pairs = sent.value
+        if pairs is None:
+            for batch in batches:
+                yield from kernel(block, pa.Table.from_batches([batch])).to_batches()
+            return
+        by_cell = {r["cell"]: r["query_id_list"] for r in
+                   pairs.group_by("cell").aggregate([("query_id", "list")]).to_pylist()}
         for batch in batches:
             docs = pa.Table.from_batches([batch])
-            if not by_cell:
-                yield from kernel(block, docs).to_batches()
-                continue
             for cell in pc.unique(docs["cell"]).to_pylist():
-                probing = block.filter(pc.equal(block["cell"], cell))
-                members = docs.filter(pc.equal(docs["cell"], cell))
-                yield from kernel(probing, members).to_batches()
+                probing = block.filter(pc.is_in(block["query_id"], value_set=pa.array(by_cell.get(cell, []), pa.int64())))
+                yield from kernel(probing, docs.filter(pc.equal(docs["cell"], cell))).to_batches()
 
     return vectors.mapInArrow(run, HITS_SCHEMA)
 
@@ -217,18 +221,19 @@ def knn_ivf(queries: DataFrame, vectors: DataFrame, centroids: DataFrame, k: int
     ship_package(vectors.sparkSession)
     queries = queries.select("query_id", "embedding")
     vectors = vectors.select("doc_id", "embedding", "cell")
-    n_lists = centroids.count()
     sizes = vectors.groupBy("cell").agg(F.count(F.lit(1)).alias("vectors"))
-    ranked = rank_lists(queries, centroids, n_lists)
+    # Lists with vectors: k of them always cover k vectors, so no query needs more.
+    filled = centroids.join(sizes, "cell", "left_semi")
+    ranked = rank_lists(queries, filled, max(n_probe, k))
     probes = stage(choose_probes(ranked, sizes, n_probe, k), "probes")
 
-    pairs = probes.select("query_id", "cell").join(queries, "query_id")
+    pairs = probes.select("query_id", "cell")
     # The lists being searched: at most one row per centroid, a number the caller fixed.
     probed = F.broadcast(probes.select("cell").distinct())
-    if queries.count() <= QUERIES_PER_BLOCK:
-        found = _score_in_place(pairs, vectors.join(probed, "cell", "left_semi"), k)
+    if queries.count() <= QUERIES_PER_BLOCK and pairs.count() <= MAX_SENT_PROBES:
+        found = _score_in_place(queries, vectors.join(probed, "cell", "left_semi"), k, pairs)
     else:
-        found = _score_lists(pairs, vectors, probes, sizes, k)
+        found = _score_lists(pairs.join(queries, "query_id"), vectors, probes, sizes, k)
     hits = rank_cut(found, k)
     if with_candidates:
         compared = probes.groupBy("query_id").agg(F.sum("vectors").alias("candidates"))
