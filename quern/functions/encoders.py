@@ -44,6 +44,16 @@ def hashed_bag_of_words(dim: int) -> DenseFactory:
     return load
 
 
+def _encoded(df: DataFrame, encode, field_map: dict[str, str]) -> DataFrame:
+    """Apply an encoder once per row.
+
+    Marked non-deterministic so that no filter on its output is pushed below it,
+    which would run the model a second time.
+    """
+    once = encode.asNondeterministic()
+    return df.withColumns({target: once(F.col(source)) for source, target in field_map.items()})
+
+
 def dense_encode(df: DataFrame, field_map: dict[str, str], dim: int, factory: DenseFactory | None = None) -> DataFrame:
     """Add an ``array<float>`` column for each ``{text column: vector column}``."""
     ship_package(df.sparkSession)
@@ -58,7 +68,7 @@ def dense_encode(df: DataFrame, field_map: dict[str, str], dim: int, factory: De
                 raise ValueError(f"encoder returned shape {vectors.shape}, expected {(len(batch), dim)}")
             yield pd.Series(list(vectors), index=batch.index)
 
-    return df.withColumns({target: encode(F.col(source)) for source, target in field_map.items()})
+    return _encoded(df, encode, field_map)
 
 
 def sparse_encode(df: DataFrame, field_map: dict[str, str], factory: SparseFactory | None = None) -> DataFrame:
@@ -75,7 +85,7 @@ def sparse_encode(df: DataFrame, field_map: dict[str, str], factory: SparseFacto
         for batch in batches:
             yield pd.Series(run(batch.fillna("").tolist()), index=batch.index)
 
-    return df.withColumns({target: encode(F.col(source)) for source, target in field_map.items()})
+    return _encoded(df, encode, field_map)
 
 
 def log_term_frequency():

@@ -111,6 +111,13 @@ def test_encoders(spark):
         wrong.collect()
 
 
+def test_filters_on_a_vector_do_not_run_the_encoder_again(spark):
+    docs = spark.createDataFrame([(1, "a b")], "id int, chunk_text string").repartition(2)
+    used = encoders.dense_encode(docs, {"chunk_text": "v"}, 16).select("id", F.explode("v").alias("x")).where("x <> 0")
+    assert used._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert used.count() == 2
+
+
 def test_answers_come_from_the_injected_client(spark):
     prompts = spark.createDataFrame([(1, "x"), (2, None)], "query_id int, prompt string")
     got = encoders.generate_answers(prompts, lambda: lambda batch: [p.upper() for p in batch])
