@@ -21,6 +21,11 @@ def min_max(hits: DataFrame) -> DataFrame:
     return hits.withColumn("score", scaled)
 
 
+def boosted(hits: DataFrame, boost: float) -> DataFrame:
+    """Scores of one clause multiplied by its boost."""
+    return hits.withColumn("score", rounded(F.col("score") * float(boost)))
+
+
 def combine(first: DataFrame, second: DataFrame, weights: Sequence[float]) -> DataFrame:
     """Weighted arithmetic mean over two normalised legs: ``(query_id, doc_id, score)``.
 

@@ -104,18 +104,17 @@ def _count_kernel(queries: pa.Table, docs: pa.Table) -> pa.Table:
     postings = _Postings(queries, docs)
     value = postings.docs["value"].combine_chunks().dictionary_encode()
     names, code = value.dictionary, value.indices.to_numpy()[postings.first]
-    out = {"query_id": [], "value": [], "doc_count": []}
+    parts = []
     for q, terms, _ in postings.each_query(queries):
         hit = np.zeros(len(postings.doc_ids), dtype=bool)
         for t in terms:
             hit[postings.position[postings.rows(t)]] = True
         counts = np.bincount(code[hit], minlength=len(names))
-        for i in np.flatnonzero(counts):
-            out["query_id"].append(q)
-            out["value"].append(names[int(i)].as_py())
-            out["doc_count"].append(int(counts[i]))
-    return pa.table(out, schema=pa.schema(
-        [("query_id", pa.int64()), ("value", pa.string()), ("doc_count", pa.int64())]))
+        found = np.flatnonzero(counts)
+        parts.append((np.full(len(found), q), found, counts[found]))
+    ids, values, counts = (np.concatenate(c) for c in zip(*parts)) if parts else ([], [], [])
+    return pa.table({"query_id": pa.array(ids, pa.int64()), "value": names.take(pa.array(values, pa.int64())),
+                     "doc_count": pa.array(counts, pa.int64())})
 
 
 def match_counts_by(query_terms: DataFrame, doc_terms: DataFrame, value: str | None,

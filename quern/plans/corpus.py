@@ -73,20 +73,21 @@ def scan_passage_tsv(spark, d):
 
 
 @query("""
-SELECT (doc_id % 500)::VARCHAR AS query_id, md5(arg_max(text, doc_id)) AS query_md5
-FROM documents GROUP BY doc_id % 500""")
+SELECT lang || '-' || source AS query_id, md5(arg_max(text, doc_id)) AS query_md5 FROM documents GROUP BY lang, source""")
 def scan_query_file(spark, d):
+    """Texts keyed by language and source, so ids repeat and the last row of the file order wins."""
     path = new_folder(spark, "queries")
-    fx.table(spark, d, "documents").orderBy("doc_id").select((F.col("doc_id") % 500).alias("query_id"), "text").write.option(
-        "sep", "\t").option("escape", '"').option("ignoreLeadingWhiteSpace", "false").option(
-        "ignoreTrailingWhiteSpace", "false").csv(path)
+    fx.table(spark, d, "documents").orderBy("doc_id").select(
+        F.concat_ws("-", "lang", "source").alias("query_id"), "text").write.option("sep", "\t").option("escape", '"').option(
+        "ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
     return readers.read_queries(spark, path).select("query_id", F.md5("query_text").alias("query_md5"))
 
 
-@query("SELECT l_orderkey::VARCHAR AS query_id, l_partkey::VARCHAR AS pid FROM lineitem WHERE l_linenumber % 3 <> 0")
+@query("SELECT l_orderkey::VARCHAR AS query_id, l_partkey::VARCHAR AS pid FROM lineitem WHERE l_returnflag <> 'R'")
 def scan_qrels_file(spark, d):
+    """Returned items are written without a grade, as rows of three columns that must be skipped."""
     path = new_folder(spark, "qrels")
-    grade = F.when(F.col("l_linenumber") % 3 != 0, F.lit("\t1")).otherwise(F.lit(""))
+    grade = F.when(F.col("l_returnflag") != "R", F.lit("\t1")).otherwise(F.lit(""))
     fx.table(spark, d, "lineitem").select(
         F.concat(F.concat_ws("\t", F.col("l_orderkey").cast("string"), F.lit("0"), F.col("l_partkey").cast("string")), grade)
     ).write.text(path)
@@ -106,13 +107,14 @@ _LINE = """'{"question_id":"' || p_partkey || '","item_name":"' || p_name || '"}
 
 
 @query(f"""
-SELECT 'ok' AS status, p_partkey::VARCHAR AS content FROM part WHERE p_partkey % 10 <> 3
-UNION ALL SELECT 'bad', substr({_LINE}, 1, 24) FROM part WHERE p_partkey % 10 = 3""")
+SELECT 'ok' AS status, p_partkey::VARCHAR AS content FROM part WHERE p_type <> 'PROMO'
+UNION ALL SELECT 'bad', substr({_LINE}, 1, 24) FROM part WHERE p_type = 'PROMO'""")
 def load_quarantine(spark, d):
+    """Lines of one product type are cut short and must end up in quarantine."""
     path = new_folder(spark, "tolerant")
     line = F.expr(_LINE)
     fx.table(spark, d, "part").select(
-        F.when(F.col("p_partkey") % 10 == 3, F.substring(line, 1, 24)).otherwise(line)).write.text(path)
+        F.when(F.col("p_type") == "PROMO", F.substring(line, 1, 24)).otherwise(line)).write.text(path)
     # Staged once: Spark refuses to filter a raw file on the corrupt-record column alone.
     loaded = stage(readers.read_json_lines(spark, path, on_error="quarantine"), "tolerant")
     good, bad = readers.split_quarantine(loaded)
@@ -206,6 +208,19 @@ def category_lookup(spark, d):
     return names.lookup_category(docs, names.category_dimension(files)).select("doc_id", "category_name", "constant")
 
 
+@query("""
+SELECT p_partkey AS doc_id, 'AMAZON_PQA_' || p_type AS constant, lower(p_type) AS category_name FROM part
+UNION ALL SELECT p_partkey, p_brand, NULL FROM part""")
+def category_reverse_lookup(spark, d):
+    """Constants back to names; the brands stand for constants nobody declared."""
+    part = fx.table(spark, d, "part")
+    files = part.select(F.concat(F.lit(names.FILE_PREFIX), F.lower("p_type"), F.lit(".json")).alias("file_name")).distinct()
+    known = part.select(F.col("p_partkey").alias("doc_id"), F.concat(F.upper(F.lit(names.FILE_PREFIX)), "p_type").alias("constant"))
+    unknown = part.select(F.col("p_partkey").alias("doc_id"), F.col("p_brand").alias("constant"))
+    return names.category_of_constant(known.unionByName(unknown), names.category_dimension(files)).select(
+        "doc_id", "constant", "category_name")
+
+
 def _u(salt: int) -> str:
     return f"((doc_id * 7919 + position * 104729 + {salt}) % 10007 / 10007.0::DOUBLE)"
 
@@ -304,7 +319,7 @@ SELECT p_partkey AS doc_id, 0 AS step, 1 AS position,
     ELSE 'final_response' END AS type,
   CASE p_partkey % 4 WHEN 0 THEN p_name WHEN 1 THEN p_type || ' (' || p_size || ')' || chr(10) || p_brand || ' (2)'
     WHEN 2 THEN p_name || chr(10) || p_brand ELSE p_size || ' of ' || p_name END AS content
-FROM part WHERE p_partkey % 5 <> 4""")
+FROM part WHERE p_size <= 40""")
 def agent_log_classify(spark, d):
     """Responses of every shape built from the products, the result being JSON text inside JSON."""
     name, brand = F.col("p_name"), F.col("p_brand")
@@ -318,7 +333,7 @@ def agent_log_classify(spark, d):
     result = (F.when(shape == 0, generated).when(shape == 1, facets)
               .when(shape == 2, F.concat(hit(name), F.lit("\n"), hit(brand)))
               .otherwise(F.concat(F.col("p_size").cast("string"), F.lit(" of "), name)))
-    result = F.when(F.col("p_partkey") % 5 == 4, F.lit("{broken")).otherwise(result)
+    result = F.when(F.col("p_size") > 40, F.lit("{broken")).otherwise(result)
     outputs = F.array(F.struct(F.lit("memory_id").alias("name"), F.lit("m1").alias("result")),
                       F.struct(F.lit("response").alias("name"), result.alias("result")))
     logs = fx.spread(fx.table(spark, d, "part")).select(F.col("p_partkey").alias("doc_id"), F.to_json(
@@ -376,9 +391,11 @@ def dual_encode(spark, d):
         F.round(F.array_max("dense").cast("double"), 5).alias("dense_peak"))
 
 
-@query("SELECT vec_id AS doc_id, CASE WHEN vec_id % 7 = 0 THEN 63::BIGINT ELSE -1::BIGINT END AS found_dim FROM embeddings WHERE vec_id % 7 IN (0, 1)")
+@query("""
+SELECT vec_id AS doc_id, CASE label WHEN 3 THEN 63::BIGINT ELSE -1::BIGINT END AS found_dim
+FROM embeddings WHERE label IN (3, 4)""")
 def vector_dim_check(spark, d):
-    """Every seventh vector is cut short and another one removed; the check must find exactly these."""
-    damaged = F.when(F.col("doc_id") % 7 == 0, F.slice("embedding", 1, 63)).when(F.col("doc_id") % 7 != 1, F.col("embedding"))
+    """Vectors of one label are cut short and those of another removed; the check must find exactly these."""
+    damaged = F.when(F.col("cell") == 3, F.slice("embedding", 1, 63)).when(F.col("cell") != 4, F.col("embedding"))
     vectors = fx.vectors(spark, d).withColumn("embedding", damaged)
     return vector.dimension_errors(vectors, 64).select("doc_id", "found_dim")

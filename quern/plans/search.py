@@ -154,4 +154,5 @@ def hybrid_dense_sparse(spark, d):
                  sql.normalised("pn", "p_hits"), sql.normalised("vn", "v_hits"), sql.combined("c", "pn", "vn", 0.4, 0.6),
                  sql.ranked("h", "c", 5)) + "SELECT * FROM h")
 def hybrid_lexical_dense(spark, d):
-    return fusion.hybrid(lexical_hits(spark, d, 10), dense_hits(spark, d, 10), (0.4, 0.6), 5)
+    clauses = [fusion.boosted(hits, 1.0) for hits in (lexical_hits(spark, d, 10), dense_hits(spark, d, 10))]
+    return fusion.hybrid(*clauses, (0.4, 0.6), 5)

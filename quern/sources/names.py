@@ -68,6 +68,11 @@ def lookup_category(docs: DataFrame, dimension: DataFrame, column: str = "catego
         .otherwise(F.col("constant")))
 
 
+def category_of_constant(docs: DataFrame, dimension: DataFrame, column: str = "constant") -> DataFrame:
+    """Attach the category name of each constant, null for an unknown one."""
+    return docs.join(dimension.select(F.col("constant").alias(column), "category_name"), column, "left")
+
+
 def missing_sources(expected: DataFrame, found: DataFrame, on: str) -> DataFrame:
     return expected.join(found.select(on), on, "left_anti")
 

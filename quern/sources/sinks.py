@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,11 +48,22 @@ def create_table(df: DataFrame, name: str, delete_existing: bool = False) -> Non
     df.write.mode("overwrite" if delete_existing else "ignore").saveAsTable(name)
 
 
-def table_bytes(spark: SparkSession, path: str) -> DataFrame:
-    """Stored size of a table folder: one row ``bytes``."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "*.parquet").load(path))
-    return files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
+UNIT_BYTES = {"b": 1, "kb": 1024, "mb": 1024**2, "gb": 1024**3}
+
+
+def table_size(spark: SparkSession, path: str, unit: str = "mb") -> DataFrame:
+    """Stored size of a table folder in whole units, from the file listing: one row ``size``.
+
+    A folder that does not exist has size 0.
+    """
+    try:
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                 .option("pathGlobFilter", "*.parquet").load(path))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.range(1).select(F.lit(0).cast("bigint").alias("size"))
+    return files.agg(F.floor(F.coalesce(F.sum("length"), F.lit(0)) / UNIT_BYTES[unit]).cast("bigint").alias("size"))
 
 
 def size_label(megabytes, digits: int):

@@ -80,6 +80,8 @@ def test_category_lookup(spark):
     with pytest.raises(Exception, match="Unknown category name hats"):
         names.lookup_category(unknown, dimension).collect()
     assert names.lookup_category(unknown, dimension, on_unknown="null").first().constant is None
+    constants = spark.createDataFrame([("AMAZON_PQA_T_SHIRTS",), ("X",)], "constant string")
+    assert {r.category_name for r in names.category_of_constant(constants, dimension).collect()} == {"t-shirts", None}
 
 
 def test_source_sizes(spark, tmp_path):
@@ -132,7 +134,9 @@ def test_partitioned_write_report_and_size(spark, tmp_path):
     path = str(tmp_path / "t")
     sinks.write_partitioned(docs, path, "category_name")
     assert spark.read.parquet(path).where("category_name = 'a'").count() == 2
-    assert sinks.table_bytes(spark, path).first().bytes > 0
+    stored = sinks.table_size(spark, path, "b").first().size
+    assert stored > 0 and sinks.table_size(spark, path, "kb").first().size == stored // 1024
+    assert sinks.table_size(spark, path + "-absent").first().size == 0
     assert sorted(tuple(r) for r in sinks.load_report(docs, "category_name").collect()) == [("TOTAL", 3), ("a", 2), ("b", 1)]
 
 
