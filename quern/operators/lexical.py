@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions.text import tokens
-from quern.operators.matching import dot_topk, match_counts_by
+from quern.operators.matching import count_known, dot_topk, match_counts_by
 from quern.session import stage
 
 K1 = 1.2
@@ -42,11 +42,11 @@ def analysed(docs: DataFrame, fields: Sequence[str], keep: Sequence[str] = (), h
 
 
 def token_counts(docs: DataFrame, fields: Sequence[str], keep: Sequence[str] = (), han: str = "run",
-                 vocabulary: DataFrame | None = None, with_lengths: bool = False) -> DataFrame:
+                 vocabulary: DataFrame | None = None, vocabulary_rows: int = 0,
+                 with_lengths: bool = False) -> DataFrame:
     """Term frequency per document and field: ``(doc_id, *keep, field, field_length, token, tf)``.
 
-    With a ``vocabulary`` of ``(field, token)`` the other tokens are dropped
-    before the aggregation, so the exchange carries only what queries can match.
+    With a ``vocabulary`` of ``(field, token)`` only its tokens are counted.
     """
     rows = analysed(docs, fields, keep, han)
     listed = F.col("tokens")
@@ -54,10 +54,10 @@ def token_counts(docs: DataFrame, fields: Sequence[str], keep: Sequence[str] = (
         listed = F.array_append(listed, F.lit(LENGTH_MARK))
     occurrences = rows.select("doc_id", *keep, "field", F.size("tokens").cast("bigint").alias("field_length"),
                               F.explode(listed).alias("token"))
+    keys = ["doc_id", *keep, "field", "field_length", "token"]
     if vocabulary is not None:
-        occurrences = occurrences.join(vocabulary, TERM, "left_semi")
-    return occurrences.groupBy("doc_id", *keep, "field", "field_length", "token").agg(
-        F.count(F.lit(1)).alias("tf"))
+        return count_known(occurrences, keys, vocabulary, TERM, vocabulary_rows)
+    return occurrences.groupBy(*keys).agg(F.count(F.lit(1)).alias("tf"))
 
 
 def build_index(docs: DataFrame, fields: Sequence[str], han: str = "run") -> DataFrame:
@@ -122,7 +122,7 @@ def bm25_weights(postings: DataFrame, lengths: DataFrame) -> DataFrame:
     )
 
 
-def query_index(terms: DataFrame, docs: DataFrame, fields: Sequence[str], han: str = "run",
+def query_index(terms: DataFrame, n_terms: int, docs: DataFrame, fields: Sequence[str], han: str = "run",
                 index: DataFrame | None = None) -> DataFrame:
     """The part of the index the query terms touch, and all field lengths, staged.
 
@@ -135,7 +135,7 @@ def query_index(terms: DataFrame, docs: DataFrame, fields: Sequence[str], han: s
     if index is not None:
         touched = index.where(F.col("field").isin(list(fields))).join(vocabulary, TERM, "left_semi")
     else:
-        touched = token_counts(docs, fields, (), han, vocabulary, with_lengths=True)
+        touched = token_counts(docs, fields, (), han, vocabulary, n_terms + len(fields), with_lengths=True)
     return stage(touched, "postings")
 
 
@@ -149,12 +149,13 @@ def bm25_topk(queries: DataFrame, docs: DataFrame, boosts: Mapping[str, float],
     """
     boosts = {f: b for f, b in boosts.items() if f in docs.columns}
     terms = query_terms(queries, boosts, han)
-    touched = query_index(terms, docs, list(boosts), han, index)
+    n_terms = terms.count()
+    touched = query_index(terms, n_terms, docs, list(boosts), han, index)
     weighted = bm25_weights(postings_of(touched), lengths_of(touched)).select(
         "doc_id", term_key().alias("term"), "doc_weight")
     if allowed is not None:
         weighted = weighted.join(allowed.select("doc_id"), "doc_id", "left_semi")
-    return dot_topk(terms, weighted, k, touched.count())
+    return dot_topk(terms, weighted, k, n_terms, touched.count())
 
 
 def match_counts(queries: DataFrame, docs: DataFrame, fields: Sequence[str],
@@ -166,6 +167,7 @@ def match_counts(queries: DataFrame, docs: DataFrame, fields: Sequence[str],
     boosts = {f: 1.0 for f in fields if f in docs.columns}
     terms = query_terms(queries, boosts, han)
     keep = [value] if value else []
-    postings = stage(token_counts(docs, list(boosts), keep, han, terms.select(*TERM).distinct())
+    n_terms = terms.count()
+    postings = stage(token_counts(docs, list(boosts), keep, han, terms.select(*TERM).distinct(), n_terms)
                      .select("doc_id", *keep, term_key().alias("term")), "matches")
-    return match_counts_by(terms, postings, value, postings.count())
+    return match_counts_by(terms, postings, value, n_terms, postings.count())

@@ -7,6 +7,8 @@ terms of the product.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -17,6 +19,21 @@ from quern.operators.blocks import TERMS_PER_BLOCK, best_of, hits_table, score_b
 from quern.operators.ranking import SCORE_DIGITS, rank_cut, rounded
 
 POSTINGS_PER_SLICE = 2_000_000
+MAX_BROADCAST_TERMS = 1_000_000
+
+
+def count_known(occurrences: DataFrame, keys: Sequence[str], vocabulary: DataFrame, on: Sequence[str],
+                vocabulary_rows: int) -> DataFrame:
+    """Occurrences per key as ``tf``, of the terms in ``vocabulary`` only.
+
+    A vocabulary of at most ``MAX_BROADCAST_TERMS`` rows is sent to the scan, so
+    that other terms never reach the exchange. A larger one is joined to the
+    counts, where a hot term is one row per document and not per occurrence.
+    """
+    count = F.count(F.lit(1)).alias("tf")
+    if vocabulary_rows <= MAX_BROADCAST_TERMS:
+        return occurrences.join(F.broadcast(vocabulary), list(on), "left_semi").groupBy(*keys).agg(count)
+    return occurrences.groupBy(*keys).agg(count).join(vocabulary, list(on), "left_semi")
 
 
 def dot_scores(query_terms: DataFrame, doc_terms: DataFrame) -> DataFrame:
@@ -80,19 +97,21 @@ def _dot_kernel(k: int):
     return score
 
 
-def dot_topk(query_terms: DataFrame, doc_terms: DataFrame, k: int,
+def dot_topk(query_terms: DataFrame, doc_terms: DataFrame, k: int, n_query_rows: int | None = None,
              n_postings: int | None = None) -> DataFrame:
     """Exact top-k of many queries over a table of weighted document terms.
 
     A term shared by most documents costs additions inside the slices, never rows
-    in a join or an exchange. ``n_postings`` sizes the slices; it is counted when
-    the caller does not know it.
+    in a join or an exchange. The two row counts size the blocks and slices; they
+    are taken from the tables when the caller does not know them.
     """
     query_terms = query_terms.select("query_id", "term", F.col("query_weight").cast("double"))
     doc_terms = doc_terms.select("doc_id", "term", F.col("doc_weight").cast("double"))
+    if n_query_rows is None:
+        n_query_rows = query_terms.count()
     if n_postings is None:
         n_postings = doc_terms.count()
-    return rank_cut(score_blocks(query_terms, doc_terms, _dot_kernel(k), query_terms.count(), TERMS_PER_BLOCK,
+    return rank_cut(score_blocks(query_terms, doc_terms, _dot_kernel(k), n_query_rows, TERMS_PER_BLOCK,
                                  n_postings, POSTINGS_PER_SLICE), k)
 
 
@@ -118,7 +137,7 @@ def _count_kernel(queries: pa.Table, docs: pa.Table) -> pa.Table:
 
 
 def match_counts_by(query_terms: DataFrame, doc_terms: DataFrame, value: str | None,
-                    n_postings: int) -> DataFrame:
+                    n_query_rows: int, n_postings: int) -> DataFrame:
     """Documents per query that match any term, by ``value`` of the document when given.
 
     Each slice counts its matching documents per query and value, so only counts
@@ -126,7 +145,7 @@ def match_counts_by(query_terms: DataFrame, doc_terms: DataFrame, value: str | N
     """
     label = F.col(value).cast("string") if value else F.lit("")
     docs = doc_terms.select("doc_id", "term", F.coalesce(label, F.lit("")).alias("value"))
-    counts = score_blocks(query_terms.select("query_id", "term"), docs, _count_kernel, query_terms.count(),
+    counts = score_blocks(query_terms.select("query_id", "term"), docs, _count_kernel, n_query_rows,
                           TERMS_PER_BLOCK, n_postings, POSTINGS_PER_SLICE, COUNTS_SCHEMA)
     keys = ["query_id", F.col("value").alias(value)] if value else ["query_id"]
     return counts.groupBy(*keys).agg(F.sum("doc_count").alias("doc_count"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions.text import tokens
-from quern.operators.matching import dot_topk
+from quern.operators.matching import count_known, dot_topk
 from quern.session import stage
 
 
@@ -41,14 +41,11 @@ def sparse_topk(query_terms: DataFrame, doc_terms: DataFrame, k: int) -> DataFra
 def sparse_text_topk(queries: DataFrame, docs: DataFrame, text: str, k: int, han: str = "run") -> DataFrame:
     """Encode both sides with the default encoder and search.
 
-    Document tokens outside the query vocabulary are dropped before counting.
+    Only document tokens of the query vocabulary are kept.
     """
     query_terms = encode_long(queries, "query_id", "query_text", "query_weight", han)
-    vocabulary = query_terms.select("term").distinct()
-    doc_terms = (
-        docs.select("doc_id", F.explode(tokens(text, han)).alias("term"))
-        .join(vocabulary, "term", "left_semi")
-        .groupBy("doc_id", "term")
-        .agg(F.log1p(F.count(F.lit(1))).alias("doc_weight"))
-    )
-    return dot_topk(query_terms, stage(doc_terms, "sparse"), k)
+    n_terms = query_terms.count()
+    occurrences = docs.select("doc_id", F.explode(tokens(text, han)).alias("term"))
+    counted = count_known(occurrences, ["doc_id", "term"], query_terms.select("term").distinct(), ["term"], n_terms)
+    doc_terms = counted.select("doc_id", "term", F.log1p("tf").alias("doc_weight"))
+    return dot_topk(query_terms, stage(doc_terms, "sparse"), k, n_terms)

@@ -47,6 +47,7 @@ def test_bm25_equals_all_pairs(spark, skewed, monkeypatch):
         assert rows(lexical.bm25_topk(queries, docs, boosts, 7), *HITS) == expected
         monkeypatch.setattr(matching, "TERMS_PER_BLOCK", 30)
         monkeypatch.setattr(matching, "POSTINGS_PER_SLICE", 300)
+        monkeypatch.setattr(matching, "MAX_BROADCAST_TERMS", 3)
         assert rows(lexical.bm25_topk(queries, docs, boosts, 7), *HITS) == expected
         monkeypatch.undo()
     assert {r[0] for r in expected}.isdisjoint({101, 102})
@@ -164,12 +165,14 @@ def test_dimension_checks(spark):
         vector.dimension_errors(v, 0)
 
 
-def test_sparse_maps_and_text_agree(spark, skewed):
+def test_sparse_maps_and_text_agree(spark, skewed, monkeypatch):
     docs, queries = skewed
     long = sparse.encode_long(docs, "doc_id", "body", "doc_weight")
     q = sparse.encode_long(queries, "query_id", "query_text", "query_weight")
     expected = rows(rank_cut(matching.dot_scores(q, long), 4), *HITS)
     assert rows(sparse.sparse_text_topk(queries, docs, "body", 4), *HITS) == expected
+    monkeypatch.setattr(matching, "MAX_BROADCAST_TERMS", 3)
+    assert rows(sparse.sparse_text_topk(queries, docs, "body", 4), *HITS) == expected
     assert rows(sparse.sparse_topk(q, long, 4), *HITS) == expected
     back = sparse.from_map(sparse.to_map(long, "doc_id", "doc_weight"), "doc_id", "doc_weight")
     assert back.count() == long.count()
