@@ -45,11 +45,6 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def with_bullets(docs: DataFrame) -> DataFrame:
-    from quern.operators.prepare import concat_bullets
-    return concat_bullets(docs)
-
-
 def catalog_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every distinct product name as a question, keyed by its first product."""
     part = table(spark, sf_dir, "part")
