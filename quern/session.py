@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import shutil
 import tempfile
 import uuid
@@ -47,7 +48,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     if _local_scratch is None:
         _local_scratch = tempfile.mkdtemp(prefix="quern-")
