@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import contamination, line_dedup, mixing
+from quern.llm import contamination, line_dedup, mixing, quality
 from quern.llm.registry import query
 
 
@@ -59,3 +59,12 @@ def op4_decontamination(spark: SparkSession, d: str) -> DataFrame:
     """Words of each document that stand in windows of test items."""
     found = contamination.find_spans(table(spark, d, "documents"), table(spark, d, "benchmark"), keep=["doc_id"])
     return contamination.digest_rows(found)
+
+
+@query()
+def op3_quality(spark: SparkSession, d: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    scored = quality.score(docs, quality.fit(docs, table(spark, d, "labels")), keep=["doc_id"])
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= quality.ACCEPT).cast("int").alias("predicted"))
