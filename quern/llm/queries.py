@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import contamination, line_dedup, mixing, quality
+from quern.llm import contamination, jaccard, line_dedup, mixing, quality
 from quern.llm.registry import query
 
 
@@ -68,3 +68,9 @@ def op3_quality(spark: SparkSession, d: str) -> DataFrame:
     scored = quality.score(docs, quality.fit(docs, table(spark, d, "labels")), keep=["doc_id"])
     return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= quality.ACCEPT).cast("int").alias("predicted"))
+
+
+@query()
+def op6_ngram_jaccard(spark: SparkSession, d: str) -> DataFrame:
+    """Components of documents whose sets of three-word shingles are 90 % alike."""
+    return jaccard.near_duplicates(table(spark, d, "documents"), width=3, percent=90)
