@@ -290,13 +290,13 @@ def without_spans(text: str | None, spans: bytes) -> str | None:
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """The input's rows and columns, the test passages cut out of the text."""
-    found = find_spans(docs, benchmark, text_col, **options)
-    columns = [c for c in docs.columns if c in found.columns and c not in ("n_words", "spans", "items")]
-    schema = StructType([docs.schema[c] for c in columns])
+    others = [c for c in docs.columns if c != text_col]
+    packed = docs.select(F.struct(*others, F.lit(0).alias("_")).alias("row"), F.col(text_col).cast("string").alias("text"))
+    found = find_spans(packed, benchmark, keep=["row", "text"], **options)
 
     def run(batches):
         for batch in batches:
-            texts = [without_spans(t, s) for t, s in zip(batch.column(text_col).to_pylist(), batch.column("spans").to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(texts, batch.column(text_col).type) if c == text_col else batch.column(c) for c in columns], names=columns)
-    return found.select(*columns, "spans").mapInArrow(run, schema)
+            texts = [without_spans(t, s) for t, s in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], names=["row", "text"])
+    cleaned = found.select("row", "text", "spans").mapInArrow(run, packed.schema)
+    return cleaned.select(*(F.col("text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns))

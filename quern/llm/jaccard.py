@@ -273,6 +273,23 @@ def components(links: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` per row: component is the smallest id reachable by links."""
+    return _located(docs, width, percent, id_col, text_col).select("doc_id", "n_shingles", "component_id")
+
+
+def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows and columns of ``docs`` without near duplicates: of each component the row of smallest
+    id stays (of several such rows one); rows with an empty set all stay."""
+    found = _located(docs, width, percent, id_col, text_col)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_key")).alias("first")
+    kept = found.filter("n_shingles > 0").groupBy("comp").agg(first).select("first.row_key", F.lit(False).alias("blank"))
+    kept = kept.unionByName(found.filter("n_shingles = 0").select("row_key", F.lit(True).alias("blank")).distinct())
+    rows = docs.select(F.struct("*").alias("row"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("row_key")).join(kept, "row_key")
+    once = rows.withColumn("copy", F.when(F.col("blank"), F.monotonically_increasing_id()).otherwise(F.lit(-1)))
+    return once.dropDuplicates(["row_key", "copy"]).select("row.*")
+
+
+def _located(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """Per row ``doc_id, row_key, n_shingles, component_id`` and ``comp``, the component's inner number."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                        F.xxhash64(F.col(id_col), F.col(text_col)).alias("row_key"))
     profiles = stage(_profiles(docs, width, percent), "profiles")
@@ -324,9 +341,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     named = classes.select("cls", "doc_id").join(comps, F.col("cls") == F.col("node"), "left").select(
         "cls", "doc_id", F.coalesce("comp", "cls").alias("comp"))
     least = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    by_class = stage(named.join(least, "comp").select("cls", "component_id"), "components")
-    full = profiles.filter("n > 0").join(by_class, "cls").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return full.unionByName(profiles.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    by_class = stage(named.join(least, "comp").select("cls", "component_id", "comp"), "components")
+    columns = ["doc_id", "row_key", F.col("n").alias("n_shingles")]
+    full = profiles.filter("n > 0").join(by_class, "cls").select(*columns, "component_id", "comp")
+    return full.unionByName(profiles.filter("n = 0").select(*columns, F.col("doc_id").alias("component_id"), F.lit(None).cast("bigint").alias("comp")))
 
 
 def _sets(docs: DataFrame, placed: DataFrame, width: int) -> DataFrame:

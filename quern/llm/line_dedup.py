@@ -109,12 +109,12 @@ def frequent_lines(keyed: DataFrame, min_docs: int = MIN_DOCS, batches: int = BA
 
 
 def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, id_col: str = "doc_id", text_col: str = "text",
-                batches: int = BATCHES) -> DataFrame:
+                batches: int = BATCHES, report: tuple[str, str] = ("n_lines", "n_dropped")) -> DataFrame:
     """Drop every line whose key stands in at least ``min_docs`` documents, in all of them.
 
     Returns the input's columns with the text replaced by the other lines joined by a line
-    feed (null only where the text was null), and ``n_lines``, ``n_dropped`` (input columns
-    of these two names are replaced). Rows are kept, repeated and null ids as well; an empty table
+    feed (null only where the text was null), and the lines before and the lines dropped under the
+    names ``report`` (input columns of these names are replaced). Rows are kept, repeated and null ids as well; an empty table
     gives an empty one.
     """
     keyed = keyed_lines(docs, id_col, text_col)
@@ -130,9 +130,8 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, id_col: str = "doc_id
     rows = docs.select(F.struct("*").alias("row"), r1.alias("r1"), r2.alias("r2")).join(marks, ["r1", "r2"], "left")
     pairs = F.arrays_zip(F.split(F.coalesce(F.col("row")[text_col], F.lit("")), "\n").alias("line"), F.col("hot").alias("hot"))
     kept = F.array_join(F.filter(pairs, lambda p: ~p["hot"])["line"], "\n")
-    done = rows.select("row", F.size("hot").cast("bigint").alias("n_lines"),
-                       F.size(F.filter("hot", lambda h: h)).cast("bigint").alias("n_dropped"), kept.alias("kept"))
-    new = {"n_lines", "n_dropped"}
+    done = rows.select("row", F.size("hot").cast("bigint").alias(report[0]),
+                       F.size(F.filter("hot", lambda h: h)).cast("bigint").alias(report[1]), kept.alias("kept"))
     columns = [F.when(F.col("row")[c].isNotNull(), F.col("kept")).alias(c) if c == text_col else F.col("row")[c].alias(c)
-               for c in docs.columns if c not in new]
-    return done.select(*columns, "n_lines", "n_dropped")
+               for c in docs.columns if c not in report]
+    return done.select(*columns, *report)

@@ -214,13 +214,13 @@ def fit(docs: DataFrame, labels: DataFrame, **options) -> GamModel:
     return fit_gam(x, rows["label"].to_numpy(dtype=float))
 
 
-def score(docs: DataFrame, model: GamModel, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` (all) of each row and ``score``; a kept column of that name is replaced."""
-    columns = [c for c in (docs.columns if keep is None else keep) if c != "score"]
-    schema = StructType([docs.schema[c] for c in columns] + [StructField("score", DoubleType())])
+def score(docs: DataFrame, model: GamModel, text_col: str = "text", keep: list[str] | None = None, name: str = "score") -> DataFrame:
+    """The columns ``keep`` (all) of each row and the score as column ``name``; a kept column of that name is replaced."""
+    columns = [c for c in (docs.columns if keep is None else keep) if c != name]
+    schema = StructType([docs.schema[c] for c in columns] + [StructField(name, DoubleType())])
 
     def work(chunk: pa.Table) -> Iterator[pa.RecordBatch]:
         x = np.array([features(t) for t in chunk.column(text_col).to_pylist()], dtype=float).reshape(-1, len(FEATURES))
         yield pa.RecordBatch.from_arrays([*(chunk.column(c).combine_chunks() for c in columns), pa.array(model.score(x))],
-                                         names=[*columns, "score"])
+                                         names=[*columns, name])
     return map_chunks(docs, list(dict.fromkeys([*columns, text_col])), text_bytes(text_col), CHUNK_BYTES, work, schema)

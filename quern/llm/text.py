@@ -65,3 +65,10 @@ def text_bytes(column: str) -> Callable[[pa.RecordBatch], int]:
     def size(batch: pa.RecordBatch) -> int:
         return batch.column(batch.schema.get_field_index(column)).nbytes
     return size
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until the table has no such column."""
+    while name.lower() in map(str.lower, df.columns):
+        name += "_"
+    return name
