@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import contamination, jaccard, line_dedup, mixing, quality
+from quern.llm import contamination, jaccard, katz, line_dedup, mixing, quality
 from quern.llm.registry import query
 
 
@@ -74,3 +74,10 @@ def op3_quality(spark: SparkSession, d: str) -> DataFrame:
 def op6_ngram_jaccard(spark: SparkSession, d: str) -> DataFrame:
     """Components of documents whose sets of three-word shingles are 90 % alike."""
     return jaccard.near_duplicates(table(spark, d, "documents"), width=3, percent=90)
+
+
+@query()
+def op2_katz(spark: SparkSession, d: str) -> DataFrame:
+    """Log probability of every document under a back-off model of the documents that are not held out."""
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 1, F.lit(False))
+    return katz.train_and_score(table(spark, d, "documents"), ~held_out)
