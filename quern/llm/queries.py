@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import contamination, jaccard, katz, line_dedup, mixing, quality
+from quern.llm import contamination, jaccard, katz, line_dedup, mixing, order_minhash, quality
 from quern.llm.registry import query
 
 
@@ -81,3 +81,19 @@ def op2_katz(spark: SparkSession, d: str) -> DataFrame:
     """Log probability of every document under a back-off model of the documents that are not held out."""
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 1, F.lit(False))
     return katz.train_and_score(table(spark, d, "documents"), ~held_out)
+
+
+@query()
+def op8_order_minhash(spark: SparkSession, d: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how alike they and the next document's are."""
+    docs = table(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    docs = order_minhash.with_next(order_minhash.with_fingerprint(docs, "text", "print"), "doc_id", "text", ["text", "print"])
+    docs = docs.withColumn("n_chars", F.length("text").cast("bigint"))
+    cut = F.floor(F.col("n_chars") / 3).cast("int")
+    edited = F.concat(F.substring("text", F.lit(1), F.length("text") - cut), F.substring("next_text", F.lit(1), cut))
+    docs = order_minhash.with_fingerprint(docs.withColumn("edited", edited), "edited", "edited_print")
+    return docs.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), order_minhash.as_text(F.col("print")).alias("fingerprint"),
+        order_minhash.as_text(F.col("edited_print")).alias("edited_fingerprint"),
+        order_minhash.likeness(F.col("print"), F.col("edited_print")).alias("near_edited"),
+        order_minhash.likeness(F.col("print"), F.col("next_print")).alias("near_next"))
