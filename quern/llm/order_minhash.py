@@ -19,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-K = 3
+K = 2
 SKETCH_BITS = 6
 PIECE = 8
 _PLACE = (1 << 28) - 1

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import contamination, jaccard, katz, line_dedup, mixing, order_minhash, quality
+from quern.llm import contamination, jaccard, katz, line_dedup, mixing, order_minhash, quality, warc
 from quern.llm.registry import query
+from quern.session import new_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -97,3 +98,19 @@ def op8_order_minhash(spark: SparkSession, d: str) -> DataFrame:
         order_minhash.as_text(F.col("edited_print")).alias("edited_fingerprint"),
         order_minhash.likeness(F.col("print"), F.col("edited_print")).alias("near_edited"),
         order_minhash.likeness(F.col("print"), F.col("next_print")).alias("near_next"))
+
+
+@query("""
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+firsts AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, p.payload_digest, CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p LEFT JOIN firsts ON p.payload_digest = firsts.payload_digest AND payload_bytes >= 100""")
+def op9_warc(spark: SparkSession, d: str) -> DataFrame:
+    """Every page written to archives, read back and assembled."""
+    pages = table(spark, d, "pages")
+    path = new_folder(spark, "warc")
+    warc.write_archives(warc.plan_captures(pages), path)
+    found = warc.digests(warc.assemble(warc.read_records(spark, path, with_payload=False)))
+    kind = dict(pages.dtypes)["page_id"]
+    return found.withColumns({c: F.col(c).cast(kind) for c in ("page_id", "refers_to")})
