@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import contamination, jaccard, katz, line_dedup, mixing, order_minhash, quality, warc
+from quern.llm import contamination, jaccard, katz, line_dedup, mixing, order_minhash, quality, secrets, url_templates, warc
 from quern.llm.registry import query
 from quern.session import new_folder
 
@@ -114,3 +114,22 @@ def op9_warc(spark: SparkSession, d: str) -> DataFrame:
     found = warc.digests(warc.assemble(warc.read_records(spark, path, with_payload=False)))
     kind = dict(pages.dtypes)["page_id"]
     return found.withColumns({c: F.col(c).cast(kind) for c in ("page_id", "refers_to")})
+
+
+RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+@query()
+def op5_url_templates(spark: SparkSession, d: str) -> DataFrame:
+    """Rules, then path templates; a page is labelled by the document whose number its path holds, bad if poor or toxic."""
+    labels = table(spark, d, "labels").groupBy("doc_id").agg(F.max(((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int")).alias("bad"))
+    _, path = url_templates.host_and_path(F.col("url"))
+    pages = table(spark, d, "pages").select("page_id", "url", F.regexp_extract(path, r"([0-9]+)", 1).try_cast("bigint").alias("number"))
+    return url_templates.judge(pages.join(labels, pages["number"] == labels["doc_id"], "left").select("page_id", "url", "bad"), RULES)
+
+
+@query()
+def op7_secrets(spark: SparkSession, d: str) -> DataFrame:
+    """Every candidate secret of every document with the forest's verdict."""
+    found = secrets.scan(table(spark, d, "documents"))
+    return found.select("doc_id", "start", "n_chars", F.sha2("candidate", 256).alias("candidate_sha256"), "held_out", "label", "score", "predicted")
