@@ -1,0 +1,477 @@
+"""Each operator against brute force on small hand-made tables: nulls, empty and very long texts,
+ties, repeated rows, empty tables and extra columns whose names clash with inner ones."""
+
+import gzip
+import hashlib
+import math
+import random
+import re
+import struct
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from quern.llm import contamination, jaccard, katz, line_dedup, mixing, order_minhash, quality, secrets, url_templates, warc
+from quern.llm.text import unused
+
+SCHEMA = ("doc_id bigint, text string, lang string, source string, n_chars bigint, score double, size bigint, n_lines string, hot string, "
+          "taken string, row string, cls bigint, token string, spans string, n_words string, row_key bigint, bad int, capture string")
+EXTRA = (0.5, 7, "n", "h", "t", "r", 3, "k", "s", "w", 9, 1, "c")
+LONG = "Very long text " * 20_000
+
+
+def table(spark, rows):
+    """Rows ``(doc_id, text, source)``."""
+    return spark.createDataFrame([(i, t, "en", s, len(t or ""), *EXTRA) for i, t, s in rows], SCHEMA)
+
+
+def edge_rows():
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(60)] + ["É", "ñandú", "THE", "the", "x"]
+    rows = [(1, None, "b"), (2, "", "a"), (3, " \t\n \x0b", None), (4, "Tie tie\nTIE", "a"), (4, "Tie tie\nTIE", "a"), (None, "no id here", "a"),
+            (None, None, None), (5, LONG, "b"), (6, "one", "c"), (7, "one", "c"), (8, "É é Ñ", None)]
+    for i in range(9, 60):
+        words = [rng.choice(vocabulary) for _ in range(rng.randint(1, 120))]
+        rows.append((i, re.sub("(w1[0-9])", "\\1\n", " ".join(words)), rng.choice(["a", "b", "c", None])))
+    for i in range(60, 80):
+        words = rows[20 + i % 5][1].split(" ")
+        words[rng.randrange(len(words))] = f"new{i}"
+        rows.append((i, " ".join(words), "a"))
+    return rows
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return table(spark, edge_rows())
+
+
+@pytest.fixture(scope="module")
+def nothing(spark):
+    return table(spark, [])
+
+
+def folded(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+
+
+# 1 ------------------------------------------------------------------------------------------------------------------------
+
+def test_apportion_gives_the_highest_quotients():
+    rng = np.random.default_rng(1)
+    for _ in range(50):
+        weights = rng.integers(0, 50, rng.integers(1, 12)).astype(float)
+        seats = int(rng.integers(0, 60))
+        won = [0] * len(weights)
+        for _ in range(seats if weights.sum() else 0):
+            best = max(range(len(weights)), key=lambda i: (weights[i] / (2 * won[i] + 1), -i))
+            won[best] += 1
+        got = mixing.apportion(weights, seats)
+        assert got.sum() == sum(won)
+        assert sorted(weights / (2 * got + 1)) == pytest.approx(sorted(weights / (2 * np.array(won) + 1)))
+
+
+def test_mix_reaches_targets(spark, docs, nothing):
+    found = mixing.mix(docs, block_words=4).toPandas()
+    again = mixing.mix(docs, block_words=4).toPandas()
+    order = ["doc_id", "size", "source", "taken"]
+    assert found.sort_values(order).reset_index(drop=True).equals(again.sort_values(order).reset_index(drop=True))
+    rows = edge_rows()
+    assert sorted(found["size"]) == sorted(len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for _, t, _ in rows)
+    assert (found["taken"] <= 3 * found["size"]).all()
+    sizes = Counter()
+    for _, t, s in rows:
+        sizes[s] += len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    names = sorted(sizes, key=lambda s: (s is None, s))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
+    want, capped = {}, set()
+    while True:
+        left = sum(sizes.values()) - sum(3 * sizes[s] for s in capped)
+        level = left / sum(weight[s] for s in names if s not in capped)
+        want = {s: 3 * sizes[s] if s in capped else level * weight[s] for s in names}
+        above = {s for s in names if want[s] > 3 * sizes[s]}
+        if not above:
+            break
+        capped |= above
+    for s in names:
+        own = found[found["source"].isna()] if s is None else found[found["source"] == s]
+        assert own["source_size"].iloc[0] == sizes[s] and own["target"].iloc[0] == pytest.approx(want[s])
+        assert own["taken"].sum() == pytest.approx(want[s], abs=6)
+    assert mixing.mix(nothing).count() == 0
+
+
+# 2 ------------------------------------------------------------------------------------------------------------------------
+
+def katz_by_hand(rows, train):
+    tokens = [[w.encode() for w in re.findall(r"[^\x20\x09-\x0D]+", folded(t))] + [b""] for _, t, _ in rows]
+    one, two, texts = Counter(), Counter(), 0
+    for w, ok in zip(tokens, train):
+        if ok:
+            texts += 1
+            one.update(w)
+            two.update(zip([None, *w[:-1]], w))
+    top = katz.TOP
+    d1, d2 = (katz.discounts([sum(1 for v in c.values() if v == r) for r in range(1, top + 2)]) for c in (one, two))
+    total = sum(one.values())
+
+    def kept(c, d):
+        return c * d[c - 1] if 1 <= c <= top else c
+    mass = sum(kept(c, d1) for c in one.values())
+    below = total if mass < total else total + 1
+    unknown = (below - mass) / below if total else 1.0
+
+    def p1(w):
+        return kept(one[w], d1) / below if one.get(w) else unknown
+    after = defaultdict(dict)
+    for (v, w), c in two.items():
+        after[v][w] = c
+
+    def p2(v, w):
+        if v not in after:
+            return p1(w)
+        count = texts if v is None else one[v]
+        seen = sum(kept(c, d2) for c in after[v].values())
+        under = count if count - seen > 1e-9 else count + 1
+        alpha = (under - seen) / under / (1 - sum(p1(x) for x in after[v]))
+        return kept(after[v][w], d2) / under if w in after[v] else alpha * p1(w)
+    for v in list(after)[:20]:
+        assert sum(p2(v, w) for w in one) + p2(v, b"\0never") == pytest.approx(1)
+    return [(len(w), sum(x in one for x in w), total, sum(math.log10((one.get(x, 0) + .5) / (total + .5 * (len(one) + 1))) for x in w),
+             sum(math.log10(p2(v, x)) for v, x in zip([None, *w[:-1]], w))) for w in tokens]
+
+
+def test_katz_equals_brute_force(docs, nothing):
+    rows = edge_rows()
+    train = [i is None or zlib.crc32(str(i).encode()) % 5 != 1 for i, _, _ in rows]
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 1
+    found = katz.train_and_score(docs, ~held_out).collect()
+    def key(r):
+        return (r[0] is None, r[0] or 0, r[2], r[6])
+    want = sorted(((i, not ok, *x) for (i, _, _), ok, x in zip(rows, train, katz_by_hand(rows, train))), key=key)
+    for got, exp in zip(sorted(map(tuple, found), key=key), want, strict=True):
+        assert got[:5] == exp[:5] and got[5:] == pytest.approx(exp[5:], rel=1e-9)
+    assert katz.train_and_score(nothing, ~held_out).count() == 0
+    untrained = katz.train_and_score(docs.limit(5), F.lit(False)).collect()
+    assert all(r["score"] == 0 and r["n_known"] == 0 for r in untrained) and len(untrained) == 5
+
+
+# 3 ------------------------------------------------------------------------------------------------------------------------
+
+def test_quality_on_held_out_documents(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    scored = quality.score(docs, quality.fit(docs, labels), keep=["doc_id"]).withColumn("held", quality.held_out(F.col("doc_id")))
+    held = scored.filter("held").join(labels, "doc_id").toPandas()
+    assert len(held) > 30 and ((held["score"] >= quality.ACCEPT) == (held["quality"] == 1)).mean() > 0.93
+
+
+def test_quality_edges(spark, docs, nothing):
+    labels = spark.createDataFrame([(9, 1), (10, 0), (10, None), (None, 1), (11, 0), (11, 1), (12, 1), (999, 0)], "doc_id bigint, quality int")
+    scored = quality.score(docs, quality.fit(docs, labels))
+    assert scored.count() == docs.count() and scored.columns.count("score") == 1 and set(scored.columns) == set(docs.columns)
+    assert scored.filter("score IS NULL OR score < 0 OR score > 1 OR isnan(score)").count() == 0
+    empty = scored.filter("text IS NULL OR text = ''").select("score").distinct()
+    assert empty.count() == 1
+    assert quality.score(docs, quality.fit(docs, labels.limit(0))).select("score").distinct().collect()[0][0] == 0.5
+    assert quality.score(nothing, quality.fit(nothing, labels)).count() == 0
+    assert unused(docs, "score") == "score_"
+
+
+# 4 ------------------------------------------------------------------------------------------------------------------------
+
+def words4(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", folded(text))
+
+
+def test_decontamination_equals_brute_force(spark, nothing):
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice("abcd") for _ in range(rng.randint(0, 80))) for _ in range(60)] + [None, "", "x " * 5000, "A-b;C d"]
+    rows = [(i, t, "s") for i, t in enumerate(texts)] + [(None, "a b c d", "s"), (3, texts[3], "s")]
+    items = [(1, "a b c d a b c d"), (2, "A, b! c? D"), (10, texts[5]), (10, texts[6]), (3, None), (4, ""), (5, "x " * 12), (None, "c c c")]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    want = []
+    for i, t, _ in rows:
+        w, hit, names = words4(t), set(), set()
+        for name, item in items:
+            iw = words4(item)
+            for a in range(max(1, len(iw) - 5) if iw else 0):
+                phrase = iw[a:a + 6]
+                for s in range(len(w) - len(phrase) + 1):
+                    if w[s:s + len(phrase)] == phrase:
+                        hit.update(range(s, s + len(phrase)))
+                        names.add("null" if name is None else str(name))
+        want.append((i, len(w), len(hit), len(names), hashlib.sha256(",".join(sorted(names)).encode()).hexdigest(), bool(hit)))
+    docs = table(spark, rows)
+    for options in ({}, {"block_words": 10, "shard_bytes": 600}):
+        found = contamination.digest_rows(contamination.find_spans(docs, benchmark, window=6, keep=["doc_id"], **options))
+        assert Counter(map(tuple, found.collect())) == Counter(want)
+    cut = contamination.remove_spans(docs, benchmark, window=6)
+    assert cut.columns == docs.columns and cut.count() == len(rows)
+    left = {(r["doc_id"], r["text"]) for r in cut.collect()}
+    assert (63, "") in left and (60, None) in left and all(r[1] is None or len(words4(r[1])) >= 0 for r in left)
+    assert contamination.find_spans(nothing, benchmark).count() == 0
+    clean = contamination.find_spans(docs, benchmark.limit(0), keep=["doc_id"])
+    assert clean.filter("size(items) > 0").count() == 0 and clean.count() == len(rows)
+
+
+def test_fm_index_finds_every_place():
+    rng = np.random.default_rng(2)
+    symbols = rng.integers(0, 4, 500)
+    index = contamination.FMIndex(symbols, 3)
+    for length in (1, 2, 5):
+        phrase = np.ones((1, 6), dtype=np.int64)
+        phrase[0, :length] = rng.integers(1, 4, length)
+        low, high = index.search(phrase, np.array([length]))
+        want = [i for i in range(500 - length + 1) if (symbols[i:i + length] == phrase[0, :length]).all()]
+        assert sorted(index.locate(np.arange(low[0], high[0]))) == want
+
+
+# 5 ------------------------------------------------------------------------------------------------------------------------
+
+RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+def test_url_parts_and_rules(spark):
+    cases = [("http://Example.ORG/es/1?x#y", "example.org", "/es/1", "example.org/es/", "block"), ("https://a.example.org/en/12", "a.example.org", "/en/12", "example.org/en/1", "block"),
+             ("https://notexample.org/es/1", "notexample.org", "/es/1", "org/", "allow"), ("http://x.com/fr/", "x.com", "/fr/", "com/fr/", "allow"),
+             ("ftp://x.com/de/a://b", "x.com", "/de/a://b", "com/de/", "block"), ("http://x.com?/de/", "x.com", "", None, None),
+             ("no scheme/de/", "", "", None, None), (None, "", "", None, None), ("http://ÀX.net#f", "Àx.net", "", None, None), ("x://\n/a\nb", "\n", "/a\nb", None, None)]
+    df = spark.createDataFrame([(c[0],) for c in cases], "url string")
+    host, path = url_templates.host_and_path(F.col("url"))
+    rule, verdict = url_templates.longest_rule(host, path, RULES)
+    assert [tuple(r) for r in df.select("url", host, path, rule, verdict).collect()] == cases
+
+
+def test_url_templates(spark):
+    rows = [(i, f"http://h.net/good/{i}.html", 0) for i in range(60)] + [(100 + i, f"http://h.net/bad/{i}", 1) for i in range(60)]
+    rows += [(300 + i, f"http://h.net/good/x{i}", None) for i in range(10)] + [(None, None, 1), (500, "http://h.net", None), (500, "http://h.net", None)]
+    rows += [(600, "http://deep.net/" + "/".join("abcdefghijkl"), None)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, bad int").withColumn("template", F.lit("x")).withColumn("node", F.lit(1))
+    found = url_templates.judge(pages, []).toPandas()
+    assert len(found) == len(rows)
+    by = found.set_index("page_id")
+    assert set(by.loc[range(100, 160), "verdict"]) == {"block"} and set(by.loc[range(60), "verdict"]) == {"allow"}
+    assert by.loc[1, "template"].startswith("h.net/good/") and by.loc[101, "template"].startswith("h.net/bad/")
+    assert url_templates.judge(pages.limit(0), RULES).count() == 0
+
+
+# 6 ------------------------------------------------------------------------------------------------------------------------
+
+def components_by_hand(texts, width, percent):
+    sets = []
+    for t in texts:
+        w = re.findall(r"[^\x20\x09-\x0D]+", folded(t))
+        k = min(width, len(w))
+        sets.append(frozenset(tuple(w[i:i + k]) for i in range(len(w) - k + 1)) if w else frozenset())
+    comp = list(range(len(sets)))
+
+    def root(i):
+        while comp[i] != i:
+            i = comp[i]
+        return i
+    for i in range(len(sets)):
+        for j in range(i):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+                a, b = root(i), root(j)
+                comp[max(a, b)] = min(a, b)
+    return sets, [root(i) for i in range(len(sets))]
+
+
+@pytest.mark.parametrize("chunk", [512, 3])
+def test_near_duplicates_equal_brute_force(spark, monkeypatch, chunk):
+    monkeypatch.setattr(jaccard, "CHUNK", chunk)
+    monkeypatch.setattr(jaccard, "PAIRS_AT_ONCE", 50)
+    rng = random.Random(9)
+    base = [[f"v{rng.randrange(400)}" for _ in range(rng.randint(3, 60))] for _ in range(12)]
+    texts = ["", None, " \n", "one", "ONE", "one two"]
+    for _ in range(150):
+        words = list(base[rng.randrange(4 if rng.random() < .7 else 12)])
+        for _ in range(rng.randint(0, 3)):
+            words[rng.randrange(len(words))] = f"n{rng.randrange(5)}"
+        texts.append(" ".join(words))
+    rows = [(1000 - i, t, "s") for i, t in enumerate(texts)]
+    sets, comps = components_by_hand([t for _, t, _ in reversed(rows)], 3, 80)
+    ids = [i for i, _, _ in reversed(rows)]
+    want = {i: (len(s), ids[c]) for i, s, c in zip(ids, sets, comps)}
+    docs = table(spark, rows)
+    found = {r[0]: (r[1], r[2]) for r in jaccard.near_duplicates(docs, 3, 80).collect()}
+    assert found == want
+    assert len({c for n, c in want.values() if n}) < len(rows) - 30
+
+
+def test_near_duplicates_edges(spark, docs, nothing):
+    found = jaccard.near_duplicates(docs, 3, 90)
+    assert found.count() == docs.count() and jaccard.near_duplicates(nothing).count() == 0
+    kept = jaccard.keep_one(docs, 3, 90)
+    assert kept.columns == docs.columns
+    texts = Counter(r["text"] for r in kept.collect())
+    assert texts["one"] == 1 and texts["Tie tie\nTIE"] == 1 and texts[None] == 2 and texts["no id here"] == 1 and texts[LONG] == 1
+    assert jaccard.keep_one(nothing).count() == 0
+
+
+def test_components_of_long_chains(spark):
+    links = [(i, i + 1) for i in range(40)] + [(100, 200), (200, 300), (7, 7)]
+    found = dict(map(tuple, jaccard.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()))
+    assert found == {**{i: 0 for i in range(41)}, 100: 100, 200: 100, 300: 100}
+
+
+# 7 ------------------------------------------------------------------------------------------------------------------------
+
+def test_secret_scan(spark, docs, nothing):
+    rng = random.Random(4)
+    rows = edge_rows()
+    for i in range(100, 180):
+        value = "".join(rng.choice("0123456789abcdef") for _ in range(24))
+        word = "".join(rng.choice(["the", "tion", "ing", "and", "was"]) for _ in range(5))
+        rows.append((i, f"some text password={value} then {word} more the tion ing and was the tion ing and was the tion ing", "src/test" if i % 2 else None))
+    found = secrets.scan(table(spark, rows)).toPandas()
+    held = found[found["held_out"]]
+    assert len(held) > 10 and (held["predicted"] == held["label"]).mean() > 0.95 and held["label"].sum() > 3
+    assert (found["candidate"].str.len() == found["n_chars"]).all()
+    assert secrets.scan(nothing).count() == 0
+    assert secrets.coverage("thetionq", frozenset(["the", "tion"])) == 7 / 8
+
+
+# 8 ------------------------------------------------------------------------------------------------------------------------
+
+def signed(v):
+    return v - (1 << 64) if v >= 1 << 63 else v
+
+
+def spark_hash(*values):
+    seed = 42
+    for v, kind in values:
+        seed = xxhash.xxh64_intdigest(v if kind == "s" else struct.pack("<" + kind, v), seed)
+    return signed(seed)
+
+
+def print_by_hand(text, k, bits):
+    h = [spark_hash((p.encode(), "s")) for p in re.findall(r"[^\x20\x09-\x0D]{1,8}", text or "")]
+    kmers = [spark_hash(*((x, "q") for x in h[i:i + k])) & (-1 << 28) for i in range(max(len(h) - k, 0) + 1)] if h else []
+    seen, bins = Counter(), defaultdict(list)
+    for place, x in enumerate(kmers):
+        g = spark_hash((x, "q"), (seen[x], "i"))
+        seen[x] += 1
+        bin_ = g & ((1 << bits) - 1)
+        bins[bin_].append((((g & (1 << 64) - 1) >> (29 + bits)), place))
+    out = []
+    for bin_ in sorted(bins):
+        pair = sorted(sorted(bins[bin_])[:2], key=lambda x: x[1])
+        value = spark_hash(*(((bin_ << (35 - bits)) | g, "q") for g, _ in pair))
+        out.append((value & ((1 << 31) - (1 << bits))) | bin_)
+    return out
+
+
+def test_fingerprint_equals_brute_force(spark, docs, nothing):
+    small = docs.filter("text IS NULL OR length(text) < 5000")
+    found = order_minhash.with_fingerprint(small, "text", "print").select("text", "print").collect()
+    assert len(found) == docs.count() - 1
+    for r in found:
+        assert r["print"] == print_by_hand(r["text"], order_minhash.K, order_minhash.SKETCH_BITS)
+    repeated = spark.createDataFrame([("a b " * 3000,), ("x" * 50_000,)], "text string")
+    assert all(r[0] for r in order_minhash.with_fingerprint(repeated, "text", "print").select("print").collect())
+    assert order_minhash.with_fingerprint(nothing, "text", "print").count() == 0
+    pair = spark.createDataFrame([([1, 66], [1, 67, 5]), ([], []), ([], [3])], "a array<int>, b array<int>")
+    assert [r[0] for r in pair.select(order_minhash.likeness(F.col("a"), F.col("b"), 6)).collect()] == [1 / 4, 1.0, 0.0]
+
+
+@pytest.mark.parametrize("ids", [list(range(40)), [5] * 3 + list(range(30)), [None] * 4 + list(range(0, -20, -1)), [7], [None]])
+def test_next_row_in_descending_order(spark, ids):
+    rows = [(i, f"text {n}") for n, i in enumerate(ids)]
+    found = order_minhash.with_next(spark.createDataFrame(rows, "doc_id bigint, text string"), "doc_id", "text", ["text"]).collect()
+    assert sorted(r["text"] for r in found) == sorted(t for _, t in rows)
+    follows = {r["text"]: r["next_text"] for r in found}
+    at, walked = rows[0][1], []
+    for _ in rows:
+        walked.append(at)
+        at = follows[at]
+    assert at == rows[0][1] and len(set(walked)) == len(rows)
+    key = {t: i for i, t in rows}
+    start = next(n for n in range(len(walked)) if all(
+        (key[a] is not None or key[b] is None) and (key[b] is None or key[a] >= key[b]) for a, b in zip(walked[n:] + walked[:n], (walked[n:] + walked[:n])[1:])))
+    assert start >= 0
+
+
+def test_next_row_of_nothing(spark):
+    assert order_minhash.with_next(spark.createDataFrame([], "doc_id bigint, text string"), "doc_id", "text", ["text"]).count() == 0
+
+
+# 9 ------------------------------------------------------------------------------------------------------------------------
+
+def test_warc_round_trip(spark, tmp_path):
+    same, trap = "é" * 60, "x\r\n\r\nWARC/1.1\r\nContent-Length: 3\r\n\r\nabc" + "y" * 90
+    rows = [(5, "http://a/\r\nX: y", same), (3, None, same), (9, "u", same), (9, "u", same), (None, "u", same), (1, "u", trap), (2, "u", "short"), (4, "u", "short"),
+            (6, "u", None), (7, "u", ""), (8, "u", "z" * 300_000), (10, "u", trap)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumn("digest", F.lit(1)).withColumn("number", F.lit(2))
+    for n, size in (("one", 6000), ("many", 2)):
+        warc.write_archives(warc.plan_captures(pages), f"{tmp_path}/{n}", records_per_file=size)
+        records = warc.read_records(spark, f"{tmp_path}/{n}")
+        assert Counter(r["type"] for r in records.collect()) == {"request": 12, "response": 7, "revisit": 5, "metadata": 12}
+        captures = warc.assemble(records)
+        assert captures.filter("request IS NULL OR response IS NULL OR size(metadata) = 0").count() == 0
+        payloads = {bytes(r["response"]["payload"]).decode() for r in captures.collect() if r["response"]["type"] == "response"}
+        assert payloads == {t or "" for _, _, t in rows}
+        found = Counter(map(tuple, warc.digests(captures).collect()))
+
+        def row(i, text, kind, to):
+            raw = (text or "").encode()
+            return (i, len(raw), hashlib.sha256(raw).hexdigest(), kind, to)
+        want = Counter([row("3", same, "response", None), row("5", same, "revisit", "3"), row("9", same, "revisit", "3"), row("9", same, "revisit", "3"),
+                        row(None, same, "revisit", "3"), row("1", trap, "response", None), row("10", trap, "revisit", "1"), row("2", "short", "response", None),
+                        row("4", "short", "response", None), row("6", "", "response", None), row("7", "", "response", None), row("8", "z" * 300_000, "response", None)])
+        assert found == want
+
+
+def test_warc_of_other_writers(spark, tmp_path):
+    def record(kind, name, block, **links):
+        lines = ["WARC/1.0", f"WARC-Type: {kind}", f"WARC-Record-ID: {name}", *(f"{k.replace('_', '-')}: {v}" for k, v in links.items()), f"Content-Length: {len(block)}"]
+        return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+    parts = [record("warcinfo", "<i>", b""), record("request", "<q>", b"GET /", WARC_Concurrent_To="<r>"), record("response", "<r>", b"HTTP/1.1 200\r\n\r\nbody", WARC_Concurrent_To="<q>"),
+             record("metadata", "<m>", b"a: 1\r\nb: 2", WARC_Concurrent_To="<r>"), record("response", "<s>", b"HTTP/1.1 200\r\n\r\n"), record("metadata", "<n>", b"", WARC_Concurrent_To="<none>")]
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(map(gzip.compress, parts)))
+    (tmp_path / "b.warc").write_bytes(b"".join(parts[:1]) + b"WARC/1.0\r\nContent-Length: 99\r\n\r\ncut")
+    captures = {r["capture"]: r for r in warc.assemble(warc.read_records(spark, str(tmp_path))).collect()}
+    joined = captures["<q>"]
+    assert joined["request"]["record_id"] == "<q>" and bytes(joined["response"]["payload"]) == b"body"
+    assert {m["key"]: m["value"] for m in joined["metadata"]} == {"a": "1", "b": "2"}
+    assert bytes(captures["<s>"]["response"]["payload"]) == b"" and captures["<none>"]["response"] is None
+
+
+def test_warc_of_nothing(spark, tmp_path):
+    pages = spark.createDataFrame([], "page_id bigint, url string, html string")
+    warc.write_archives(warc.plan_captures(pages), f"{tmp_path}/none")
+    assert warc.digests(warc.assemble(warc.read_records(spark, f"{tmp_path}/none"))).count() == 0
+
+
+# 10 -----------------------------------------------------------------------------------------------------------------------
+
+def test_line_dedup_equals_brute_force(docs, nothing):
+    rows, space = edge_rows(), " \t\n\x0b\f\r"
+    seen = Counter()
+    for _, t, _ in rows:
+        seen.update({folded(line.strip(space)) for line in (t or "").split("\n")})
+    want = Counter()
+    for i, t, _ in rows:
+        lines = (t or "").split("\n")
+        kept = [x for x in lines if not (folded(x.strip(space)) and seen[folded(x.strip(space))] >= 2)]
+        want[(i, None if t is None else "\n".join(kept), len(lines), len(lines) - len(kept))] += 1
+    for batches in (1, 6):
+        found = line_dedup.dedup_lines(docs, min_docs=2, batches=batches)
+        assert Counter((r["doc_id"], r["text"], r["n_lines"], r["n_dropped"]) for r in found.collect()) == want
+    assert set(found.columns) == set(docs.columns) | {"n_dropped"}
+    assert line_dedup.dedup_lines(nothing).count() == 0
+
+
+def test_line_runs_are_compacted(spark, docs):
+    keyed = line_dedup.keyed_lines(docs)
+    runs = line_dedup.LineRuns(spark, fanout=2, buckets=3)
+    for i in range(7):
+        runs.add(keyed.filter(F.pmod("r1", F.lit(7)) == i), min_docs=10 ** 9)
+    assert [len(level) for level in runs.levels] == [1, 1, 1]
+    once = line_dedup.LineRuns(spark, buckets=3)
+    once.add(keyed)
+    assert Counter(map(tuple, runs.counts().collect())) == Counter(map(tuple, once.counts().collect()))
+    runs.close()
+    once.close()
