@@ -14,14 +14,12 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.session import ship_package
 
-HITS_SCHEMA = "query_id bigint, doc_id bigint, score double"
-_HITS_ARROW = pa.schema([("query_id", pa.int64()), ("doc_id", pa.int64()), ("score", pa.float64())])
-
 QUERIES_PER_BLOCK = 1024  # whole query rows, such as vectors
 TERMS_PER_BLOCK = 50_000  # rows of queries that are one row per term
 
@@ -40,9 +38,23 @@ def bucket(col: str, n: int):
     return F.pmod(F.xxhash64(col), F.lit(n)).cast("int")
 
 
+def hits_schema(queries: DataFrame, docs: DataFrame) -> str:
+    """Rows ``(query_id, doc_id, score)`` with the id types of the inputs, numbers or text."""
+    return f"query_id {dict(queries.dtypes)['query_id']}, doc_id {dict(docs.dtypes)['doc_id']}, score double"
+
+
+def numbered(ids: pa.ChunkedArray) -> tuple[np.ndarray, pa.Array]:
+    """Ids of any type as numbers in the order of the ids, and the ids by number."""
+    coded = ids.combine_chunks().dictionary_encode()
+    order = pc.sort_indices(coded.dictionary).to_numpy()
+    number = np.empty(len(order), dtype=np.int64)
+    number[order] = np.arange(len(order))
+    return number[coded.indices.to_numpy()], coded.dictionary.take(pa.array(order))
+
+
 def score_blocks(queries: DataFrame, docs: DataFrame, kernel: Callable[[pa.Table, pa.Table], pa.Table],
                  n_query_rows: int, rows_per_block: int, n_doc_rows: int, rows_per_slice: int,
-                 schema: str = HITS_SCHEMA) -> DataFrame:
+                 schema: str | None = None) -> DataFrame:
     """Run ``kernel(queries, docs)`` on every (document slice, query block).
 
     All rows of a query share a block and all rows of a document share a slice.
@@ -60,12 +72,13 @@ def score_blocks(queries: DataFrame, docs: DataFrame, kernel: Callable[[pa.Table
     return (
         left.groupBy("slice", "block")
         .cogroup(right.groupBy("slice", "block"))
-        .applyInArrow(lambda q, d: kernel(q, d), schema)
+        .applyInArrow(lambda q, d: kernel(q, d), schema or hits_schema(queries, docs))
     )
 
 
 def best_of(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the ``k`` best scores, ties by id."""
+    """Positions of the ``k`` best scores, ties by id; what is not a number ranks last."""
+    scores = np.nan_to_num(scores, nan=-np.inf)
     if len(scores) > k:
         kth = np.partition(scores, len(scores) - k)[len(scores) - k]
         keep = np.flatnonzero(scores >= kth)
@@ -74,11 +87,9 @@ def best_of(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return keep[np.lexsort((ids[keep], -scores[keep]))[:k]]
 
 
-def hits_table(parts: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.Table:
-    if not parts:
-        return _HITS_ARROW.empty_table()
-    return pa.table({
-        "query_id": np.concatenate([np.full(len(d), q, dtype=np.int64) for q, d, _ in parts]),
-        "doc_id": np.concatenate([d for _, d, _ in parts]),
-        "score": np.concatenate([s for _, _, s in parts]),
-    }, schema=_HITS_ARROW)
+def hits_table(parts: list[tuple[int, np.ndarray, np.ndarray]], queries: pa.Array, docs: pa.Array) -> pa.Table:
+    """Hits of numbered queries and documents under their ids."""
+    q = np.concatenate([np.full(len(d), n, dtype=np.int64) for n, d, _ in parts]) if parts else np.zeros(0, np.int64)
+    d = np.concatenate([d for _, d, _ in parts]) if parts else np.zeros(0, np.int64)
+    scores = np.concatenate([s for _, _, s in parts]) if parts else np.zeros(0)
+    return pa.table({"query_id": queries.take(pa.array(q)), "doc_id": docs.take(pa.array(d)), "score": pa.array(scores, pa.float64())})

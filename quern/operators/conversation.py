@@ -7,11 +7,15 @@ that grows inside a session.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.functions.text import text_or_empty
+from quern.session import stage
 
 SESSION = ["user_id", "session_id"]
 TURNS_PER_CHUNK = 1000
@@ -32,11 +36,15 @@ def next_message(memory: DataFrame, columns: Sequence[str] = ("role", "text")) -
         .withColumn("_next_head", F.lead("_head").over(Window.partitionBy(*SESSION).orderBy("_chunk")))
         .drop("_head")
     )
+    keys = [*SESSION, "_chunk"]
+    heads = heads.select(*(F.col(c).alias(f"_head_{c}") for c in keys), "_next_head")
+    # Null-safe: messages whose user, session or turn is unknown stay.
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_head_{c}")) for c in keys))
     return (
         chunked.withColumn("_next", F.lead(message).over(inside))
-        .join(heads, [*SESSION, "_chunk"])
+        .join(heads, same)
         .withColumn("next", F.coalesce("_next", "_next_head"))
-        .drop("_chunk", "_next", "_next_head")
+        .select(*memory.columns, "next")
     )
 
 
@@ -57,8 +65,27 @@ def interaction_rows(results: DataFrame) -> DataFrame:
     return results.select(*SESSION, F.inline(messages))
 
 
-def append_interactions(results: DataFrame, path: str) -> None:
-    interaction_rows(results).write.mode("append").partitionBy("user_id").parquet(path)
+def with_next_turn(asked: DataFrame, memory: DataFrame) -> DataFrame:
+    """Adds ``turn``, the number of the next message of the session (0 for a new one)."""
+    last = memory.groupBy(*SESSION).agg((F.max("turn") + 1).alias("_next_turn"))
+    return asked.join(last, SESSION, "left").withColumn("turn", F.coalesce("_next_turn", F.lit(0)).cast("bigint")).drop("_next_turn")
+
+
+def append_interactions(results: DataFrame, path: str, buckets: int = 64) -> None:
+    """Append the messages to the table at ``path``, in ``buckets`` folders by user.
+
+    Messages that the table holds (same user, session, turn and role) are not written again, so a repeated append adds nothing.
+    """
+    spark = results.sparkSession
+    new = interaction_rows(results).withColumn("bucket", F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int"))
+    try:
+        stored = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    else:
+        new = stage(new.join(stored.select("bucket", *SESSION, "turn", "role"), ["bucket", *SESSION, "turn", "role"], "left_anti"), "interactions")
+    new.write.mode("append").partitionBy("bucket").parquet(path)
 
 
 def recent(memory: DataFrame, n: int = 10, role: str | None = None) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -26,14 +27,22 @@ def term_key() -> Column:
 LENGTH_MARK = ""
 
 
+def known_fields(docs: DataFrame, fields: Sequence[str]) -> list[str]:
+    """The fields the table has; the others are reported, since they can contribute nothing."""
+    known = [f for f in fields if f in docs.columns]
+    if not known:
+        raise ValueError(f"none of the fields {list(fields)} exists")
+    if len(known) < len(fields):
+        warnings.warn(f"fields without a column contribute nothing: {sorted(set(fields) - set(known))}", stacklevel=3)
+    return known
+
+
 def analysed(docs: DataFrame, fields: Sequence[str], keep: Sequence[str] = (), han: str = "run") -> DataFrame:
     """One row per document and non-empty field: ``(doc_id, *keep, field, tokens)``.
 
     A field the table does not have contributes nothing, as in a search server.
     """
-    known = [f for f in fields if f in docs.columns]
-    if not known:
-        raise ValueError(f"none of the fields {list(fields)} exists")
+    known = known_fields(docs, fields)
     per_field = F.array(*[F.struct(F.lit(f).alias("field"), tokens(f, han).alias("tokens")) for f in known])
     return (
         docs.select("doc_id", *keep, F.inline(per_field))
@@ -42,8 +51,7 @@ def analysed(docs: DataFrame, fields: Sequence[str], keep: Sequence[str] = (), h
 
 
 def token_counts(docs: DataFrame, fields: Sequence[str], keep: Sequence[str] = (), han: str = "run",
-                 vocabulary: DataFrame | None = None, vocabulary_rows: int = 0,
-                 with_lengths: bool = False) -> DataFrame:
+                 vocabulary: DataFrame | None = None, with_lengths: bool = False) -> DataFrame:
     """Term frequency per document and field: ``(doc_id, *keep, field, field_length, token, tf)``.
 
     With a ``vocabulary`` of ``(field, token)`` only its tokens are counted.
@@ -56,7 +64,7 @@ def token_counts(docs: DataFrame, fields: Sequence[str], keep: Sequence[str] = (
                               F.explode(listed).alias("token"))
     keys = ["doc_id", *keep, "field", "field_length", "token"]
     if vocabulary is not None:
-        return count_known(occurrences, keys, vocabulary, TERM, vocabulary_rows)
+        return count_known(occurrences, keys, vocabulary, TERM)
     return occurrences.groupBy(*keys).agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -106,23 +114,29 @@ def query_terms(queries: DataFrame, boosts: Mapping[str, float], han: str = "run
     )
 
 
-def bm25_weights(postings: DataFrame, lengths: DataFrame) -> DataFrame:
-    """The BM25 weight of each posting: ``idf * tf / (tf + k1 (1 - b + b dl / avgdl))``.
+def saturation(postings: DataFrame, stats: DataFrame) -> DataFrame:
+    """The document side of a BM25 weight: ``tf / (tf + k1 (1 - b + b dl / avgdl))``.
 
-    Per-field statistics have one row per field named in the call, a proven
-    bound, hence the broadcast; document frequencies follow the vocabulary and
-    carry no hint.
+    ``field_stats`` has one row per field named in the call, a proven bound, hence the broadcast.
     """
-    idf = F.log1p((F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     norm = K1 * (1 - B + B * F.col("field_length") / F.col("avg_length"))
+    return postings.join(F.broadcast(stats), "field").withColumn("doc_weight", F.col("tf") / (F.col("tf") + norm))
+
+
+def with_idf(terms: DataFrame, postings: DataFrame, stats: DataFrame) -> DataFrame:
+    """Query terms with their ``idf`` in ``query_weight``.
+
+    The weight of a term goes to the few rows of the queries, so no posting is joined by its token and a stop word
+    is only ever counted, by partial sums. Terms no document has match nothing and go.
+    """
+    idf = F.log1p((F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     return (
-        postings.join(document_frequency(postings), TERM)
-        .join(F.broadcast(field_stats(lengths)), "field")
-        .withColumn("doc_weight", idf * F.col("tf") / (F.col("tf") + norm))
+        terms.join(document_frequency(postings), TERM).join(F.broadcast(stats), "field")
+        .select("query_id", "term", (F.col("query_weight") * idf).alias("query_weight"))
     )
 
 
-def query_index(terms: DataFrame, n_terms: int, docs: DataFrame, fields: Sequence[str], han: str = "run",
+def query_index(terms: DataFrame, docs: DataFrame, fields: Sequence[str], han: str = "run",
                 index: DataFrame | None = None) -> DataFrame:
     """The part of the index the query terms touch, and all field lengths, staged.
 
@@ -135,7 +149,7 @@ def query_index(terms: DataFrame, n_terms: int, docs: DataFrame, fields: Sequenc
     if index is not None:
         touched = index.where(F.col("field").isin(list(fields))).join(vocabulary, TERM, "left_semi")
     else:
-        touched = token_counts(docs, fields, (), han, vocabulary, n_terms + len(fields), with_lengths=True)
+        touched = token_counts(docs, fields, (), han, vocabulary, with_lengths=True)
     return stage(touched, "postings")
 
 
@@ -147,15 +161,15 @@ def bm25_topk(queries: DataFrame, docs: DataFrame, boosts: Mapping[str, float],
     ``allowed(doc_id)`` filters documents before ranking while the statistics
     stay corpus-wide.
     """
-    boosts = {f: b for f, b in boosts.items() if f in docs.columns}
+    boosts = {f: boosts[f] for f in known_fields(docs, list(boosts))}
     terms = query_terms(queries, boosts, han)
     n_terms = terms.count()
-    touched = query_index(terms, n_terms, docs, list(boosts), han, index)
-    weighted = bm25_weights(postings_of(touched), lengths_of(touched)).select(
-        "doc_id", term_key().alias("term"), "doc_weight")
+    touched = query_index(terms, docs, list(boosts), han, index)
+    stats, postings = stage(field_stats(lengths_of(touched)), "field-stats"), postings_of(touched)
+    weighted = saturation(postings, stats).select("doc_id", term_key().alias("term"), "doc_weight")
     if allowed is not None:
         weighted = weighted.join(allowed.select("doc_id"), "doc_id", "left_semi")
-    return dot_topk(terms, weighted, k, n_terms, touched.count())
+    return dot_topk(with_idf(terms, postings, stats), weighted, k, n_terms, touched.count())
 
 
 def match_counts(queries: DataFrame, docs: DataFrame, fields: Sequence[str],
@@ -164,10 +178,10 @@ def match_counts(queries: DataFrame, docs: DataFrame, fields: Sequence[str],
 
     The facet value travels with the postings, so no join back to the documents.
     """
-    boosts = {f: 1.0 for f in fields if f in docs.columns}
+    boosts = {f: 1.0 for f in known_fields(docs, fields)}
     terms = query_terms(queries, boosts, han)
     keep = [value] if value else []
     n_terms = terms.count()
-    postings = stage(token_counts(docs, list(boosts), keep, han, terms.select(*TERM).distinct(), n_terms)
+    postings = stage(token_counts(docs, list(boosts), keep, han, terms.select(*TERM).distinct())
                      .select("doc_id", *keep, term_key().alias("term")), "matches")
     return match_counts_by(terms, postings, value, n_terms, postings.count())

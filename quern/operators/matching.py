@@ -15,25 +15,19 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.operators.blocks import TERMS_PER_BLOCK, best_of, hits_table, score_blocks
+from quern.operators.blocks import TERMS_PER_BLOCK, best_of, hits_table, numbered, score_blocks
 from quern.operators.ranking import SCORE_DIGITS, rank_cut, rounded
 
 POSTINGS_PER_SLICE = 2_000_000
-MAX_BROADCAST_TERMS = 1_000_000
 
 
-def count_known(occurrences: DataFrame, keys: Sequence[str], vocabulary: DataFrame, on: Sequence[str],
-                vocabulary_rows: int) -> DataFrame:
+def count_known(occurrences: DataFrame, keys: Sequence[str], vocabulary: DataFrame, on: Sequence[str]) -> DataFrame:
     """Occurrences per key as ``tf``, of the terms in ``vocabulary`` only.
 
-    A vocabulary of at most ``MAX_BROADCAST_TERMS`` rows is sent to the scan, so
-    that other terms never reach the exchange. A larger one is joined to the
-    counts, where a hot term is one row per document and not per occurrence.
+    Spark chooses the join by the vocabulary's bytes: a small one is sent to the scan, so that other terms
+    never reach an exchange, and a hot term of a large one is split at run time.
     """
-    count = F.count(F.lit(1)).alias("tf")
-    if vocabulary_rows <= MAX_BROADCAST_TERMS:
-        return occurrences.join(F.broadcast(vocabulary), list(on), "left_semi").groupBy(*keys).agg(count)
-    return occurrences.groupBy(*keys).agg(count).join(vocabulary, list(on), "left_semi")
+    return occurrences.join(vocabulary, list(on), "left_semi").groupBy(*keys).agg(F.count(F.lit(1)).alias("tf"))
 
 
 def dot_scores(query_terms: DataFrame, doc_terms: DataFrame) -> DataFrame:
@@ -56,8 +50,9 @@ class _Postings:
         known = pc.index_in(docs["term"], value_set=vocabulary)
         self.docs = docs.filter(pc.is_valid(known))
         term = known.drop_null().to_numpy()
-        self.doc_ids, self.first, position = np.unique(
-            self.docs["doc_id"].to_numpy(), return_index=True, return_inverse=True)
+        position, self.doc_ids = numbered(self.docs["doc_id"])
+        self.first = np.zeros(len(self.doc_ids), dtype=np.int64)
+        self.first[position[::-1]] = np.arange(len(position))[::-1]
         self.by_term = np.argsort(term, kind="stable")
         self.position = position[self.by_term]
         self.start = np.searchsorted(term[self.by_term], np.arange(len(vocabulary) + 1))
@@ -66,34 +61,33 @@ class _Postings:
     def column(self, name: str) -> np.ndarray:
         return self.docs[name].to_numpy()[self.by_term]
 
-    def rows(self, term: int) -> slice:
-        return slice(self.start[term], self.start[term + 1])
-
     def each_query(self, queries: pa.Table):
-        """``(query_id, term numbers, row range)`` per query of the sorted table."""
-        ids, start = np.unique(queries["query_id"].to_numpy(), return_index=True)
+        """``(query number, term numbers, row range)`` per query of the sorted table."""
+        numbers, start = np.unique(numbered(queries["query_id"])[0], return_index=True)
         term = pc.index_in(queries["term"], value_set=self.vocabulary).to_numpy()
-        for q, lo, hi in zip(ids, start, np.append(start[1:], queries.num_rows)):
+        for q, lo, hi in zip(numbers, start, np.append(start[1:], queries.num_rows)):
             yield int(q), term[lo:hi], slice(lo, hi)
 
+    def at(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of the postings of some terms, and which of the terms each belongs to."""
+        count = self.start[terms + 1] - self.start[terms]
+        return np.arange(count.sum()) + np.repeat(self.start[terms] - (np.cumsum(count) - count), count), np.repeat(np.arange(len(terms)), count)
+
 
 def _dot_kernel(k: int):
     def score(queries: pa.Table, docs: pa.Table) -> pa.Table:
         queries = queries.sort_by("query_id")
         postings = _Postings(queries, docs)
-        doc_ids, weight = postings.doc_ids, postings.column("doc_weight")
-        query_weight = queries["query_weight"].to_numpy()
-        parts, total = [], np.zeros(len(doc_ids))
+        weight, query_weight = postings.column("doc_weight"), queries["query_weight"].to_numpy()
+        parts = []
         for q, terms, rows in postings.each_query(queries):
-            total[:] = 0.0
-            for t, w in zip(terms, query_weight[rows]):
-                at = postings.rows(t)
-                total[postings.position[at]] += w * weight[at]  # a document holds a term once
-            hit = np.flatnonzero(total)
-            scores = np.round(total[hit], SCORE_DIGITS)
-            best = best_of(scores, doc_ids[hit], k)
-            parts.append((q, doc_ids[hit][best], scores[best]))
-        return hits_table(parts)
+            at, which = postings.at(terms)
+            # Only documents that hold a term are touched; repeated postings add up.
+            hit, place = np.unique(postings.position[at], return_inverse=True)
+            scores = np.round(np.bincount(place, query_weight[rows][which] * weight[at], len(hit)), SCORE_DIGITS)
+            best = best_of(scores, hit, k)
+            parts.append((q, hit[best], scores[best]))
+        return hits_table(parts, numbered(queries["query_id"])[1], postings.doc_ids)
     return score
 
 
@@ -115,9 +109,6 @@ def dot_topk(query_terms: DataFrame, doc_terms: DataFrame, k: int, n_query_rows:
                                  n_postings, POSTINGS_PER_SLICE), k)
 
 
-COUNTS_SCHEMA = "query_id bigint, value string, doc_count bigint"
-
-
 def _count_kernel(queries: pa.Table, docs: pa.Table) -> pa.Table:
     queries = queries.sort_by("query_id")
     postings = _Postings(queries, docs)
@@ -125,14 +116,13 @@ def _count_kernel(queries: pa.Table, docs: pa.Table) -> pa.Table:
     names, code = value.dictionary, value.indices.to_numpy()[postings.first]
     parts = []
     for q, terms, _ in postings.each_query(queries):
-        hit = np.zeros(len(postings.doc_ids), dtype=bool)
-        for t in terms:
-            hit[postings.position[postings.rows(t)]] = True
+        hit = np.unique(postings.position[postings.at(terms)[0]])
         counts = np.bincount(code[hit], minlength=len(names))
         found = np.flatnonzero(counts)
         parts.append((np.full(len(found), q), found, counts[found]))
     ids, values, counts = (np.concatenate(c) for c in zip(*parts)) if parts else ([], [], [])
-    return pa.table({"query_id": pa.array(ids, pa.int64()), "value": names.take(pa.array(values, pa.int64())),
+    query_ids = numbered(queries["query_id"])[1].take(pa.array(np.asarray(ids, dtype=np.int64)))
+    return pa.table({"query_id": query_ids, "value": names.take(pa.array(values, pa.int64())),
                      "doc_count": pa.array(counts, pa.int64())})
 
 
@@ -141,11 +131,12 @@ def match_counts_by(query_terms: DataFrame, doc_terms: DataFrame, value: str | N
     """Documents per query that match any term, by ``value`` of the document when given.
 
     Each slice counts its matching documents per query and value, so only counts
-    leave it: ``(query_id[, value], doc_count)``.
+    leave it: ``(query_id[, value], doc_count)``. A document without the value is in no bucket.
     """
     label = F.col(value).cast("string") if value else F.lit("")
-    docs = doc_terms.select("doc_id", "term", F.coalesce(label, F.lit("")).alias("value"))
+    docs = doc_terms.select("doc_id", "term", label.alias("value")).where(F.col("value").isNotNull())
     counts = score_blocks(query_terms.select("query_id", "term"), docs, _count_kernel, n_query_rows,
-                          TERMS_PER_BLOCK, n_postings, POSTINGS_PER_SLICE, COUNTS_SCHEMA)
+                          TERMS_PER_BLOCK, n_postings, POSTINGS_PER_SLICE,
+                          f"query_id {dict(query_terms.dtypes)['query_id']}, value string, doc_count bigint")
     keys = ["query_id", F.col("value").alias(value)] if value else ["query_id"]
     return counts.groupBy(*keys).agg(F.sum("doc_count").alias("doc_count"))

@@ -13,8 +13,9 @@ from quern.schemas import BULLETS
 MIN_CHUNK_CHARS = 5
 CHUNK_WORDS = 500
 
-# Fixed modulus and multipliers of the reproducible pseudo-random enrichment.
-MODULUS = 10007
+# Fixed moduli (one per attribute, so that attributes are independent) and multipliers of the
+# reproducible pseudo-random enrichment.
+MODULI = {101: 10007, 211: 10009, 307: 10037, 401: 10039, 13: 10061, 503: 10067, 601: 10069}
 KEY_FACTOR = 7919
 POSITION_FACTOR = 104729
 
@@ -28,9 +29,14 @@ def concat_bullets(docs: DataFrame) -> DataFrame:
 
 
 def uniform(key: Column, position: Column, salt: int) -> Column:
-    """A reproducible value in [0, 1) for a numeric key, stable across task retries."""
-    mixed = key * F.lit(KEY_FACTOR) + position.cast("bigint") * F.lit(POSITION_FACTOR) + F.lit(salt)
-    return F.pmod(mixed, F.lit(MODULUS)) / F.lit(float(MODULUS))
+    """A reproducible value in [0, 1) for a whole-number key, stable across task retries.
+
+    Every attribute (``salt``) takes the remainder by a prime of its own, before multiplying, so no key overflows.
+    """
+    modulus = MODULI[salt]
+    rest = lambda value: F.pmod(value.cast("bigint"), F.lit(modulus))
+    mixed = rest(key) * F.lit(KEY_FACTOR) + rest(position) * F.lit(POSITION_FACTOR) + F.lit(salt)
+    return F.pmod(mixed, F.lit(modulus)) / F.lit(float(modulus))
 
 
 def gender_of(u: Column) -> Column:
@@ -50,11 +56,14 @@ def pick(names: list[str], u: Column) -> Column:
 
 
 def enrich_answers(docs: DataFrame, key: Column, answers: str = "answers") -> DataFrame:
-    """Add name, place, gender, age and rating to every answer; no answers stay none."""
+    """Add name, place, gender, age and rating to every answer; no answers stay none. Other fields of an answer are kept."""
+    made = ("name", "user_lat", "user_lon", "gender", "age", "product_rating")
+    fields = [f for f in docs.schema[answers].dataType.elementType.names if f not in made]
+
     def extend(answer: Column, i: Column) -> Column:
         u = lambda salt: uniform(key, i, salt)
         return F.struct(
-            answer["answer_text"].alias("answer_text"),
+            *(answer[f].alias(f) for f in fields),
             F.concat_ws(" ", pick(GIVEN_NAMES, u(101)), pick(FAMILY_NAMES, u(211))).alias("name"),
             F.round(u(307) * 180 - 90, 6).alias("user_lat"),
             F.round(u(401) * 360 - 180, 6).alias("user_lon"),
@@ -113,8 +122,8 @@ def per_source_limit(docs: DataFrame, source: str, order: Iterable[str], n: int)
 
 def filter_categories(docs: DataFrame, wanted: list[str] | None, column: str,
                       valid: list[str] | None = None) -> DataFrame:
-    """Keep the wanted categories; ``None`` means all, and so does a list with an invalid name."""
-    if wanted is None or (valid is not None and not set(wanted) <= set(valid)):
+    """Keep the wanted categories; no list or an empty one means all, and so does a list with an invalid name."""
+    if not wanted or (valid is not None and not set(wanted) <= set(valid)):
         return docs
     return docs.where(F.col(column).isin(list(wanted)))
 

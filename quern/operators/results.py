@@ -12,20 +12,14 @@ from quern.operators.lexical import match_counts
 from quern.session import stage
 
 
-MAX_BROADCAST_IDS = 4_000_000
-
-
 def attach(hits: DataFrame, docs: DataFrame, *columns: str, how: str = "inner") -> DataFrame:
-    """Source fields of the hits: the corpus is scanned for the hit ids and not shuffled.
+    """Source fields of the hits. Spark chooses the join by the bytes of the staged hit ids: while they are few they
+    are sent to the scan and the corpus is not shuffled.
 
-    Hits are staged, so their number is known: up to ``MAX_BROADCAST_IDS`` rows
-    the ids (8 bytes each) are sent to the scan, beyond that Spark chooses the
-    join. Derive fields such as chunk text after this call, on the hits alone.
+    Derive fields such as chunk text after this call, on the hits alone.
     """
     hits = stage(hits, "hits")
     wanted = hits.select("doc_id").distinct()
-    if hits.count() <= MAX_BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
     found = docs.select("doc_id", *columns).join(wanted, "doc_id", "left_semi")
     return hits.join(found, "doc_id", how)
 

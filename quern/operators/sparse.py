@@ -46,6 +46,6 @@ def sparse_text_topk(queries: DataFrame, docs: DataFrame, text: str, k: int, han
     query_terms = encode_long(queries, "query_id", "query_text", "query_weight", han)
     n_terms = query_terms.count()
     occurrences = docs.select("doc_id", F.explode(tokens(text, han)).alias("term"))
-    counted = count_known(occurrences, ["doc_id", "term"], query_terms.select("term").distinct(), ["term"], n_terms)
+    counted = count_known(occurrences, ["doc_id", "term"], query_terms.select("term").distinct(), ["term"])
     doc_terms = counted.select("doc_id", "term", F.log1p("tf").alias("doc_weight"))
     return dot_topk(query_terms, stage(doc_terms, "sparse"), k, n_terms)

@@ -2,21 +2,46 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quern.operators.blocks import HITS_SCHEMA, QUERIES_PER_BLOCK, best_of, fresh, hits_table, score_blocks
+from quern.operators.blocks import QUERIES_PER_BLOCK, best_of, fresh, hits_schema, hits_table, numbered
 from quern.operators.ranking import SCORE_DIGITS, rank_cut
 from quern.session import ship_package, stage
 
 VECTORS_PER_SLICE = 16_384
 CENTROID_DIGITS = 9
-MAX_LISTS = 65_536
-MAX_SENT_PROBES = 1_000_000
+LISTS_PER_BLOCK = 16_384
+
+
+def _sound(dim: int, column: str):
+    """Whether a vector has ``dim`` numbers, none of them null or not a number."""
+    holes = F.exists(column, lambda x: x.isNull() | F.isnan(x.cast("double")))
+    return (F.coalesce(F.size(column), F.lit(-1)) == dim) & ~F.coalesce(holes, F.lit(False))
+
+
+def sound(vectors: DataFrame, dim: int, column: str = "embedding") -> DataFrame:
+    """The rows that can be searched; the others are in ``damaged``."""
+    return vectors.where(_sound(dim, column))
+
+
+def damaged(vectors: DataFrame, dim: int, column: str = "embedding") -> DataFrame:
+    """Rows that no search can compare: null vectors, other sizes, null or not-a-number elements."""
+    return vectors.where(~_sound(dim, column)).withColumn("found_dim", F.coalesce(F.size(column), F.lit(-1)).cast("bigint"))
+
+
+def dimension_of(queries: DataFrame, column: str = "embedding") -> int:
+    """The one dimension of the query vectors (null ones aside); 0 without any."""
+    sizes = [r[0] for r in queries.where(F.col(column).isNotNull()).select(F.size(column)).distinct().limit(2).collect()]
+    if len(sizes) > 1:
+        raise ValueError(f"query vectors of several dimensions: {sorted(sizes)}")
+    return sizes[0] if sizes else 0
 
 
 def dimension_errors(vectors: DataFrame, dim: int, column: str = "embedding") -> DataFrame:
@@ -49,62 +74,83 @@ def _scores(q: np.ndarray, d: np.ndarray, digits: int) -> np.ndarray:
 def _l2_kernel(k: int):
     """Best ``k`` documents per query within one group."""
     def score(queries: pa.Table, docs: pa.Table) -> pa.Table:
-        if queries.num_rows == 0 or docs.num_rows == 0:
-            return hits_table([])
-        ids = docs["doc_id"].to_numpy()
-        scores = _scores(_matrix(queries["embedding"]), _matrix(docs["embedding"]), SCORE_DIGITS)
+        query, query_ids = numbered(queries["query_id"])
+        doc, doc_ids = numbered(docs["doc_id"])
         parts = []
-        for q_id, row in zip(queries["query_id"].to_pylist(), scores):
-            best = best_of(row, ids, k)
-            parts.append((q_id, ids[best], row[best]))
-        return hits_table(parts)
+        if len(query) and len(doc):
+            for q, row in zip(query, _scores(_matrix(queries["embedding"]), _matrix(docs["embedding"]), SCORE_DIGITS)):
+                best = best_of(row, doc, k)
+                parts.append((q, doc[best], row[best]))
+        return hits_table(parts, query_ids, doc_ids)
     return score
 
 
-def _score_in_place(queries: DataFrame, vectors: DataFrame, k: int, probes: DataFrame | None = None) -> DataFrame:
-    """Score vectors where they lie against at most one block of queries, sent to every task.
+class _Best:
+    """The best ``k`` documents of each query of a block over all batches of a task."""
 
-    The corpus is scanned and never shuffled; each batch gives ``k`` rows per
-    query and the rank cut drops most of them before the exchange. With
-    ``probes(query_id, cell)`` a query meets only the vectors of its cells. The
-    caller has checked the number of queries and probes.
+    def __init__(self, n: int, k: int, ids: pa.DataType):
+        self.k, self.ids = k, pa.array([], ids)
+        self.found = [(np.zeros(0), np.zeros(0, np.int64))] * n
+
+    def add(self, scores: np.ndarray, ids: pa.Array) -> None:
+        number, values = numbered(pa.chunked_array([self.ids, ids]))
+        old, new = number[:len(self.ids)], number[len(self.ids):]
+        for q, (row, (best, docs)) in enumerate(zip(scores, self.found)):
+            row, docs = np.concatenate([best, row]), np.concatenate([old[docs], new])
+            top = best_of(row, docs, self.k)
+            self.found[q] = row[top], docs[top]
+        used, place = np.unique(np.concatenate([d for _, d in self.found]), return_inverse=True)
+        ends = np.cumsum([len(d) for _, d in self.found])
+        self.found = [(best, at) for (best, _), at in zip(self.found, np.split(place, ends[:-1]))]
+        self.ids = values.take(pa.array(used))
+
+
+def _row_blocks(rows: DataFrame, column: str, size: int) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """Ids and vectors of a table, ``size`` rows at a time."""
+    kind = pa.string() if dict(rows.dtypes)[column] == "string" else pa.int64()
+    held: list = []
+    for row in rows.select(column, "embedding").toLocalIterator():
+        held.append(row)
+        if len(held) == size:
+            yield pa.array([r[0] for r in held], kind), np.array([r[1] for r in held], dtype=np.float64)
+            held = []
+    if held:
+        yield pa.array([r[0] for r in held], kind), np.array([r[1] for r in held], dtype=np.float64)
+
+
+def _nearest_in_place(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
+    """Score vectors where they lie: the queries come to them block by block, and a task gives ``k`` rows per query.
+
+    The vectors are scanned once per block and never shuffled.
     """
     spark = vectors.sparkSession
     ship_package(spark)
-    sent = spark.sparkContext.broadcast((queries.toArrow(), probes.toArrow() if probes is not None else None))
-    kernel = _l2_kernel(k)
+    schema = hits_schema(queries, vectors)
 
-    def run(batches):
-        block, pairs = sent.value
-        if pairs is None:
+    def search(sent):
+        def run(batches):
+            ids, matrix = sent.value
+            best = None
             for batch in batches:
-                yield from kernel(block, pa.Table.from_batches([batch])).to_batches()
-            return
-        by_cell = {r["cell"]: r["query_id_list"] for r in
-                   pairs.group_by("cell").aggregate([("query_id", "list")]).to_pylist()}
-        for batch in batches:
-            docs = pa.Table.from_batches([batch])
-            for cell in pc.unique(docs["cell"]).to_pylist():
-                probing = block.filter(pc.is_in(block["query_id"], value_set=pa.array(by_cell.get(cell, []), pa.int64())))
-                yield from kernel(probing, docs.filter(pc.equal(docs["cell"], cell))).to_batches()
-
-    return vectors.mapInArrow(run, HITS_SCHEMA)
+                if batch.num_rows:
+                    best = best or _Best(len(ids), k, batch.column("doc_id").type)
+                    best.add(_scores(matrix, _matrix(pa.chunked_array([batch.column("embedding")])), SCORE_DIGITS), batch.column("doc_id"))
+            if best:
+                yield from hits_table([(q, docs, scores) for q, (scores, docs) in enumerate(best.found)], ids, best.ids).to_batches()
+        return vectors.select("doc_id", "embedding").mapInArrow(run, schema)
+    parts = [search(spark.sparkContext.broadcast(block)) for block in _row_blocks(queries, "query_id", QUERIES_PER_BLOCK)]
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
 
 
 def knn_exact(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
     """The true ``k`` nearest vectors of every query.
 
-    Up to ``QUERIES_PER_BLOCK`` queries travel to the vectors. More are scored in
-    bounded blocks (see ``blocks``). The work is queries x vectors by definition:
-    beyond roughly 10^9 pairs use ``knn_ivf``; the choice is never made silently.
+    Queries travel to the vectors in blocks. The work is queries x vectors by definition: beyond roughly 10^9 pairs use
+    ``knn_ivf``; the choice is never made silently. Damaged vectors (see ``damaged``) have no distance and no rank.
     """
-    queries = queries.select("query_id", "embedding")
-    vectors = vectors.select("doc_id", "embedding")
-    n_queries = queries.count()
-    if n_queries <= QUERIES_PER_BLOCK:
-        return rank_cut(_score_in_place(queries, vectors, k), k)
-    return rank_cut(score_blocks(queries, vectors, _l2_kernel(k), n_queries, QUERIES_PER_BLOCK,
-                                 vectors.count(), VECTORS_PER_SLICE), k)
+    dim = dimension_of(queries)
+    queries, vectors = (sound(t.select(c, "embedding"), dim) for t, c in ((queries, "query_id"), (vectors, "doc_id")))
+    return rank_cut(_nearest_in_place(queries, vectors, k), k)
 
 
 def mean_centroids(vectors: DataFrame, cell: str = "cell") -> DataFrame:
@@ -119,17 +165,15 @@ def mean_centroids(vectors: DataFrame, cell: str = "cell") -> DataFrame:
     )
 
 
-def train_centroids(vectors: DataFrame, n_lists: int, seed: int = 0, max_rows: int = 1_000_000) -> DataFrame:
-    """KMeans centroids ``(cell, embedding)``.
+def train_centroids(vectors: DataFrame, n_lists: int, seed: int = 0, fraction: float = 1.0) -> DataFrame:
+    """KMeans centroids ``(cell, embedding)`` of all vectors, or of the ``fraction`` that is asked for.
 
-    Only the shape of the lists depends on the training rows, never which vectors
-    are searchable, so at most about ``max_rows`` of them are used.
+    Only the shape of the lists depends on the training rows, never which vectors are searchable.
     """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    total = vectors.count()
-    sample = vectors if total <= max_rows else vectors.sample(max_rows / total, seed=seed)
+    sample = vectors if fraction >= 1.0 else vectors.sample(fraction, seed=seed)
     train = sample.select(array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
     model = KMeans(k=n_lists, seed=seed, maxIter=20).fit(train)
     rows = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
@@ -137,33 +181,38 @@ def train_centroids(vectors: DataFrame, n_lists: int, seed: int = 0, max_rows: i
 
 
 def _nearest_lists(rows: DataFrame, centroids: DataFrame, k: int, keep: list[str]) -> DataFrame:
-    """Each row with its ``k`` nearest lists, by a map: the centroids are sent to every task.
+    """Each row with its ``k`` nearest lists. The centroids come to the rows in blocks, one map after the other in the same task,
+    and a row carries its best lists so far.
 
     Distances are rounded before ranking, ties by list number.
     """
     spark = rows.sparkSession
     ship_package(spark)
-    lists = centroids.select(F.col("cell").cast("int").alias("cell"), "embedding").limit(MAX_LISTS + 1).toArrow()
-    if lists.num_rows > MAX_LISTS:
-        raise ValueError(f"more than {MAX_LISTS} lists")
-    sent = spark.sparkContext.broadcast(lists)
-    schema = T.StructType([*(rows.schema[c] for c in keep), T.StructField("cell", T.IntegerType()),
-                           T.StructField("list_rank", T.LongType())])
-
-    def run(batches):
-        numbers, centres = sent.value["cell"].to_numpy(), _matrix(sent.value["embedding"])
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            if table.num_rows == 0:
-                continue
-            scores = _scores(_matrix(table["embedding"]), centres, CENTROID_DIGITS)
-            best = np.stack([best_of(row, numbers, k) for row in scores])
-            out = table.select(keep).take(np.repeat(np.arange(len(best)), best.shape[1]))
-            out = out.append_column("cell", pa.array(numbers[best.ravel()], pa.int32()))
-            out = out.append_column("list_rank", pa.array(np.tile(np.arange(1, best.shape[1] + 1), len(best)), pa.int64()))
-            yield from out.to_batches()
-
-    return rows.mapInArrow(run, schema)
+    columns = list(dict.fromkeys([*keep, "embedding"]))
+    schema = T.StructType([*(rows.schema[c] for c in columns), T.StructField("_cells", T.ArrayType(T.IntegerType())),
+                           T.StructField("_near", T.ArrayType(T.DoubleType()))])
+    carried = rows.select(*columns, F.array().cast("array<int>").alias("_cells"), F.array().cast("array<double>").alias("_near"))
+
+    def nearer(sent):
+        def run(batches):
+            cells, centres = sent.value
+            for batch in batches:
+                if batch.num_rows == 0:
+                    continue
+                scores = _scores(_matrix(pa.chunked_array([batch.column("embedding")])), centres, CENTROID_DIGITS)
+                found = []
+                for row, old, near in zip(scores, batch.column("_cells").to_pylist(), batch.column("_near").to_pylist()):
+                    both, numbers = np.concatenate([near, row]), np.concatenate([np.array(old, np.int64), cells])
+                    best = best_of(both, numbers, k)
+                    found.append((numbers[best], both[best]))
+                out = [batch.column(c) for c in columns] + [pa.array([c for c, _ in found], pa.list_(pa.int32())), pa.array([n for _, n in found], pa.list_(pa.float64()))]
+                yield pa.RecordBatch.from_arrays(out, names=[*columns, "_cells", "_near"])
+        return run
+    lists = centroids.select(F.col("cell").cast("int").alias("cell"), "embedding")
+    for ids, centres in _row_blocks(lists, "cell", LISTS_PER_BLOCK):
+        carried = carried.mapInArrow(nearer(spark.sparkContext.broadcast((ids.to_numpy(), centres))), schema)
+    return carried.select(*keep, F.posexplode("_cells").alias("_at", "cell")).select(
+        *keep, "cell", (F.col("_at") + 1).cast("bigint").alias("list_rank"))
 
 
 def assign_lists(vectors: DataFrame, centroids: DataFrame) -> DataFrame:
@@ -192,7 +241,7 @@ def choose_probes(ranked: DataFrame, sizes: DataFrame, n_probe: int, k: int) ->
 
 def _score_lists(pairs: DataFrame, vectors: DataFrame, probes: DataFrame, sizes: DataFrame, k: int) -> DataFrame:
     """Score (list, slice, query block) groups, each bounded on both sides."""
-    per_list = F.broadcast(
+    per_list = (
         sizes.withColumn("slices", F.ceil(F.col("vectors") / VECTORS_PER_SLICE).cast("int"))
         .join(probes.groupBy("cell").agg(F.count(F.lit(1)).alias("probing")), "cell")
         .withColumn("blocks", F.ceil(F.col("probing") / QUERIES_PER_BLOCK).cast("int"))
@@ -204,39 +253,38 @@ def _score_lists(pairs: DataFrame, vectors: DataFrame, probes: DataFrame, sizes:
     right = fresh(vectors).join(per_list, "cell").select(
         "doc_id", "embedding", "cell", place("doc_id", "slices").alias("slice"), number("blocks").alias("block"))
     kernel, keys = _l2_kernel(k), ["cell", "slice", "block"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(lambda q, d: kernel(q, d), HITS_SCHEMA)
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
+        lambda q, d: kernel(q, d), hits_schema(pairs, vectors))
 
 
 def knn_ivf(queries: DataFrame, vectors: DataFrame, centroids: DataFrame, k: int, n_probe: int,
             with_candidates: bool = False) -> DataFrame:
     """Approximate top-k: exact distances, but only in the lists nearest to each query.
 
-    ``vectors`` carry their list in ``cell``; unprobed lists are skipped. Up to
-    ``QUERIES_PER_BLOCK`` queries travel to the vectors. For more, lists are cut
-    into slices of bounded size, so a list holding a third of all vectors is
-    searched by many tasks, and the probes of a query are copied to the slices of
-    its lists. With ``with_candidates`` the number of vectors compared is added, to be read
-    beside recall.
+    ``vectors`` carry their list in ``cell``; unprobed lists are skipped. Lists are cut into slices of bounded size,
+    so a list holding a third of all vectors is searched by many tasks, and the probes of a query are copied to
+    the slices of its lists. Vectors without a list, or of a list that has no centroid, are compared with every query,
+    so they can be found; ``assign_lists`` gives them one. Damaged vectors (see ``damaged``) are not searched.
+    With ``with_candidates`` the number of vectors compared is added, to be read beside recall.
     """
     ship_package(vectors.sparkSession)
-    queries = queries.select("query_id", "embedding")
-    vectors = vectors.select("doc_id", "embedding", "cell")
-    sizes = vectors.groupBy("cell").agg(F.count(F.lit(1)).alias("vectors"))
+    dim = dimension_of(queries)
+    queries, vectors = sound(queries.select("query_id", "embedding"), dim), sound(vectors.select("doc_id", "embedding", "cell"), dim)
+    listed = vectors.join(centroids.select("cell"), "cell", "left_semi")
+    others = stage(vectors.join(centroids.select("cell"), "cell", "left_anti"), "unlisted")
+    sizes = listed.groupBy("cell").agg(F.count(F.lit(1)).alias("vectors"))
     # Lists with vectors: k of them always cover k vectors, so no query needs more.
     filled = centroids.join(sizes, "cell", "left_semi")
     ranked = rank_lists(queries, filled, max(n_probe, k))
     probes = stage(choose_probes(ranked, sizes, n_probe, k), "probes")
-
     pairs = probes.select("query_id", "cell")
-    # The lists being searched: at most one row per centroid, a number the caller fixed.
-    probed = F.broadcast(probes.select("cell").distinct())
-    if queries.count() <= QUERIES_PER_BLOCK and pairs.count() <= MAX_SENT_PROBES:
-        found = _score_in_place(queries, vectors.join(probed, "cell", "left_semi"), k, pairs)
-    else:
-        found = _score_lists(pairs.join(queries, "query_id"), vectors, probes, sizes, k)
+    found = _score_lists(pairs.join(queries, "query_id"), listed, probes, sizes, k)
+    unlisted = others.count()
+    if unlisted:
+        found = found.unionByName(_nearest_in_place(queries, others, k))
     hits = rank_cut(found, k)
     if with_candidates:
-        compared = probes.groupBy("query_id").agg(F.sum("vectors").alias("candidates"))
+        compared = probes.groupBy("query_id").agg((F.sum("vectors") + unlisted).alias("candidates"))
         hits = hits.join(compared, "query_id")
     return hits
 

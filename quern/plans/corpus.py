@@ -223,7 +223,8 @@ def category_reverse_lookup(spark, d):
 
 
 def _u(salt: int) -> str:
-    return f"((doc_id * 7919 + position * 104729 + {salt}) % 10007 / 10007.0::DOUBLE)"
+    m = prepare.MODULI[salt]
+    return f"((doc_id % {m} * {prepare.KEY_FACTOR} + position % {m} * {prepare.POSITION_FACTOR} + {salt}) % {m} / {m}.0::DOUBLE)"
 
 
 @query(sql.with_(sql.CATALOG, f"""a AS (

@@ -14,13 +14,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(scan: DataFrame) -> DataFrame:
-    """Deal out a scan that has fewer splits than there are cores.
+    """Deal out a scan to as many partitions as the session asks for with ``quern.scan.partitions``; unset, it stays as it is.
 
-    The text table is one row group, so the CPU-heavy tokenising would run in a
-    single task. A table of many files already has enough splits and is left alone.
+    For tables of a single row group, such as the test tables, whose CPU-heavy tokenising would run in one task.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    wanted = scan.sparkSession.conf.get("quern.scan.partitions", None)
+    return scan.repartition(int(wanted)) if wanted else scan
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:

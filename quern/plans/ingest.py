@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import encoders
 from quern.operators import prepare
+from quern.session import stage
 from quern.sources import names, readers, sinks
 
 
@@ -24,17 +25,21 @@ def question_files(folder: str, categories: Sequence[str] | None = None) -> list
 
 
 def questions(spark: SparkSession, folder: str, categories: Sequence[str] | None = None, limit: int = -1,
-              on_error: str = "fail") -> DataFrame:
+              on_error: str = "fail", quarantine: str | None = None) -> DataFrame:
     """Question documents of the wanted categories, enriched, chunked and keyed.
 
-    ``limit`` counts lines per category before any is dropped. In quarantine mode
-    malformed lines have no id and are left out here.
+    ``limit`` counts lines per category before any is dropped. Malformed lines fail the load, or with another ``on_error``
+    are stored below the folder ``quarantine``, which is then required, with their file names.
     """
+    if on_error != "fail" and not quarantine:
+        raise ValueError("name a quarantine folder for the malformed lines")
     raw = readers.read_json_lines(spark, question_files(folder, categories), on_error=on_error)
     raw = raw.select("*", *readers.in_file_order()).withColumn("category_name", names.category_value(F.col("file_name")))
     kept = prepare.per_source_limit(raw, "category_name", ["_file", "_block", "_row"], limit).drop(
         "_file", "_block", "_row", "file_name")
     if on_error != "fail":
+        kept = stage(kept, "questions")
+        kept.where(F.col(readers.BAD).isNotNull()).select("category_name", readers.BAD).write.mode("append").parquet(quarantine)
         kept = kept.where(F.col(readers.BAD).isNull()).drop(readers.BAD)
     enriched = prepare.enrich_answers(prepare.concat_bullets(kept), prepare.text_key("question_id"))
     return prepare.drop_short_chunks(prepare.question_chunk(enriched)).withColumn("_id", F.col("question_id"))
@@ -42,9 +47,9 @@ def questions(spark: SparkSession, folder: str, categories: Sequence[str] | None
 
 def passages(spark: SparkSession, folder: str, domains: Sequence[str] | None = None, limit: int = -1,
              multi_line: bool = True) -> DataFrame:
-    """Passages of the wanted domains, chunked and keyed; an invalid domain means all of them."""
+    """Passages of the wanted domains, chunked and keyed; an no list, an empty one or one with an invalid domain means all of them."""
     valid = names.PASSAGE_DOMAINS
-    wanted = domains if domains is not None and set(domains) <= set(valid) else valid
+    wanted = domains if domains and set(domains) <= set(valid) else valid
     raw = readers.read_passages(spark, [f"{folder}/{d}/corpus.tsv" for d in wanted], multi_line=multi_line, with_order=True)
     kept = prepare.per_source_limit(raw, "domain", ["_file", "_block", "_row"], limit).drop("_file", "_block", "_row")
     chunked = prepare.passage_chunk(prepare.drop_blank_passages(kept))

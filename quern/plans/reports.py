@@ -10,11 +10,12 @@ from quern.operators import conversation, lexical, prepare, results
 from quern.plans import fixtures as fx
 from quern.plans import search, sql
 from quern.plans.registry import query
+from quern.session import new_folder, stage
 
 FACET_FIELDS = ["item_name", "question", "product_description", "brand_name"]
 PASSAGE_FACET_FIELDS = ["passage", "chunk_text"]
-SYSTEM_PROMPT = "You are a helpful assistant"
-INSTRUCTIONS = "Generate a concise and informative answer in less than 100 words for the given question"
+SYSTEM_PROMPT = "You answer questions about products and passages."
+INSTRUCTIONS = "Answer from the context below in a few sentences. Say so when the context does not tell."
 
 
 def _matches(p: str, docs: str, fields: list[str], queries: str) -> str:
@@ -59,12 +60,12 @@ def facet_lines(spark, d):
 
 
 @query(_CATALOG_FACET + """
-SELECT query_id, count(*) AS n_keys, max(doc_count) FILTER (category_name = 'ECONOMY') AS economy
+SELECT query_id, string_agg(category_name || '=' || doc_count, ',' ORDER BY position) AS entries
 FROM c_facet GROUP BY query_id""")
 def facet_as_map(spark, d):
     facets = results.facet_map(_category_facet(spark, d), "category_name")
-    return facets.select("query_id", F.size("facet").cast("bigint").alias("n_keys"),
-                         F.try_element_at("facet", F.lit("ECONOMY")).alias("economy"))
+    entries = F.transform(F.map_entries("facet"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")))
+    return facets.select("query_id", F.array_join(entries, ",").alias("entries"))
 
 
 @query(sql.with_(sql.PASSAGES, sql.PASSAGE_QUERIES, _matches("p", "passages", ["passage"], "passage_queries")) + """
@@ -125,12 +126,12 @@ UNION ALL SELECT query_id, rank, 'passage', 'Score: ' || round(score::DECIMAL(20
   || substr(coalesce(passage, 'N/A'), 1, 300) || chr(10) || '---', substr(coalesce(passage, ''), 1, 100) || '...'
 FROM v_hits LEFT JOIN (SELECT * FROM passages WHERE domain <> 'fr') USING (doc_id)""")
 def result_format(spark, d):
-    """Display blocks; French passages are left out of the text join, so their fields read N/A."""
+    """Display blocks; the fields of French passages are made null, so they read N/A."""
     docs = prepare.concat_bullets(fx.catalog(spark, d))
     products = prepare.question_chunk(results.attach(
         lexical.bm25_topk(fx.catalog_queries(spark, d), docs, search.PRODUCT_FIELDS, 3),
         docs, "category_name", "item_name", "brand_name", "product_description"))
-    passages = fx.passages(spark, d).where("domain <> 'fr'")
+    passages = fx.passages(spark, d).withColumns({c: F.when(F.col("domain") != "fr", F.col(c)) for c in ("domain", "pid", "passage")})
     near = results.attach(search.dense_hits(spark, d, 3), passages, "domain", "pid", "passage", how="left")
     shown = lambda df, kind, text: df.select(
         "query_id", "rank", F.lit(kind).alias("kind"), "block", preview(text).alias("preview"))
@@ -201,14 +202,19 @@ def result_summary(spark, d):
 
 
 @query(_SUMMARY + """
-SELECT query_id % 10 AS user_id, query_id AS session_id, 0 AS turn, 'user' AS role, query_text AS text FROM all_queries
-UNION ALL SELECT query_id % 10, query_id, 1, 'assistant', summary FROM summaries""")
+SELECT user_id, session_id, turn + n AS turn, ['user', 'assistant'][n + 1] AS role, [query_text, summary][n + 1] AS text FROM (
+  SELECT query_id % 10 AS user_id, query_id AS session_id, coalesce(next, 0) AS turn, unnest([0, 1]) AS n, query_text, summary
+  FROM all_queries JOIN summaries USING (query_id)
+  LEFT JOIN (SELECT conv_id, max(turn) + 1 AS next FROM conversations GROUP BY conv_id) ON conv_id = query_id)""")
 def memory_append(spark, d):
-    """The rows an answered batch adds to the memory."""
+    """An answered batch appended to the memory, twice: the repeated append adds nothing."""
     asked, summaries = _summaries(spark, d)
-    return conversation.interaction_rows(asked.join(summaries, "query_id").select(
-        (F.col("query_id") % 10).alias("user_id"), F.col("query_id").alias("session_id"), F.lit(0).alias("turn"),
-        "query_text", "summary"))
+    answered = stage(conversation.with_next_turn(asked.join(summaries, "query_id").select(
+        (F.col("query_id") % 10).alias("user_id"), F.col("query_id").alias("session_id"), "query_text", "summary"), fx.memory(spark, d)), "answered")
+    path = new_folder(spark, "memory")
+    for _ in range(2):
+        conversation.append_interactions(answered, path)
+    return spark.read.parquet(path).drop("bucket")
 
 
 _CONTEXT = """ctx AS (

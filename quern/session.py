@@ -14,7 +14,7 @@ _local_scratch: str | None = None
 
 
 def build_session(app_name: str = "quern", master: str | None = None,
-                  shuffle_partitions: int | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None, scan_partitions: int | None = None) -> SparkSession:
     """A session with the settings the operators are tuned for.
 
     Joins carry no broadcast hints unless a size bound is known, so Catalyst
@@ -33,6 +33,8 @@ def build_session(app_name: str = "quern", master: str | None = None,
     )
     if master:
         builder = builder.master(master)
+    if scan_partitions:
+        builder = builder.config("quern.scan.partitions", str(scan_partitions))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return builder.getOrCreate()

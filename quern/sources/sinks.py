@@ -32,10 +32,12 @@ def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], versio
     """The table after a keyed load: an incoming row replaces the row with its key.
 
     Among incoming rows the highest version wins; columns new to the table are
-    added and null for old rows.
+    added and null for old rows. Only the incoming rows are reduced; stored rows are anti-joined with
+    the incoming keys, which Spark sends to them while they are few.
     """
-    tagged = add_columns(existing.withColumn("_load", F.lit(0)), incoming.withColumn("_load", F.lit(1)))
-    return latest_by_key(tagged, keys, ["_load", *version]).drop("_load")
+    current = latest_by_key(incoming, keys, version)
+    kept = existing.join(current.select(*keys), list(keys), "left_anti").select(*existing.columns)
+    return add_columns(kept, current)
 
 
 def write_partitioned(docs: DataFrame, path: str, partition: str, mode: str = "overwrite") -> None:

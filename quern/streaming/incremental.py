@@ -1,23 +1,28 @@
 """Incremental load: documents arrive in files, are transformed on arrival and become the current version of their key.
 
-Every micro-batch writes its own folder ``batch=<id>``; a replayed batch
-overwrites the same folder, so the load is exactly-once. The current table is
-resolved on read (latest batch, then latest version per key), so the cost of a
-batch follows the batch and not the table. ``compact`` folds the batches when
-reads get slow.
+Every micro-batch writes its own folder ``stream=<id>/batch=<n>``. The id is that of the streaming query, kept in its
+checkpoint: a replayed batch overwrites its own folder only, and another stream, or one that
+starts anew with another checkpoint, never touches stored rows. The current table is resolved on read (latest
+arrival, then latest version per key), so the cost of a batch follows the batch and not the table. ``compact``
+folds all batches into a new table when reads get slow.
 """
 
 from __future__ import annotations
 
+import threading
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from quern.sources.sinks import latest_by_key
 
+STREAM = "stream"
 BATCH = "batch"
+ARRIVED = "_arrived"
 
 
 def json_stream(spark: SparkSession, folder: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
@@ -34,26 +39,36 @@ def parquet_stream(spark: SparkSession, folder: str, schema: T.StructType, patte
 def incremental_load(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], path: str,
                      checkpoint: str, keys: Sequence[str], version: Sequence[str]) -> StreamingQuery:
     """Load everything that has arrived, then stop; run again for what arrives later."""
+    started, ids = threading.Event(), []
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        current = latest_by_key(transform(batch), keys, version)
-        current.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        started.wait()
+        current = latest_by_key(transform(batch), keys, version).withColumn(ARRIVED, F.lit(time.time_ns() // 1000))
+        current.write.mode("overwrite").parquet(f"{path}/{STREAM}={ids[0]}/{BATCH}={batch_id}")
 
-    return (
+    query = (
         stream.writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+    ids.append(query.id)
+    started.set()
+    return query
 
 
 def read_current(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str],
                  version: Sequence[str]) -> DataFrame:
     """The latest row of every key."""
-    rows = spark.read.schema(schema.add(BATCH, T.LongType()) if BATCH not in schema.names else schema).parquet(path)
-    return latest_by_key(rows, keys, [BATCH, *version]).drop(BATCH)
+    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField(ARRIVED, T.LongType())])).parquet(path)
+    return latest_by_key(rows, keys, [ARRIVED, *version]).select(*schema.names)
 
 
 def compact(spark: SparkSession, path: str, target: str, schema: T.StructType, keys: Sequence[str],
             version: Sequence[str]) -> None:
-    """Write the current rows as the single oldest batch of a new table; the old one stays untouched."""
-    read_current(spark, path, schema, keys, version).write.parquet(f"{target}/{BATCH}=-1")
+    """Write the current rows as the single oldest batch of a new table; the old one stays untouched.
+
+    Batches that arrive at the old table meanwhile are not in the new one: switch readers and loads over, or compact again.
+    """
+    rows = read_current(spark, path, schema, keys, version).withColumn(ARRIVED, F.lit(0).cast("bigint"))
+    rows.write.parquet(f"{target}/{STREAM}=compacted/{BATCH}=0")

@@ -51,7 +51,17 @@ def test_summaries_and_appended_memory(spark, tmp_path):
     for _ in range(2):
         conversation.append_interactions(done, str(tmp_path / "m"))
     assert rows(spark.read.parquet(str(tmp_path / "m")).where("session_id = 2 AND user_id = 7"), "turn", "role", "text") == [
-        (0, "user", "q")] * 2 + [(1, "assistant", "No results found (0 hits)")] * 2
+        (0, "user", "q"), (1, "assistant", "No results found (0 hits)")]
+    memory = spark.read.parquet(str(tmp_path / "m"))
+    asked = spark.createDataFrame([(7, 2), (8, 2)], "user_id int, session_id int")
+    assert rows(conversation.with_next_turn(asked, memory), "user_id", "turn") == [(7, 2), (8, 0)]
+
+
+def test_messages_of_unknown_sessions_stay(spark):
+    memory = spark.createDataFrame([(None, 1, 0, "user", "a"), (None, 1, 1, "assistant", "b"), (2, None, None, "user", "c")],
+                                   "user_id int, session_id int, turn int, role string, text string")
+    found = {r.text: r.next for r in conversation.next_message(memory).collect()}
+    assert found["a"].text == "b" and found["b"] is None and found["c"] is None
 
 
 def test_context_and_answer_text(spark):

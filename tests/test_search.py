@@ -36,8 +36,9 @@ def skewed(spark):
 def brute_bm25(queries, docs, boosts, k):
     terms = lexical.query_terms(queries, boosts)
     index = lexical.build_index(docs, list(boosts))
-    weights = lexical.bm25_weights(lexical.postings_of(index), lexical.lengths_of(index)).withColumn("term", lexical.term_key())
-    return rank_cut(matching.dot_scores(terms, weights.select("doc_id", "term", "doc_weight")), k)
+    postings, stats = lexical.postings_of(index), lexical.field_stats(lexical.lengths_of(index))
+    weights = lexical.saturation(postings, stats).withColumn("term", lexical.term_key())
+    return rank_cut(matching.dot_scores(lexical.with_idf(terms, postings, stats), weights.select("doc_id", "term", "doc_weight")), k)
 
 
 def test_bm25_equals_all_pairs(spark, skewed, monkeypatch):
@@ -47,7 +48,6 @@ def test_bm25_equals_all_pairs(spark, skewed, monkeypatch):
         assert rows(lexical.bm25_topk(queries, docs, boosts, 7), *HITS) == expected
         monkeypatch.setattr(matching, "TERMS_PER_BLOCK", 30)
         monkeypatch.setattr(matching, "POSTINGS_PER_SLICE", 300)
-        monkeypatch.setattr(matching, "MAX_BROADCAST_TERMS", 3)
         assert rows(lexical.bm25_topk(queries, docs, boosts, 7), *HITS) == expected
         monkeypatch.undo()
     assert {r[0] for r in expected}.isdisjoint({101, 102})
@@ -171,7 +171,6 @@ def test_sparse_maps_and_text_agree(spark, skewed, monkeypatch):
     q = sparse.encode_long(queries, "query_id", "query_text", "query_weight")
     expected = rows(rank_cut(matching.dot_scores(q, long), 4), *HITS)
     assert rows(sparse.sparse_text_topk(queries, docs, "body", 4), *HITS) == expected
-    monkeypatch.setattr(matching, "MAX_BROADCAST_TERMS", 3)
     assert rows(sparse.sparse_text_topk(queries, docs, "body", 4), *HITS) == expected
     assert rows(sparse.sparse_topk(q, long, 4), *HITS) == expected
     back = sparse.from_map(sparse.to_map(long, "doc_id", "doc_weight"), "doc_id", "doc_weight")
@@ -198,3 +197,73 @@ def test_compare_keeps_best_rank(spark):
     a = spark.createDataFrame([(1, 1, "x"), (1, 2, "y"), (1, 3, "x"), (1, 4, "z")], schema)
     b = spark.createDataFrame([(1, 1, "y")], schema)
     assert rows(results.compare(a, b, "t", ("a", "b")), "position", "a", "b") == [(1, "x", "y"), (2, "y", None), (3, "z", None)]
+
+
+def test_damaged_vectors_are_left_out_and_reported(spark):
+    good = [(1, [0.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 2.0])]
+    bad = [(4, None), (5, [1.0]), (6, [1.0, 2.0, 3.0]), (7, [float("nan"), 0.0]), (8, [None, 1.0])]
+    vectors = spark.createDataFrame(good + bad, "doc_id int, embedding array<double>")
+    queries = spark.createDataFrame([(1, [0.0, 0.0]), (9, None)], "query_id bigint, embedding array<double>")
+    assert [r[2] for r in rows(vector.knn_exact(queries, vectors, 5), *HITS)] == [1, 2, 3]
+    assert rows(vector.damaged(vectors, 2), "doc_id", "found_dim") == [(4, -1), (5, 1), (6, 3), (7, 2), (8, 2)]
+    listed = vectors.withColumn("cell", F.lit(0))
+    assert [r[2] for r in rows(vector.knn_ivf(queries, listed, vector.mean_centroids(listed.where("doc_id < 4")), 5, 1), *HITS)] == [1, 2, 3]
+    mixed = spark.createDataFrame([(1, [0.0]), (2, [0.0, 1.0])], "query_id bigint, embedding array<double>")
+    with pytest.raises(ValueError, match="several dimensions"):
+        vector.knn_exact(mixed, vectors, 1)
+    assert vector.knn_exact(queries.limit(0), vectors, 3).count() == 0
+
+
+def test_vectors_without_a_list_are_found(spark):
+    vectors = spark.createDataFrame([(1, [0.0, 0.0], 0), (2, [0.1, 0.0], None), (3, [0.2, 0.0], 77), (4, [5.0, 5.0], 1)],
+                                    "doc_id bigint, embedding array<double>, cell int")
+    queries = spark.createDataFrame([(1, [0.0, 0.0])], "query_id bigint, embedding array<double>")
+    centroids = vector.mean_centroids(vectors.where("cell < 2"))
+    found = vector.knn_ivf(queries, vectors, centroids, 4, 2, with_candidates=True)
+    assert [r[2] for r in rows(found, *HITS)] == [1, 2, 3, 4] and found.first()["candidates"] == 4
+
+
+def test_lists_come_in_blocks(spark, cloud, monkeypatch):
+    _, vectors, _ = cloud
+    plain, centroids = vectors.drop("cell"), vector.mean_centroids(vectors)
+    expected = rows(vector.assign_lists(plain, centroids), "doc_id", "cell")
+    monkeypatch.setattr(vector, "LISTS_PER_BLOCK", 3)
+    assert rows(vector.assign_lists(plain, centroids), "doc_id", "cell") == expected
+
+
+def test_not_a_number_ranks_last():
+    from quern.operators.blocks import best_of
+    assert list(best_of(np.array([np.nan, 1.0, 2.0, np.nan]), np.arange(4), 3)) == [2, 1, 0]
+
+
+def test_repeated_and_zero_postings_count(spark):
+    terms = spark.createDataFrame([("q", "a", 1.0), ("q", "b", 0.0)], "query_id string, term string, query_weight double")
+    docs = spark.createDataFrame([("x", "a", 1.0), ("x", "a", 1.0), ("y", "a", 1.5), ("z", "b", 3.0)], "doc_id string, term string, doc_weight double")
+    expected = rows(rank_cut(matching.dot_scores(terms, docs), 5), *HITS)
+    assert [r[2:] for r in expected] == [("x", 2.0), ("y", 1.5), ("z", 0.0)]
+    assert rows(matching.dot_topk(terms, docs, 5), *HITS) == expected
+
+
+def test_text_ids_end_to_end(spark):
+    docs = spark.createDataFrame([("d2", "red shoe", "a"), ("d10", "red shoe", None), ("d1", "blue hat", "")], "doc_id string, t string, c string")
+    queries = spark.createDataFrame([("a1", "red"), ("b", "hat shoe")], "query_id string, query_text string")
+    found = rows(lexical.bm25_topk(queries, docs, {"t": 1.0}, 2), *HITS)
+    assert [(r[0], r[2]) for r in found] == [("a1", "d10"), ("a1", "d2"), ("b", "d1"), ("b", "d10")]
+    assert rows(results.facet(queries, docs, ["t"], "c"), "query_id", "c", "doc_count") == [("a1", "a", 1), ("b", "", 1), ("b", "a", 1)]
+    vectors = spark.createDataFrame([("v2", [0.0, 1.0]), ("v10", [0.0, 1.0]), ("v", [9.0, 9.0])], "doc_id string, embedding array<double>")
+    asked = vectors.where("doc_id = 'v2'").select(F.col("doc_id").alias("query_id"), "embedding")
+    assert [r[2] for r in rows(vector.knn_exact(asked, vectors, 2), *HITS)] == ["v10", "v2"]
+
+
+def test_unknown_fields_are_reported(spark):
+    docs = spark.createDataFrame([(1, "x")], "doc_id bigint, t string")
+    queries = spark.createDataFrame([(1, "x")], "query_id bigint, query_text string")
+    with pytest.warns(UserWarning, match="missing"):
+        assert lexical.bm25_topk(queries, docs, {"t": 1.0, "missing": 2.0}, 3).count() == 1
+
+
+def test_no_posting_is_joined_by_its_token(spark, skewed):
+    docs, queries = skewed
+    plan = lexical.bm25_topk(queries, docs, {"body": 1.0}, 3)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert not any("tf" in line for line in joins)

@@ -33,11 +33,20 @@ def test_incremental_load(spark, tmp_path):
     assert {r.id: r.text for r in rows} == {"a": "TWO", "b": "Y", "c": "Z"}
 
 
-def test_a_replayed_batch_overwrites_itself(spark, tmp_path):
-    inbox, table = str(tmp_path / "in"), str(tmp_path / "table")
-    (tmp_path / "in").mkdir()
-    (tmp_path / "in" / "1.json").write_text('{"id":"a","text":"one","version":1}')
-    for attempt in range(2):  # a lost checkpoint makes the batch run again
-        stream = incremental.json_stream(spark, inbox, SCHEMA)
-        incremental.incremental_load(stream, lambda df: df, table, str(tmp_path / f"p{attempt}"), ["id"], ["version"]).awaitTermination()
-    assert spark.read.parquet(table).count() == 1
+def test_a_new_checkpoint_or_stream_keeps_stored_rows(spark, tmp_path):
+    inbox, table = tmp_path / "in", str(tmp_path / "table")
+    inbox.mkdir()
+
+    def load(progress):
+        stream = incremental.json_stream(spark, str(inbox), SCHEMA)
+        incremental.incremental_load(stream, lambda df: df, table, str(tmp_path / progress), ["id"], ["version"]).awaitTermination()
+        return {r.id: r.text for r in incremental.read_current(spark, table, SCHEMA, ["id"], ["version"]).collect()}
+
+    (inbox / "1.json").write_text('{"id":"a","text":"one","version":1}')
+    assert load("p0") == {"a": "one"}
+    assert load("p1") == {"a": "one"}  # the checkpoint is lost and the file loaded again
+    (inbox / "1.json").unlink()  # archived
+    (inbox / "2.json").write_text('{"id":"b","text":"two","version":1}')
+    assert load("p2") == {"a": "one", "b": "two"}
+    (inbox / "3.json").write_text('{"id":"a","text":"new","version":1}')
+    assert load("p0") == {"a": "new", "b": "two"}

@@ -94,3 +94,17 @@ def test_category_filter(spark):
 def test_dotted_keys(spark):
     docs = spark.createDataFrame([(1, {"a.b": 1.0, "c": 1.0}), (2, {"x": 1.0}), (3, None)], "id int, m map<string,double>")
     assert [tuple(r) for r in prepare.dotted_keys(docs, "m", "id").collect()] == [(1, "a.b")]
+
+
+def test_enrichment_attributes_are_independent(spark):
+    docs = spark.range(4000).select((F.col("id") * 3 + 10**17).alias("k"), F.array(F.struct(F.lit("t").alias("answer_text"), F.col("id").alias("kept"))).alias("answers"))
+    rich = prepare.enrich_answers(docs, F.col("k")).select(F.inline("answers")).toPandas()
+    assert rich["kept"].tolist() == list(range(4000))
+    assert rich.groupby("age")["product_rating"].nunique().mean() > 4.5
+    for a, b in (("age", "product_rating"), ("age", "user_lat"), ("user_lat", "user_lon")):
+        assert abs(rich[a].corr(rich[b])) < 0.06
+
+
+def test_an_empty_list_of_categories_means_all(spark):
+    docs = spark.createDataFrame([("a",), ("b",)], "c string")
+    assert prepare.filter_categories(docs, [], "c").count() == 2
