@@ -138,8 +138,9 @@ QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
 def upsert_by_key(spark, d):
     rows = fx.table(spark, d, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_linestatus")
-    return sinks.upsert(rows.where("l_linestatus <> 'F'"), rows.where("l_linestatus = 'F'"),
-                        ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey"])
+    keys, version = ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey"]
+    stored = sinks.latest_by_key(rows.where("l_linestatus <> 'F'"), keys, version)
+    return sinks.upsert(stored, rows.where("l_linestatus = 'F'"), keys, version)
 
 
 @query("""

@@ -29,7 +29,7 @@ def latest_by_key(rows: DataFrame, keys: Sequence[str], version: Sequence[str])
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], version: Sequence[str]) -> DataFrame:
-    """The table after a keyed load: an incoming row replaces the row with its key.
+    """The table after a keyed load: an incoming row replaces the row with its key (``existing`` has one row per key).
 
     Among incoming rows the highest version wins; columns new to the table are
     added and null for old rows. Only the incoming rows are reduced; stored rows are anti-joined with
