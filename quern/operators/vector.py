@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quern.functions import encoders
 from quern.operators.blocks import QUERIES_PER_BLOCK, best_of, fresh, hits_schema, hits_table, numbered
 from quern.operators.ranking import SCORE_DIGITS, rank_cut
 from quern.session import ship_package, stage
@@ -153,6 +154,17 @@ def knn_exact(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
     return rank_cut(_nearest_in_place(queries, vectors, k), k)
 
 
+def neural_topk(queries: DataFrame, docs: DataFrame, text: str, k: int, dim: int,
+                factory: encoders.DenseFactory | None = None) -> DataFrame:
+    """Nearest documents of query texts: ``docs[text]`` and ``query_text`` pass the encoder hook, then exact search.
+
+    Encode and store the corpus once (``encoders.dense_encode``) when many query batches follow.
+    """
+    encoded = encoders.dense_encode(docs.select("doc_id", text), {text: "embedding"}, dim, factory)
+    asked = encoders.dense_encode(queries.select("query_id", "query_text"), {"query_text": "embedding"}, dim, factory)
+    return knn_exact(stage(asked.select("query_id", "embedding"), "query-vectors"), encoded, k)
+
+
 def mean_centroids(vectors: DataFrame, cell: str = "cell") -> DataFrame:
     """Mean vector of each list: ``(cell, embedding)``, from partial sums per dimension."""
     return (

@@ -362,10 +362,7 @@ def sparse_encode(spark, d):
         "weight", F.round("weight", 6))
 
 
-_HASHED = f"""
-SELECT doc_id, position, (n / sqrt(sum(n * n) OVER (PARTITION BY doc_id)))::FLOAT::DOUBLE AS value FROM (
-  SELECT doc_id, ('0x' || substr(md5(t), 1, 8))::BIGINT % 64 AS position, count(*)::DOUBLE AS n
-  FROM (SELECT doc_id, unnest({sql.tokens('chunk_text')}) AS t FROM passages) GROUP BY ALL)"""
+_HASHED = sql.hashed("passages", "doc_id", "chunk_text", 64)
 
 
 @query(sql.with_(sql.PASSAGES) + f"SELECT doc_id, position, round(value, 5) AS value FROM ({_HASHED})")

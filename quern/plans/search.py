@@ -125,6 +125,13 @@ def knn_candidates_then_size(spark, d):
     return vector.page(dense_hits(spark, d, 10), 5)
 
 
+@query(sql.with_(*_PASSAGE_BASE, sql.neural("n", 5, 64)) + "SELECT * FROM n_hits")
+def neural_topk(spark, d):
+    """Texts to vectors to hits: the corpus and the questions pass the same encoder."""
+    docs = prepare.passage_chunk(fx.passages(spark, d))
+    return vector.neural_topk(fx.passage_queries(spark, d), docs, "chunk_text", 5, 64)
+
+
 @query(sql.with_(*_PASSAGE_BASE, sql.sparse("s", 3)) + "SELECT * FROM s_hits")
 def sparse_dot_topk(spark, d):
     return sparse_hits(spark, d, 3)

@@ -113,3 +113,24 @@ def combined(name: str, a: str, b: str, w1: float, w2: float) -> str:
   SELECT query_id, doc_id,
     round(({w1}::DOUBLE * coalesce(a.score, 0) + {w2}::DOUBLE * coalesce(b.score, 0)) / ({w1}::DOUBLE + {w2}::DOUBLE), 6) AS score
   FROM {a} a FULL OUTER JOIN {b} b USING (query_id, doc_id))"""
+
+
+def hashed(table: str, key: str, text: str, dim: int) -> str:
+    """Non-zero elements ``(key, position, value)`` of the default dense encoding of a text column."""
+    return f"""
+SELECT {key}, position, (n / sqrt(sum(n * n) OVER (PARTITION BY {key})))::FLOAT::DOUBLE AS value FROM (
+  SELECT {key}, ('0x' || substr(md5(t), 1, 8))::BIGINT % {dim} AS position, count(*)::DOUBLE AS n
+  FROM (SELECT {key}, unnest({tokens(text)}) AS t FROM {table}) GROUP BY ALL)"""
+
+
+def neural(p: str, k: int, dim: int) -> str:
+    """Exact hits of encoded ``passage_queries`` over encoded ``passages``, ending in ``{p}_hits``."""
+    return f"""{p}_d AS ({hashed('passages', 'doc_id', 'chunk_text', dim)}),
+{p}_q AS ({hashed('passage_queries', 'query_id', 'query_text', dim)}),
+{p}_dn AS (SELECT doc_id, coalesce(sum(value * value), 0) AS dn FROM passages LEFT JOIN {p}_d USING (doc_id) GROUP BY doc_id),
+{p}_qn AS (SELECT query_id, coalesce(sum(value * value), 0) AS qn FROM passage_queries LEFT JOIN {p}_q USING (query_id) GROUP BY query_id),
+{p}_dot AS (SELECT query_id, doc_id, sum(q.value * d.value) AS dot FROM {p}_q q JOIN {p}_d d USING (position) GROUP BY ALL),
+{p}_score AS (
+  SELECT query_id, doc_id, round(1 / (1 + greatest(qn + dn - 2 * coalesce(dot, 0), 0)), 6) AS score
+  FROM {p}_qn CROSS JOIN {p}_dn LEFT JOIN {p}_dot USING (query_id, doc_id)),
+{ranked(p + '_hits', p + '_score', k)}"""
