@@ -68,12 +68,13 @@ def token_counts(docs: DataFrame, fields: Sequence[str], keep: Sequence[str] = (
     return occurrences.groupBy(*keys).agg(F.count(F.lit(1)).alias("tf"))
 
 
-def build_index(docs: DataFrame, fields: Sequence[str], han: str = "run") -> DataFrame:
+def build_index(docs: DataFrame, fields: Sequence[str], keep: Sequence[str] = (), han: str = "run") -> DataFrame:
     """All postings and field lengths; write it once when many query batches follow.
 
-    Partition the written table by ``field``: a search reads only its own fields.
+    Partition the written table by ``field``: a search reads only its own fields. Document columns in ``keep``
+    are stored with the postings, for searches that filter by them.
     """
-    return token_counts(docs, fields, han=han, with_lengths=True)
+    return token_counts(docs, fields, keep, han, with_lengths=True)
 
 
 def postings_of(index: DataFrame) -> DataFrame:
@@ -137,7 +138,7 @@ def with_idf(terms: DataFrame, postings: DataFrame, stats: DataFrame) -> DataFra
 
 
 def query_index(terms: DataFrame, docs: DataFrame, fields: Sequence[str], han: str = "run",
-                index: DataFrame | None = None) -> DataFrame:
+                index: DataFrame | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """The part of the index the query terms touch, and all field lengths, staged.
 
     Document frequency, mean length, weights and the size of the slices all read
@@ -149,25 +150,29 @@ def query_index(terms: DataFrame, docs: DataFrame, fields: Sequence[str], han: s
     if index is not None:
         touched = index.where(F.col("field").isin(list(fields))).join(vocabulary, TERM, "left_semi")
     else:
-        touched = token_counts(docs, fields, (), han, vocabulary, with_lengths=True)
+        touched = token_counts(docs, fields, keep, han, vocabulary, with_lengths=True)
     return stage(touched, "postings")
 
 
 def bm25_topk(queries: DataFrame, docs: DataFrame, boosts: Mapping[str, float], k: int,
               han: str = "run", index: DataFrame | None = None,
-              allowed: DataFrame | None = None) -> DataFrame:
+              allowed: DataFrame | Column | None = None) -> DataFrame:
     """BM25 top-k of many queries at once; the score sums ``boost * BM25`` over fields.
 
-    ``allowed(doc_id)`` filters documents before ranking while the statistics
-    stay corpus-wide.
+    ``allowed`` filters documents before ranking while the statistics stay corpus-wide: a condition on the
+    columns of the documents (or of the index, see ``build_index``), which travels with the postings, or a table of ids.
     """
+    keep = []
+    if isinstance(allowed, Column):
+        flag, keep = F.coalesce(allowed, F.lit(False)), ["_allowed"]
+        docs, index = docs.withColumn("_allowed", flag), index.withColumn("_allowed", flag) if index is not None else None
     boosts = {f: boosts[f] for f in known_fields(docs, list(boosts))}
     terms = query_terms(queries, boosts, han)
     n_terms = terms.count()
-    touched = query_index(terms, docs, list(boosts), han, index)
+    touched = query_index(terms, docs, list(boosts), han, index, keep)
     stats, postings = stage(field_stats(lengths_of(touched)), "field-stats"), postings_of(touched)
-    weighted = saturation(postings, stats).select("doc_id", term_key().alias("term"), "doc_weight")
-    if allowed is not None:
+    weighted = saturation(postings.where("_allowed") if keep else postings, stats).select("doc_id", term_key().alias("term"), "doc_weight")
+    if allowed is not None and not keep:
         weighted = weighted.join(allowed.select("doc_id"), "doc_id", "left_semi")
     return dot_topk(with_idf(terms, postings, stats), weighted, k, n_terms, touched.count())
 

@@ -85,9 +85,17 @@ def passage_multifield_topk(spark, d):
     "p", "passages", PASSAGE, "passage_queries", 5,
     "doc_id IN (SELECT doc_id FROM passages WHERE domain IN ('fr', 'de'))")) + "SELECT * FROM p_hits")
 def filtered_bm25_topk(spark, d):
+    return lexical.bm25_topk(fx.passage_queries(spark, d), fx.passages(spark, d), PASSAGE, 5, allowed=F.col("domain").isin("fr", "de"))
+
+
+@query(sql.with_(*_PASSAGE_BASE, sql.bm25(
+    "p", "passages", PASSAGE, "passage_queries", 5,
+    "doc_id IN (SELECT doc_id FROM passages WHERE domain IN ('fr', 'de'))")) + "SELECT * FROM p_hits")
+def bm25_indexed_topk(spark, d):
+    """The same search over a stored index that keeps the domain."""
     docs = fx.passages(spark, d)
-    allowed = prepare.filter_categories(fx.table(spark, d, "documents"), ["fr", "de"], "lang").select("doc_id")
-    return lexical.bm25_topk(fx.passage_queries(spark, d), docs, PASSAGE, 5, allowed=allowed)
+    index = stage(lexical.build_index(docs, ["passage"], ["domain"]), "index")
+    return lexical.bm25_topk(fx.passage_queries(spark, d), docs, PASSAGE, 5, index=index, allowed=F.col("domain").isin("fr", "de"))
 
 
 @query(sql.with_(*_VECTOR_BASE, sql.knn("v", 10)) + "SELECT * FROM v_hits")
