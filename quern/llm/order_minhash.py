@@ -114,8 +114,7 @@ def with_next(docs: DataFrame, key: str, tie: str, columns: list[str]) -> DataFr
         # The first rows of a range are guests at the end of the range before it.
         to = F.element_at(F.create_map(*(F.lit(x).cast(t) for rank_, p in before.items() for x, t in ((rank_, "bigint"), (p, "int")))), F.col("_rank"))
         homes = F.when(F.col("_rank").isin(list(before)), F.concat(homes, F.array(F.struct(to.alias("part"), F.lit(1).alias("guest"))))).otherwise(homes)
-    placed = ranked.withColumn("_home", F.explode(homes))
-    window = Window.partitionBy("_home.part").orderBy("_home.guest", F.col("_rank").desc(), F.col(tie))
-    for c in columns:
-        placed = placed.withColumn(f"next_{c}", F.lead(c).over(window))
-    return placed.filter("_home.guest = 0").drop("_rank", "_part", "_home")
+    placed = ranked.withColumn("_home", F.explode(homes)).withColumns({"_part": F.col("_home.part"), "_guest": F.col("_home.guest")}).drop("_home")
+    window = Window.partitionBy("_part").orderBy("_guest", F.col("_rank").desc(), F.col(tie))
+    placed = placed.withColumns({f"next_{c}": F.lead(c).over(window) for c in columns})
+    return placed.filter("_guest = 0").drop("_rank", "_part", "_guest")
