@@ -10,13 +10,13 @@ over all documents, last; else by hash). Two sets with an overlap of at least ``
 ``min(K, o)`` of their first ``size - o + K`` shingles. So the matrix needs these prefixes only (a tenth of a set
 at 90 %), and a group with fewer than ``min(K, o)`` common prefix shingles cannot qualify.
 
-Opening happens in two rounds. First every group is opened for itself, in chunks of ``CHUNK`` documents, with a
-union-find that stops when all are connected; the leaders of a group's chunks are compared with each other.
-So a large group of near copies becomes one component with about as many comparisons as it has documents.
-In the second round a document is sent to the chunks of other qualifying groups (and of its own group) unless it
-already is in the component of all their documents. No partner or candidate is ever cut off. Links
-become components by large-star / small-star steps on tables; nothing about documents reaches the driver but
-the frequent shingles (in at least 1/2000 of all documents, so at most 2000 mean set sizes).
+Groups are opened in three rounds, each in chunks of at most about ``CHUNK`` documents. First every group for itself, with a
+union-find that stops when all are connected; leaders of a group's chunks are compared with each other. Then every document asks
+one chunk of its *hub*, the largest group among those with which it shares enough shingles. So a family of near copies, however large,
+becomes one component with about as many comparisons as it has documents. Only then the matrix is read again with
+these components as groups, and a document is sent to all chunks of every other component that qualifies. No partner or
+candidate is ever cut off. Links become components by large-star / small-star steps on tables; nothing about
+documents reaches the driver but the frequent shingles (in at least 1/2000 of all documents, so at most 2000 mean set sizes).
 
 Shingles are 64-bit hashes; so are the digests of sets. Equal hashes count as equal.
 Null, empty and blank texts have an empty set and are linked with nothing. A text of fewer than ``width`` words has one
@@ -30,7 +30,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm.text import folded_words, map_chunks, text_bytes
@@ -161,12 +161,12 @@ def _frequent(docs: DataFrame, width: int) -> np.ndarray:
 
 
 def _profiles(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Per document: set size, digest of the set, group key, prefix."""
+    """Per document: set size, digest of the set, group key, prefix (given for one of equal sets in a chunk of texts)."""
     frequent = docs.sparkSession.sparkContext.broadcast(_frequent(docs, width))
     kind = dict(docs.dtypes)["doc_id"]
 
     def work(chunk: pa.Table) -> Iterator[pa.RecordBatch]:
-        hashes, hot = _WordHashes(), frequent.value
+        hashes, hot, given = _WordHashes(), frequent.value, {}
         sizes, digests, groups, prefixes = [], [], [], []
         for text in chunk.column("text").to_pylist():
             s = shingles(text, width, hashes)
@@ -178,7 +178,12 @@ def _profiles(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 prefixes.append(b"")
                 continue
             digests.append(_signed(xxhash.xxh64_intdigest(s.tobytes())))
+            if digests[-1] in given:
+                groups.append(given[digests[-1]])
+                prefixes.append(b"")
+                continue
             groups.append(_signed(xxhash.xxh64_intdigest(_mixed(s, 1).min().tobytes() + _mixed(s, 3).min().tobytes())))
+            given[digests[-1]] = groups[-1]
             at = np.minimum(np.searchsorted(hot, s), max(0, len(hot) - 1))
             often = hot[at] == s if len(hot) else np.zeros(n, bool)
             prefixes.append(np.concatenate([s[~often], s[often]])[:n - overlap_needed(n, percent) + K].tobytes())
@@ -194,8 +199,13 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
-def _qualifying(classes: DataFrame, percent: int) -> DataFrame:
-    """``(cls, grp)``: documents and the groups they must open, from the matrix. A pair of groups is met once."""
+def _least(n: Column, percent: int) -> Column:
+    """How many prefix shingles a set of ``n`` must share with a group that it may have a link into."""
+    return F.least(F.lit(K), F.ceil(n * percent / 100))
+
+
+def _matrix(profiles: DataFrame) -> DataFrame:
+    """``(token, cls, grp, n)`` for the prefix shingles of all classes; a class may come from several chunks of texts."""
     def explode(batches):
         for batch in batches:
             prefixes = [np.frombuffer(p, np.int64) for p in batch.column("prefix").to_pylist()]
@@ -205,10 +215,12 @@ def _qualifying(classes: DataFrame, percent: int) -> DataFrame:
             for start in range(0, len(tokens), 100_000):
                 part = slice(start, start + 100_000)
                 yield pa.RecordBatch.from_arrays([pa.array(c[part]) for c in (tokens, *columns)], names=["token", "cls", "grp", "n"])
-    matrix = classes.select("cls", "grp", "n", "prefix").mapInArrow(explode, "token bigint, cls bigint, grp bigint, n bigint")
+    return profiles.select("cls", "grp", "n", "prefix").mapInArrow(explode, "token bigint, cls bigint, grp bigint, n bigint")
 
-    def meet(batches):
-        """Rows come sorted by shingle and group; every row meets the earlier groups of its shingle."""
+
+def _by_token(matrix: DataFrame, work: Callable[[list[np.ndarray]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """Run ``work`` on whole matrix rows: columns token, cls, grp, n sorted by shingle, group and class, each row once."""
+    def run(batches):
         held = None
         for batch in batches:
             part = [batch.column(i).to_numpy() for i in range(4)]
@@ -216,12 +228,46 @@ def _qualifying(classes: DataFrame, percent: int) -> DataFrame:
                 part = [np.concatenate(x) for x in zip(held, part)]
             last = int(np.searchsorted(part[0], part[0][-1], "left")) if len(part[0]) else 0
             held = [x[last:] for x in part]
-            yield from _meetings([x[:last] for x in part], percent)
+            yield from work(once([x[:last] for x in part]))
         if held is not None:
-            yield from _meetings(held, percent)
-    hits = matrix.repartition("token").sortWithinPartitions("token", "grp").mapInArrow(meet, "cls bigint, grp bigint, n bigint")
-    least = F.least(F.lit(K), F.ceil(F.col("n") * percent / 100))
-    return hits.groupBy("cls", "grp", "n").count().filter(F.col("count") >= least).select("cls", "grp")
+            yield from work(once(held))
+
+    def once(rows: list[np.ndarray]) -> list[np.ndarray]:
+        keep = np.ones(len(rows[0]), dtype=bool)
+        keep[1:] = (rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])
+        return [x[keep] for x in rows]
+    return matrix.select("token", "cls", "grp", "n").repartition("token").sortWithinPartitions("token", "grp", "cls").mapInArrow(run, schema)
+
+
+def _shared(percent: int) -> Callable[[list[np.ndarray]], Iterator[pa.RecordBatch]]:
+    """Rows of shingles that several groups have, with the largest of these groups as ``hub`` (the own group if sizes cannot match)."""
+    def work(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        token, cls, grp, n = rows
+        if len(token) < 2:
+            return
+        new_token = np.concatenate([[True], token[1:] != token[:-1]])
+        new_group = new_token | np.concatenate([[True], grp[1:] != grp[:-1]])
+        starts, run = np.flatnonzero(new_group), np.cumsum(new_token) - 1
+        run_of = run[starts]
+        size = np.diff(np.append(starts, len(token)))
+        order = np.lexsort((np.arange(len(starts)), -size, run_of))
+        hub = order[np.searchsorted(run_of, np.arange(run[-1] + 1))]
+        at = np.flatnonzero(np.bincount(run_of)[run] > 1)
+        least, most = np.minimum.reduceat(n, starts), np.maximum.reduceat(n, starts)
+        to = hub[run[at]]
+        fits = (100 * most[to] >= percent * n[at]) & (percent * least[to] <= 100 * n[at])
+        target = np.where(fits, grp[starts[to]], grp[at])
+        for i in range(0, len(at), 100_000):
+            part = at[i:i + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (token[part], cls[part], grp[part], n[part], target[i:i + 100_000])],
+                                             names=["token", "cls", "grp", "n", "hub"])
+    return work
+
+
+def _qualifying(matrix: DataFrame, percent: int) -> DataFrame:
+    """``(cls, grp)``: documents and the groups they must open. A pair of groups is met once."""
+    hits = _by_token(matrix, lambda rows: _meetings(rows, percent), "cls bigint, grp bigint, n bigint")
+    return hits.groupBy("cls", "grp", "n").count().filter(F.col("count") >= _least(F.col("n"), percent)).select("cls", "grp")
 
 
 def _meetings(rows: list[np.ndarray], percent: int) -> Iterator[pa.RecordBatch]:
@@ -294,49 +340,57 @@ def _located(docs: DataFrame, width: int, percent: int, id_col: str, text_col: s
                        F.xxhash64(F.col(id_col), F.col(text_col)).alias("row_key"))
     profiles = stage(_profiles(docs, width, percent), "profiles")
     classes = profiles.filter("n > 0").groupBy("cls").agg(
-        F.min("doc_id").alias("doc_id"), F.min("row_key").alias("row_key"), F.first("n").alias("n"), F.first("grp").alias("grp"), F.first("prefix").alias("prefix"))
+        F.min("doc_id").alias("doc_id"), F.min("row_key").alias("row_key"), F.first("n").alias("n"), F.first("grp").alias("grp"))
     classes = stage(classes, "classes")
 
-    hits = stage(_qualifying(classes, percent), "qualifying")
+    shared = stage(_by_token(_matrix(profiles), _shared(percent), "token bigint, cls bigint, grp bigint, n bigint, hub bigint"), "shared")
     sizes = classes.groupBy("grp").agg(F.count(F.lit(1)).alias("members"))
-    open_groups = sizes.filter("members > 1").select("grp").union(hits.select("grp")).distinct()
-    needed = classes.select("cls", "grp").join(open_groups, "grp", "left_semi").select("cls").union(hits.select("cls")).distinct()
+    hubs = shared.filter("hub <> grp").groupBy("cls", "n", "hub").count().filter(F.col("count") >= _least(F.col("n"), percent))
+    hubs = stage(hubs.groupBy("cls").agg(F.max_by("hub", F.struct("count", "hub")).alias("grp")).join(
+        sizes.select("grp", F.ceil(F.col("members") / CHUNK).alias("chunks")), "grp"), "hubs")
+    opened = sizes.filter("members > 1").select("grp").union(hubs.select("grp")).distinct()
+    needed = classes.select("cls", "grp").join(opened, "grp", "left_semi").select("cls").union(hubs.select("cls")).distinct()
     placed = classes.select("cls", "grp", "row_key").join(needed, "cls", "left_semi").join(sizes, "grp").select(
-        "cls", "grp", "row_key", F.ceil(F.col("members") / CHUNK).alias("chunks"),
-        F.pmod("cls", F.ceil(F.col("members") / CHUNK)).alias("chunk"))
+        "cls", "grp", "row_key", F.ceil(F.col("members") / CHUNK).alias("chunks"), F.pmod("cls", F.ceil(F.col("members") / CHUNK)).alias("chunk"))
     sets = stage(_sets(docs, placed, width), "sets")
 
-    first = stage(_by_group(sets, ["grp", "chunk"], ["cls"], _first_round(percent), ["cls", "root", "size"],
-                            "cls bigint, root bigint, size bigint"), "first-round")
-    leaders = first.groupBy("root").agg(F.first("size").alias("size")).join(
-        sets.filter("chunks > 1").withColumnRenamed("cls", "root"), "root")
+    # Round 1: every group for itself, then the leaders of its chunks.
+    outcome = (["cls", "root", "size"], "cls bigint, root bigint, size bigint")
+    first = stage(_by_group(sets, ["grp", "chunk"], ["cls"], _first_round(percent), *outcome), "first-round")
+    leaders = first.groupBy("root").agg(F.first("size").alias("size")).join(sets.filter("chunks > 1").withColumnRenamed("cls", "root"), "root")
     leaders = leaders.groupBy("grp", "chunk").agg(F.max_by(F.struct(F.col("root").alias("cls"), "n", "tokens"), F.struct("size", "root")).alias("s"))
-    between = stage(_by_group(leaders.select("grp", "s.*"), ["grp"], ["cls"], _first_round(percent), ["cls", "root", "size"],
-                              "cls bigint, root bigint, size bigint"), "leaders")
-    known = first.select("cls", "root").distinct().join(between.select(F.col("cls").alias("root"), F.col("root").alias("top")), "root", "left").select(
-        "cls", F.coalesce("top", "root").alias("comp"))
-    known = stage(sets.select("cls", "grp", "chunk", "chunks", "n").distinct().join(known, "cls"), "known")
-
-    chunks = known.groupBy("grp", "chunk").agg(F.min("comp").alias("low"), F.max("comp").alias("high"),
-                                               F.min("n").alias("least"), F.max("n").alias("most"))
-    asking = known.select("cls", "n", F.col("comp").alias("own"), F.col("grp").alias("own_grp"), F.col("chunk").alias("own_chunk"))
-    across = hits.join(asking, "cls").join(chunks, "grp")
-    # In a group of several chunks only those outside its largest component still have to ask the other chunks.
-    largest = known.filter("chunks > 1").groupBy(F.col("grp").alias("own_grp"), "comp").count().groupBy("own_grp").agg(
-        F.max_by("comp", F.struct("count", "comp")).alias("main"))
-    within = asking.join(largest, "own_grp").filter("own <> main").join(
-        chunks, F.col("own_grp") == F.col("grp")).filter("chunk <> own_chunk")
-    columns = ["cls", "grp", "chunk", "n", "own", "low", "high", "least", "most"]
+    between = _by_group(leaders.select("grp", "s.*"), ["grp"], ["cls"], _first_round(percent), *outcome)
+
+    # Round 2: every document asks one chunk of its hub.
+    asked = _ask(sets, hubs.select("cls", "grp", F.pmod("cls", "chunks").alias("chunk")), ["grp", "chunk"], percent)
+    early = first.select(F.col("cls").alias("a"), F.col("root").alias("b")).union(between.select("cls", "root")).union(asked)
+    joined = stage(components(early), "early")
+
+    # Round 3: the matrix again, with the components so far as groups, and their members in chunks.
+    known = classes.select("cls", "n").join(joined, F.col("cls") == F.col("node"), "left").select("cls", "n", F.coalesce("comp", "cls").alias("grp"))
+    known = stage(known.join(known.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks")), "grp"), "known")
+    rows = shared.select("token", "cls", "n").join(known.select("cls", "grp"), "cls")
+    hits = _qualifying(rows, percent)
+    home = known.select("cls", "grp", F.pmod("cls", "chunks").alias("chunk"))
+    spans = known.groupBy("grp", F.pmod("cls", "chunks").alias("chunk")).agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    across = hits.join(known.select("cls", "n"), "cls").join(spans, "grp")
+    # A group of several chunks whose leaders did not connect all: those outside its largest component ask the group's other chunks.
+    origin = sets.filter("chunks > 1").select("cls", F.col("grp").alias("origin")).distinct().join(known.select("cls", "grp", "n"), "cls")
+    main = origin.groupBy("origin", "grp").count().groupBy("origin").agg(F.max_by("grp", F.struct("count", "grp")).alias("main"))
+    rest = origin.select("origin", F.col("grp").alias("other")).distinct()
+    within = origin.join(main, "origin").filter("grp <> main").select("cls", "n", "origin", F.col("grp").alias("own")).join(rest, "origin").filter(
+        "own <> other").join(spans, F.col("other") == F.col("grp"))
+    columns = ["cls", "grp", "chunk", "n", "least", "most"]
     ask = across.select(columns).unionByName(within.select(columns)).filter(
-        f"NOT (low = own AND high = own) AND 100 * most >= {percent} * n AND {percent} * least <= 100 * n").select("cls", "grp", "chunk")
-    ask = stage(ask, "asked")
-    opened = ask.select("grp", "chunk").distinct()
-    members = sets.join(opened, ["grp", "chunk"], "left_semi").select("grp", "chunk", "cls", "tokens", F.lit(0).alias("role"))
-    queries = ask.join(sets.select("cls", "tokens"), "cls").select("grp", "chunk", "cls", "tokens", F.lit(1).alias("role"))
-    second = members.unionByName(queries).repartition("grp", "chunk").sortWithinPartitions("grp", "chunk", "role").mapInArrow(
-        _second_round(percent), "a bigint, b bigint")
-
-    links = known.select(F.col("cls").alias("a"), F.col("comp").alias("b")).union(second)
+        f"100 * most >= {percent} * n AND {percent} * least <= 100 * n").select("cls", "grp", "chunk").distinct()
+    ask = stage(ask, "late-asked")
+    # Sets of documents that come up only now.
+    more = home.join(ask.select("grp", "chunk").distinct(), ["grp", "chunk"], "left_semi").select("cls").union(ask.select("cls")).distinct()
+    more = more.join(sets.select("cls"), "cls", "left_anti").join(classes.select("cls", "grp", "row_key"), "cls")
+    extra = _sets(docs, more.select("cls", "grp", "row_key", F.lit(1).cast("bigint").alias("chunks"), F.lit(0).cast("bigint").alias("chunk")), width)
+    every = sets.select("cls", "tokens").unionByName(stage(extra, "late-sets").select("cls", "tokens"))
+    late = _ask(every.join(home, "cls"), ask, ["grp", "chunk"], percent)
+    links = joined.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(late)
     comps = components(links)
     named = classes.select("cls", "doc_id").join(comps, F.col("cls") == F.col("node"), "left").select(
         "cls", "doc_id", F.coalesce("comp", "cls").alias("comp"))
@@ -347,6 +401,15 @@ def _located(docs: DataFrame, width: int, percent: int, id_col: str, text_col: s
     return full.unionByName(profiles.filter("n = 0").select(*columns, F.col("doc_id").alias("component_id"), F.lit(None).cast("bigint").alias("comp")))
 
 
+def _ask(sets: DataFrame, ask: DataFrame, keys: list[str], percent: int) -> DataFrame:
+    """Links ``(a, b)`` between the classes of ``ask(cls, *keys)`` and the members of the chunks they ask."""
+    ask = stage(ask, "asked")
+    members = sets.join(ask.select(*keys).distinct(), keys, "left_semi").select(*keys, "cls", "tokens", F.lit(0).alias("role"))
+    queries = ask.join(sets.select("cls", "tokens"), "cls").select(*keys, "cls", "tokens", F.lit(1).alias("role"))
+    rows = members.unionByName(queries).repartition(*keys).sortWithinPartitions(*keys, "role")
+    return rows.mapInArrow(_answer(keys, percent), "a bigint, b bigint")
+
+
 def _sets(docs: DataFrame, placed: DataFrame, width: int) -> DataFrame:
     """The full sets of the classes in ``placed``, from the text of the document that stands for each."""
     text = docs.select("row_key", "text").join(placed, "row_key").select("cls", "grp", "chunk", "chunks", "text")
@@ -374,17 +437,19 @@ def _first_round(percent: int) -> Callable[[list[dict]], Iterator[tuple]]:
     return work
 
 
-def _second_round(percent: int) -> Callable:
+def _answer(keys: list[str], percent: int) -> Callable:
     """Rows come sorted by chunk, its members before those who ask; the latter pass one by one."""
     def run(batches):
         key, members, opened, a, b = None, [], None, [], []
         for batch in batches:
             for row in batch.to_pylist():
-                if (row["grp"], row["chunk"]) != key:
-                    key, members, opened = (row["grp"], row["chunk"]), [], None
+                if tuple(row[k] for k in keys) != key:
+                    key, members, opened = tuple(row[k] for k in keys), [], None
                 if not row["role"]:
                     members.append(row)
                     continue
+                if not members:
+                    continue
                 opened = opened or _Opened(members)
                 found = opened.linked(np.frombuffer(row["tokens"], np.uint64), percent)
                 a.extend([row["cls"]] * len(found))
