@@ -1,13 +1,14 @@
 """URL filters by a path-template tree.
 
-Per host the paths form a tree of segments. Level by level, children that are rare among their siblings are generalised to
-a wildcard (with their file ending, ``*.html``), and branches whose labelled share of bad pages does not differ significantly from
-the rest of their siblings are merged (``+``), so that only branches that mean something stay apart. A template is
+Per host the paths form a tree of segments. Level by level, every child of at least ``support`` pages whose labelled share of bad pages
+differs significantly from that of the rest of its siblings stays a branch of its own, however many there are and however small
+their share of the pages. All others are generalised to a wildcard (with their file ending, ``*.html``), and wildcards that do not
+differ from the rest are merged (``+``), so that only branches that mean something stay apart. A template is
 rejected if its smoothed share of bad pages reaches ``block_at``: its labels count with ``strength`` pseudo-labels at the
 rate of its host, which is smoothed likewise towards the rate of all pages.
 
 All counts are partial aggregates by (node, segment), so a host that holds a third of all pages is reduced before
-each exchange; its pages are joined with at most ``1 / rare`` literal children a node in joins that Spark may split. Paths deeper than ``depth``
+each exchange; its pages are joined with its literal children by (node, segment) in joins that Spark may split. Paths deeper than ``depth``
 keep their rest as one segment.
 
 Rules come first: a rule fits its host and all subdomains if the path starts with its path; the longest wins (of host and
@@ -23,7 +24,6 @@ from quern.llm.text import fold
 from quern.session import stage
 
 DEPTH = 8
-RARE = 0.05
 SUPPORT = 5
 DIFFERENT = 1.96
 STRENGTH = 10.0
@@ -54,12 +54,20 @@ def _sums() -> list[Column]:
     return [F.sum("n").alias("n"), F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad")]
 
 
-def _generalised(segment: Column, n: Column, total: Column, rare: float, support: int) -> Column:
-    ending = F.regexp_extract(segment, r"\.[A-Za-z][A-Za-z0-9]{0,4}\z", 0)
-    return F.when((n >= support) & (n >= rare * total), segment).otherwise(F.concat(F.lit("*"), ending))
+def _any(segment: Column) -> Column:
+    return F.concat(F.lit("*"), F.regexp_extract(segment, r"\.[A-Za-z][A-Za-z0-9]{0,4}\z", 0))
 
 
-def templates(urls: DataFrame, depth: int = DEPTH, rare: float = RARE, support: int = SUPPORT, different: float = DIFFERENT) -> DataFrame:
+def _apart(different: float) -> Column:
+    """Two-proportion test of a branch (``labelled``, ``bad``) against its siblings (``all_`` sums of the node less its own)."""
+    rate = F.col("all_bad") / F.greatest("all_labelled", F.lit(1))
+    other = F.col("all_labelled") - F.col("labelled")
+    spread = F.sqrt(rate * (1 - rate) * (1 / F.greatest("labelled", F.lit(1)) + 1 / F.greatest(other, F.lit(1))))
+    gap = F.abs(F.col("bad") / F.greatest("labelled", F.lit(1)) - (F.col("all_bad") - F.col("bad")) / F.greatest(other, F.lit(1)))
+    return (F.col("labelled") > 0) & (other > 0) & (gap > different * spread)
+
+
+def templates(urls: DataFrame, depth: int = DEPTH, support: int = SUPPORT, different: float = DIFFERENT) -> DataFrame:
     """Add ``template`` to rows ``(host, path, bad)``; ``bad`` is 1, 0 or null (not labelled). Staged."""
     segments = F.filter(F.split("path", "/"), lambda s: s != "")
     cut = F.when(F.size(segments) > depth, F.concat(F.slice(segments, 1, depth - 1), F.array(
@@ -71,22 +79,13 @@ def templates(urls: DataFrame, depth: int = DEPTH, rare: float = RARE, support:
             F.col("template").alias("node"), F.get("_segments", F.lit(level)).alias("segment"), F.lit(1).alias("n"),
             F.col("bad").isNotNull().cast("int").alias("labelled"), F.coalesce(F.col("bad"), F.lit(0)).alias("bad"))
         children = here.groupBy("node", "segment").agg(*_sums())
-        nodes = children.groupBy("node").agg(*(F.sum(c).alias(f"all_{c}") for c in ("n", "labelled", "bad")))
-        children = children.join(nodes, "node")
-        children = children.withColumn("branch", _generalised(F.col("segment"), F.col("n"), F.col("all_n"), rare, support))
-        branches = children.groupBy("node", "branch").agg(*_sums(), *(F.first(f"all_{c}").alias(f"all_{c}") for c in ("n", "labelled", "bad")))
-        # Two-proportion test of a branch against its siblings.
-        rate = F.col("all_bad") / F.greatest("all_labelled", F.lit(1))
-        other = F.col("all_labelled") - F.col("labelled")
-        spread = F.sqrt(rate * (1 - rate) * (1 / F.greatest("labelled", F.lit(1)) + 1 / F.greatest(other, F.lit(1))))
-        gap = F.abs(F.col("bad") / F.greatest("labelled", F.lit(1)) - (F.col("all_bad") - F.col("bad")) / F.greatest(other, F.lit(1)))
-        apart = (F.col("labelled") > 0) & (other > 0) & (gap > different * spread)
-        branches = branches.withColumn("name", F.when(apart, F.col("branch")).otherwise(F.lit("+")))
-        named = children.join(branches.select("node", "branch", "name"), ["node", "branch"]).select("node", "segment", "name", "branch")
-        literal = stage(named.filter("segment = branch").select("node", "segment", F.col("name").alias("literal")), "url-literals")
-        wild = stage(branches.filter("branch LIKE '*%'").select("node", F.col("branch").alias("_wild"), F.col("name").alias("wild")), "url-wildcards")
-        row = rows.withColumn("_segment", F.get("_segments", F.lit(level))).withColumn(
-            "_any", F.concat(F.lit("*"), F.regexp_extract("_segment", r"\.[A-Za-z][A-Za-z0-9]{0,4}\z", 0)))
+        nodes = children.groupBy("node").agg(*(F.sum(c).alias(f"all_{c}") for c in ("labelled", "bad")))
+        children = children.join(nodes, "node").withColumn("apart", (F.col("n") >= support) & _apart(different))
+        literal = stage(children.filter("apart").select("node", "segment", F.col("segment").alias("literal")), "url-literals")
+        branches = children.filter("NOT apart").groupBy("node", _any(F.col("segment")).alias("_wild")).agg(
+            *_sums(), *(F.first(f"all_{c}").alias(f"all_{c}") for c in ("labelled", "bad")))
+        wild = stage(branches.select("node", "_wild", F.when(_apart(different), F.col("_wild")).otherwise(F.lit("+")).alias("wild")), "url-wildcards")
+        row = rows.withColumn("_segment", F.get("_segments", F.lit(level))).withColumn("_any", _any(F.col("_segment")))
         going, done = row.filter("_segment IS NOT NULL"), row.filter("_segment IS NULL")
         joined = going.join(literal, (going["template"] == literal["node"]) & (going["_segment"] == literal["segment"]), "left").drop("node", "segment")
         joined = joined.join(wild, (joined["template"] == wild["node"]) & (joined["_any"] == wild["_wild"]), "left").drop("node", "_wild")

@@ -257,6 +257,15 @@ def test_url_templates(spark):
     assert url_templates.judge(pages.limit(0), RULES).count() == 0
 
 
+def test_url_sections_of_a_small_share_stay_apart(spark):
+    rows = [(s * 100 + i, f"http://big.net/s{s}/{i}", int(s == 7)) for s in range(40) for i in range(25)]
+    rows += [(9000 + i, f"http://big.net/rare{i}/x", None) for i in range(5)]
+    found = url_templates.judge(spark.createDataFrame(rows, "page_id bigint, url string, bad int"), []).toPandas()
+    bad = found["path"].str.startswith("/s7/")
+    assert len(found) == len(rows) and set(found.loc[bad, "verdict"]) == {"block"} and set(found.loc[~bad, "verdict"]) == {"allow"}
+    assert found.loc[bad, "template"].str.startswith("big.net/s7").all() and set(found.loc[~bad, "template"].str.split("/").str[1]) == {"*"}
+
+
 # 6 ------------------------------------------------------------------------------------------------------------------------
 
 def components_by_hand(texts, width, percent):
