@@ -1,6 +1,7 @@
 """Secret scans: candidates found by pattern, false positives removed by a random forest.
 
-Candidates are long runs of key characters. Their features are length, character transitions (changes of
+Candidates are long runs of key characters, and whatever is assigned to a name that announces a secret from four characters on
+(a run inside such a value is not a finding of its own, unless it is an issued key or the value a URL). Their features are length, character transitions (changes of
 character class, and how likely the letters follow each other in the corpus' words), dictionary coverage (greatest part of the
 letters that corpus words cover), path (slashes, and words of the document's path) and neighbouring words.
 The forest is Spark's, trained on all labelled findings that are not held out.
@@ -35,10 +36,19 @@ SEED = 11
 
 _RUN = re.compile(r"[A-Za-z0-9+/_-]{12,}={0,2}")
 _WORD = re.compile(r"[a-z]{2,15}")
-_BEFORE = re.compile(r"([A-Za-z_-]*)(\s*[=:]\s*|\s+)?([\"'`(]*)\Z")
+# A name (with the quote that closes it), what links it to the value, and the quote that opens the value.
+_BEFORE = re.compile(r"((?:[A-Za-z_-][A-Za-z0-9_.-]*+)?)(?:[\"'`\])\\]*)(\s*(?:=>|:=|={1,3}|:)\s*(?:[bruf]{1,2}(?=[\"']))?|\s+)?([\"'`(\\]*)\Z", re.IGNORECASE)
 # Words that announce a secret, words of paths without real ones, and issuers' key formats.
 _ANNOUNCE = ("password", "passwd", "pwd", "secret", "token", "apikey", "api_key", "api-key", "credential", "bearer")
 _HARMLESS = ("test", "example", "sample", "docs", "spec", "mock")
+# What follows an announcing word when a value is assigned: the rest of the name, the link, and the value, quoted or bare.
+_ASSIGNED = re.compile(r"[A-Za-z0-9_.-]{0,40}[\"'`\])\\]*\s{0,20}(?:=>|:=|={1,3}|:)\s{0,20}(?:[bruf]{1,2}(?=[\"']))?"
+                       r"(?:[(\\]*[\"'`]([^\s\"'`\\]{4,})|\(*((?:(?!&\w+=)[^\s\"'`,;(){}<>\[\]\\]){4,}))", re.IGNORECASE)
+_WORDLIKE = re.compile(r"(?=.*[AEIOUYaeiouy])(?!.*[b-df-hj-np-tv-xzB-DF-HJ-NP-TV-XZ]{6})[A-Z]?[a-z]*|(?=.*[AEIOUY])(?!.*[B-DF-HJ-NP-TV-XZ]{6})[A-Z]+")
+_HUMPS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[A-Z]")
+_SHORT = re.compile(r"[a-z]{1,4}|[A-Z]{1,4}")
+_PLACEHOLDER = re.compile(r"(.)\1*|[\W_]+|\$\{?\w+\}?|%\w+%|\{+[\w.-]+\}+|\[?redacted\]?|(your|my|some|the)[_-]?[a-z_-]*(password|passwd|pwd|secret|token|key|credential)[a-z_-]*"
+                          r"|change[_-]?me|place[_-]?holder|(ex|s)ample[a-z_-]*|dummy[a-z_-]*|none|null|undefined|todo|x{3,}[a-z0-9_-]*|(0?1234567890?)+", re.IGNORECASE)
 _ISSUED = re.compile(r"(AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abpr]-[A-Za-z0-9-]{20,}|AIza[0-9A-Za-z_-]{35}|sk_live_[0-9A-Za-z]{24,}")
 
 FEATURES = ("length", "digits", "upper", "lower", "class_changes", "distinct", "letter_odds", "covered", "slashes", "path_depth", "harmless_path",
@@ -92,7 +102,7 @@ _CLASSES = np.array([_class(c) for c in range(128)])
 def finding_features(text: str, start: int, end: int, path: str | None, known: Dictionary) -> list[float]:
     run = text[start:end]
     codes = np.frombuffer(run.encode(), np.uint8)
-    kinds = _CLASSES[codes]
+    kinds = _CLASSES[np.minimum(codes, 127)]
     share = np.bincount(kinds, minlength=4) / len(codes)
     lower = run.lower()
     letters = np.frombuffer(lower.encode(), np.uint8).astype(int) - 97
@@ -103,16 +113,61 @@ def finding_features(text: str, start: int, end: int, path: str | None, known: D
     name, where = name.lower(), (path or "").lower()
     return [float(np.log(len(run))), share[0], share[1], share[2], float((kinds[1:] != kinds[:-1]).mean()), len(set(run)) / len(run), odds,
             coverage(re.sub("[^a-z]", "", lower), known.words), run.count("/") / len(run), float(where.count("/")),
-            float(any(w in where for w in _HARMLESS)), float(any(w in name for w in _ANNOUNCE)), float("=" in (link or "") or ":" in (link or "")),
+            float(any(w in where for w in _HARMLESS)), float(any(w in name for w in _ANNOUNCE)), float(bool((link or "").strip())),
             float(bool(quote)), float(name in known.words), float(after in known.words)]
 
 
-def labelled_by_format(text: str, start: int, end: int) -> int:
-    """1 for issued key formats and for values that are assigned to an announced secret, else 0."""
-    name, link, _ = _BEFORE.search(text, max(0, start - 60), start).groups()
+def candidates(text: str) -> list[tuple[int, int]]:
+    """Places of long runs, and of values assigned to an announcing name."""
+    low, values = text.replace("\u0130", "i").lower(), set()
+    for word in _ANNOUNCE:
+        at = low.find(word)
+        while at >= 0:
+            found = _ASSIGNED.match(text, at + len(word))
+            if found:
+                start, end = found.span(found.lastindex)
+                while found.lastindex == 2 and text[end - 1] in ".:":
+                    end -= 1
+                if end - start >= 4:
+                    values.add((start, end))
+            at = low.find(word, at + len(word))
+    covers, spans, reach = sorted(values), set(values), 0
+    for m in _RUN.finditer(text) if covers else ():
+        while reach < len(covers) and covers[reach][1] < m.end():
+            reach += 1
+        inside = reach < len(covers) and covers[reach][0] <= m.start()
+        if not inside or "://" in text[slice(*covers[reach])] or _ISSUED.fullmatch(m.group()):
+            spans.add(m.span())
+    return sorted(spans) if covers else [m.span() for m in _RUN.finditer(text)]
+
+
+def reads_as_words(run: str) -> bool:
+    """Words, identifiers and paths: pieces of letters whose humps have vowels (or of at most four letters), and whole numbers of at most eight digits."""
+    word = False
+    for piece in re.split(r"[^A-Za-z0-9]+", run) if run.isascii() else ():
+        if piece.isdigit() and len(piece) <= 8:
+            continue
+        humps = _HUMPS.findall(piece) if piece.isalpha() else []
+        if humps and all(map(_WORDLIKE.fullmatch, humps)):
+            word = word or max(map(len, humps)) > 2
+        elif piece and not _SHORT.fullmatch(piece):
+            return False
+    return word
+
+
+def labelled_by_format(text: str, start: int, end: int) -> int | None:
+    """1 for issued key formats and for values with digits that are assigned to an announced secret, 0 for placeholders and what
+    reads as words or a path, null without evidence of either kind and where both kinds stand against each other."""
+    name, link, quote = _BEFORE.search(text, max(0, start - 60), start).groups()
     run = text[start:end]
-    assigned = (link or "").strip() in ("=", ":") and any(w in name.lower() for w in _ANNOUNCE)
-    return int(bool(_ISSUED.fullmatch(run)) or (assigned and any(c.isdigit() for c in run)))
+    if _ISSUED.fullmatch(run):
+        return 1
+    if _PLACEHOLDER.fullmatch(run):
+        return 0
+    assigned = bool((link or "").strip()) and any(w in name.lower() for w in _ANNOUNCE)
+    if assigned and "://" not in run and any(c.isdigit() for c in run):
+        return 1 if len(run) >= 12 or not run.isdigit() else None
+    return 0 if reads_as_words(run) and not (assigned and quote) else None
 
 
 def findings(docs: DataFrame, known: Dictionary, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source", label=labelled_by_format) -> DataFrame:
@@ -130,12 +185,12 @@ def findings(docs: DataFrame, known: Dictionary, id_col: str = "doc_id", text_co
                  pa.array(runs, pa.string()), pa.array(labels, pa.int32()), pa.array(numbers, pa.list_(pa.float64()))],
                 names=["doc_id", "start", "n_chars", "candidate", "label", "features"])
         for doc_id, text, path in zip(*(chunk.column(c).to_pylist() for c in ("doc_id", "text", "path"))):
-            for m in _RUN.finditer(text or ""):
+            for start, end in candidates(text or ""):
                 ids.append(doc_id)
-                spans.append(m.span())
-                runs.append(m.group())
-                labels.append(label(text, *m.span()))
-                numbers.append(finding_features(text, *m.span(), path, words))
+                spans.append((start, end))
+                runs.append(text[start:end])
+                labels.append(label(text, start, end))
+                numbers.append(finding_features(text, start, end, path, words))
             if len(ids) >= 10_000:
                 yield batch()
                 ids, spans, runs, labels, numbers = [], [], [], [], []
