@@ -6,8 +6,8 @@ character class, and how likely the letters follow each other in the corpus' wor
 letters that corpus words cover), path (slashes, and words of the document's path) and neighbouring words.
 The forest is Spark's, trained on all labelled findings that are not held out.
 
-The dictionary holds the ``words`` most frequent words of the corpus, counted over all texts in chunks (a word must reach three in a
-chunk to count there) and so bounded. A finding gives its place in the text, so repeated rows give repeated findings; null
+The dictionary holds the words that make up at least ``min_rate`` of all words of the corpus (and stand ``MIN_COUNT`` times), and so at
+most ``1 / min_rate`` words at any size. Words and letter pairs are counted over all texts, however these are partitioned. A finding gives its place in the text, so repeated rows give repeated findings; null
 and empty texts have none. With labels of one kind only, that kind is predicted.
 """
 
@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 from quern.llm.text import map_chunks, text_bytes
 from quern.session import stage
 
-WORDS = 20_000
+MIN_RATE = 2e-6
+MIN_COUNT = 3
 CHUNK_BYTES = 8 << 20
 TREES = 30
 DEPTH = 8
@@ -61,24 +62,26 @@ class Dictionary:
     odds: np.ndarray
 
     @staticmethod
-    def of(counts: dict[str, int]) -> Dictionary:
+    def of(words: Iterable[str], pair_counts: dict[str, int]) -> Dictionary:
         pairs = np.full((26, 26), 0.5)
-        for word, n in counts.items():
-            codes = np.frombuffer(word.encode(), np.uint8) - 97
-            np.add.at(pairs, (codes[:-1], codes[1:]), n)
-        return Dictionary(frozenset(counts), np.log(pairs / pairs.sum(1, keepdims=True)))
+        for (a, b), n in pair_counts.items():
+            pairs[ord(a) - 97, ord(b) - 97] += n
+        return Dictionary(frozenset(words), np.log(pairs / pairs.sum(1, keepdims=True)))
 
 
-def corpus_words(docs: DataFrame, text_col: str = "text", words: int = WORDS) -> Dictionary:
+def corpus_words(docs: DataFrame, text_col: str = "text", min_rate: float = MIN_RATE) -> Dictionary:
     def work(chunk: pa.Table) -> Iterator[pa.RecordBatch]:
         counts = Counter()
         for text in chunk.column(text_col).to_pylist():
             counts.update(_WORD.findall((text or "").lower()))
-        often = [(w, n) for w, n in counts.items() if n >= 3]
-        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in often], pa.string()), pa.array([n for _, n in often], pa.int64())], names=["word", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
     found = map_chunks(docs, [text_col], text_bytes(text_col), CHUNK_BYTES, work, "word string, n bigint")
-    top = found.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "word").limit(words)
-    return Dictionary.of({r["word"]: r["n"] for r in top.toLocalIterator()})
+    counts = stage(found.groupBy("word").agg(F.sum("n").alias("n")), "words")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    often = counts.filter(F.col("n") >= max(MIN_COUNT, min_rate * total)).select("word")
+    places = counts.filter(F.length("word") > 1).withColumn("at", F.explode(F.sequence(F.lit(1), F.length("word") - 1)))
+    pairs = places.groupBy(F.expr("substring(word, at, 2)").alias("pair")).agg(F.sum("n").alias("n"))
+    return Dictionary.of((r[0] for r in often.toLocalIterator()), dict(pairs.collect()))
 
 
 def coverage(letters: str, words: frozenset) -> float:

@@ -360,6 +360,18 @@ def test_runs_beside_assigned_values_stay():
     assert [text[a:b] for a, b in secrets.candidates(text)] == ["Zk39!abcdefghijkl", "abcdefghijklmnop", "https://x.com/abcdefghijklmno", "com/abcdefghijklmno"]
 
 
+def test_secret_dictionary_counts_all_texts_alike_in_any_partitioning(spark):
+    rows = [(i, "seldom" if i % 10 == 0 else f"only{'abcdefghij'[i % 10] * (2 + i // 10)}", None) for i in range(80)]
+    one, many = (secrets.corpus_words(table(spark, rows).repartition(n)) for n in (1, 16))
+    counts = Counter(w for _, t, _ in rows for w in re.findall("[a-z]{2,15}", t))
+    assert one.words == many.words == {w for w, n in counts.items() if n >= secrets.MIN_COUNT} and "seldom" in many.words
+    pairs = np.full((26, 26), 0.5)
+    for word, n in counts.items():
+        for a, b in zip(word, word[1:]):
+            pairs[ord(a) - 97, ord(b) - 97] += n
+    assert np.allclose(one.odds, np.log(pairs / pairs.sum(1, keepdims=True))) and (one.odds == many.odds).all()
+
+
 # 8 ------------------------------------------------------------------------------------------------------------------------
 
 def signed(v):
