@@ -36,8 +36,9 @@ def _heads(array: Column, part: Callable[[Column], Column]) -> Column:
     return F.filter(_places(array), lambda j: (j == 0) | (part(F.get(array, j)) != part(F.get(array, j - 1))))
 
 
-def with_fingerprint(df: DataFrame, text_col: str, name: str, k: int = K, sketch_bits: int = SKETCH_BITS) -> DataFrame:
+def with_fingerprint(df: DataFrame, text_col: str, name: str, k: int = K, sketch_bits: int = SKETCH_BITS, fill: bool = False) -> DataFrame:
     """Add column ``name``: array<int> of the filled bins' tuple hashes (bin in the lowest bits), in order of bins.
+    ``fill`` completes bins of one k-mer; fingerprints with and without it are not comparable.
 
     Each step is a column of its own because an expression used within a lambda is evaluated per element.
     """
@@ -70,6 +71,8 @@ def with_fingerprint(df: DataFrame, text_col: str, name: str, k: int = K, sketch
         first, second = F.get(t, i), F.get(t, i + 1)
         bin_ = F.shiftright(first, 63 - sketch_bits)
         pair = F.shiftright(second, 63 - sketch_bits) == bin_
+        if fill:
+            second, pair = F.coalesce(second, F.get(t, F.lit(0))), F.size(t) > 1
         a, b = F.shiftright(first, 28), F.shiftright(second, 28)
         ordered = first.bitwiseAND(F.lit(_PLACE)) < second.bitwiseAND(F.lit(_PLACE))
         h = F.when(pair & ordered, F.xxhash64(a, b)).when(pair, F.xxhash64(b, a)).otherwise(F.xxhash64(a))

@@ -88,11 +88,11 @@ def op2_katz(spark: SparkSession, d: str) -> DataFrame:
 def op8_order_minhash(spark: SparkSession, d: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, and how alike they and the next document's are."""
     docs = table(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    docs = order_minhash.with_next(order_minhash.with_fingerprint(docs, "text", "print"), "doc_id", "text", ["text", "print"])
+    docs = order_minhash.with_next(order_minhash.with_fingerprint(docs, "text", "print", fill=True), "doc_id", "text", ["text", "print"])
     docs = docs.withColumn("n_chars", F.length("text").cast("bigint"))
     cut = F.floor(F.col("n_chars") / 3).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.length("text") - cut), F.substring("next_text", F.lit(1), cut))
-    docs = order_minhash.with_fingerprint(docs.withColumn("edited", edited), "edited", "edited_print")
+    docs = order_minhash.with_fingerprint(docs.withColumn("edited", edited), "edited", "edited_print", fill=True)
     return docs.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), order_minhash.as_text(F.col("print")).alias("fingerprint"),
         order_minhash.as_text(F.col("edited_print")).alias("edited_fingerprint"),

@@ -415,6 +415,23 @@ def test_fingerprint_equals_brute_force(spark, docs, nothing):
     assert [r[0] for r in pair.select(order_minhash.likeness(F.col("a"), F.col("b"), 6)).collect()] == [1 / 4, 1.0, 0.0]
 
 
+def test_moved_blocks_of_short_texts_are_not_near_copies(spark):
+    rng = random.Random(3)
+    rows = []
+    for n in (10, 12, 20, 40, 80):
+        for _ in range(40):
+            words = [f"w{rng.randrange(10_000)}" for _ in range(n)]
+            rows.append((n, " ".join(words), " ".join(words[n // 2:] + words[:n // 2])))
+    rows += [(2, "a b", "a b"), (1, "a", "a"), (0, "", "")]
+    df = spark.createDataFrame(rows, "n int, a string, b string")
+    for c in "ab":
+        df = order_minhash.with_fingerprint(df, c, f"print_{c}", fill=True)
+    like = df.select("n", order_minhash.likeness(F.col("print_a"), F.col("print_b")).alias("x"))
+    means = {r["n"]: r["x"] for r in like.groupBy("n").agg(F.avg("x").alias("x")).collect()}
+    print(means)
+    assert all(means[n] == 1 for n in (0, 1, 2)) and all(means[n] < 0.6 for n in (10, 12, 20, 40, 80))
+
+
 @pytest.mark.parametrize("ids", [list(range(40)), [5] * 3 + list(range(30)), [None] * 4 + list(range(0, -20, -1)), [7], [None]])
 def test_next_row_in_descending_order(spark, ids):
     rows = [(i, f"text {n}") for n, i in enumerate(ids)]
