@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import contamination, jaccard, katz, line_dedup, mixing, order_minhash, quality, secrets, url_templates, warc
+from quern.llm import (bag_search, contamination, jaccard, katz, language, line_dedup, mixing, order_minhash, quality, secrets, spelling,
+                       url_templates, warc)
 from quern.llm.registry import query
 from quern.session import new_folder
 
@@ -133,3 +134,62 @@ def op7_secrets(spark: SparkSession, d: str) -> DataFrame:
     """Every candidate secret of every document with the forest's verdict."""
     found = secrets.scan(table(spark, d, "documents"))
     return found.select("doc_id", "start", "n_chars", F.sha2("candidate", 256).alias("candidate_sha256"), "held_out", "label", "score", "predicted")
+
+
+_TERMS = r"regexp_extract_all({0}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')".format(_FOLD.format("coalesce(text, '')"))
+
+
+@query(rf"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, {_TERMS} AS w FROM documents),
+i AS (SELECT row_number() OVER () AS item, item_id, {_TERMS} AS w FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+asked AS (SELECT item, term, count(*) AS q FROM (SELECT item, unnest(w) AS term FROM i) GROUP BY ALL),
+totals AS (SELECT count(*)::BIGINT AS n_docs, sum(len(w))::BIGINT AS length FROM d WHERE len(w) > 0),
+marks AS (SELECT row, doc_id, 75 + (25 * len(w)::BIGINT * n_docs) // length AS m FROM d, totals WHERE len(w) > 0),
+tfs AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weights AS (SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tfs, totals GROUP BY term),
+scores AS (SELECT item, row, sum(q * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM asked JOIN tfs USING (term) JOIN weights USING (term) JOIN marks USING (row) GROUP BY item, row),
+ranked AS (SELECT item, doc_id, score, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id ASC NULLS LAST)::INTEGER AS rank
+  FROM scores JOIN marks USING (row) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked JOIN i USING (item) WHERE rank <= 20""")
+def op11_bag_search(spark: SparkSession, d: str) -> DataFrame:
+    """The 20 best documents of every benchmark item, scored by classes of equal documents."""
+    return bag_search.search(table(spark, d, "benchmark"), table(spark, d, "documents"), k=20)
+
+
+_RUN = "[A-Za-z\u00C0-\u00FF]+"
+
+
+@query(rf"""
+WITH RECURSIVE crc AS (SELECT list(list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]),
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) r(i)),
+runs AS (SELECT coalesce(doc_id::VARCHAR, '') AS id, run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all({_FOLD.format("text")}, '{_RUN}')) AS run FROM documents) GROUP BY ALL),
+bytes AS (SELECT run, n, list_prepend(4294967295, flatten(list_transform(string_split(id || ':' || run, ''),
+    lambda c: CASE WHEN ord(c) < 128 THEN [ord(c)::BIGINT] ELSE [192 + (ord(c) >> 6)::BIGINT, 128 + (ord(c) & 63)::BIGINT] END))) AS b FROM runs),
+hashed AS (SELECT run, n, xor(list_reduce(b, lambda h, x: xor(h >> 8, t[(xor(h, x) & 255) + 1])), 4294967295) AS h FROM bytes, crc),
+damaged AS (SELECT n, CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM damaged WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+cuts AS (SELECT word, length(word) AS l, i, left(word, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+longer AS (SELECT DISTINCT c.word AS a, w.word AS b FROM cuts c JOIN words w ON c.rest = w.word),
+pairs AS (SELECT a, b FROM longer UNION SELECT b, a FROM longer UNION
+  SELECT x.word, y.word FROM cuts x JOIN cuts y ON x.i = y.i AND x.rest = y.rest AND x.l = y.l AND x.word <> y.word),
+near AS (SELECT a AS word, count(*) AS n_near, max(n) AS most FROM pairs JOIN words ON b = word GROUP BY a),
+best AS (SELECT near.word, min(b) AS best FROM near JOIN pairs ON a = near.word JOIN words w ON w.word = b AND w.n = most GROUP BY near.word),
+formed AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 2 * w.n THEN best END AS form,
+  CASE WHEN most >= 2 * w.n THEN most END AS form_n FROM words w LEFT JOIN near USING (word) LEFT JOIN best USING (word)),
+ways AS (SELECT word, word AS stop FROM formed UNION ALL SELECT ways.word, f.form FROM ways JOIN formed f ON f.word = ways.stop WHERE f.form IS NOT NULL),
+ends AS (SELECT ways.word, stop AS root FROM ways JOIN formed f ON f.word = stop WHERE f.form IS NULL)
+SELECT word, n, n_near, form, form_n, root FROM formed JOIN ends USING (word)""")
+def op12_spelling_variants(spark: SparkSession, d: str) -> DataFrame:
+    """Every word with its number of near words, its form and its root."""
+    return spelling.group_variants(table(spark, d, "documents"))
+
+
+@query()
+def op13_language(spark: SparkSession, d: str) -> DataFrame:
+    """Language of every document."""
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang")
+    found = language.predict(docs, language.fit(docs), keep=["doc_id"])
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "ambiguous")
