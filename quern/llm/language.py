@@ -91,9 +91,11 @@ def chunk_words(texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndar
 
 def code_matrix(n: int) -> np.ndarray:
     """Codewords of ``n`` languages as rows of -1 and 1."""
+    if n < 2:
+        return np.ones((n, 0), dtype=np.int8)
     if n <= 7:
         columns = [c for c in product((1, -1), repeat=n) if -1 in c and c[0] == 1]
-        return np.array(columns, dtype=np.int8).reshape(-1, n).T
+        return np.array(columns, dtype=np.int8).T
     rng, best, spaced = np.random.default_rng(n), None, -1
     for _ in range(TRIES):
         codes = rng.choice(np.array([-1, 1], dtype=np.int8), size=(n, math.ceil(15 * math.log2(n))))
