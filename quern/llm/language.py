@@ -9,7 +9,8 @@ the smaller name; ``ambiguous`` flags a runner-up within ``AMBIGUOUS``.
 
 The codes are exhaustive up to seven languages, else the best spaced of ``TRIES`` seeded random matrices.
 
-Training reads at most ``PER_LANGUAGE`` rows of each language (those of smallest hash of id and text). Their n-grams are counted in
+Training reads at most ``PER_LANGUAGE`` rows of each language (those of smallest hash of id and text); more than ``MAX_LANGUAGES``
+languages raise an error, so the shares drawn per language are a small table, sent to the scan. Their n-grams are counted in
 Spark; the driver holds languages x ``BUCKETS`` counts and one margin per bit and training row. All rows are scored in the scan, whole texts,
 with the scores of a chunk's distinct words looked up once. Ids, languages and sources are no features.
 
@@ -35,6 +36,7 @@ from quern.llm.text import map_chunks, text_bytes, unused
 from quern.session import stage
 
 PER_LANGUAGE = 2_000
+MAX_LANGUAGES = 1_000
 ORDERS = 4
 BITS = 16
 BUCKETS = 1 << BITS
@@ -154,9 +156,12 @@ def training_rows(docs: DataFrame, text_col: str, id_col: str, lang_col: str, pe
     """``(lang, text)``: at most ``per_language`` rows of each language. A row count per language first bounds what is shuffled."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).filter(
         F.col("lang").isNotNull() & F.col("id").isNotNull() & ~held_out(F.col("id")) & F.col("text").rlike(r"\p{L}"))
-    rates = rows.groupBy("lang").agg((1.2 * per_language / F.count("*")).alias("rate"))
-    drawn = rows.withColumn("draw", F.xxhash64("id", "text")).join(rates, "lang").filter(
-        F.pmod("draw", F.lit(1 << 30)) / float(1 << 30) < F.col("rate") + F.lit(50) * F.col("rate") / per_language)
+    counted = rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
+    if len(counted) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    rates = docs.sparkSession.createDataFrame([(r["lang"], (1.2 * per_language + 50) / r["count"]) for r in counted], "lang string, rate double")
+    drawn = rows.withColumn("draw", F.xxhash64("id", "text")).join(F.broadcast(rates), "lang").filter(
+        F.pmod("draw", F.lit(1 << 30)) / float(1 << 30) < F.col("rate"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("draw", F.lit(1 << 30)), "draw", "id"))
     return drawn.withColumn("place", place).filter(F.col("place") <= per_language).select("lang", "text")
 
