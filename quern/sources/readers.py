@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quern.schemas import RAW_QUESTION
+from quern.sources.quoted import ORDER, scan_quoted
 
 BAD = "_bad"
 
@@ -33,12 +34,13 @@ def split_quarantine(loaded: DataFrame) -> tuple[DataFrame, DataFrame]:
             loaded.where(F.col(BAD).isNotNull()).select("file_name", BAD))
 
 
-def _tsv(spark: SparkSession, paths: str | list[str], columns: list[str], multi_line: bool) -> DataFrame:
+def _tsv(spark: SparkSession, paths: str | list[str], columns: list[str]) -> DataFrame:
+    """One record per line; quotes do not reach over line breaks."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, BAD]])
     return (
         spark.read.schema(schema)
         .option("sep", "\t").option("quote", '"').option("escape", '"')
-        .option("multiLine", str(multi_line).lower()).option("mode", "PERMISSIVE")
+        .option("mode", "PERMISSIVE")
         .option("columnPruning", "false")  # short rows are only recognised when all columns are parsed
         .option("columnNameOfCorruptRecord", BAD)
         .csv(paths)
@@ -51,18 +53,25 @@ def read_passages(spark: SparkSession, paths: str | list[str], domain: str | Non
 
     A row with one column is skipped, a row with more keeps its first two, an
     empty passage is kept. The domain is the folder name unless given.
-    ``multi_line`` honours line breaks inside quotes, at the price of one task
-    per file: store a large corpus as many files, or switch it off when no
-    passage holds a line break and the files can be split. ``with_order`` adds the
+    ``multi_line`` honours line breaks inside quotes; the files are split all the same (see
+    ``quoted``), for another pass over them. ``with_order`` adds the
     columns that order rows as they stand in the files.
     """
-    rows = _tsv(spark, paths, ["pid", "passage"], multi_line)
-    folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
-    passage = F.coalesce("passage", F.lit(""))
-    return rows.where(F.col("passage").isNotNull() | F.col(BAD).isNull()).select(
-        F.coalesce("pid", F.lit("")).alias("pid"), passage.alias("passage"),
-        (F.lit(domain) if domain else folder).alias("domain"), passage.alias("chunk_text"),
-        *(in_file_order() if with_order else []))
+    rows = _two_columns(spark, paths, "pid", "passage", multi_line)
+    folder = F.element_at(F.split(F.col("_file"), "/"), -2)
+    return rows.select("pid", "passage", (F.lit(domain) if domain else folder).alias("domain"), F.col("passage").alias("chunk_text"),
+                       *(ORDER if with_order else []))
+
+
+def _two_columns(spark: SparkSession, paths: str | list[str], first: str, second: str, multi_line: bool) -> DataFrame:
+    """The first two columns of rows that have them, and the columns of ``in_file_order``."""
+    if multi_line:
+        fields = F.col("fields")
+        return scan_quoted(spark, paths).where(F.size(fields) >= 2).select(
+            fields[0].alias(first), fields[1].alias(second), *ORDER)
+    rows = _tsv(spark, paths, [first, second])
+    return rows.where(F.col(second).isNotNull() | F.col(BAD).isNull()).select(
+        F.coalesce(first, F.lit("")).alias(first), F.coalesce(second, F.lit("")).alias(second), *in_file_order())
 
 
 def in_file_order() -> list:
@@ -82,10 +91,7 @@ def last_wins(rows: DataFrame, key: str, value: str, order: list[str]) -> DataFr
 
 def read_queries(spark: SparkSession, paths: str | list[str], multi_line: bool = True) -> DataFrame:
     """``query_id, query_text``; the last row of a repeated id wins."""
-    rows = _tsv(spark, paths, ["query_id", "query_text"], multi_line)
-    kept = rows.where(F.col("query_text").isNotNull() | F.col(BAD).isNull()).select(
-        "query_id", F.coalesce("query_text", F.lit("")).alias("query_text"), *in_file_order())
-    return last_wins(kept, "query_id", "query_text", ["_file", "_block", "_row"])
+    return last_wins(_two_columns(spark, paths, "query_id", "query_text", multi_line), "query_id", "query_text", ORDER)
 
 
 def read_qrels(spark: SparkSession, paths: str | list[str], last_only: bool = False) -> DataFrame:
@@ -93,11 +99,11 @@ def read_qrels(spark: SparkSession, paths: str | list[str], last_only: bool = Fa
 
     All pairs are kept unless ``last_only``, which keeps the last pid per query.
     """
-    rows = _tsv(spark, paths, ["query_id", "iteration", "pid", "grade"], False)
+    rows = _tsv(spark, paths, ["query_id", "iteration", "pid", "grade"])
     full = F.col(BAD).isNull() | F.col("grade").isNotNull()
     kept = rows.where(full).select("query_id", "pid", *in_file_order())
     if last_only:
-        return last_wins(kept, "query_id", "pid", ["_file", "_block", "_row"])
+        return last_wins(kept, "query_id", "pid", ORDER)
     return kept.select("query_id", "pid")
 
 
