@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern import schemas
@@ -13,6 +16,7 @@ from quern.plans import sql
 from quern.plans.registry import query
 from quern.session import new_folder, stage
 from quern.sources import names, readers, sinks
+from quern.sources.keyed import KeyedTable
 from quern.streaming import incremental
 
 
@@ -139,8 +143,96 @@ def upsert_by_key(spark, d):
     rows = fx.table(spark, d, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_linestatus")
     keys, version = ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey"]
-    stored = sinks.latest_by_key(rows.where("l_linestatus <> 'F'"), keys, version)
-    return sinks.upsert(stored, rows.where("l_linestatus = 'F'"), keys, version)
+    table = KeyedTable.create(spark, new_folder(spark, "lines"), rows.schema, keys, buckets=8)
+    table.load(rows.where("l_linestatus <> 'F'"), version)
+    table.load(rows.where("l_linestatus = 'F'"), version)
+    return table.read()
+
+
+@query("""
+SELECT p_partkey AS doc_id, p_type AS category_name,
+  CASE WHEN p_partkey % 3 = 0 AND p_type >= 'M' THEN 'second ' || p_name ELSE p_name END AS item_name FROM part""")
+def load_two_categories(spark, d):
+    """Categories loaded one after the other into one table; the second load also brings rows anew, a third one fails."""
+    docs = fx.catalog(spark, d).select("doc_id", "category_name", "item_name")
+    table = KeyedTable.create(spark, new_folder(spark, "products"), docs.schema, ["doc_id"], buckets=8, sort=["category_name"])
+    table.load(docs.where("category_name < 'M' OR doc_id % 3 = 0"), ["item_name"])
+    renamed = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("second "), "item_name")).otherwise(F.col("item_name"))
+    table.load(docs.where("category_name >= 'M'").withColumn("item_name", renamed), ["item_name"])
+    try:
+        table.load(docs.withColumn("item_name", F.lit(0)), ["item_name"])
+    except schemas.SchemaConflict:
+        return table.read()
+    raise AssertionError("numbers were loaded into a text column")
+
+
+@query("""
+SELECT 'created' AS step, 0 AS version, 0::BIGINT AS n_rows UNION ALL SELECT 'loaded', 1, count(*) FROM customer
+UNION ALL SELECT 'kept', 1, count(*) FROM customer UNION ALL SELECT 'refused', 1, count(*) FROM customer
+UNION ALL SELECT 'replaced', 2, 0 UNION ALL SELECT 'loaded again', 3, count(*) FROM supplier
+UNION ALL SELECT 'older version', 1, count(*) FROM customer UNION ALL SELECT 'deleted', 4, 0""")
+def table_create_modes(spark, d):
+    """What a table holds after each way to create it."""
+    customers = fx.table(spark, d, "customer").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"))
+    suppliers = fx.table(spark, d, "supplier").select(F.col("s_suppkey").alias("key"), F.col("s_name").alias("name"))
+    path, steps = new_folder(spark, "modes"), []
+
+    def note(step: str, table: KeyedTable, version: int | None = None) -> None:
+        shown = table.version if version is None else version
+        steps.append(table.read(version).agg(F.lit(step).alias("step"), F.lit(shown).alias("version"), F.count("*").alias("n_rows")))
+
+    def created(if_exists: str) -> KeyedTable:
+        return KeyedTable.create(spark, path, customers.schema, ["key"], buckets=4, if_exists=if_exists)
+    table = created("error")
+    note("created", table)
+    table.load(customers, ["name"])
+    note("loaded", table)
+    note("kept", created("keep"))
+    try:
+        created("error")
+    except FileExistsError:
+        note("refused", table)
+    note("replaced", created("replace"))
+    table.load(suppliers, ["name"])
+    note("loaded again", table)
+    note("older version", table, 1)
+    table.delete(suppliers)
+    note("deleted", table)
+    return reduce(DataFrame.unionByName, steps)
+
+
+@query("""
+SELECT p_partkey AS doc_id, i AS position, [p_type, p_brand, p_name][i + 1] AS answer_text,
+  CASE WHEN p_partkey % 2 = 0 THEN p_size::DOUBLE / 2 ELSE p_size END AS rating, CASE WHEN p_partkey % 2 = 0 THEN p_brand END AS author
+FROM (SELECT *, unnest(range(p_partkey % 4)) AS i FROM part)
+UNION ALL SELECT -1, 0, 'answers[].rating: double stored, string incoming', NULL, NULL""")
+def nested_schema_evolution(spark, d):
+    """Answers whose ratings widen and that gain an author; ratings of another type are reported with their path."""
+    docs = fx.catalog(spark, d)
+    answers = lambda *fields: F.transform("answers", lambda a: F.struct(a["answer_text"].alias("answer_text"), *fields))
+    whole = F.col("size").cast("int").alias("rating")
+    halves, author = (F.col("size") / 2).alias("rating"), F.col("brand_name").alias("author")
+    first = docs.where("doc_id % 2 = 1").select("doc_id", answers(whole).alias("answers"))
+    second = docs.where("doc_id % 2 = 0").select("doc_id", answers(author, halves).alias("answers"))
+    table = KeyedTable.create(spark, new_folder(spark, "nested"), first.schema, ["doc_id"], buckets=8)
+    table.load(first, ["doc_id"])
+    table.load(second, ["doc_id"])
+    found = table.read().select("doc_id", F.posexplode("answers").alias("position", "a")).select(
+        "doc_id", F.col("position").cast("bigint").alias("position"), "a.answer_text", "a.rating", "a.author")
+    try:
+        table.load(docs.select("doc_id", answers(F.lit("five").alias("rating")).alias("answers")), ["doc_id"])
+    except schemas.SchemaConflict as conflict:
+        return found.unionByName(spark.createDataFrame([(-1, 0, str(conflict), None, None)], found.schema))
+    raise AssertionError("texts were loaded as ratings")
+
+
+@query("SELECT source, sum(strlen(text) + 1)::BIGINT AS bytes FROM documents GROUP BY source")
+def source_file_bytes(spark, d):
+    """Texts written to files by source; the listing of the files gives their bytes."""
+    path = new_folder(spark, "by-source")
+    fx.table(spark, d, "documents").select("source", "text").write.partitionBy("source").text(path)
+    files = readers.source_sizes(spark, path, with_folder=True)
+    return files.groupBy(F.regexp_extract("folder", "source=(.*)$", 1).alias("source")).agg(F.sum("bytes").alias("bytes"))
 
 
 @query("""

@@ -11,6 +11,7 @@ from quern.functions import encoders
 from quern.operators import prepare
 from quern.session import stage
 from quern.sources import names, readers, sinks
+from quern.sources.keyed import KeyedTable
 
 
 def question_files(folder: str, categories: Sequence[str] | None = None) -> list[str]:
@@ -67,7 +68,16 @@ def encode(docs: DataFrame, dense_dim: int | None = None, sparse: bool = False,
     return docs
 
 
-def load(docs: DataFrame, path: str, partition: str, version: Sequence[str], mode: str = "overwrite") -> DataFrame:
-    """Keep the last version of each key, store by category, and return the load report."""
-    sinks.write_partitioned(sinks.latest_by_key(docs, ["_id"], version), path, partition, mode)
-    return sinks.load_report(docs.sparkSession.read.parquet(path), partition)
+def load(docs: DataFrame, path: str, partition: str, version: Sequence[str], mode: str = "upsert", buckets: int = 64,
+         source: str | None = None, batch: int = 0) -> DataFrame:
+    """Load into the stored table at ``path``, made if absent, and return its load report.
+
+    ``upsert`` keeps stored rows and replaces those whose ``_id`` comes again, by the last version of each; ``replace`` starts
+    from an empty table. Rows are sorted by ``partition`` inside each bucket. See ``KeyedTable`` for the rest.
+    """
+    if mode not in ("upsert", "replace"):
+        raise ValueError(f"mode is upsert or replace, not {mode}")
+    table = KeyedTable.create(docs.sparkSession, path, docs.schema, ["_id"], buckets, [partition],
+                              if_exists="replace" if mode == "replace" else "keep")
+    table.load(docs, version, source, batch)
+    return sinks.load_report(table.read(), partition)

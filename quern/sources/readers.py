@@ -107,8 +107,8 @@ def read_qrels(spark: SparkSession, paths: str | list[str], last_only: bool = Fa
     return kept.select("query_id", "pid")
 
 
-def source_sizes(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Bytes per source file from the file listing; no content is read."""
-    files = spark.read.format("binaryFile").load(paths)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("file_name"),
-                        F.col("length").alias("bytes"))
+def source_sizes(spark: SparkSession, paths: str | list[str], with_folder: bool = False) -> DataFrame:
+    """Bytes per source file from the file listing, on request with the folder; no content is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), F.col("length").alias("bytes"),
+                        *([F.element_at(F.split("path", "/"), -2).alias("folder")] if with_folder else []))

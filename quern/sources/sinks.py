@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quern.schemas import add_columns
 
@@ -19,15 +20,34 @@ def latest_by_key(rows: DataFrame, keys: Sequence[str], version: Sequence[str])
 
     Reduced with a partial aggregate: copies of a hot key collapse in every task
     before the exchange. Without a version order the result would depend on task
-    timing, so one is required.
+    timing, so one is required; rows of equal version are told apart by a hash of their values.
     """
     if not version:
         raise ValueError("an explicit version order is needed to pick a row per key")
     others = [c for c in rows.columns if c not in keys]
-    best = F.max_by(F.struct(*others), F.struct(*version)).alias("_row")
+    if not others:
+        return rows.distinct()
+    digest = F.xxhash64(*(_hashable(F.col(c), rows.schema[c].dataType) for c in others))
+    best = F.max_by(F.struct(*others), F.struct(*version, digest)).alias("_row")
     return rows.groupBy(*keys).agg(best).select(*keys, "_row.*").select(*rows.columns)
 
 
+def _hashable(value: Column, kind: T.DataType) -> Column:
+    """The value without maps, which Spark does not hash: these become sorted arrays of entries."""
+    if isinstance(kind, T.MapType):
+        entries = F.array_sort(F.map_keys(value))
+        return F.transform(entries, lambda k: F.struct(_hashable(k, kind.keyType), _hashable(value[k], kind.valueType)))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: _hashable(x, kind.elementType)) if _has_map(kind) else value
+    if isinstance(kind, T.StructType):
+        return F.struct(*(_hashable(value[f.name], f.dataType).alias(f.name) for f in kind.fields)) if _has_map(kind) else value
+    return value
+
+
+def _has_map(kind: T.DataType) -> bool:
+    return "map<" in kind.simpleString()
+
+
 def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], version: Sequence[str]) -> DataFrame:
     """The table after a keyed load: an incoming row replaces the row with its key (``existing`` has one row per key).
 

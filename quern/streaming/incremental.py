@@ -2,7 +2,8 @@
 
 Every micro-batch writes its own folder ``stream=<id>/batch=<n>``. The id is that of the streaming query, kept in its
 checkpoint: a replayed batch overwrites its own folder only, and another stream, or one that
-starts anew with another checkpoint, never touches stored rows. The current table is resolved on read (latest
+starts anew with another checkpoint, never touches stored rows. Arrivals are numbered by a published log (see ``versions``), not by a clock:
+a batch takes the next number before it is written, and keeps it when replayed. The current table is resolved on read (latest
 arrival, then latest version per key), so the cost of a batch follows the batch and not the table. ``compact``
 folds all batches into a new table when reads get slow.
 """
@@ -10,7 +11,6 @@ folds all batches into a new table when reads get slow.
 from __future__ import annotations
 
 import threading
-import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from quern.sources.sinks import latest_by_key
+from quern.sources.versions import VersionConflict, VersionLog
 
 STREAM = "stream"
 BATCH = "batch"
@@ -36,14 +37,30 @@ def parquet_stream(spark: SparkSession, folder: str, schema: T.StructType, patte
     return spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
 
 
+def arrival(log: VersionLog, stream: str, batch: int) -> int:
+    """The number of a batch among all arrivals at a table: the next one, or that which the batch took before."""
+    while True:
+        found = log.latest()
+        number, streams = (found[0] + 1, found[1]["streams"]) if found else (1, {})
+        if stream in streams and streams[stream][0] == batch:
+            return streams[stream][1]
+        try:
+            log.publish(number, {"streams": {**streams, stream: [batch, number]}})
+            return number
+        except VersionConflict:
+            continue
+
+
 def incremental_load(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], path: str,
                      checkpoint: str, keys: Sequence[str], version: Sequence[str]) -> StreamingQuery:
     """Load everything that has arrived, then stop; run again for what arrives later."""
     started, ids = threading.Event(), []
+    log = VersionLog(stream.sparkSession, path)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         started.wait()
-        current = latest_by_key(transform(batch), keys, version).withColumn(ARRIVED, F.lit(time.time_ns() // 1000))
+        number = F.lit(arrival(log, ids[0], batch_id)).cast("bigint")
+        current = latest_by_key(transform(batch), keys, version).withColumn(ARRIVED, number)
         current.write.mode("overwrite").parquet(f"{path}/{STREAM}={ids[0]}/{BATCH}={batch_id}")
 
     query = (

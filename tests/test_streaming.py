@@ -50,3 +50,21 @@ def test_a_new_checkpoint_or_stream_keeps_stored_rows(spark, tmp_path):
     assert load("p2") == {"a": "one", "b": "two"}
     (inbox / "3.json").write_text('{"id":"a","text":"new","version":1}')
     assert load("p0") == {"a": "new", "b": "two"}
+
+
+def test_arrivals_are_numbered_by_the_log(spark, tmp_path):
+    log = incremental.VersionLog(spark, str(tmp_path))
+    taken = [incremental.arrival(log, *b) for b in [("s", 0), ("t", 0), ("s", 1), ("s", 1), ("t", 0), ("t", 1), ("u", 0)]]
+    assert taken == [1, 2, 3, 3, 2, 4, 5]
+
+
+def test_arrivals_of_two_writers_differ(spark, tmp_path, monkeypatch):
+    log, publish, raced = incremental.VersionLog(spark, str(tmp_path)), incremental.VersionLog.publish, []
+
+    def late(self, version, entry):
+        if not raced:
+            raced.append(1)
+            assert incremental.arrival(log, "other", 0) == 1
+        publish(self, version, entry)
+    monkeypatch.setattr(incremental.VersionLog, "publish", late)
+    assert incremental.arrival(log, "slow", 0) == 2
