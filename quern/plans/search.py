@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quern.functions.text import first_words
 from quern.operators import fusion, lexical, prepare, results, sparse, vector
+from quern.operators.segments import SearchIndex
 from quern.plans import fixtures as fx
 from quern.plans import sql
 from quern.plans.registry import query
-from quern.session import stage
+from quern.session import new_folder, stage
 
 PASSAGE = {"passage": 1.0}
 PASSAGE_FIELDS = {"passage": 2.0, "chunk_text": 1.0}
@@ -98,6 +100,18 @@ def bm25_indexed_topk(spark, d):
     return lexical.bm25_topk(fx.passage_queries(spark, d), docs, PASSAGE, 5, index=index, allowed=F.col("domain").isin("fr", "de"))
 
 
+@query(sql.with_("passages AS (SELECT doc_id, lang AS domain, text AS passage FROM documents WHERE lang <> 'es')", sql.PASSAGE_QUERIES,
+                 sql.bm25("p", "passages", PASSAGE, "passage_queries", 5)) + "SELECT * FROM p_hits")
+def segmented_search_topk(spark, d):
+    """An index that grew by segments: shortened texts first, then all texts as they are, then one language removed."""
+    docs = fx.passages(spark, d).select("doc_id", "domain", "passage")
+    index = SearchIndex.create(spark, new_folder(spark, "segments"), docs, ["passage"], keep=["domain"], buckets=8)
+    index.add(docs.where("domain <> 'fr'").withColumn("passage", first_words("passage", 40)), ["passage"])
+    index.add(docs, ["passage"])
+    index.delete(docs.where("domain = 'es'"))
+    return index.search(fx.passage_queries(spark, d), PASSAGE, 5)
+
+
 @query(sql.with_(*_VECTOR_BASE, sql.knn("v", 10)) + "SELECT * FROM v_hits")
 def knn_exact_l2_topk(spark, d):
     return dense_hits(spark, d, 10)

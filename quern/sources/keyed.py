@@ -177,6 +177,20 @@ class KeyedTable:
         incoming = stage(gone.withColumn(BUCKET, self._bucket_of(manifest)), "deleted")
         return self._change(incoming, lambda stored, new: _without(stored, new, manifest.keys), None, source, batch)
 
+    def matching(self, rows: DataFrame, version: int | None = None) -> DataFrame:
+        """Stored rows whose key is among those of ``rows``; only the buckets of these keys are read."""
+        _, manifest = self._at(version)
+        kinds = {f.name: f.dataType for f in manifest.struct.fields}
+        wanted = rows.select(*(F.col(k).cast(kinds[k]).alias(k) for k in manifest.keys)).distinct().withColumn(BUCKET, self._bucket_of(manifest))
+        touched = sorted(r[0] for r in wanted.select(BUCKET).distinct().collect())
+        return _by_key(self._scan(manifest, touched), wanted, manifest.keys, "left_semi").drop(BUCKET)
+
+    def restore(self, version: int) -> int:
+        """Publish an older version again as the newest."""
+        now, _ = self._at()
+        self.log.publish(now + 1, self.log.read(version))
+        return now + 1
+
     def changed_buckets(self, version: int) -> list[int]:
         return self._at(version)[1].touched
 
@@ -203,9 +217,14 @@ class KeyedTable:
 
 
 def _without(stored: DataFrame, gone: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Stored rows whose key is not among ``gone``; nulls are equal."""
-    other = gone.select(*(F.col(c).alias(f"_gone_{i}") for i, c in enumerate([BUCKET, *keys])))
+    """Stored rows whose key is not among ``gone``."""
+    return _by_key(stored, gone, keys, "left_anti")
+
+
+def _by_key(stored: DataFrame, others: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """A semi or anti join on bucket and key, where nulls are equal."""
+    other = others.select(*(F.col(c).alias(f"_other_{i}") for i, c in enumerate([BUCKET, *keys])))
     same = F.lit(True)
     for i, c in enumerate([BUCKET, *keys]):
-        same = same & F.col(c).eqNullSafe(F.col(f"_gone_{i}"))
-    return stored.join(other, same, "left_anti")
+        same = same & F.col(c).eqNullSafe(F.col(f"_other_{i}"))
+    return stored.join(other, same, how)
