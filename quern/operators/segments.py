@@ -135,35 +135,29 @@ class SearchIndex:
         former = stage(self.docs.matching(rows), "segment-former")
         change = self.docs.load(rows, ["doc_id"]) if added else self.docs.delete(rows)
         folder, number = f"segments/{uuid.uuid4().hex}", manifest.next_number
-        new = self._counted(rows if added else former.limit(0), manifest)
-        off = self._counted(former, manifest)
-        segment = self._write(folder, number, manifest, new, self._changes(new, off), former.select("doc_id"), self._field_changes(rows if added else None, former, manifest))
+        off, off_sizes = self._counted(former, manifest)
+        new, sizes = self._counted(rows, manifest) if added else (off.limit(0), {})
+        fields = {f: [sizes.get(f, (0, 0))[i] - off_sizes.get(f, (0, 0))[i] for i in (0, 1)] for f in manifest.fields}
+        segment = self._write(folder, number, manifest, new, self._changes(new, off), former.select("doc_id"), fields)
         segments = [*manifest.segments, asdict(segment)]
         batches = manifest.batches | ({source: batch} if source is not None else {})
         self.log.publish(version + 1, asdict(_Manifest(manifest.fields, manifest.keep, manifest.han, manifest.buckets, manifest.schema, change,
                                                        segments, batches, number + 1)))
         return version + 1
 
-    def _counted(self, docs: DataFrame, manifest: _Manifest) -> DataFrame:
-        counted = lexical.token_counts(docs, manifest.fields, manifest.keep, manifest.han)
-        return counted.select(lexical.term_key().alias("term"), "doc_id", *manifest.keep, "field", "field_length", "tf")
+    def _counted(self, docs: DataFrame, manifest: _Manifest) -> tuple[DataFrame, dict[str, tuple[int, int]]]:
+        """Postings, staged, and documents and total length of each field; the texts are cut into tokens once."""
+        counted = lexical.token_counts(docs, manifest.fields, manifest.keep, manifest.han, with_lengths=True)
+        counted = stage(counted.withColumn("term", lexical.term_key()), "segment-counts")
+        sizes = lexical.lengths_of(counted).groupBy("field").agg(F.count("*").alias("docs"), F.sum("field_length").alias("length")).collect()
+        postings = lexical.postings_of(counted).select("term", "doc_id", *manifest.keep, "field", "field_length", "tf")
+        return postings, {r["field"]: (r["docs"], r["length"]) for r in sizes}
 
     @staticmethod
     def _changes(new: DataFrame, off: DataFrame) -> DataFrame:
         signed = new.select("term", F.lit(1).alias("n")).unionAll(off.select("term", F.lit(-1).alias("n")))
         return signed.groupBy("term").agg(F.sum("n").alias("df"), F.count(F.when(F.col("n") > 0, 1)).alias("here"))
 
-    def _field_changes(self, rows: DataFrame | None, former: DataFrame, manifest: _Manifest) -> dict[str, list[int]]:
-        total = {f: [0, 0] for f in manifest.fields}
-        for docs, sign in ((rows, 1), (former, -1)):
-            if docs is not None:
-                sizes = lexical.analysed(docs, manifest.fields, (), manifest.han).groupBy("field").agg(
-                    F.count("*").alias("docs"), F.sum(F.size("tokens")).alias("length")).collect()
-                for r in sizes:
-                    total[r["field"]][0] += sign * r["docs"]
-                    total[r["field"]][1] += sign * r["length"]
-        return total
-
     def _write(self, folder: str, number: int, manifest: _Manifest, postings: DataFrame, terms: DataFrame, gone: DataFrame,
                fields: dict[str, list[int]]) -> _Segment:
         terms = stage(terms.withColumn("slices", F.greatest(F.lit(1), F.ceil(F.col("here") / HOT)).cast("int")), "segment-terms")

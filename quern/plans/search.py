@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quern.functions.text import first_words
-from quern.operators import fusion, lexical, prepare, results, sparse, vector
+from quern.operators import evaluate, fusion, lexical, prepare, quantised, results, sparse, vector
 from quern.operators.segments import SearchIndex
 from quern.plans import fixtures as fx
 from quern.plans import sql
 from quern.plans.registry import query
 from quern.session import new_folder, stage
+from quern.sources import readers
 
 PASSAGE = {"passage": 1.0}
 PASSAGE_FIELDS = {"passage": 2.0, "chunk_text": 1.0}
@@ -142,6 +144,45 @@ def knn_ivf_topk(spark, d):
     return vector.knn_ivf(fx.query_vectors(spark, d), vectors, vector.mean_centroids(vectors), 10, 3, with_candidates=True)
 
 
+@query("SELECT 10 AS cutoff, count(*) AS queries, true AS reached FROM embeddings WHERE vec_id % 50 = 0")
+def knn_quantised_recall(spark, d):
+    """Every fiftieth vector asked of all, by codes and by exact distance; the recall between the two must reach 0.9."""
+    vectors = fx.vectors(spark, d).select("doc_id", "embedding")
+    asked = vectors.where("doc_id % 50 = 0").select(F.col("doc_id").alias("query_id"), "embedding")
+    codec = quantised.train(vectors, n_lists=16)
+    codes = stage(quantised.encode(vectors, codec), "codes")
+    hits = quantised.search(asked, codes, vectors, codec, 10)
+    rated = evaluate.summary(evaluate.per_query(hits, vector.knn_exact(asked, vectors, 10), [10]))
+    return rated.select("cutoff", "queries", (F.col("recall") >= 0.9).alias("reached"))
+
+
+@query("""
+WITH hits AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_linenumber) AS line FROM lineitem),
+first AS (SELECT l_orderkey, l_partkey, min(line) AS rank FROM hits GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY rank) AS place FROM first),
+judged AS (SELECT l_orderkey, l_partkey, max(CASE l_returnflag WHEN 'R' THEN 2 WHEN 'A' THEN 1 ELSE 0 END) AS grade FROM lineitem GROUP BY ALL),
+relevant AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY grade DESC) AS best FROM judged WHERE grade > 0),
+cutoffs(cutoff) AS (VALUES (1), (3), (5)),
+possible AS (SELECT cutoff, l_orderkey, count(*) AS n, sum(CASE WHEN best <= cutoff THEN (2 ** grade - 1) / log2(best + 1) ELSE 0 END) AS ideal
+  FROM relevant, cutoffs GROUP BY ALL),
+found AS (SELECT cutoff, l_orderkey, count(*) AS n, min(place) AS first, sum((2 ** grade - 1) / log2(place + 1)) AS dcg
+  FROM ranked JOIN relevant USING (l_orderkey, l_partkey), cutoffs WHERE place <= cutoff GROUP BY ALL)
+SELECT cutoff, count(*) AS queries, round(avg(coalesce(f.n, 0) / p.n), 6) AS recall, round(avg(coalesce(1 / first, 0)), 6) AS reciprocal_rank,
+  round(avg(coalesce(dcg / ideal, 0)), 6) AS ndcg
+FROM possible p LEFT JOIN found f USING (cutoff, l_orderkey) GROUP BY cutoff""")
+def eval_recall_mrr(spark, d):
+    """Parts of each order ranked by price, against a judgement file that grades returned ones."""
+    lines, path = fx.table(spark, d, "lineitem"), new_folder(spark, "judged")
+    grade = F.when(F.col("l_returnflag") == "R", "2").when(F.col("l_returnflag") == "A", "1").otherwise("0")
+    lines.select(F.concat_ws("\t", F.col("l_orderkey").cast("string"), F.lit("0"), F.col("l_partkey").cast("string"), grade)).write.text(path)
+    judged = readers.read_qrels(spark, path, with_grade=True).select("query_id", F.col("pid").alias("doc_id"), "grade")
+    price = Window.partitionBy("l_orderkey").orderBy(F.desc("l_extendedprice"), "l_linenumber")
+    first = lines.withColumn("line", F.row_number().over(price)).groupBy("l_orderkey", "l_partkey").agg(F.min("line").alias("line"))
+    hits = first.select(F.col("l_orderkey").cast("string").alias("query_id"), F.col("l_partkey").cast("string").alias("doc_id"),
+                        F.row_number().over(Window.partitionBy("l_orderkey").orderBy("line")).alias("rank"))
+    return evaluate.summary(evaluate.per_query(hits, judged, [1, 3, 5]))
+
+
 @query(sql.with_(*_VECTOR_BASE, sql.knn("v", 10)) + "SELECT * FROM v_hits WHERE rank <= 5")
 def knn_candidates_then_size(spark, d):
     return vector.page(dense_hits(spark, d, 10), 5)

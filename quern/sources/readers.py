@@ -94,17 +94,17 @@ def read_queries(spark: SparkSession, paths: str | list[str], multi_line: bool =
     return last_wins(_two_columns(spark, paths, "query_id", "query_text", multi_line), "query_id", "query_text", ORDER)
 
 
-def read_qrels(spark: SparkSession, paths: str | list[str], last_only: bool = False) -> DataFrame:
-    """``query_id, pid`` from four-column judgements; rows with fewer columns are skipped.
+def read_qrels(spark: SparkSession, paths: str | list[str], last_only: bool = False, with_grade: bool = False) -> DataFrame:
+    """``query_id, pid`` from four-column judgements, on request with ``grade``; rows with fewer columns are skipped.
 
-    All pairs are kept unless ``last_only``, which keeps the last pid per query.
+    All pairs are kept unless ``last_only``, which keeps the last pid per query. A grade that is no number is null.
     """
     rows = _tsv(spark, paths, ["query_id", "iteration", "pid", "grade"])
     full = F.col(BAD).isNull() | F.col("grade").isNotNull()
-    kept = rows.where(full).select("query_id", "pid", *in_file_order())
+    kept = rows.where(full).select("query_id", "pid", F.col("grade").try_cast("int").alias("grade"), *in_file_order())
     if last_only:
         return last_wins(kept, "query_id", "pid", ORDER)
-    return kept.select("query_id", "pid")
+    return kept.select("query_id", "pid", *(["grade"] if with_grade else []))
 
 
 def source_sizes(spark: SparkSession, paths: str | list[str], with_folder: bool = False) -> DataFrame:
