@@ -6,7 +6,7 @@ that grows inside a session.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_
 
@@ -84,7 +84,10 @@ def append_interactions(results: DataFrame, path: str, buckets: int = 64) -> Non
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
     else:
-        new = stage(new.join(stored.select("bucket", *SESSION, "turn", "role"), ["bucket", *SESSION, "turn", "role"], "left_anti"), "interactions")
+        keys = ["bucket", *SESSION, "turn", "role"]
+        held = stored.select(*(F.col(c).alias(f"_held_{c}") for c in keys))
+        same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_held_{c}")) for c in keys))  # an unknown user or session is one too
+        new = stage(new.join(held, same, "left_anti"), "interactions")
     new.write.mode("append").partitionBy("bucket").parquet(path)
 
 
@@ -134,6 +137,23 @@ def summarise(queries: DataFrame, totals: DataFrame, hits: DataFrame, name: str
     )
 
 
+def answer_turn(asked: DataFrame, memory: DataFrame, search: Callable[[DataFrame], DataFrame], path: str, name: str = "item_name") -> DataFrame:
+    """One turn of many sessions: ``asked(query_id, user_id, session_id, query_text)`` is put into the context of its session, searched with,
+    summarised and appended to the table at ``path``. Returns ``(query_id, user_id, session_id, turn, query_text, enhanced, summary)``.
+
+    ``search`` takes ``(query_id, query_text)``, the text with its context, and returns hits with the column ``name``; their number is the
+    total of the summary. The question itself, not the text searched with, is remembered. A turn that is stored already is not stored again.
+    """
+    enhanced = stage(with_next_turn(enhance_queries(asked, memory), memory), "turn-questions")
+    hits = stage(search(enhanced.select("query_id", F.col("enhanced").alias("query_text"))), "turn-hits")
+    totals = hits.groupBy("query_id").agg(F.count("*").alias("total_hits"))
+    answered = enhanced.join(summarise(enhanced, totals, hits, name), "query_id").select(
+        "query_id", *SESSION, "turn", "query_text", "enhanced", "summary")
+    answered = stage(answered, "turn-answers")
+    append_interactions(answered, path)
+    return answered
+
+
 def context(hits: DataFrame, fields: Sequence[str], size: int = 10) -> DataFrame:
     """The given fields of up to ``size`` hits per query as one text, best hit first."""
     entry = F.concat_ws("\n", *[F.concat(F.lit(f"{f}: "), text_or_empty(F.col(f).cast("string"))) for f in fields])

@@ -13,10 +13,10 @@ from quern.schemas import BULLETS
 MIN_CHUNK_CHARS = 5
 CHUNK_WORDS = 500
 
-# Fixed moduli (one per attribute, so that attributes are independent) and multipliers of the
-# reproducible pseudo-random enrichment.
+# Fixed moduli and multipliers of the reproducible pseudo-random enrichment, one of each per attribute:
+# with one multiplier for all, small keys would give nearly the same value to every attribute.
 MODULI = {101: 10007, 211: 10009, 307: 10037, 401: 10039, 13: 10061, 503: 10067, 601: 10069}
-KEY_FACTOR = 7919
+KEY_FACTORS = {101: 7283, 211: 7465, 307: 8969, 401: 3988, 13: 5616, 503: 3342, 601: 1547}
 POSITION_FACTOR = 104729
 
 GIVEN_NAMES = ["Ada", "Ben", "Cleo", "Dan", "Eve", "Finn", "Gus", "Hana"]
@@ -31,11 +31,11 @@ def concat_bullets(docs: DataFrame) -> DataFrame:
 def uniform(key: Column, position: Column, salt: int) -> Column:
     """A reproducible value in [0, 1) for a whole-number key, stable across task retries.
 
-    Every attribute (``salt``) takes the remainder by a prime of its own, before multiplying, so no key overflows.
+    Every attribute (``salt``) takes the remainder by a prime of its own, before multiplying by a factor of its own, so no key overflows.
     """
     modulus = MODULI[salt]
     rest = lambda value: F.pmod(value.cast("bigint"), F.lit(modulus))
-    mixed = rest(key) * F.lit(KEY_FACTOR) + rest(position) * F.lit(POSITION_FACTOR) + F.lit(salt)
+    mixed = rest(key) * F.lit(KEY_FACTORS[salt]) + rest(position) * F.lit(POSITION_FACTOR) + F.lit(salt)
     return F.pmod(mixed, F.lit(modulus)) / F.lit(float(modulus))
 
 

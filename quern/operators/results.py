@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -74,6 +75,28 @@ def compare(first: DataFrame, second: DataFrame, text: str, names: tuple[str, st
     return a.join(b, ["query_id", "position"], "full_outer")
 
 
+def distinct_hits(hits: DataFrame, digests: DataFrame, size: int = 10) -> DataFrame:
+    """The first ``size`` hits of distinct texts per query, each at its best rank: ``(query_id, position, doc_id)``.
+
+    ``digests(doc_id, digest)`` stands for the texts, so that none is moved before the cut.
+    """
+    best = hits.join(digests, "doc_id").groupBy("query_id", "digest").agg(F.min(F.struct("rank", "doc_id")).alias("best"))
+    order = Window.partitionBy("query_id").orderBy("best.rank")
+    return (best.withColumn("position", F.row_number().over(order).cast("bigint")).where(F.col("position") <= size)
+            .select("query_id", "position", F.col("best.doc_id").alias("doc_id")))
+
+
+def compare_hits(first: DataFrame, second: DataFrame, docs: DataFrame, text: str, names: tuple[str, str], size: int = 10) -> DataFrame:
+    """Two legs of hits side by side as texts, aligned by position; the texts are read for the hits that remain."""
+    legs = {names[0]: first, names[1]: second}
+    ids = reduce(DataFrame.unionByName, [h.select("doc_id") for h in legs.values()]).distinct()
+    digests = stage(docs.select("doc_id", text).join(ids, "doc_id", "left_semi").select("doc_id", F.md5(text).alias("digest")), "hit-digests")
+    cut = reduce(DataFrame.unionByName, [distinct_hits(h, digests, size).withColumn("leg", F.lit(n)) for n, h in legs.items()])
+    shown = docs.select("doc_id", text).join(cut, "doc_id")
+    side = lambda n: F.max(F.when(F.col("leg") == n, F.col(text))).alias(n)
+    return shown.groupBy("query_id", "position").agg(*(side(n) for n in legs))
+
+
 def tag(hits: DataFrame, source: str, content: Column, metadata: Mapping[str, Column]) -> DataFrame:
     """Hits as ``(query_id, rank, doc_id, content, score, metadata, source)``."""
     pairs = [x for name, col in metadata.items() for x in (F.lit(name), text_or_empty(col.cast("string")))]

@@ -317,7 +317,7 @@ def category_reverse_lookup(spark, d):
 
 def _u(salt: int) -> str:
     m = prepare.MODULI[salt]
-    return f"((doc_id % {m} * {prepare.KEY_FACTOR} + position % {m} * {prepare.POSITION_FACTOR} + {salt}) % {m} / {m}.0::DOUBLE)"
+    return f"((doc_id % {m} * {prepare.KEY_FACTORS[salt]} + position % {m} * {prepare.POSITION_FACTOR} + {salt}) % {m} / {m}.0::DOUBLE)"
 
 
 @query(sql.with_(sql.CATALOG, f"""a AS (

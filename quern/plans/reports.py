@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import encoders
 from quern.functions.text import preview
-from quern.operators import conversation, lexical, prepare, results
+from quern.operators import conversation, lexical, prepare, results, vector
 from quern.plans import fixtures as fx
 from quern.plans import search, sql
 from quern.plans.registry import query
@@ -87,9 +87,8 @@ def _distinct(p: str, hits: str, name: str) -> str:
 SELECT query_id, position, dense, lexical FROM v_texts FULL OUTER JOIN p_texts USING (query_id, position)""")
 def compare_dense_lexical(spark, d):
     passages = fx.passages(spark, d)
-    dense = results.attach(search.dense_hits(spark, d, 50), passages, "passage")
-    lexical_side = results.attach(search.lexical_hits(spark, d, 50), passages, "passage")
-    return results.compare(dense, lexical_side, "passage", ("dense", "lexical"))
+    return results.compare_hits(stage(search.dense_hits(spark, d, 50), "dense-leg"), stage(search.lexical_hits(spark, d, 50), "lexical-leg"),
+                                passages, "passage", ("dense", "lexical"))
 
 
 @query(sql.with_(sql.VECTORS, sql.QUERY_VECTORS, sql.PASSAGES, sql.PASSAGE_QUERIES, sql.CATALOG, sql.CATALOG_QUERIES,
@@ -217,6 +216,33 @@ def memory_append(spark, d):
     return spark.read.parquet(path).drop("bucket")
 
 
+@query(sql.with_(sql.MEMORY, _SESSION_QUERIES, """
+recent AS (
+  SELECT user_id, session_id, string_agg('Previous: ' || text, '; ' ORDER BY position) AS c FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id, session_id ORDER BY turn DESC) AS position
+    FROM memory WHERE role = 'user') WHERE position <= 2 GROUP BY ALL)""", """
+passage_queries AS (
+  SELECT query_id, coalesce(query_text || ' (Context: ' || c || ')', query_text) AS query_text
+  FROM session_queries LEFT JOIN recent USING (user_id, session_id))""", sql.PASSAGES, sql.neural("n", 5, 64), """
+answers AS (
+  SELECT query_id, 'Found ' || count(*) || ' results. Top items: ' || string_agg(domain, ', ' ORDER BY rank) FILTER (rank <= 3) AS summary
+  FROM n_hits JOIN passages USING (doc_id) GROUP BY query_id)""") + """
+SELECT user_id, session_id, coalesce(next, 0) + n AS turn, ['user', 'assistant'][n + 1] AS role, [query_text, summary][n + 1] AS text FROM (
+  SELECT user_id, session_id, next, query_text, coalesce(summary, 'No results found (0 hits)') AS summary, unnest([0, 1]) AS n
+  FROM session_queries LEFT JOIN answers USING (query_id)
+  LEFT JOIN (SELECT conv_id, max(turn) + 1 AS next FROM conversations GROUP BY conv_id) ON conv_id = session_id)""")
+def memory_answer_turn(spark, d):
+    """Questions asked in sessions: put into context, searched by the encoder, summarised and remembered; a second run adds nothing."""
+    passages = prepare.passage_chunk(fx.passages(spark, d))
+    path = new_folder(spark, "turns")
+
+    def nearest(asked):
+        return results.attach(vector.neural_topk(asked, passages, "chunk_text", 5, 64), passages, "domain")
+    for _ in range(2):
+        conversation.answer_turn(_session_queries(spark, d), fx.memory(spark, d), nearest, path, "domain")
+    return spark.read.parquet(path).drop("bucket")
+
+
 _CONTEXT = """ctx AS (
   SELECT query_id, string_agg('domain: ' || domain || chr(10) || 'pid: ' || pid || chr(10) || 'passage: ' || passage
     || chr(10) || 'chunk_text: ' || chunk_text, chr(10) || chr(10) ORDER BY rank) AS context

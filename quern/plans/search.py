@@ -13,6 +13,8 @@ from quern.plans import sql
 from quern.plans.registry import query
 from quern.session import new_folder, stage
 from quern.sources import readers
+from quern.sources.keyed import KeyedTable
+from quern.streaming import questions
 
 PASSAGE = {"passage": 1.0}
 PASSAGE_FIELDS = {"passage": 2.0, "chunk_text": 1.0}
@@ -195,6 +197,40 @@ def neural_topk(spark, d):
     return vector.neural_topk(fx.passage_queries(spark, d), docs, "chunk_text", 5, 64)
 
 
+@query(sql.with_(*_PASSAGE_BASE, sql.neural("n", 10, 64), sql.bm25("p", "passages", PASSAGE, "passage_queries", 10),
+                 sql.normalised("pn", "p_hits"), sql.normalised("nn", "n_hits"), sql.combined("c", "pn", "nn", 0.4, 0.6),
+                 sql.ranked("h", "c", 5)) + "SELECT * FROM h")
+def hybrid_text_topk(spark, d):
+    """Both legs from the text of the question: its terms, and its encoding."""
+    passages, asked = prepare.passage_chunk(fx.passages(spark, d)), fx.passage_queries(spark, d)
+    return fusion.hybrid(lexical_hits(spark, d, 10), vector.neural_topk(asked, passages, "chunk_text", 10, 64), (0.4, 0.6), 5)
+
+
+AGENT_FIELDS = {"item_name": 2.0, "product_description": 1.0, "brand_name": 1.0}
+
+
+@query(sql.with_(*_CATALOG_BASE, sql.bm25("c", "catalog", AGENT_FIELDS, "catalog_queries", 5)) + """
+SELECT query_id, rank, doc_id, score, item_name, question_text, brand_name FROM c_hits JOIN catalog USING (doc_id)""")
+def bm25_agent_topk(spark, d):
+    """The form an agent asks: three fields, five results with the fields it shows."""
+    docs = fx.catalog(spark, d)
+    return results.attach(lexical.bm25_topk(fx.catalog_queries(spark, d), docs, AGENT_FIELDS, 5), docs, "item_name", "question_text", "brand_name")
+
+
+@query(sql.with_(*_PASSAGE_BASE, sql.bm25("p", "passages", PASSAGE, "passage_queries", 5)) + "SELECT * FROM p_hits")
+def stream_questions(spark, d):
+    """Questions that arrive as a file stream, in two batches, answered over a stored index."""
+    docs = fx.passages(spark, d).select("doc_id", "passage")
+    index = SearchIndex.create(spark, new_folder(spark, "asked-index"), docs, ["passage"], buckets=8)
+    index.add(docs, ["passage"])
+    inbox, answers = new_folder(spark, "questions-in"), new_folder(spark, "answers")
+    asked = fx.passage_queries(spark, d)
+    asked.repartition(2, "query_id").write.parquet(inbox)
+    stream = spark.readStream.schema(asked.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+    questions.answer_stream(stream, index, PASSAGE, 5, answers, new_folder(spark, "questions-progress"), buckets=4).awaitTermination()
+    return questions.read_answers(KeyedTable(spark, answers))
+
+
 @query(sql.with_(*_PASSAGE_BASE, sql.sparse("s", 3)) + "SELECT * FROM s_hits")
 def sparse_dot_topk(spark, d):
     return sparse_hits(spark, d, 3)

@@ -54,21 +54,23 @@ def arrival(log: VersionLog, stream: str, batch: int) -> int:
 def incremental_load(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], path: str,
                      checkpoint: str, keys: Sequence[str], version: Sequence[str]) -> StreamingQuery:
     """Load everything that has arrived, then stop; run again for what arrives later."""
-    started, ids = threading.Event(), []
     log = VersionLog(stream.sparkSession, path)
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        started.wait()
-        number = F.lit(arrival(log, ids[0], batch_id)).cast("bigint")
+    def write_batch(batch: DataFrame, batch_id: int, name: str) -> None:
+        number = F.lit(arrival(log, name, batch_id)).cast("bigint")
         current = latest_by_key(transform(batch), keys, version).withColumn(ARRIVED, number)
-        current.write.mode("overwrite").parquet(f"{path}/{STREAM}={ids[0]}/{BATCH}={batch_id}")
-
-    query = (
-        stream.writeStream.foreachBatch(write_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+        current.write.mode("overwrite").parquet(f"{path}/{STREAM}={name}/{BATCH}={batch_id}")
+    return _named(stream, write_batch, checkpoint)
+
+
+def _named(stream: DataFrame, work: Callable[[DataFrame, int, str], None], checkpoint: str) -> StreamingQuery:
+    """Run ``work(batch, batch_id, id of the query)`` on all that has arrived, then stop. The id is kept in the checkpoint."""
+    started, ids = threading.Event(), []
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        started.wait()
+        work(batch, batch_id, ids[0])
+    query = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     ids.append(query.id)
     started.set()
     return query

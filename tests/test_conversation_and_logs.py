@@ -132,3 +132,24 @@ def test_answers_come_from_the_injected_client(spark):
     prompts = spark.createDataFrame([(1, "x"), (2, None)], "query_id int, prompt string")
     got = encoders.generate_answers(prompts, lambda: lambda batch: [p.upper() for p in batch])
     assert rows(got, "query_id", "answer") == [(1, "X"), (2, "")]
+
+
+def test_answer_turn_is_remembered_once(spark, tmp_path):
+    memory = spark.createDataFrame([("u", "s", 0, "user", "red shoes"), ("u", "s", 1, "assistant", "Found"), (None, "s", 0, "user", "hats")],
+                                   "user_id string, session_id string, turn bigint, role string, text string")
+    asked = spark.createDataFrame([(1, "u", "s", "in blue"), (2, None, "s", "or caps"), (3, "v", None, "nothing")],
+                                  "query_id bigint, user_id string, session_id string, query_text string")
+    seen, path = [], str(tmp_path / "m")
+
+    def search(queries):
+        seen.append(dict(map(tuple, queries.collect())))
+        return queries.where("query_id < 3").selectExpr("query_id", "1 AS rank", "7 AS doc_id", "0.5 AS score", "query_text AS item_name")
+    for _ in range(2):
+        answered = conversation.answer_turn(asked, memory, search, path)
+    assert seen[0] == {1: "in blue (Context: Previous: red shoes)", 2: "or caps", 3: "nothing"}
+    assert {r.query_id: r.turn for r in answered.collect()} == {1: 2, 2: 0, 3: 0}
+    stored = sorted(map(tuple, spark.read.parquet(path).select("user_id", "session_id", "turn", "role", "text").collect()), key=repr)
+    assert stored == sorted([("u", "s", 2, "user", "in blue"),
+                             ("u", "s", 3, "assistant", "Found 1 results. Top items: in blue (Context: Previous: red shoes)"),
+                             (None, "s", 0, "user", "or caps"), (None, "s", 1, "assistant", "Found 1 results. Top items: or caps"),
+                             ("v", None, 0, "user", "nothing"), ("v", None, 1, "assistant", "No results found (0 hits)")], key=repr)

@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -108,3 +109,11 @@ def test_enrichment_attributes_are_independent(spark):
 def test_an_empty_list_of_categories_means_all(spark):
     docs = spark.createDataFrame([("a",), ("b",)], "c string")
     assert prepare.filter_categories(docs, [], "c").count() == 2
+
+
+@pytest.mark.parametrize("n", [30, 200, 1000])
+def test_attributes_of_small_keys_are_independent(spark, n):
+    keys = spark.range(1, n + 1)
+    drawn = keys.select(*(prepare.uniform(F.col("id"), F.lit(0), s).alias(str(s)) for s in prepare.MODULI)).toPandas()
+    apart = drawn.corr().to_numpy() - np.eye(len(prepare.MODULI))
+    assert abs(apart).max() < 1.5 / n ** 0.5
