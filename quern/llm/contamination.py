@@ -175,7 +175,8 @@ def occurrences(ids: np.ndarray, phrases: Phrases) -> tuple[np.ndarray, np.ndarr
 _STATE = "n_words bigint, spans binary, items array<string>"
 
 
-def _search_pass(df: DataFrame, columns: list[str], text_col: str, block, window: int, first: bool, shard_bytes: int) -> DataFrame:
+def _search_pass(df: DataFrame, columns: list[str], text_col: str, block, window: int, first: bool, shard_bytes: int, cut: bool) -> DataFrame:
+    """One block of test phrases; with ``cut`` the words found so far leave the text."""
     fields = [f for f in df.schema if f.name in columns]
     schema = StructType(fields + list(StructType.fromDDL(_STATE)))
     state = ["n_words", "spans", "items"]
@@ -206,7 +207,11 @@ def _search_pass(df: DataFrame, columns: list[str], text_col: str, block, window
             spans[doc] = merge_spans(np.concatenate([old, pairs])).tobytes()
             new = {phrases.names[i] for w in np.unique(windows[a:b]) for i in phrases.items[w]}
             items[doc] = sorted(new.union(items[doc]))
-        out = [chunk.column(f.name).combine_chunks() for f in fields] + [
+        out = [chunk.column(f.name).combine_chunks() for f in fields]
+        if cut:
+            at = [f.name for f in fields].index(text_col)
+            out[at] = pa.array([without_spans(t, s) for t, s in zip(out[at].to_pylist(), spans)], pa.string())
+        out += [
             pa.array(n_words, pa.int64()), pa.array(spans, pa.binary()), pa.array(items, pa.list_(pa.string()))]
         yield pa.RecordBatch.from_arrays(out, names=[f.name for f in fields] + state)
     return map_chunks(df, [f.name for f in fields] + ([] if first else state), text_bytes(text_col), shard_bytes, work, schema)
@@ -237,18 +242,21 @@ def phrase_blocks(benchmark: DataFrame, item_col: str, text_col: str, window: in
 
 def find_spans(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                item_text_col: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS,
-               shard_bytes: int = SHARD_BYTES, keep: list[str] | None = None) -> DataFrame:
+               shard_bytes: int = SHARD_BYTES, keep: list[str] | None = None, cut: bool = False) -> DataFrame:
     """The columns ``keep`` of each row with ``n_words``, ``spans`` (int64 pairs of word places,
     sorted and disjoint, as bytes) and ``items`` (ids of the items found, sorted). Kept
-    columns of these names are replaced."""
+    columns of these names are replaced. With ``cut`` the text comes without the words of the spans."""
     context = docs.sparkSession.sparkContext
     state = ("n_words", "spans", "items")
     columns = [c for c in (docs.columns if keep is None else keep) if c not in state]
     df, first = docs.drop(*state), True
     wanted = list(dict.fromkeys([*columns, text_col]))
-    for phrases in phrase_blocks(benchmark, item_col, item_text_col, window, block_words):
-        df = _search_pass(df, wanted, text_col, context.broadcast(phrases), window, first, shard_bytes)
-        first = False
+    blocks = phrase_blocks(benchmark, item_col, item_text_col, window, block_words)
+    phrases = next(blocks)
+    while phrases is not None:
+        following = next(blocks, None)
+        df = _search_pass(df, wanted, text_col, context.broadcast(phrases), window, first, shard_bytes, cut and following is None)
+        phrases, first = following, False
     return df.select(*columns, *state)
 
 
@@ -292,11 +300,5 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     """The input's rows and columns, the test passages cut out of the text."""
     others = [c for c in docs.columns if c != text_col]
     packed = docs.select(F.struct(*others, F.lit(0).alias("_")).alias("row"), F.col(text_col).cast("string").alias("text"))
-    found = find_spans(packed, benchmark, keep=["row", "text"], **options)
-
-    def run(batches):
-        for batch in batches:
-            texts = [without_spans(t, s) for t, s in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], names=["row", "text"])
-    cleaned = found.select("row", "text", "spans").mapInArrow(run, packed.schema)
+    cleaned = find_spans(packed, benchmark, keep=["row", "text"], cut=True, **options)
     return cleaned.select(*(F.col("text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns))
