@@ -43,11 +43,11 @@ def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with words in the mix, and ``taken``, how many (repeats counted). Rows that share an id and size count once."""
-    taken = mixing.mix(docs).filter("taken > 0").groupBy(F.col("doc_id").alias("id"), F.col("size").alias("words")).agg(
-        F.max("taken").alias("mixed"))
-    rows = docs.select(F.struct("*").alias("row"), mixing.word_count(F.col("text")).alias("words"))
-    joined = rows.join(taken, F.col("row.doc_id").eqNullSafe(F.col("id")) & (rows["words"] == taken["words"]))
+    """Documents with words in the mix, and ``taken``, how many (repeats counted). Rows that share id and text are one document."""
+    key = F.xxhash64("doc_id", "text")
+    taken = mixing.mix(docs.select(key.alias("key"), "text", "source"), id_col="key").filter("taken > 0").groupBy(
+        F.col("doc_id").alias("key")).agg(F.max("taken").alias("mixed"))
+    joined = docs.select(F.struct("*").alias("row"), key.alias("key")).join(taken, "key")
     return joined.select(*(F.col("row")[c].alias(c) for c in docs.columns if c != "taken"), F.col("mixed").alias("taken"))
 
 
