@@ -91,6 +91,13 @@ def test_mix(kept):
     assert sum(r.taken for r in after) == pytest.approx(sum(words.values()), rel=0.02)
 
 
+def test_mix_tells_documents_without_id_apart(spark):
+    """Forty texts of one size without an id: each has its own share, not the largest of all."""
+    docs = spark.createDataFrame([(None, f"{i} " + "word " * 29, "en", "a", 150) for i in range(40)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    mixed = corpus_pipeline.mix_sources(spark, docs, SF).collect()
+    assert sum(r.taken for r in mixed) == pytest.approx(1200, rel=0.02) and len({r.text for r in mixed}) == len(mixed)
+
+
 def test_run_is_registered(spark):
     import __spark_entry__ as entry
     assert entry.queries()["pipeline"] is corpus_pipeline.run and "pipeline" not in entry.oracle_sql()
