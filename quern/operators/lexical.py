@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quern.functions.text import tokens
 from quern.operators.matching import count_known, dot_topk, match_counts_by
@@ -27,9 +28,32 @@ def term_key() -> Column:
 LENGTH_MARK = ""
 
 
+def field_type(schema: T.StructType, name: str) -> T.DataType | None:
+    """The type of a column or of a dotted path below it (through arrays too: many values); None if there is none."""
+    if name in schema.names:
+        return schema[name].dataType
+    kind, many = schema, False
+    for part in name.split("."):
+        if isinstance(kind, T.ArrayType):
+            kind, many = kind.elementType, True
+        if not isinstance(kind, T.StructType) or part not in kind.names:
+            return None
+        kind = kind[part].dataType
+    return T.ArrayType(kind) if many else kind
+
+
+def field_text(docs: DataFrame, name: str) -> Column:
+    """The text of a field. The values of an array are one text with line breaks between them, which no token crosses."""
+    kind = field_type(docs.schema, name)
+    column = F.col(f"`{name}`") if name in docs.columns else F.col(name)
+    while isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.ArrayType):
+        column, kind = F.flatten(F.array_compact(column)), kind.elementType
+    return F.array_join(column.cast("array<string>"), "\n") if isinstance(kind, T.ArrayType) else column
+
+
 def known_fields(docs: DataFrame, fields: Sequence[str]) -> list[str]:
     """The fields the table has; the others are reported, since they can contribute nothing."""
-    known = [f for f in fields if f in docs.columns]
+    known = [f for f in fields if field_type(docs.schema, f) is not None]
     if not known:
         raise ValueError(f"none of the fields {list(fields)} exists")
     if len(known) < len(fields):
@@ -40,10 +64,11 @@ def known_fields(docs: DataFrame, fields: Sequence[str]) -> list[str]:
 def analysed(docs: DataFrame, fields: Sequence[str], keep: Sequence[str] = (), han: str = "run") -> DataFrame:
     """One row per document and non-empty field: ``(doc_id, *keep, field, tokens)``.
 
-    A field the table does not have contributes nothing, as in a search server.
+    A field may hold many values: an array of text, or a dotted path into an array of structs such as ``answers.answer_text``.
+    Its tokens and its length are those of all values. A field the table does not have contributes nothing, as in a search server.
     """
     known = known_fields(docs, fields)
-    per_field = F.array(*[F.struct(F.lit(f).alias("field"), tokens(f, han).alias("tokens")) for f in known])
+    per_field = F.array(*[F.struct(F.lit(f).alias("field"), tokens(field_text(docs, f), han).alias("tokens")) for f in known])
     return (
         docs.select("doc_id", *keep, F.inline(per_field))
         .where(F.size("tokens") > 0)
@@ -162,6 +187,13 @@ def bm25_topk(queries: DataFrame, docs: DataFrame, boosts: Mapping[str, float],
     ``allowed`` filters documents before ranking while the statistics stay corpus-wide: a condition on the
     columns of the documents (or of the index, see ``build_index``), which travels with the postings, or a table of ids.
     """
+    return bm25_search(queries, docs, boosts, k, han, index, allowed)[0]
+
+
+def bm25_search(queries: DataFrame, docs: DataFrame, boosts: Mapping[str, float], k: int,
+                han: str = "run", index: DataFrame | None = None,
+                allowed: DataFrame | Column | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Hits, query terms with their idf ``(query_id, term, query_weight)`` and ``field_stats`` of one search; see ``bm25_topk``."""
     keep = []
     if isinstance(allowed, Column):
         flag, keep = F.coalesce(allowed, F.lit(False)), ["_allowed"]
@@ -174,7 +206,8 @@ def bm25_topk(queries: DataFrame, docs: DataFrame, boosts: Mapping[str, float],
     weighted = saturation(postings.where("_allowed") if keep else postings, stats).select("doc_id", term_key().alias("term"), "doc_weight")
     if allowed is not None and not keep:
         weighted = weighted.join(allowed.select("doc_id"), "doc_id", "left_semi")
-    return dot_topk(with_idf(terms, postings, stats), weighted, k, n_terms, touched.count())
+    weights = with_idf(terms, postings, stats)
+    return dot_topk(weights, weighted, k, n_terms, touched.count()), weights, stats
 
 
 def match_counts(queries: DataFrame, docs: DataFrame, fields: Sequence[str],

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quern.functions.text import first_words
-from quern.operators import evaluate, fusion, lexical, prepare, quantised, results, sparse, vector
+from quern.operators import evaluate, fusion, lexical, multivalued, prepare, quantised, results, sparse, vector
 from quern.operators.segments import SearchIndex
 from quern.plans import fixtures as fx
 from quern.plans import sql
@@ -79,6 +79,32 @@ def qna_search_topk(spark, d):
         "query_id", "rank", "doc_id", "score", results.answer_content().alias("content"))
 
 
+ANSWER_FIELDS = {"answers.answer_text": 2.0, "item_name": 1.0}
+_ANSWERED = [sql.CATALOG, "answered AS (SELECT doc_id, item_name, answers, array_to_string(answers, chr(10)) AS answer_text FROM catalog)",
+             """answer_queries AS (
+  SELECT min(p_partkey) AS query_id, p_type || ' ' || p_name AS query_text FROM part GROUP BY p_type || ' ' || p_name)"""]
+
+
+@query(sql.with_(*_ANSWERED, sql.bm25("c", "answered", {"answer_text": 2.0, "item_name": 1.0}, "answer_queries", 3), f"""
+given AS (SELECT doc_id, unnest(answers) AS value, generate_subscripts(answers, 1) - 1 AS value_position FROM answered)""", f"""
+cut AS (SELECT doc_id, value_position, value, {sql.tokens('value')} AS toks FROM given)""", """
+counted AS (SELECT doc_id, value_position, value, length, token, count(*) AS tf FROM (
+  SELECT doc_id, value_position, value, len(toks) AS length, unnest(toks) AS token FROM cut) GROUP BY ALL)""", """
+valued AS (
+  SELECT query_id, doc_id, value_position, value, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5))
+    * tf / (tf + 1.2 * (1 - 0.75 + 0.75 * length / avgdl))), 6) AS value_score
+  FROM c_hits JOIN c_q USING (query_id) JOIN counted USING (doc_id, token) JOIN c_df USING (token) JOIN c_stats USING (field)
+  WHERE field = 'answer_text' GROUP BY ALL)""", """
+best AS (SELECT * FROM valued QUALIFY row_number() OVER (PARTITION BY query_id, doc_id ORDER BY value_score DESC, value_position) = 1)""") + """
+SELECT query_id, rank, doc_id, score, value_position::INT AS value_position, value, value_score
+FROM c_hits LEFT JOIN best USING (query_id, doc_id)""")
+def answers_search_topk(spark, d):
+    """Products by what is said in any of their answers, with the answer that matches best."""
+    docs = fx.catalog(spark, d)
+    asked = fx.table(spark, d, "part").groupBy(F.concat_ws(" ", "p_type", "p_name").alias("query_text")).agg(F.min("p_partkey").alias("query_id"))
+    return multivalued.array_topk(asked, docs, ANSWER_FIELDS, 3, "answers.answer_text")
+
+
 @query(sql.with_(*_PASSAGE_BASE, sql.bm25("p", "passages", PASSAGE_FIELDS, "passage_queries", 5)) + """
 SELECT query_id, rank, doc_id, score, domain, pid FROM p_hits JOIN passages USING (doc_id)""")
 def passage_multifield_topk(spark, d):
