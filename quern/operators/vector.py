@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -12,9 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quern.functions import encoders
-from quern.operators.blocks import QUERIES_PER_BLOCK, best_of, fresh, hits_schema, hits_table, numbered
+from quern.operators.blocks import QUERIES_PER_BLOCK, best_of, fresh, hits_schema, hits_table, numbered, score_blocks
 from quern.operators.ranking import SCORE_DIGITS, rank_cut
 from quern.session import ship_package, stage
+from quern.sources.encodings import EncodingStore
 
 VECTORS_PER_SLICE = 16_384
 CENTROID_DIGITS = 9
@@ -120,49 +120,69 @@ def _row_blocks(rows: DataFrame, column: str, size: int) -> Iterator[tuple[pa.Ar
 
 
 def _nearest_in_place(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
-    """Score vectors where they lie: the queries come to them block by block, and a task gives ``k`` rows per query.
+    """Score vectors where they lie: at most ``QUERIES_PER_BLOCK`` queries come to them, and a task gives ``k`` rows per query.
 
-    The vectors are scanned once per block and never shuffled.
+    The vectors are scanned once and never shuffled.
     """
     spark = vectors.sparkSession
     ship_package(spark)
     schema = hits_schema(queries, vectors)
-
-    def search(sent):
-        def run(batches):
-            ids, matrix = sent.value
-            best = None
-            for batch in batches:
-                if batch.num_rows:
-                    best = best or _Best(len(ids), k, batch.column("doc_id").type)
-                    best.add(_scores(matrix, _matrix(pa.chunked_array([batch.column("embedding")])), SCORE_DIGITS), batch.column("doc_id"))
-            if best:
-                yield from hits_table([(q, docs, scores) for q, (scores, docs) in enumerate(best.found)], ids, best.ids).to_batches()
-        return vectors.select("doc_id", "embedding").mapInArrow(run, schema)
-    parts = [search(spark.sparkContext.broadcast(block)) for block in _row_blocks(queries, "query_id", QUERIES_PER_BLOCK)]
-    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
+    blocks = list(_row_blocks(queries, "query_id", QUERIES_PER_BLOCK))
+    if not blocks:
+        return spark.createDataFrame([], schema)
+    sent = spark.sparkContext.broadcast(blocks[0])
+
+    def run(batches):
+        ids, matrix = sent.value
+        best = None
+        for batch in batches:
+            if batch.num_rows:
+                best = best or _Best(len(ids), k, batch.column("doc_id").type)
+                best.add(_scores(matrix, _matrix(pa.chunked_array([batch.column("embedding")])), SCORE_DIGITS), batch.column("doc_id"))
+        if best:
+            yield from hits_table([(q, docs, scores) for q, (scores, docs) in enumerate(best.found)], ids, best.ids).to_batches()
+    return vectors.select("doc_id", "embedding").mapInArrow(run, schema)
+
+
+def _nearest(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
+    """Best ``k`` vectors of every query, and more rows than that.
+
+    One block of queries is sent to the vectors. More queries are a table like the vectors: both are dealt into blocks
+    and slices, and each task scores one block against one slice, so nothing passes the driver and the plan is the same
+    for any number of them. A vector then moves once per ``QUERIES_PER_BLOCK`` queries, next to as many distances.
+    """
+    n = queries.count()
+    if n <= QUERIES_PER_BLOCK:
+        return _nearest_in_place(queries, vectors, k)
+    return score_blocks(queries.select("query_id", "embedding"), vectors.select("doc_id", "embedding"), _l2_kernel(k), n, QUERIES_PER_BLOCK,
+                        vectors.count(), VECTORS_PER_SLICE)
 
 
 def knn_exact(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
     """The true ``k`` nearest vectors of every query.
 
-    Queries travel to the vectors in blocks. The work is queries x vectors by definition: beyond roughly 10^9 pairs use
+    See ``_nearest`` for how they meet; a derived table of vectors should be stored before, as it is read twice. The work is queries x vectors by definition: beyond roughly 10^9 pairs use
     ``knn_ivf``; the choice is never made silently. Damaged vectors (see ``damaged``) have no distance and no rank.
     """
     dim = dimension_of(queries)
     queries, vectors = (sound(t.select(c, "embedding"), dim) for t, c in ((queries, "query_id"), (vectors, "doc_id")))
-    return rank_cut(_nearest_in_place(queries, vectors, k), k)
+    return rank_cut(_nearest(queries, vectors, k), k)
 
 
 def neural_topk(queries: DataFrame, docs: DataFrame, text: str, k: int, dim: int,
-                factory: encoders.DenseFactory | None = None) -> DataFrame:
+                factory: encoders.DenseFactory | None = None, store: EncodingStore | None = None) -> DataFrame:
     """Nearest documents of query texts: ``docs[text]`` and ``query_text`` pass the encoder hook, then exact search.
 
-    Encode and store the corpus once (``encoders.dense_encode``) when many query batches follow.
+    Both are encoded once per call and staged; with a ``store`` (then ``dim`` and ``factory`` are its own) only texts it does not hold
+    are encoded, so further calls over the same corpus encode nothing.
     """
-    encoded = encoders.dense_encode(docs.select("doc_id", text), {text: "embedding"}, dim, factory)
-    asked = encoders.dense_encode(queries.select("query_id", "query_text"), {"query_text": "embedding"}, dim, factory)
-    return knn_exact(stage(asked.select("query_id", "embedding"), "query-vectors"), encoded, k)
+    def encoded(rows: DataFrame, key: str, column: str, label: str) -> DataFrame:
+        rows = rows.select(key, column)
+        rows = store.encode(rows, column, "embedding") if store else encoders.dense_encode(rows, {column: "embedding"}, dim, factory)
+        return stage(rows.select(key, "embedding"), label)
+    if store and store.dim != dim:
+        raise ValueError(f"the store holds vectors of dimension {store.dim}, not {dim}")
+    return knn_exact(encoded(queries, "query_id", "query_text", "query-vectors"), encoded(docs, "doc_id", text, "vectors"), k)
 
 
 def mean_centroids(vectors: DataFrame, cell: str = "cell") -> DataFrame:
@@ -293,7 +313,7 @@ def knn_ivf(queries: DataFrame, vectors: DataFrame, centroids: DataFrame, k: int
     found = _score_lists(pairs.join(queries, "query_id"), listed, probes, sizes, k)
     unlisted = others.count()
     if unlisted:
-        found = found.unionByName(_nearest_in_place(queries, others, k))
+        found = found.unionByName(_nearest(queries, others, k))
     hits = rank_cut(found, k)
     if with_candidates:
         compared = probes.groupBy("query_id").agg((F.sum("vectors") + unlisted).alias("candidates"))

@@ -13,6 +13,7 @@ from quern.plans import sql
 from quern.plans.registry import query
 from quern.session import new_folder, stage
 from quern.sources import readers
+from quern.sources.encodings import EncodingStore
 from quern.sources.keyed import KeyedTable
 from quern.streaming import questions
 
@@ -223,6 +224,46 @@ def neural_topk(spark, d):
     return vector.neural_topk(fx.passage_queries(spark, d), docs, "chunk_text", 5, 64)
 
 
+@query(sql.with_(*_PASSAGE_BASE, sql.neural("n", 5, 64)) + "SELECT * FROM n_hits")
+def neural_stored_topk(spark, d):
+    """The same hits over stored encodings, of which the corpus of other languages was loaded before."""
+    docs = prepare.passage_chunk(fx.passages(spark, d))
+    store = EncodingStore(spark, new_folder(spark, "encodings"), "hashed", 64)
+    store.add(docs.where("domain <> 'fr'"), "chunk_text")
+    return vector.neural_topk(fx.passage_queries(spark, d), docs, "chunk_text", 5, 64, store=store)
+
+
+@query("""
+WITH loads AS (
+  SELECT 1 AS load, text FROM documents WHERE lang <> 'fr' UNION ALL SELECT 2, text FROM documents UNION ALL SELECT 3, text FROM documents),
+firsts AS (SELECT coalesce(text, '') AS text, min(load) AS load FROM loads GROUP BY ALL)
+SELECT l.load, count(*) AS texts, (SELECT count(*) FROM firsts f WHERE f.load = l.load) AS encoded, 0::BIGINT AS missing
+FROM loads l GROUP BY l.load""")
+def encode_once(spark, d):
+    """Three loads, the last one of rows already loaded: texts, those that passed the encoder, and rows without a vector after."""
+    docs = fx.passages(spark, d).select("domain", "passage")
+    store, rows = EncodingStore(spark, new_folder(spark, "encodings"), "hashed", 64), []
+    for load, part in enumerate((docs.where("domain <> 'fr'"), docs, docs), 1):
+        added = store.add(part, "passage")
+        found = store.lookup(part, "passage", "embedding").agg(
+            F.count(F.lit(1)).alias("texts"), F.count_if(~F.coalesce(F.size("embedding") == 64, F.lit(False))).alias("missing"))
+        rows.append(found.select(F.lit(load).alias("load"), "texts", F.lit(added).cast("bigint").alias("encoded"), "missing"))
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+@query(sql.with_(*_VECTOR_BASE, """
+asked AS (SELECT c_custkey AS query_id, v.e FROM customer JOIN vectors v ON v.doc_id = c_custkey % (SELECT count(*) FROM vectors))""", """
+a_score AS (SELECT query_id, doc_id, round(1 / (1 + list_distance(q.e, v.e) ** 2), 6) AS score FROM asked q CROSS JOIN vectors v)""",
+                 sql.ranked("a_hits", "a_score", 3)) + "SELECT * FROM a_hits")
+def knn_many_queries_topk(spark, d):
+    """More queries than one block holds (one per customer, from 1,024 customers on)."""
+    vectors = stage(fx.vectors(spark, d), "vectors")
+    count = vectors.agg(F.count(F.lit(1)).alias("n"))
+    asked = fx.table(spark, d, "customer").join(F.broadcast(count)).select("c_custkey", (F.col("c_custkey") % F.col("n")).alias("doc_id"))
+    asked = asked.join(vectors, "doc_id").select(F.col("c_custkey").alias("query_id"), "embedding")
+    return vector.knn_exact(stage(asked, "asked"), vectors, 3)
+
+
 @query(sql.with_(*_PASSAGE_BASE, sql.neural("n", 10, 64), sql.bm25("p", "passages", PASSAGE, "passage_queries", 10),
                  sql.normalised("pn", "p_hits"), sql.normalised("nn", "n_hits"), sql.combined("c", "pn", "nn", 0.4, 0.6),
                  sql.ranked("h", "c", 5)) + "SELECT * FROM h")
