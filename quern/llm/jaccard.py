@@ -8,7 +8,9 @@ shingles and only groups that reach the bound are opened, i.e. compared set by s
 What makes this exact and small: let sets be ordered rarest shingle first (frequent ones, known from a count
 over all documents, last; else by hash). Two sets with an overlap of at least ``o`` share at least
 ``min(K, o)`` of their first ``size - o + K`` shingles. So the matrix needs these prefixes only (a tenth of a set
-at 90 %), and a group with fewer than ``min(K, o)`` common prefix shingles cannot qualify.
+at 90 %), and a group with fewer than ``min(K, o)`` common prefix shingles cannot qualify. For a group of one document the sizes
+of both sets are known, hence ``o``: both prefixes shrink (to a twentieth at equal sizes), and what either set holds
+up to the last common shingle without the other is a part of their difference, which must not be too large.
 
 Groups are opened in three rounds, each in chunks of at most about ``CHUNK`` documents. First every group for itself, with a
 union-find that stops when all are connected; leaders of a group's chunks are compared with each other. Then every document asks
@@ -16,7 +18,7 @@ one chunk of its *hub*, the largest group among those with which it shares enoug
 becomes one component with about as many comparisons as it has documents. Only then the matrix is read again with
 these components as groups, and a document is sent to all chunks of every other component that qualifies. No partner or
 candidate is ever cut off. Links become components by large-star / small-star steps on tables; nothing about
-documents reaches the driver but the frequent shingles (in at least 1/2000 of all documents, so at most 2000 mean set sizes).
+documents reaches the driver but the frequent shingles (in at least 1/8000 of all documents, so at most 8000 mean set sizes).
 
 Shingles are 64-bit hashes; so are the digests of sets. Equal hashes count as equal.
 Null, empty and blank texts have an empty set and are linked with nothing. A text of fewer than ``width`` words has one
@@ -36,10 +38,10 @@ from pyspark.sql import functions as F
 from quern.llm.text import folded_words, map_chunks, text_bytes
 from quern.session import ship_package, stage
 
-K = 3
+K = 5
 CHUNK = 512
 CHUNK_BYTES = 8 << 20
-FREQUENT = 2000
+FREQUENT = 8000
 PAIRS_AT_ONCE = 2_000_000
 
 _U = np.uint64
@@ -147,12 +149,13 @@ def _connect(rows: list[dict], percent: int) -> list[int]:
 
 
 def _frequent(docs: DataFrame, width: int) -> np.ndarray:
-    """Shingles in at least one of ``FREQUENT`` documents, as far as single chunks show them; this only orders sets."""
+    """Shingles in at least one of ``FREQUENT`` documents, as far as chunks show them (a shingle counts in a chunk of texts
+    from two different sets on); this only orders sets."""
     def work(chunk: pa.Table) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
-        sets = [shingles(t, width, hashes) for t in chunk.column("text").to_pylist()]
-        tokens, counts = np.unique(np.concatenate(sets), return_counts=True)
-        often = counts >= 3
+        sets = {s.tobytes(): s for s in (shingles(t, width, hashes) for t in chunk.column("text").to_pylist())}
+        tokens, counts = np.unique(np.concatenate(list(sets.values())), return_counts=True)
+        often = counts >= 2
         yield pa.RecordBatch.from_arrays([pa.array(tokens[often].view(np.int64)), pa.array(counts[often])], names=["token", "docs"])
     found = map_chunks(docs, ["text"], text_bytes("text"), CHUNK_BYTES, work, "token bigint, docs bigint")
     least = max(16, docs.count() // FREQUENT)
@@ -205,25 +208,26 @@ def _least(n: Column, percent: int) -> Column:
 
 
 def _matrix(profiles: DataFrame) -> DataFrame:
-    """``(token, cls, grp, n)`` for the prefix shingles of all classes; a class may come from several chunks of texts."""
+    """``(token, cls, grp, n, pos)`` for the prefix shingles of all classes; a class may come from several chunks of texts."""
     def explode(batches):
         for batch in batches:
             prefixes = [np.frombuffer(p, np.int64) for p in batch.column("prefix").to_pylist()]
             lengths = np.array([len(p) for p in prefixes], dtype=np.int64)
             columns = [np.repeat(batch.column(c).to_numpy(), lengths) for c in ("cls", "grp", "n")]
             tokens = np.concatenate(prefixes) if len(prefixes) else np.zeros(0, np.int64)
+            places = (np.arange(len(tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
             for start in range(0, len(tokens), 100_000):
                 part = slice(start, start + 100_000)
-                yield pa.RecordBatch.from_arrays([pa.array(c[part]) for c in (tokens, *columns)], names=["token", "cls", "grp", "n"])
-    return profiles.select("cls", "grp", "n", "prefix").mapInArrow(explode, "token bigint, cls bigint, grp bigint, n bigint")
+                yield pa.RecordBatch.from_arrays([pa.array(c[part]) for c in (tokens, *columns, places)], names=["token", "cls", "grp", "n", "pos"])
+    return profiles.select("cls", "grp", "n", "prefix").mapInArrow(explode, "token bigint, cls bigint, grp bigint, n bigint, pos int")
 
 
 def _by_token(matrix: DataFrame, work: Callable[[list[np.ndarray]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """Run ``work`` on whole matrix rows: columns token, cls, grp, n sorted by shingle, group and class, each row once."""
+    """Run ``work`` on whole matrix rows: columns token, cls, grp and the others, sorted by shingle, group and class, each row once."""
     def run(batches):
         held = None
         for batch in batches:
-            part = [batch.column(i).to_numpy() for i in range(4)]
+            part = [column.to_numpy(zero_copy_only=False) for column in batch.columns]
             if held is not None:
                 part = [np.concatenate(x) for x in zip(held, part)]
             last = int(np.searchsorted(part[0], part[0][-1], "left")) if len(part[0]) else 0
@@ -236,13 +240,14 @@ def _by_token(matrix: DataFrame, work: Callable[[list[np.ndarray]], Iterator[pa.
         keep = np.ones(len(rows[0]), dtype=bool)
         keep[1:] = (rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])
         return [x[keep] for x in rows]
-    return matrix.select("token", "cls", "grp", "n").repartition("token").sortWithinPartitions("token", "grp", "cls").mapInArrow(run, schema)
+    others = [c for c in matrix.columns if c not in ("token", "cls", "grp")]
+    return matrix.select("token", "cls", "grp", *others).repartition("token").sortWithinPartitions("token", "grp", "cls").mapInArrow(run, schema)
 
 
 def _shared(percent: int) -> Callable[[list[np.ndarray]], Iterator[pa.RecordBatch]]:
     """Rows of shingles that several groups have, with the largest of these groups as ``hub`` (the own group if sizes cannot match)."""
     def work(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        token, cls, grp, n = rows
+        token, cls, grp, n, pos = rows
         if len(token) < 2:
             return
         new_token = np.concatenate([[True], token[1:] != token[:-1]])
@@ -259,19 +264,27 @@ def _shared(percent: int) -> Callable[[list[np.ndarray]], Iterator[pa.RecordBatc
         target = np.where(fits, grp[starts[to]], grp[at])
         for i in range(0, len(at), 100_000):
             part = at[i:i + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (token[part], cls[part], grp[part], n[part], target[i:i + 100_000])],
-                                             names=["token", "cls", "grp", "n", "hub"])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (token[part], cls[part], grp[part], n[part], pos[part], target[i:i + 100_000])],
+                                             names=["token", "cls", "grp", "n", "pos", "hub"])
     return work
 
 
 def _qualifying(matrix: DataFrame, percent: int) -> DataFrame:
-    """``(cls, grp)``: documents and the groups they must open. A pair of groups is met once."""
-    hits = _by_token(matrix, lambda rows: _meetings(rows, percent), "cls bigint, grp bigint, n bigint")
-    return hits.groupBy("cls", "grp", "n").count().filter(F.col("count") >= _least(F.col("n"), percent)).select("cls", "grp")
+    """``(cls, grp)``: documents and the groups they must open. A pair of groups is met once.
+
+    ``matrix`` has the columns ``token, cls, grp, n, pos, alone``; the last says that a group has one document only.
+    """
+    hits = _by_token(matrix, lambda rows: _meetings(rows, percent), "cls bigint, grp bigint, n bigint, pos int, other_n bigint, other_pos int")
+    met = hits.groupBy("cls", "grp", "n").agg(F.count(F.lit(1)).alias("common"), F.max("pos").alias("pos"), F.max("other_n").alias("other_n"),
+                                              F.max("other_pos").alias("other_pos"))
+    # What the two sets do not share up to their last common shingle; groups of several have no position (-1).
+    apart = F.col("pos") + F.col("other_pos") + 2 - 2 * F.col("common")
+    close = (F.col("other_pos") < 0) | (apart * (100 + percent) <= (F.col("n") + F.col("other_n")) * (100 - percent))
+    return met.filter((F.col("common") >= _least(F.col("n"), percent)) & close).select("cls", "grp")
 
 
 def _meetings(rows: list[np.ndarray], percent: int) -> Iterator[pa.RecordBatch]:
-    token, cls, grp, n = rows
+    token, cls, grp, n, pos, alone = rows
     if len(token) < 2:
         return
     new_token = np.concatenate([[True], token[1:] != token[:-1]])
@@ -280,6 +293,7 @@ def _meetings(rows: list[np.ndarray], percent: int) -> Iterator[pa.RecordBatch]:
     group = np.cumsum(new_group) - 1
     least, most = np.minimum.reduceat(n, starts), np.maximum.reduceat(n, starts)
     first = group[np.flatnonzero(new_token)][np.cumsum(new_token) - 1]
+    place, single = pos[starts].astype(np.int64), alone[starts].astype(bool)
     earlier = group - first
     cuts = np.concatenate([[0], np.cumsum(earlier)])
     at = 0
@@ -291,9 +305,16 @@ def _meetings(rows: list[np.ndarray], percent: int) -> Iterator[pa.RecordBatch]:
             other = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + first[row]
             fits = (100 * most[other] >= percent * n[row]) & (percent * least[other] <= 100 * n[row])
             row, other = row[fits], other[fits]
+            # Both shingles must stand in the prefixes that the two sizes leave; of a group of several only the least size is known.
+            size = np.maximum(least[other], overlap_needed(n[row], percent))
+            needed = -(-percent * (n[row] + size) // (100 + percent))
+            near = (pos[row] < n[row] - needed + K) & (~single[other] | (place[other] < size - needed + K))
+            row, other, size = row[near], other[near], size[near]
             for i in range(0, len(row), 100_000):
                 r, o = row[i:i + 100_000], other[i:i + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array(cls[r]), pa.array(grp[starts[o]]), pa.array(n[r])], names=["cls", "grp", "n"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(cls[r]), pa.array(grp[starts[o]]), pa.array(n[r]), pa.array(pos[r].astype(np.int32)), pa.array(size[i:i + 100_000]),
+                     pa.array(np.where(single[o], place[o], -1).astype(np.int32))], names=["cls", "grp", "n", "pos", "other_n", "other_pos"])
         at = stop
 
 
@@ -343,7 +364,7 @@ def _located(docs: DataFrame, width: int, percent: int, id_col: str, text_col: s
         F.min("doc_id").alias("doc_id"), F.min("row_key").alias("row_key"), F.first("n").alias("n"), F.first("grp").alias("grp"))
     classes = stage(classes, "classes")
 
-    shared = stage(_by_token(_matrix(profiles), _shared(percent), "token bigint, cls bigint, grp bigint, n bigint, hub bigint"), "shared")
+    shared = stage(_by_token(_matrix(profiles), _shared(percent), "token bigint, cls bigint, grp bigint, n bigint, pos int, hub bigint"), "shared")
     sizes = classes.groupBy("grp").agg(F.count(F.lit(1)).alias("members"))
     hubs = shared.filter("hub <> grp").groupBy("cls", "n", "hub").count().filter(F.col("count") >= _least(F.col("n"), percent))
     hubs = stage(hubs.groupBy("cls").agg(F.max_by("hub", F.struct("count", "hub")).alias("grp")).join(
@@ -368,8 +389,9 @@ def _located(docs: DataFrame, width: int, percent: int, id_col: str, text_col: s
 
     # Round 3: the matrix again, with the components so far as groups, and their members in chunks.
     known = classes.select("cls", "n").join(joined, F.col("cls") == F.col("node"), "left").select("cls", "n", F.coalesce("comp", "cls").alias("grp"))
-    known = stage(known.join(known.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks")), "grp"), "known")
-    rows = shared.select("token", "cls", "n").join(known.select("cls", "grp"), "cls")
+    counted = known.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks"), (F.count(F.lit(1)) == 1).alias("alone"))
+    known = stage(known.join(counted, "grp"), "known")
+    rows = shared.select("token", "cls", "n", "pos").join(known.select("cls", "grp", "alone"), "cls")
     hits = _qualifying(rows, percent)
     home = known.select("cls", "grp", F.pmod("cls", "chunks").alias("chunk"))
     spans = known.groupBy("grp", F.pmod("cls", "chunks").alias("chunk")).agg(F.min("n").alias("least"), F.max("n").alias("most"))
