@@ -16,7 +16,8 @@ Groups are opened in three rounds, each in chunks of at most about ``CHUNK`` doc
 union-find that stops when all are connected; leaders of a group's chunks are compared with each other. Then every document asks
 one chunk of its *hub*, the largest group among those with which it shares enough shingles. So a family of near copies, however large,
 becomes one component with about as many comparisons as it has documents. Only then the matrix is read again with
-these components as groups, and a document is sent to all chunks of every other component that qualifies. No partner or
+these components as groups, and a document is sent to all chunks of every other component that qualifies, at first as a sketch, whose distance bounds that of
+the sets from below, and as a whole set where that leaves a link possible. No partner or
 candidate is ever cut off. Links become components by large-star / small-star steps on tables; nothing about
 documents reaches the driver but the frequent shingles (in at least 1/8000 of all documents, so at most 8000 mean set sizes).
 
@@ -411,7 +412,8 @@ def _located(docs: DataFrame, width: int, percent: int, id_col: str, text_col: s
     more = more.join(sets.select("cls"), "cls", "left_anti").join(classes.select("cls", "grp", "row_key"), "cls")
     extra = _sets(docs, more.select("cls", "grp", "row_key", F.lit(1).cast("bigint").alias("chunks"), F.lit(0).cast("bigint").alias("chunk")), width)
     every = sets.select("cls", "tokens").unionByName(stage(extra, "late-sets").select("cls", "tokens"))
-    late = _ask(every.join(home, "cls"), ask, ["grp", "chunk"], percent)
+    every = every.join(home, "cls")
+    late = _ask(every, _sifted(every, ask, ["grp", "chunk"], percent), ["grp", "chunk"], percent)
     links = joined.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(late)
     comps = components(links)
     named = classes.select("cls", "doc_id").join(comps, F.col("cls") == F.col("node"), "left").select(
@@ -423,6 +425,71 @@ def _located(docs: DataFrame, width: int, percent: int, id_col: str, text_col: s
     return full.unionByName(profiles.filter("n = 0").select(*columns, F.col("doc_id").alias("component_id"), F.lit(None).cast("bigint").alias("comp")))
 
 
+def sketch(tokens: np.ndarray) -> np.ndarray:
+    """Shingles counted (up to 3) in as many ranges of hashes as there are shingles, a power of two."""
+    bits = max(4, (len(tokens) - 1).bit_length())
+    return np.minimum(np.bincount((tokens >> _U(64 - bits)).astype(np.int64), minlength=1 << bits), 3).astype(np.int8)
+
+
+def folded(counts: np.ndarray, ranges: int) -> np.ndarray:
+    """Sketches over fewer ranges."""
+    while counts.shape[-1] > ranges:
+        counts = np.minimum(counts[..., 0::2] + counts[..., 1::2], 3)
+    return counts
+
+
+class _Sketches:
+    """Sketches of the members of a chunk, by their number of ranges."""
+
+    def __init__(self, rows: list[dict]):
+        self.parts = {}
+        for row in rows:
+            self.parts.setdefault(len(row["sketch"]), []).append(row)
+        self.parts = {ranges: (np.array([r["n"] for r in part]), np.stack([np.frombuffer(r["sketch"], np.int8) for r in part]))
+                      for ranges, part in self.parts.items()}
+
+    def may_link(self, n: int, own: np.ndarray, percent: int) -> bool:
+        """Whether some member is no further from ``own`` than linked sets can be: sketches differ by no more than sets do."""
+        for ranges, (sizes, members) in self.parts.items():
+            both = min(ranges, len(own))
+            apart = np.abs(folded(members, both) - folded(own, both)).sum(1, dtype=np.int64)
+            if (apart * (100 + percent) <= (sizes + n) * (100 - percent)).any():
+                return True
+        return False
+
+
+def _sifted(sets: DataFrame, ask: DataFrame, keys: list[str], percent: int) -> DataFrame:
+    """The rows of ``ask(cls, *keys)`` whose set may have a link into the chunk, by sketches of a quarter of a set's size at most."""
+    def sketched(batches):
+        for batch in batches:
+            found = [sketch(np.frombuffer(t, np.uint64)).tobytes() for t in batch.column("tokens").to_pylist()]
+            lengths = [len(t) // 8 for t in batch.column("tokens").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("cls"), pa.array(lengths, pa.int64()), pa.array(found, pa.binary())], names=["cls", "n", "sketch"])
+
+    def run(batches):
+        key, members, opened = None, [], None
+        for batch in batches:
+            kept = []
+            for row in batch.to_pylist():
+                if tuple(row[k] for k in keys) != key:
+                    key, members, opened = tuple(row[k] for k in keys), [], None
+                if not row["role"]:
+                    members.append(row)
+                    continue
+                if members:
+                    opened = opened or _Sketches(members)
+                    if opened.may_link(row["n"], np.frombuffer(row["sketch"], np.int8), percent):
+                        kept.append((row["cls"], *key))
+            if kept:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*kept)], names=["cls", *keys])
+    light = stage(sets.select("cls", "tokens").mapInArrow(sketched, "cls bigint, n bigint, sketch binary"), "sketches")
+    placed = sets.select("cls", *keys).join(ask.select(*keys).distinct(), keys, "left_semi")
+    members = placed.join(light, "cls").select(*keys, "cls", "n", "sketch", F.lit(0).alias("role"))
+    queries = ask.join(light, "cls").select(*keys, "cls", "n", "sketch", F.lit(1).alias("role"))
+    rows = members.unionByName(queries).repartition(*keys).sortWithinPartitions(*keys, "role")
+    return rows.mapInArrow(run, ", ".join(f"{c} bigint" for c in ("cls", *keys)))
+
+
 def _ask(sets: DataFrame, ask: DataFrame, keys: list[str], percent: int) -> DataFrame:
     """Links ``(a, b)`` between the classes of ``ask(cls, *keys)`` and the members of the chunks they ask."""
     ask = stage(ask, "asked")

@@ -310,6 +310,19 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, chunk):
     assert len({c for n, c in want.values() if n}) < len(rows) - 30
 
 
+def test_sketches_never_exceed_the_difference_of_sets():
+    rng = np.random.default_rng(2)
+    for n, extra in ((1, 0), (3, 2), (15, 3), (17, 15), (300, 40), (500, 30), (511, 20)):
+        both = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+        a, b = (np.union1d(both, rng.integers(0, 2**64, e, dtype=np.uint64)) for e in (extra, extra // 2))
+        ranges = min(len(jaccard.sketch(a)), len(jaccard.sketch(b)))
+        apart = int(np.abs(jaccard.folded(jaccard.sketch(a), ranges) - jaccard.folded(jaccard.sketch(b), ranges)).sum())
+        assert apart <= len(np.setxor1d(a, b))
+        members = jaccard._Sketches([{"n": len(b), "sketch": jaccard.sketch(b).tobytes()}])
+        linked = 100 * len(np.intersect1d(a, b)) >= 90 * len(np.union1d(a, b))
+        assert members.may_link(len(a), jaccard.sketch(a), 90) or not linked
+
+
 def test_near_duplicates_edges(spark, docs, nothing):
     found = jaccard.near_duplicates(docs, 3, 90)
     assert found.count() == docs.count() and jaccard.near_duplicates(nothing).count() == 0
