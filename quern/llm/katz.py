@@ -1,26 +1,31 @@
-"""LM scoring with a Katz back-off bigram model, trained and evaluated over all texts.
+"""LM scoring with a Katz back-off model of any order, trained and evaluated over all texts.
 
-Tokens are words (A-Z lower-cased) and one end per text. Counts up to ``TOP`` are discounted by Good-Turing;
+Tokens are words (A-Z lower-cased) and one end per text. Counts up to ``TOP`` are discounted by Good-Turing, per order;
 the mass freed in a context goes to words not seen after it, in proportion to their lower-order probability::
 
-    P(w | v) = d(c) c / C(v)   if c = count(v w) > 0     else   alpha(v) P(w)
-    P(w)     = d(c) c / N      if c = count(w) > 0       else   what is left: P(unknown)
+    P(w | u v) = d(c) c / C(u v)   if c = count(u v w) > 0   else   alpha(u v) P(w | v)
+    P(w | v)   = d(c) c / C(v)     if c = count(v w) > 0     else   alpha(v) P(w)
+    P(w)       = d(c) c / N        if c = count(w) > 0       else   what is left: P(unknown)
 
-``alpha(v) = (1 - sum seen P(w | v)) / (1 - sum seen P(w))`` makes every context sum to one exactly. A context whose
-counts are all above ``TOP`` frees nothing; there ``C(v)`` is raised by one. Contexts never seen have ``alpha = 1``. Where the
+``alpha(h) = (1 - sum seen P(w | h)) / (1 - sum seen P(w | h without its first word))`` makes every context sum to one exactly. A
+context whose counts are all above ``TOP`` frees nothing; there ``C(h)`` is raised by one. Contexts never seen have ``alpha = 1``. Where the
 counts of counts give no valid Good-Turing discount, a fixed share ``n1 / (n1 + 2 n2)`` of a count is taken (0.5 without ``n1``).
+A text starts with one mark, so its first word has that mark as context in all orders and its second one word more at most.
 
 How it runs. Texts are cut into *blocks* of some megabytes; a block numbers its own vocabulary and sends every distinct token
-or bigram once, with its count, as packed arrays, instead of one row per token:
+or n-gram once, with its count, as packed arrays, instead of one row per token:
 
 1. Token counts are merged per hash bucket and returned to the blocks with a number for each token.
-2. Bigrams go, with the counts of their words, to the bucket of their context. Contexts that hold more than a quarter of a
-   bucket's share of all tokens are spread over all buckets by the second word, and only their sums meet
-   again (at most four such contexts per bucket). The buckets are the stored n-gram tables.
-3. Counts of counts are summed, back-off weights computed per bucket, and the answers return to the blocks.
+2. For each order from 2 on, n-grams go, with the counts of their lower-order parts, to the bucket of their context. Contexts that
+   hold more than a quarter of a bucket's share of all tokens are spread over all buckets by the last word, and only their sums meet
+   again (at most four such contexts per bucket and order). The buckets are the stored n-gram tables; contexts stand in them in
+   ascending order, and back-off weights are stored in that same order.
+3. Counts of counts are summed, back-off weights computed per bucket, and the answers return to the blocks: counts, and
+   a weight for each context that has an unseen word in the block. The next order builds on these.
 
-A task holds one block or one bucket. Tables below the shared folder carry everything from step to step; blocks are stored bucketed
-by their number, so that answers come to them without moving them. Tokens are identified by 64-bit hashes.
+A task holds one block or one bucket; there is a bucket for each ``BUCKET_TOKENS`` tokens (at least one per shuffle partition), so both have
+a bound at any size. Tables below the shared folder carry everything from step to step; blocks are stored bucketed
+by their number, so that answers come to them without moving them. Tokens and contexts of two words or more are identified by 64-bit hashes.
 
 Null text is empty text (one token, the end). Repeated rows count and are scored each; null ids train.
 Without training texts all tokens are unknown, with probability one.
@@ -30,7 +35,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -46,6 +51,7 @@ from quern.session import new_folder, ship_package, stage
 
 TOP = 5
 BLOCK_BYTES = 12 << 20
+BUCKET_TOKENS = 4_000_000
 START = -2
 UNKNOWN = -1
 
@@ -106,11 +112,28 @@ class Unigrams:
         return np.where(counts > 0, discounted(counts, self.d) / self.denominator, self.unknown)
 
 
-def context_weights(total: np.ndarray, seen: np.ndarray, lower: np.ndarray, unigrams: Unigrams) -> tuple[np.ndarray, np.ndarray]:
-    """``alpha`` and denominator of contexts from their count, the discounted counts seen and the ``P(w)`` of the words seen."""
+def context_weights(total: np.ndarray, seen: np.ndarray, lower: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """``alpha`` and denominator of contexts from their count, the discounted counts seen and the lower-order probabilities of the
+    words seen; ``least`` is a lower bound of what these leave."""
     short = total - seen <= 1e-9
     denominator = total + short
-    return (denominator - seen) / denominator / np.maximum(1 - lower, unigrams.unknown), denominator
+    return (denominator - seen) / denominator / np.maximum(1 - lower, least), denominator
+
+
+@dataclass
+class Model:
+    """What is known of the model while it grows: tokens, discounts of the orders from 2 on."""
+    unigrams: Unigrams
+    texts: int
+    buckets: int
+    d: list[np.ndarray]
+
+    def heavy(self, counts: np.ndarray) -> np.ndarray:
+        """Contexts that are spread over the buckets."""
+        return counts * 4 * self.buckets > self.unigrams.total
+
+    def discounts(self, order: int) -> np.ndarray:
+        return self.unigrams.d if order == 1 else self.d[order - 2]
 
 
 # --- blocks -----------------------------------------------------------------------------------------------------------------
@@ -148,10 +171,11 @@ def _blocks(docs: DataFrame) -> DataFrame:
             pa.array([block]), pa.array([chunk.column("doc_id").to_pylist()], pa.list_(chunk.schema.field("doc_id").type)),
             pa.array([pack(train)], pa.binary()), pa.array([pack(np.array(lengths, np.int64))], pa.binary()),
             pa.array([pack(tokens)], pa.binary()), pa.array([_pack_sorted(hashes[order])], pa.binary()),
-            pa.array([pack(counts.astype(np.int64))], pa.binary()), pa.array([int(train.sum())])],
-            names=["block", "ids", "train", "lengths", "tokens", "vocab", "counts", "texts"])
+            pa.array([pack(counts.astype(np.int64))], pa.binary()), pa.array([int(train.sum())]), pa.array([len(tokens)])],
+            names=["block", "ids", "train", "lengths", "tokens", "vocab", "counts", "texts", "words"])
     return map_chunks(docs, ["doc_id", "train", "text"], text_bytes("text"), BLOCK_BYTES, work,
-                      f"block bigint, ids array<{kind}>, train binary, lengths binary, tokens binary, vocab binary, counts binary, texts bigint")
+                      f"block bigint, ids array<{kind}>, train binary, lengths binary, tokens binary, vocab binary, counts binary, texts bigint, "
+                      "words bigint")
 
 
 def _bucket_ends(hashes: np.ndarray, buckets: int) -> np.ndarray:
@@ -160,37 +184,84 @@ def _bucket_ends(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
 
 
-class _Block:
-    """A block with the numbers and counts of its tokens, and its distinct bigrams."""
+class _Tokens:
+    """Order 1: the tokens of a block with their numbers and counts; the start of a text is one more, behind the last."""
+    order = 1
 
-    def __init__(self, row, answers: pd.DataFrame, buckets: int, texts: int, train_total: int):
-        self.ids, self.train, self.lengths = list(row["ids"]), unpack(row["train"], bool), unpack(row["lengths"])
-        self.tokens, hashes = unpack(row["tokens"], np.int32), _unpack_sorted(row["vocab"], np.uint64)
+    def __init__(self, hashes: np.ndarray, tokens: np.ndarray, answers: pd.DataFrame, model: Model):
         n = len(hashes)
-        ends = _bucket_ends(hashes, buckets)
-        number, self.count = np.full(n + 1, START, np.int64), np.full(n + 1, texts, np.int64)
+        ends = _bucket_ends(hashes, model.buckets)
+        self.ident, self.count = np.full(n + 1, START, np.int64), np.full(n + 1, model.texts, np.int64)
         for bucket, place, count in zip(answers["bucket"], answers["first"], answers["second"]):
             part = slice(ends[bucket], ends[bucket + 1])
-            number[part] = (int(bucket) << 32) + _unpack_sorted(place)
+            self.ident[part] = (int(bucket) << 32) + _unpack_sorted(place)
             self.count[part] = unpack(count)
-        before = np.concatenate([[n], self.tokens[:-1]]).astype(np.int64)
-        self.starts = np.cumsum(self.lengths) - self.lengths
-        before[self.starts] = n
-        key, self.bigram = np.unique(before * (n + 1) + self.tokens, return_inverse=True)
-        self.v, self.w = key // (n + 1), key % (n + 1)
-        # Requests: bigrams with a known context, by bucket; places stay sorted by context within a bucket.
-        known = np.flatnonzero(self.count[self.v] > 0)
-        v, w = number[self.v[known]], np.where(self.count[self.w[known]] > 0, number[self.w[known]], UNKNOWN)
-        bucket = _mixed(v) % np.uint64(buckets)
-        heavy = self.count[self.v[known]] * 4 * buckets > train_total
-        bucket[heavy] = _mixed(v[heavy] * 3 + _mixed(w[heavy]).view(np.int64)) % np.uint64(buckets)
-        order = np.argsort(bucket.astype(np.int32), kind="stable")
+        self.gram, self.denominator = tokens, np.full(n + 1, model.unigrams.denominator)
+
+
+class _Grams:
+    """The distinct n-grams of an order in a block: for each its context and its lower-order part as places in the order below, and its
+    last token. ``gram`` tells the n-gram at a position of ``at``; asked about are those with a known context, by bucket and context."""
+
+    def __init__(self, block: _Block, below: _Tokens | _Grams, first: _Tokens, model: Model):
+        self.order, tokens, n = below.order + 1, block.tokens, len(first.count) - 1
+        if self.order == 2:
+            self.at = np.arange(len(tokens))
+            before = np.concatenate([[n], tokens[:-1]])
+            before[block.starts] = n
+        else:
+            self.at = np.flatnonzero(np.arange(len(tokens)) - np.repeat(block.starts, block.lengths) >= self.order - 2)
+            before = below.gram[self.at - 1]
+        key, place = np.unique(before.astype(np.int64) * (n + 1) + tokens[self.at], return_inverse=True)
+        self.gram = np.zeros(len(tokens), np.int32)
+        self.gram[self.at] = place
+        self.context, self.last = (key // (n + 1)).astype(np.int32), (key % (n + 1)).astype(np.int32)
+        self.short = np.empty(len(key), np.int32)
+        self.short[place] = below.gram[self.at]
+        self.count, self.alpha, self.raised = np.zeros(len(key), np.int64), np.ones(len(key)), np.zeros(len(key), bool)
+        known = np.flatnonzero(below.count[self.context] > 0)
+        v = below.ident[self.context[known]]
+        w = np.where(below.count[self.short[known]] > 0, first.ident[self.last[known]], UNKNOWN)
+        bucket = _mixed(v) % np.uint64(model.buckets)
+        heavy = model.heavy(below.count[self.context[known]])
+        bucket[heavy] = _mixed(v[heavy] * 3 + _mixed(w[heavy]).view(np.int64)) % np.uint64(model.buckets)
+        order = np.lexsort((v, bucket))
         self.asked, self.asked_v, self.asked_w = known[order], v[order], w[order]
-        self.slices = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
+        self.slices = np.searchsorted(bucket[order], np.arange(model.buckets + 1, dtype=np.uint64))
+
+    def take(self, answers: pd.DataFrame, below: _Tokens | _Grams, first: _Tokens) -> None:
+        """Counts and back-off weights as the buckets answered, and what the next order needs of them."""
+        for k, counts, weights in zip(answers["bucket"], answers["first"], answers["second"]):
+            part = slice(self.slices[k], self.slices[k + 1])
+            asked, v = self.asked[part], self.asked_v[part]
+            own = np.repeat(unpack(weights, np.float64), np.diff(np.append(_runs(v), len(v))))
+            self.count[asked], self.alpha[asked], self.raised[asked] = unpack(counts), np.abs(own), own < 0
+        self.denominator = below.count[self.context] + self.raised
+        self.ident = (_mixed(below.ident[self.context] * 3 + _mixed(first.ident[self.last]).view(np.int64)) >> np.uint64(1)).view(np.int64)
+
+    def p(self, lower: np.ndarray, d: np.ndarray) -> np.ndarray:
+        """Probability of each n-gram's last word, from those of the order below."""
+        return np.where(self.count > 0, discounted(self.count, d) / np.maximum(self.denominator, 1), self.alpha * lower[self.short])
+
+
+class _Block:
+    """A block with its n-grams up to an order; all orders that were answered are filled in."""
+
+    def __init__(self, row, answers: pd.DataFrame, model: Model, order: int):
+        self.ids, self.train, self.lengths = list(row["ids"]), unpack(row["train"], bool), unpack(row["lengths"])
+        self.tokens = unpack(row["tokens"], np.int32)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        first = _Tokens(_unpack_sorted(row["vocab"], np.uint64), self.tokens, answers[answers["level"] == 1], model)
+        self.levels = [first]
+        for k in range(2, order + 1):
+            level = _Grams(self, self.levels[-1], first, model)
+            level.take(answers[answers["level"] == k], self.levels[-1], first)
+            self.levels.append(level)
 
     def trained(self) -> np.ndarray:
-        """Training count of each distinct bigram."""
-        return np.bincount(self.bigram[np.repeat(self.train, self.lengths)], minlength=len(self.v))
+        """Training count of each distinct n-gram of the highest order."""
+        top = self.levels[-1]
+        return np.bincount(top.gram[top.at[np.repeat(self.train, self.lengths)[top.at]]], minlength=len(top.count))
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
@@ -238,87 +309,95 @@ def _merge_tokens(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["kind", "block", "bucket", "first", "second", "stats"])
 
 
-_REQUEST = "block bigint, bucket bigint, v binary, runs binary, total binary, w binary, lower binary, trained binary"
+_REQUEST = "block bigint, bucket bigint, v binary, runs binary, total binary, base binary, w binary, lower binary, trained binary"
 
 
-def _bigram_requests(buckets: int, texts: int, train_total: int):
+def _gram_requests(model: Model, order: int):
     def run(block: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         out = []
         for row in block.to_dict("records"):
-            b = _Block(row, answers, buckets, texts, train_total)
-            trained = b.trained()
-            for k in np.flatnonzero(np.diff(b.slices)):
-                part = slice(b.slices[k], b.slices[k + 1])
-                v, asked = b.asked_v[part], b.asked[part]
+            b = _Block(row, answers, model, order)
+            (below, top), trained = b.levels[-2:], b.trained()
+            for k in np.flatnonzero(np.diff(top.slices)):
+                part = slice(top.slices[k], top.slices[k + 1])
+                v, asked = top.asked_v[part], top.asked[part]
                 starts = _runs(v)
-                out.append((row["block"], int(k), pack(v[starts]), pack(np.diff(np.append(starts, len(v)))), pack(b.count[b.v[asked[starts]]]),
-                            pack(b.asked_w[part]), pack(b.count[b.w[asked]]), pack(trained[asked])))
-        return pd.DataFrame(out, columns=["block", "bucket", "v", "runs", "total", "w", "lower", "trained"])
+                one = asked[starts]
+                out.append((row["block"], int(k), _pack_sorted(v[starts]), pack(np.diff(np.append(starts, len(v)))),
+                            pack(below.count[top.context[one]]), pack(below.denominator[top.short[one]].astype(np.int64)),
+                            pack(top.asked_w[part]), pack(below.count[top.short[asked]]), pack(trained[asked])))
+        return pd.DataFrame(out, columns=["block", "bucket", "v", "runs", "total", "base", "w", "lower", "trained"])
     return run
 
 
-_TABLE = ("bucket bigint, v binary, total binary, context binary, w binary, lower binary, counts binary, stats array<bigint>, "
+_TABLE = ("bucket bigint, v binary, total binary, base binary, context binary, w binary, lower binary, counts binary, stats array<bigint>, "
           "blocks array<bigint>, places array<binary>")
 
 
-def _merge_bigrams(rows: pd.DataFrame) -> pd.DataFrame:
-    """The bucket's table: contexts with their counts, bigrams sorted by context with their counts, and where each block's requests stand."""
+def _merge_grams(rows: pd.DataFrame) -> pd.DataFrame:
+    """The bucket's table: contexts with their counts, n-grams sorted by context with their counts, and where each block's requests stand."""
     rows = rows.sort_values("block")
     runs = [unpack(r) for r in rows["runs"]]
-    heads = np.concatenate([unpack(v) for v in rows["v"]])
+    heads = np.concatenate([_unpack_sorted(v) for v in rows["v"]])
     vs, first, context = np.unique(heads, return_index=True, return_inverse=True)
-    totals = np.concatenate([unpack(t) for t in rows["total"]])[first]
+    totals, bases = (np.concatenate([unpack(x) for x in rows[c]])[first] for c in ("total", "base"))
     context = np.repeat(context, np.concatenate(runs))
     ws, word = np.unique(np.concatenate([unpack(w) for w in rows["w"]]), return_inverse=True)
     key, first, place = np.unique(context * len(ws) + word, return_index=True, return_inverse=True)
     lower = np.concatenate([unpack(x) for x in rows["lower"]])[first]
     counts = np.bincount(place, np.concatenate([unpack(t) for t in rows["trained"]]), len(key)).astype(np.int64)
     ends = np.cumsum([int(r.sum()) for r in runs])
-    places = [pack(p.astype(np.int32)) for p in np.split(place, ends[:-1])]
+    places = [_pack_sorted(p.astype(np.int32)) for p in np.split(place, ends[:-1])]
     stats = [int((counts == r).sum()) for r in range(1, TOP + 2)]
-    return pd.DataFrame([{"bucket": int(rows["bucket"].iloc[0]), "v": pack(vs), "total": pack(totals), "context": pack(key // len(ws)),
-                          "w": pack(ws[key % len(ws)]), "lower": pack(lower), "counts": pack(counts), "stats": stats,
-                          "blocks": [int(b) for b in rows["block"]], "places": places}])
+    return pd.DataFrame([{"bucket": int(rows["bucket"].iloc[0]), "v": _pack_sorted(vs), "total": pack(totals), "base": pack(bases),
+                          "context": _pack_sorted(key // len(ws)), "w": pack(ws[key % len(ws)]), "lower": pack(lower), "counts": pack(counts),
+                          "stats": stats, "blocks": [int(b) for b in rows["block"]], "places": places}])
 
 
 class _Bucket:
     """A bucket's table opened: per context the sums that its back-off weight needs."""
 
-    def __init__(self, row: dict, unigrams: Unigrams, d: np.ndarray, buckets: int):
-        self.v, self.total, self.context = unpack(row["v"]), unpack(row["total"]), unpack(row["context"])
+    def __init__(self, row: dict, model: Model, order: int):
+        self.v, self.total, self.context = _unpack_sorted(row["v"]), unpack(row["total"]), _unpack_sorted(row["context"])
         self.counts, lower = unpack(row["counts"]), unpack(row["lower"])
-        self.seen = np.bincount(self.context, discounted(self.counts, d), len(self.v))
-        self.lower = np.bincount(self.context, np.where(self.counts > 0, unigrams.p(lower), 0), len(self.v))
-        self.heavy = self.total * 4 * buckets > unigrams.total
+        p = discounted(lower, model.discounts(order - 1)) / unpack(row["base"])[self.context]
+        self.seen = np.bincount(self.context, discounted(self.counts, model.discounts(order)), len(self.v))
+        self.lower = np.bincount(self.context, np.where(self.counts > 0, p, 0), len(self.v))
+        self.heavy = model.heavy(self.total)
 
 
-def _heavy_sums(unigrams: Unigrams, d: np.ndarray, buckets: int):
+def _heavy_sums(model: Model, order: int):
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                b = _Bucket(row, unigrams, d, buckets)
+                b = _Bucket(row, model, order)
                 yield pa.RecordBatch.from_arrays([pa.array(x[b.heavy]) for x in (b.v, b.seen, b.lower)], names=["v", "seen", "lower"])
     return run
 
 
-def _weights(unigrams: Unigrams, d: np.ndarray, buckets: int, heavy):
-    """Back-off weights of the bucket's contexts as table, and per block the counts and weights it asked for."""
+def _weights(model: Model, order: int, heavy):
+    """Back-off weights of the bucket's contexts as table, and per block the counts and weights it asked for: a negative weight says
+    that the context's count is raised, and contexts whose words are all seen get 1."""
+    least = model.unigrams.unknown if order == 2 else 1e-15
+
     def run(batches):
         hv, hs, hl = heavy.value
         for batch in batches:
             for row in batch.to_pylist():
-                b = _Bucket(row, unigrams, d, buckets)
+                b = _Bucket(row, model, order)
                 at = np.searchsorted(hv, b.v[b.heavy])
                 b.seen[b.heavy], b.lower[b.heavy] = hs[at], hl[at]
-                alpha, denominator = context_weights(b.total, b.seen, b.lower, unigrams)
+                alpha, denominator = context_weights(b.total, b.seen, b.lower, least)
                 raised = denominator > b.total
-                out = [{"kind": "table", "block": -1, "bucket": row["bucket"], "first": pack(b.v), "second": pack(alpha), "stats": None}]
+                out = [{"kind": "table", "block": -1, "bucket": row["bucket"], "first": None, "second": pack(alpha), "stats": None}]
                 for block, place in zip(row["blocks"], row["places"]):
-                    place = unpack(place, np.int32)
-                    context = b.context[place]
-                    own = context[_runs(context)]
-                    out.append({"kind": "weights", "block": block, "bucket": row["bucket"], "first": pack(b.counts[place]),
-                                "second": pack(np.where(raised[own], -alpha[own], alpha[own])), "stats": None})
+                    place = _unpack_sorted(place, np.int32)
+                    context, counts = b.context[place], b.counts[place]
+                    runs = _runs(context)
+                    own = context[runs]
+                    weight = np.where(np.minimum.reduceat(counts, runs) > 0, 1.0, alpha[own])
+                    out.append({"kind": "answer", "block": block, "bucket": row["bucket"], "first": pack(counts),
+                                "second": pack(np.where(raised[own], -weight, weight)), "stats": None})
                 for part in out:
                     yield pa.RecordBatch.from_pylist([part], schema=_arrow)
     _arrow = pa.schema([("kind", pa.string()), ("block", pa.int64()), ("bucket", pa.int64()), ("first", pa.binary()), ("second", pa.binary()),
@@ -326,62 +405,59 @@ def _weights(unigrams: Unigrams, d: np.ndarray, buckets: int, heavy):
     return run
 
 
-def _score(unigrams: Unigrams, d: np.ndarray, buckets: int, texts: int):
+def _score(model: Model, order: int):
     def run(block: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        weights, tokens = answers[answers["kind"] == "weights"], answers[answers["kind"] == "answer"]
+        out, unigrams = [], model.unigrams
         for row in block.to_dict("records"):
-            b = _Block(row, tokens, buckets, texts, unigrams.total)
-            alpha, raised = np.ones(len(b.v)), np.zeros(len(b.v))
-            count = np.zeros(len(b.v), np.int64)
-            for k, first, second in zip(weights["bucket"], weights["first"], weights["second"]):
-                part = slice(b.slices[k], b.slices[k + 1])
-                asked, v = b.asked[part], b.asked_v[part]
-                own = np.repeat(unpack(second, np.float64), np.diff(np.append(_runs(v), len(v))))
-                count[asked], alpha[asked], raised[asked] = unpack(first), np.abs(own), own < 0
-            seen = count > 0
-            total = np.maximum(b.count[b.v] + raised, 1)
-            p = np.where(seen, discounted(count, d) / total, alpha * unigrams.p(b.count[b.w]))
-            own = b.count[b.tokens]
+            b = _Block(row, answers, model, order)
+            p = unigrams.p(b.levels[0].count)
+            by_token = np.log10(p)[b.tokens]
+            for level in b.levels[1:]:
+                p = level.p(p, model.discounts(level.order))
+                by_token[level.at] = np.log10(p)[level.gram[level.at]]
+            own = b.levels[0].count[b.tokens]
             base = np.log10((own + 0.5) / (unigrams.total + 0.5 * (unigrams.distinct + 1)))
             out.append(pd.DataFrame({
                 "doc_id": pd.Series([None if i is None else i for i in b.ids], dtype=object), "held_out": ~b.train, "n_tokens": b.lengths,
                 "n_known": np.add.reduceat((own > 0).astype(np.int64), b.starts), "train_tokens": unigrams.total,
-                "base_score": np.add.reduceat(base, b.starts), "score": np.add.reduceat(np.log10(p)[b.bigram], b.starts)}))
+                "base_score": np.add.reduceat(base, b.starts), "score": np.add.reduceat(by_token, b.starts)}))
         return pd.concat(out) if out else pd.DataFrame(columns=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
     return run
 
 
-def train_and_score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Learn from the rows where ``train`` holds and score all rows:
+def train_and_score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", order: int = 2,
+                    bucket_tokens: int = BUCKET_TOKENS) -> DataFrame:
+    """Learn n-grams up to ``order`` words from the rows where ``train`` holds and score all rows:
     ``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)``; scores are sums of log10."""
     spark = docs.sparkSession
     ship_package(spark)
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(train, F.lit(True)).alias("train"), F.col(text_col).cast("string").alias("text"))
     kind = dict(rows.dtypes)["doc_id"]
     name = f"katz_blocks_{uuid.uuid4().hex}"
-    _blocks(rows).write.bucketBy(buckets, "block").saveAsTable(name, path=new_folder(spark, "katz-blocks"))
+    _blocks(rows).write.bucketBy(partitions, "block").saveAsTable(name, path=new_folder(spark, "katz-blocks"))
     blocks = spark.table(name)
-    texts = blocks.agg(F.coalesce(F.sum("texts"), F.lit(0))).first()[0]
+    texts, words = blocks.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("texts", "words"))).first()
+    buckets = max(partitions, -(-words // bucket_tokens))
 
     requests = blocks.select("block", "vocab", "counts").mapInArrow(
         _token_requests(buckets), "block bigint, bucket bigint, first binary, second binary")
     tokens = stage(requests.groupBy("bucket").applyInPandas(_merge_tokens, _ANSWER), "katz-tokens")
     total, distinct, *of_counts = tokens.filter("kind = 'table'").agg(
         *(F.coalesce(F.sum(F.col("stats")[i]), F.lit(0)) for i in range(TOP + 3))).first()
-    unigrams = Unigrams(total, distinct, discounts(of_counts), of_counts)
-
-    answers = tokens.filter("kind = 'answer'").drop("stats")
-    asked = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(_bigram_requests(buckets, texts, total), _REQUEST)
-    table = stage(asked.groupBy("bucket").applyInPandas(_merge_bigrams, _TABLE), "katz-bigrams")
-    d = discounts(list(table.agg(*(F.coalesce(F.sum(F.col("stats")[i]), F.lit(0)) for i in range(TOP + 1))).first()))
-    opened = table.select("bucket", "v", "total", "context", "lower", "counts", "blocks", "places")
-    sums = opened.mapInArrow(_heavy_sums(unigrams, d, buckets), "v bigint, seen double, lower double")
-    sums = sums.groupBy("v").agg(F.sum("seen").alias("seen"), F.sum("lower").alias("lower")).toPandas().sort_values("v")
-    heavy = spark.sparkContext.broadcast(tuple(sums[c].to_numpy() for c in ("v", "seen", "lower")))
-    weights = stage(opened.mapInArrow(_weights(unigrams, d, buckets, heavy), _ANSWER), "katz-weights")
-
-    both = answers.unionByName(weights.filter("kind = 'weights'").drop("stats"))
+    model = Model(Unigrams(total, distinct, discounts(of_counts), of_counts), texts, buckets, [])
+    answers = tokens.filter("kind = 'answer'").select("block", "bucket", "first", "second", F.lit(1).alias("level"))
+    for n in range(2, order + 1):
+        asked = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(_gram_requests(model, n), _REQUEST)
+        table = stage(asked.groupBy("bucket").applyInPandas(_merge_grams, _TABLE), f"katz-grams-{n}")
+        of_counts = list(table.agg(*(F.coalesce(F.sum(F.col("stats")[i]), F.lit(0)) for i in range(TOP + 1))).first())
+        model = replace(model, d=[*model.d, discounts(of_counts)])
+        opened = table.select("bucket", "v", "total", "base", "context", "lower", "counts", "blocks", "places")
+        sums = opened.mapInArrow(_heavy_sums(model, n), "v bigint, seen double, lower double")
+        sums = sums.groupBy("v").agg(F.sum("seen").alias("seen"), F.sum("lower").alias("lower")).toPandas().sort_values("v")
+        heavy = spark.sparkContext.broadcast(tuple(sums[c].to_numpy() for c in ("v", "seen", "lower")))
+        weights = stage(opened.mapInArrow(_weights(model, n, heavy), _ANSWER), f"katz-weights-{n}")
+        answers = answers.unionByName(weights.filter("kind = 'answer'").select("block", "bucket", "first", "second", F.lit(n).alias("level")))
+
     schema = (f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
-    return blocks.groupBy("block").cogroup(both.groupBy("block")).applyInPandas(_score(unigrams, d, buckets, texts), schema)
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(_score(model, order), schema)

@@ -80,9 +80,9 @@ def op6_ngram_jaccard(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def op2_katz(spark: SparkSession, d: str) -> DataFrame:
-    """Log probability of every document under a back-off model of the documents that are not held out."""
+    """Log probability of every document under a trigram back-off model of the documents that are not held out."""
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 1, F.lit(False))
-    return katz.train_and_score(table(spark, d, "documents"), ~held_out)
+    return katz.train_and_score(table(spark, d, "documents"), ~held_out, order=3)
 
 
 @query()

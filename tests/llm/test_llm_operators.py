@@ -158,6 +158,62 @@ def test_katz_equals_brute_force(docs, nothing):
     assert all(r["score"] == 0 and r["n_known"] == 0 for r in untrained) and len(untrained) == 5
 
 
+def katz_recursive(rows, train, order):
+    """Log10 probability of each text by the recursive definition, every context looked up by its words."""
+    texts = [[w.encode() for w in re.findall(r"[^\x20\x09-\x0D]+", folded(t))] + [b""] for _, t, _ in rows]
+    grams = [Counter() for _ in range(order)]
+    for words, ok in zip(texts, train):
+        marked = [None, *words]
+        for at in range(1, len(marked)) if ok else ():
+            for n in range(1, order + 1):
+                if at - n + 1 >= 0:
+                    grams[n - 1][tuple(marked[at - n + 1:at + 1])] += 1
+    d = [katz.discounts([sum(v == r for v in c.values()) for r in range(1, katz.TOP + 2)]) for c in grams]
+    total = sum(grams[0].values())
+    after = defaultdict(set)
+    for level in grams[1:]:
+        for g in level:
+            after[g[:-1]].add(g[-1])
+
+    def kept(c, n):
+        return c * d[n][c - 1] if 1 <= c <= katz.TOP else c
+    mass = sum(kept(c, 0) for c in grams[0].values())
+    below = total if mass < total else total + 1
+    unknown = (below - mass) / below if total else 1.0
+    known = {}
+
+    def context(h):
+        if h not in known:
+            count = sum(train) if h == (None,) else grams[len(h) - 1][h]
+            seen = sum(kept(grams[len(h)][h + (w,)], len(h)) for w in after[h])
+            under = count if count - seen > 1e-9 else count + 1
+            known[h] = under, (under - seen) / under / (1 - sum(p(h[1:], w) for w in after[h]))
+        return known[h]
+
+    def p(h, w):
+        if not h:
+            return kept(grams[0][(w,)], 0) / below if (w,) in grams[0] else unknown
+        if h not in after:
+            return p(h[1:], w)
+        under, alpha = context(h)
+        return kept(grams[len(h)][h + (w,)], len(h)) / under if w in after[h] else alpha * p(h[1:], w)
+    for n in range(1, order):
+        for h in [h for h in list(after) if len(h) == n][:12]:
+            assert sum(p(h, w) for w, in grams[0]) + p(h, b"\0never") == pytest.approx(1)
+    return [sum(math.log10(p(tuple([None, *words][max(0, at - order + 2):at + 1]), w)) for at, w in enumerate(words)) for words in texts]
+
+
+@pytest.mark.parametrize("order, bucket_tokens", [(1, 4_000_000), (2, 4_000_000), (3, 4_000_000), (3, 40), (4, 500)])
+def test_katz_of_any_order_equals_the_recursive_definition(spark, docs, order, bucket_tokens):
+    rows = edge_rows()
+    train = [i is None or zlib.crc32(str(i).encode()) % 5 != 1 for i, _, _ in rows]
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 1
+    found = katz.train_and_score(docs, ~held_out, order=order, bucket_tokens=bucket_tokens).collect()
+    want = sorted(((not ok, x) for ok, x in zip(train, katz_recursive(rows, train, order))))
+    for got, exp in zip(sorted((r["held_out"], r["score"]) for r in found), want, strict=True):
+        assert got == pytest.approx(exp, rel=1e-9)
+
+
 # 3 ------------------------------------------------------------------------------------------------------------------------
 
 def test_quality_on_held_out_documents(spark):
