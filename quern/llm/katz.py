@@ -20,12 +20,16 @@ or n-gram once, with its count, as packed arrays, instead of one row per token:
    hold more than a quarter of a bucket's share of all tokens are spread over all buckets by the last word, and only their sums meet
    again (at most four such contexts per bucket and order). The buckets are the stored n-gram tables; contexts stand in them in
    ascending order, and back-off weights are stored in that same order.
-3. Counts of counts are summed, back-off weights computed per bucket, and the answers return to the blocks: counts, and
-   a weight for each context that has an unseen word in the block. The next order builds on these.
+3. Counts of counts are summed, back-off weights computed per bucket, and the answers return to the blocks: counts,
+   a weight for each context that has an unseen word in the block, and the place of each n-gram in its table, which is its number as a
+   context of the next order.
+
+Most contexts stand in one block only, as their bucket sees. What follows them is asked by nobody else, so the block counts it from its own
+tokens, with the same formulas, and sends only its counts of counts: the stored tables hold the n-grams of contexts shared by blocks.
 
 A task holds one block or one bucket; there is a bucket for each ``BUCKET_TOKENS`` tokens (at least one per shuffle partition), so both have
 a bound at any size. Tables below the shared folder carry everything from step to step; blocks are stored bucketed
-by their number, so that answers come to them without moving them. Tokens and contexts of two words or more are identified by 64-bit hashes.
+by their number, so that answers come to them without moving them. Tokens are identified by 64-bit hashes.
 
 Null text is empty text (one token, the end). Repeated rows count and are scored each; null ids train.
 Without training texts all tokens are unknown, with probability one.
@@ -50,7 +54,7 @@ from quern.llm.text import folded_words, map_chunks, text_bytes
 from quern.session import new_folder, ship_package, stage
 
 TOP = 5
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 8 << 20
 BUCKET_TOKENS = 4_000_000
 START = -2
 UNKNOWN = -1
@@ -132,6 +136,9 @@ class Model:
         """Contexts that are spread over the buckets."""
         return counts * 4 * self.buckets > self.unigrams.total
 
+    def least(self, order: int) -> float:
+        return self.unigrams.unknown if order == 2 else 1e-15
+
     def discounts(self, order: int) -> np.ndarray:
         return self.unigrams.d if order == 1 else self.d[order - 2]
 
@@ -192,16 +199,19 @@ class _Tokens:
         n = len(hashes)
         ends = _bucket_ends(hashes, model.buckets)
         self.ident, self.count = np.full(n + 1, START, np.int64), np.full(n + 1, model.texts, np.int64)
+        self.own = np.zeros(n + 1, bool)
         for bucket, place, count in zip(answers["bucket"], answers["first"], answers["second"]):
             part = slice(ends[bucket], ends[bucket + 1])
-            self.ident[part] = (int(bucket) << 32) + _unpack_sorted(place)
+            place = _unpack_sorted(place)
+            self.ident[part], self.own[part] = (int(bucket) << 32) + (place >> 1), place & 1
             self.count[part] = unpack(count)
         self.gram, self.denominator = tokens, np.full(n + 1, model.unigrams.denominator)
 
 
 class _Grams:
     """The distinct n-grams of an order in a block: for each its context and its lower-order part as places in the order below, and its
-    last token. ``gram`` tells the n-gram at a position of ``at``; asked about are those with a known context, by bucket and context."""
+    last token. ``gram`` tells the n-gram at a position of ``at``. Asked about are those with a known context that other blocks have
+    too, by bucket and context; ``own`` are n-grams of no other block, ``inside`` those whose context is one already."""
 
     def __init__(self, block: _Block, below: _Tokens | _Grams, first: _Tokens, model: Model):
         self.order, tokens, n = below.order + 1, block.tokens, len(first.count) - 1
@@ -219,25 +229,40 @@ class _Grams:
         self.short = np.empty(len(key), np.int32)
         self.short[place] = below.gram[self.at]
         self.count, self.alpha, self.raised = np.zeros(len(key), np.int64), np.ones(len(key)), np.zeros(len(key), bool)
-        known = np.flatnonzero(below.count[self.context] > 0)
+        self.ident, self.inside = np.zeros(len(key), np.int64), below.own[self.context]
+        self.own = self.inside.copy()
+        trained = np.repeat(block.train, block.lengths)[self.at]
+        self.trained = np.bincount(self.gram[self.at[trained]], minlength=len(key))
+        known = np.flatnonzero((below.count[self.context] > 0) & ~self.inside)
         v = below.ident[self.context[known]]
         w = np.where(below.count[self.short[known]] > 0, first.ident[self.last[known]], UNKNOWN)
-        bucket = _mixed(v) % np.uint64(model.buckets)
+        bucket = _mixed(v) % np.uint64(model.buckets) if self.order == 2 else (v >> 32).astype(np.uint64)
         heavy = model.heavy(below.count[self.context[known]])
         bucket[heavy] = _mixed(v[heavy] * 3 + _mixed(w[heavy]).view(np.int64)) % np.uint64(model.buckets)
         order = np.lexsort((v, bucket))
         self.asked, self.asked_v, self.asked_w = known[order], v[order], w[order]
         self.slices = np.searchsorted(bucket[order], np.arange(model.buckets + 1, dtype=np.uint64))
 
-    def take(self, answers: pd.DataFrame, below: _Tokens | _Grams, first: _Tokens) -> None:
-        """Counts and back-off weights as the buckets answered, and what the next order needs of them."""
-        for k, counts, weights in zip(answers["bucket"], answers["first"], answers["second"]):
+    def take(self, answers: pd.DataFrame, below: _Tokens | _Grams, model: Model) -> None:
+        """Counts and back-off weights as the buckets answered, and of own contexts; and what the next order needs of them."""
+        for k, counts, weights, places in zip(answers["bucket"], answers["first"], answers["second"], answers["third"]):
             part = slice(self.slices[k], self.slices[k + 1])
             asked, v = self.asked[part], self.asked_v[part]
             own = np.repeat(unpack(weights, np.float64), np.diff(np.append(_runs(v), len(v))))
             self.count[asked], self.alpha[asked], self.raised[asked] = unpack(counts), np.abs(own), own < 0
+            if places is not None:
+                place = _unpack_sorted(places)
+                self.ident[asked], self.own[asked] = (int(k) << 32) + (place >> 1), place & 1
+        inside = np.flatnonzero(self.inside & (below.count[self.context] > 0))
+        context, start = np.unique(self.context[inside], return_inverse=True)
+        self.count[inside] = counts = self.trained[inside]
+        short = self.short[inside]
+        lower = discounted(below.count[short], model.discounts(self.order - 1)) / np.maximum(below.denominator[short], 1)
+        alpha, denominator = context_weights(
+            below.count[context], np.bincount(start, discounted(counts, model.discounts(self.order)), len(context)),
+            np.bincount(start, np.where(counts > 0, lower, 0), len(context)), model.least(self.order))
+        self.alpha[inside], self.raised[inside] = alpha[start], (denominator > below.count[context])[start]
         self.denominator = below.count[self.context] + self.raised
-        self.ident = (_mixed(below.ident[self.context] * 3 + _mixed(first.ident[self.last]).view(np.int64)) >> np.uint64(1)).view(np.int64)
 
     def p(self, lower: np.ndarray, d: np.ndarray) -> np.ndarray:
         """Probability of each n-gram's last word, from those of the order below."""
@@ -255,14 +280,10 @@ class _Block:
         self.levels = [first]
         for k in range(2, order + 1):
             level = _Grams(self, self.levels[-1], first, model)
-            level.take(answers[answers["level"] == k], self.levels[-1], first)
+            if k - 2 < len(model.d):
+                level.take(answers[answers["level"] == k], self.levels[-1], model)
             self.levels.append(level)
 
-    def trained(self) -> np.ndarray:
-        """Training count of each distinct n-gram of the highest order."""
-        top = self.levels[-1]
-        return np.bincount(top.gram[top.at[np.repeat(self.train, self.lengths)[top.at]]], minlength=len(top.count))
-
 
 def _mixed(values: np.ndarray) -> np.ndarray:
     h = values.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -290,26 +311,34 @@ def _token_requests(buckets: int):
     return run
 
 
-_ANSWER = "kind string, block bigint, bucket bigint, first binary, second binary, stats array<bigint>"
+_ANSWER = "kind string, block bigint, bucket bigint, first binary, second binary, third binary, stats array<bigint>"
 
 
 def _merge_tokens(rows: pd.DataFrame) -> pd.DataFrame:
-    """The bucket's table (hashes, counts) and per block the places and counts of its tokens."""
+    """The bucket's table (hashes, counts) and per block the places (doubled, plus one if no other block has the token) and counts of its tokens."""
     rows = rows.sort_values("block")
     parts = [_unpack_sorted(k, np.uint64) for k in rows["first"]]
     keys, place = np.unique(np.concatenate(parts), return_inverse=True)
     counts = np.bincount(place, np.concatenate([unpack(c) for c in rows["second"]]), len(keys)).astype(np.int64)
     stats = [int(counts.sum()), int((counts > 0).sum()), *(int((counts == r).sum()) for r in range(1, TOP + 2))]
     bucket, at, out = int(rows["bucket"].iloc[0]), 0, []
-    out.append(("table", -1, bucket, _pack_sorted(keys), pack(counts), stats))
+    out.append(("table", -1, bucket, _pack_sorted(keys), pack(counts), None, stats))
+    marked = 2 * np.arange(len(keys)) + (np.bincount(place, minlength=len(keys)) == 1)
     for block, part in zip(rows["block"], parts):
-        own = place[at:at + len(part)].astype(np.int64)
+        own = place[at:at + len(part)]
         at += len(part)
-        out.append(("answer", block, bucket, _pack_sorted(own), pack(counts[own]), None))
-    return pd.DataFrame(out, columns=["kind", "block", "bucket", "first", "second", "stats"])
+        out.append(("answer", block, bucket, _pack_sorted(marked[own]), pack(counts[own]), None, None))
+    return pd.DataFrame(out, columns=["kind", "block", "bucket", "first", "second", "third", "stats"])
+
+
+_REQUEST = ("block bigint, bucket bigint, v binary, runs binary, total binary, base binary, w binary, word binary, lower binary, trained binary, "
+            "stats array<bigint>")
 
 
-_REQUEST = "block bigint, bucket bigint, v binary, runs binary, total binary, base binary, w binary, lower binary, trained binary"
+def _per_word(values: np.ndarray, word: np.ndarray, words: int) -> np.ndarray:
+    out = np.zeros(words, np.int64)
+    out[word] = values
+    return out
 
 
 def _gram_requests(model: Model, order: int):
@@ -317,41 +346,55 @@ def _gram_requests(model: Model, order: int):
         out = []
         for row in block.to_dict("records"):
             b = _Block(row, answers, model, order)
-            (below, top), trained = b.levels[-2:], b.trained()
+            below, top = b.levels[-2:]
+            inside, none = top.trained[top.inside], pack(np.zeros(0, np.int64))
+            out.append((row["block"], row["block"] % model.buckets, *[none] * 5, pack(np.zeros(0, np.int32)), none, none, [int((inside == r).sum()) for r in range(1, TOP + 2)]))
             for k in np.flatnonzero(np.diff(top.slices)):
                 part = slice(top.slices[k], top.slices[k + 1])
                 v, asked = top.asked_v[part], top.asked[part]
                 starts = _runs(v)
                 one = asked[starts]
+                ws, word = np.unique(top.asked_w[part], return_inverse=True)
+                lower = below.count[top.short[asked]]
+                if order == 2:  # a function of the word
+                    lower = _per_word(lower, word, len(ws))
                 out.append((row["block"], int(k), _pack_sorted(v[starts]), pack(np.diff(np.append(starts, len(v)))),
                             pack(below.count[top.context[one]]), pack(below.denominator[top.short[one]].astype(np.int64)),
-                            pack(top.asked_w[part]), pack(below.count[top.short[asked]]), pack(trained[asked])))
-        return pd.DataFrame(out, columns=["block", "bucket", "v", "runs", "total", "base", "w", "lower", "trained"])
+                            _pack_sorted(ws), pack(word.astype(np.int32)), pack(lower), pack(top.trained[asked]), None))
+        return pd.DataFrame(out, columns=["block", "bucket", "v", "runs", "total", "base", "w", "word", "lower", "trained", "stats"])
     return run
 
 
-_TABLE = ("bucket bigint, v binary, total binary, base binary, context binary, w binary, lower binary, counts binary, stats array<bigint>, "
-          "blocks array<bigint>, places array<binary>")
-
-
-def _merge_grams(rows: pd.DataFrame) -> pd.DataFrame:
-    """The bucket's table: contexts with their counts, n-grams sorted by context with their counts, and where each block's requests stand."""
-    rows = rows.sort_values("block")
-    runs = [unpack(r) for r in rows["runs"]]
-    heads = np.concatenate([_unpack_sorted(v) for v in rows["v"]])
-    vs, first, context = np.unique(heads, return_index=True, return_inverse=True)
-    totals, bases = (np.concatenate([unpack(x) for x in rows[c]])[first] for c in ("total", "base"))
-    context = np.repeat(context, np.concatenate(runs))
-    ws, word = np.unique(np.concatenate([unpack(w) for w in rows["w"]]), return_inverse=True)
-    key, first, place = np.unique(context * len(ws) + word, return_index=True, return_inverse=True)
-    lower = np.concatenate([unpack(x) for x in rows["lower"]])[first]
-    counts = np.bincount(place, np.concatenate([unpack(t) for t in rows["trained"]]), len(key)).astype(np.int64)
-    ends = np.cumsum([int(r.sum()) for r in runs])
-    places = [_pack_sorted(p.astype(np.int32)) for p in np.split(place, ends[:-1])]
-    stats = [int((counts == r).sum()) for r in range(1, TOP + 2)]
-    return pd.DataFrame([{"bucket": int(rows["bucket"].iloc[0]), "v": _pack_sorted(vs), "total": pack(totals), "base": pack(bases),
-                          "context": _pack_sorted(key // len(ws)), "w": pack(ws[key % len(ws)]), "lower": pack(lower), "counts": pack(counts),
-                          "stats": stats, "blocks": [int(b) for b in rows["block"]], "places": places}])
+_TABLE = ("bucket bigint, v binary, total binary, base binary, context binary, w binary, word binary, lower binary, counts binary, "
+          "stats array<bigint>, blocks array<bigint>, places array<binary>")
+
+
+def _merge_grams(order: int):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        """The bucket's table: contexts with their counts, n-grams sorted by context with their counts, and where each block's requests stand."""
+        inside = [x for x in rows["stats"] if x is not None]
+        rows = rows.sort_values("block")
+        runs = [unpack(r) for r in rows["runs"]]
+        heads = np.concatenate([_unpack_sorted(v) for v in rows["v"]])
+        vs, first, context = np.unique(heads, return_index=True, return_inverse=True)
+        totals, bases = (np.concatenate([unpack(x) for x in rows[c]])[first] for c in ("total", "base"))
+        context = np.repeat(context, np.concatenate(runs))
+        own, words = [_unpack_sorted(w) for w in rows["w"]], [unpack(w, np.int32) for w in rows["word"]]
+        ws, word = np.unique(np.concatenate([o[w] for o, w in zip(own, words)]), return_inverse=True)
+        key, first, place = np.unique(context * max(len(ws), 1) + word, return_index=True, return_inverse=True)
+        lower = [unpack(x) for x in rows["lower"]]
+        lower = np.concatenate([x[w] for x, w in zip(lower, words)] if order == 2 else lower)[first]
+        context, word = key // max(len(ws), 1), (key % max(len(ws), 1)).astype(np.int32)
+        if order == 2:
+            lower = _per_word(lower, word, len(ws))
+        counts = np.bincount(place, np.concatenate([unpack(t) for t in rows["trained"]]), len(key)).astype(np.int64)
+        ends = np.cumsum([int(r.sum()) for r in runs])
+        places = [_pack_sorted(p.astype(np.int32)) for p in np.split(place, ends[:-1])]
+        stats = [int((counts == r).sum()) + int(sum(x[r - 1] for x in inside)) for r in range(1, TOP + 2)]
+        return pd.DataFrame([{"bucket": int(rows["bucket"].iloc[0]), "v": _pack_sorted(vs), "total": pack(totals), "base": pack(bases),
+                              "context": _pack_sorted(context), "w": _pack_sorted(ws), "word": pack(word), "lower": pack(lower),
+                              "counts": pack(counts), "stats": stats, "blocks": [int(b) for b in rows["block"]], "places": places}])
+    return run
 
 
 class _Bucket:
@@ -360,6 +403,8 @@ class _Bucket:
     def __init__(self, row: dict, model: Model, order: int):
         self.v, self.total, self.context = _unpack_sorted(row["v"]), unpack(row["total"]), _unpack_sorted(row["context"])
         self.counts, lower = unpack(row["counts"]), unpack(row["lower"])
+        if order == 2:
+            lower = lower[unpack(row["word"], np.int32)]
         p = discounted(lower, model.discounts(order - 1)) / unpack(row["base"])[self.context]
         self.seen = np.bincount(self.context, discounted(self.counts, model.discounts(order)), len(self.v))
         self.lower = np.bincount(self.context, np.where(self.counts > 0, p, 0), len(self.v))
@@ -371,15 +416,15 @@ def _heavy_sums(model: Model, order: int):
         for batch in batches:
             for row in batch.to_pylist():
                 b = _Bucket(row, model, order)
-                yield pa.RecordBatch.from_arrays([pa.array(x[b.heavy]) for x in (b.v, b.seen, b.lower)], names=["v", "seen", "lower"])
+                yield pa.RecordBatch.from_arrays([pa.array(x[b.heavy], t) for x, t in (
+                    (b.v, pa.int64()), (b.seen.astype(float), pa.float64()), (b.lower.astype(float), pa.float64()))], names=["v", "seen", "lower"])
     return run
 
 
-def _weights(model: Model, order: int, heavy):
+def _weights(model: Model, order: int, heavy, last: bool):
     """Back-off weights of the bucket's contexts as table, and per block the counts and weights it asked for: a negative weight says
-    that the context's count is raised, and contexts whose words are all seen get 1."""
-    least = model.unigrams.unknown if order == 2 else 1e-15
-
+    that the context's count is raised, and contexts whose words are all seen get 1. Unless
+    the order is the last, also the places, doubled, plus one if no other block has the n-gram."""
     def run(batches):
         hv, hs, hl = heavy.value
         for batch in batches:
@@ -387,21 +432,24 @@ def _weights(model: Model, order: int, heavy):
                 b = _Bucket(row, model, order)
                 at = np.searchsorted(hv, b.v[b.heavy])
                 b.seen[b.heavy], b.lower[b.heavy] = hs[at], hl[at]
-                alpha, denominator = context_weights(b.total, b.seen, b.lower, least)
+                alpha, denominator = context_weights(b.total, b.seen, b.lower, model.least(order))
                 raised = denominator > b.total
-                out = [{"kind": "table", "block": -1, "bucket": row["bucket"], "first": None, "second": pack(alpha), "stats": None}]
-                for block, place in zip(row["blocks"], row["places"]):
-                    place = _unpack_sorted(place, np.int32)
+                out = [{"kind": "table", "block": -1, "bucket": row["bucket"], "first": None, "second": pack(alpha)}]
+                places = [_unpack_sorted(place, np.int32) for place in row["places"]]
+                marked = 2 * np.arange(len(b.counts)) + (np.bincount(np.concatenate(places), minlength=len(b.counts)) == 1)
+                for block, place in zip(row["blocks"], places):
+                    if not len(place):
+                        continue
                     context, counts = b.context[place], b.counts[place]
                     runs = _runs(context)
                     own = context[runs]
                     weight = np.where(np.minimum.reduceat(counts, runs) > 0, 1.0, alpha[own])
                     out.append({"kind": "answer", "block": block, "bucket": row["bucket"], "first": pack(counts),
-                                "second": pack(np.where(raised[own], -weight, weight)), "stats": None})
+                                "second": pack(np.where(raised[own], -weight, weight)), "third": None if last else _pack_sorted(marked[place])})
                 for part in out:
                     yield pa.RecordBatch.from_pylist([part], schema=_arrow)
     _arrow = pa.schema([("kind", pa.string()), ("block", pa.int64()), ("bucket", pa.int64()), ("first", pa.binary()), ("second", pa.binary()),
-                        ("stats", pa.list_(pa.int64()))])
+                        ("third", pa.binary()), ("stats", pa.list_(pa.int64()))])
     return run
 
 
@@ -446,18 +494,18 @@ def train_and_score(docs: DataFrame, train: Column, id_col: str = "doc_id", text
     total, distinct, *of_counts = tokens.filter("kind = 'table'").agg(
         *(F.coalesce(F.sum(F.col("stats")[i]), F.lit(0)) for i in range(TOP + 3))).first()
     model = Model(Unigrams(total, distinct, discounts(of_counts), of_counts), texts, buckets, [])
-    answers = tokens.filter("kind = 'answer'").select("block", "bucket", "first", "second", F.lit(1).alias("level"))
+    answers = tokens.filter("kind = 'answer'").select("block", "bucket", "first", "second", "third", F.lit(1).alias("level"))
     for n in range(2, order + 1):
         asked = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(_gram_requests(model, n), _REQUEST)
-        table = stage(asked.groupBy("bucket").applyInPandas(_merge_grams, _TABLE), f"katz-grams-{n}")
+        table = stage(asked.groupBy("bucket").applyInPandas(_merge_grams(n), _TABLE), f"katz-grams-{n}")
         of_counts = list(table.agg(*(F.coalesce(F.sum(F.col("stats")[i]), F.lit(0)) for i in range(TOP + 1))).first())
         model = replace(model, d=[*model.d, discounts(of_counts)])
-        opened = table.select("bucket", "v", "total", "base", "context", "lower", "counts", "blocks", "places")
+        opened = table.select("bucket", "v", "total", "base", "context", *(["word"] if n == 2 else []), "lower", "counts", "blocks", "places")
         sums = opened.mapInArrow(_heavy_sums(model, n), "v bigint, seen double, lower double")
         sums = sums.groupBy("v").agg(F.sum("seen").alias("seen"), F.sum("lower").alias("lower")).toPandas().sort_values("v")
         heavy = spark.sparkContext.broadcast(tuple(sums[c].to_numpy() for c in ("v", "seen", "lower")))
-        weights = stage(opened.mapInArrow(_weights(model, n, heavy), _ANSWER), f"katz-weights-{n}")
-        answers = answers.unionByName(weights.filter("kind = 'answer'").select("block", "bucket", "first", "second", F.lit(n).alias("level")))
+        weights = stage(opened.mapInArrow(_weights(model, n, heavy, n == order), _ANSWER), f"katz-weights-{n}")
+        answers = answers.unionByName(weights.filter("kind = 'answer'").select("block", "bucket", "first", "second", "third", F.lit(n).alias("level")))
 
     schema = (f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(_score(model, order), schema)
