@@ -7,6 +7,7 @@ import math
 import random
 import re
 import struct
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -563,6 +564,41 @@ def test_warc_of_other_writers(spark, tmp_path):
     assert bytes(captures["<s>"]["response"]["payload"]) == b"" and captures["<none>"]["response"] is None
 
 
+def test_warc_reader_takes_many_members_and_reports_damage(spark, tmp_path):
+    def record(n, size):
+        body = f"HTTP/1.1 200\r\n\r\n{n}:".encode() + b"\r\nWARC/1.1\r\n\r\n" * size
+        return b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <%d>\r\nContent-Length: %d\r\n\r\n" % (n, len(body)) + body + b"\r\n\r\n"
+    parts = [record(n, size) for n, size in enumerate([0, 1, 20, 40_000, 3, 0])]
+    packed = b"".join(map(gzip.compress, parts))
+    for content in (b"".join(parts), packed, gzip.compress(b"".join(parts)), packed + b"\0" * 512):
+        assert [int(f["warc-record-id"][1:-1]) for f, _ in warc.parse_records(content)] == list(range(6))
+        assert b"".join(b for _, b in warc.parse_records(content)) == b"".join(p.split(b"\r\n\r\n", 1)[1][:-4] for p in parts)
+    assert list(warc.parse_records(b"")) == []
+
+    bad = {"cut.warc.gz": packed[:-9], "tail.warc.gz": packed + b"xyz", "broken.warc.gz": packed + b"\x1f\x8b" + b"?" * 30,
+           "cut.warc": b"".join(parts)[:-20], "long.warc": parts[0] + b"WARC/1.1\r\nContent-Length: x\r\n\r\n", "other.warc": b"<html>"}
+    for name, content in bad.items():
+        (tmp_path / name).write_bytes(content)
+    records = warc.read_records(spark, str(tmp_path)).cache()
+    found = {r["path"].rsplit("/", 1)[1]: r for r in warc.damages(records).collect()}
+    whole = len(b"".join(parts))
+    assert set(found) == set(bad) and all(r["reason"] for r in found.values())
+    assert found["tail.warc.gz"]["offset"] == found["broken.warc.gz"]["offset"] == whole
+    assert found["long.warc"]["offset"] == len(parts[0]) and found["other.warc"]["offset"] == 0
+    # The last record of cut.warc.gz may be whole but for the end of its member.
+    assert records.filter("type = 'response'").count() in (6 + 6 + 5 + 1 + 5, 6 + 6 + 5 + 1 + 6)
+    assert warc.assemble(records).filter("response IS NULL").count() == 0
+
+
+def test_warc_reader_is_linear_in_members():
+    def seconds(members):
+        content = b"".join(gzip.compress(b"WARC/1.1\r\nContent-Length: 1000\r\n\r\n" + random.Random(n).randbytes(1000) + b"\r\n\r\n") for n in range(members))
+        started = time.process_time()
+        assert sum(1 for _ in warc.parse_records(content)) == members
+        return time.process_time() - started
+    assert seconds(16_000) < 20 * max(seconds(2_000), 0.05)
+
+
 def test_warc_of_nothing(spark, tmp_path):
     pages = spark.createDataFrame([], "page_id bigint, url string, html string")
     warc.write_archives(warc.plan_captures(pages), f"{tmp_path}/none")
