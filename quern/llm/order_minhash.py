@@ -14,11 +14,14 @@ like another empty one only (1) and unlike all others (0).
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quern.llm.text import unused
+
 K = 2
 SKETCH_BITS = 6
 PIECE = 8
@@ -42,7 +45,7 @@ def with_fingerprint(df: DataFrame, text_col: str, name: str, k: int = K, sketch
 
     Each step is a column of its own because an expression used within a lambda is evaluated per element.
     """
-    step = [f"{name}_step_{i}" for i in range(5)]
+    step = [unused(df, f"{name}_step_{i}") for i in range(5)]
     pieces = F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(rf"[^\x20\x09-\x0D]{{1,{PIECE}}}"), F.lit(0))
     df = df.withColumn(step[0], F.transform(pieces, lambda p: F.xxhash64(p)))
     h = F.col(step[0])
@@ -92,32 +95,48 @@ def as_text(fingerprint: Column) -> Column:
     return F.array_join(F.transform(fingerprint, lambda x: F.lpad(F.lower(F.hex(x)), 8, "0")), "")
 
 
+def _fixed(values: list, kind: str) -> Column:
+    """An array as one literal, however long."""
+    return F.from_json(F.lit(json.dumps(values)), f"array<{kind}>")
+
+
 def with_next(docs: DataFrame, key: str, tie: str, columns: list[str]) -> DataFrame:
-    """Add ``next_<c>``: the columns of the row that follows in descending order of the numeric ``key`` (ties by ``tie``;
+    """Add ``next_<c>``: the columns of the row that follows in descending order of ``key``, an integer or text (ties by ``tie``;
     null keys last, by hash of ``tie``); the first row follows the last.
 
-    Rows are dealt to ranges of the key; a range also gets the first rows of the range behind it. So the order is global and no
-    task sees more than a range. The driver sees one boundary and one first key per range.
+    Rows are dealt to ranges of the key, found by binary search; a range also gets the first rows of the range behind it. So the order is
+    global and no task sees more than a range. The driver sees one boundary and one first key per range.
     """
     ranges = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    low = docs.agg(F.min(key)).first()[0]
-    rank = F.col(key)
-    if docs.filter(F.col(key).isNull()).limit(1).count():
-        rank = F.coalesce(rank, F.lit((low or 0) - 1) - F.pmod(F.xxhash64(tie), F.lit(1 << 40)))
-    ranked = docs.withColumn("_rank", rank.cast("bigint"))
-    marks = ranked.agg(F.percentile_approx("_rank", [i / ranges for i in range(1, ranges)], 20 * ranges)).first()[0] or []
+    rank, part, home, guest = (unused(docs, name) for name in ("rank", "part", "home", "guest"))
+    value, kind = F.col(key), dict(docs.dtypes)[key]
+    if kind == "string":
+        ranked = docs.withColumn(rank, F.coalesce(F.concat(F.lit("1"), value), F.concat(F.lit("0"), F.hex(F.xxhash64(tie)))))
+        shares = ranked.select(rank).repartitionByRange(ranges, rank).groupBy(F.spark_partition_id().alias("share")).agg(F.min(rank).alias("mark"))
+        marks = [r["mark"] for r in shares.collect()]
+    else:
+        kind = "bigint"
+        if docs.filter(value.isNull()).limit(1).count():
+            low = docs.agg(F.min(key)).first()[0]
+            value = F.coalesce(value, F.lit((low or 0) - 1) - F.pmod(F.xxhash64(tie), F.lit(1 << 40)))
+        ranked = docs.withColumn(rank, value.cast("bigint"))
+        marks = ranked.agg(F.percentile_approx(rank, [i / ranges for i in range(1, ranges)], 20 * ranges)).first()[0] or []
     marks = sorted(set(marks))
-    part = F.lit(0) if not marks else F.size(F.filter(F.array(*map(F.lit, marks)), lambda m: m <= F.col("_rank")))
-    ranked = ranked.withColumn("_part", part)
-    heads = dict(ranked.groupBy("_part").agg(F.max("_rank")).collect())
+    bounds, number = _fixed(marks, kind), F.lit(0)
+    if marks:
+        steps = F.array(*(F.lit(1 << i) for i in reversed(range(len(marks).bit_length()))))
+        number = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(bounds, at + step - 1) <= F.col(rank), at + step).otherwise(at))
+    ranked = ranked.withColumn(part, number)
+    heads = dict(ranked.groupBy(part).agg(F.max(rank)).collect())
     order = sorted(heads, reverse=True)
-    before = {heads[p]: order[i - 1] for i, p in enumerate(order)}
-    homes = F.array(F.struct(F.col("_part").alias("part"), F.lit(0).alias("guest")))
-    if before:
-        # The first rows of a range are guests at the end of the range before it.
-        to = F.element_at(F.create_map(*(F.lit(x).cast(t) for rank_, p in before.items() for x, t in ((rank_, "bigint"), (p, "int")))), F.col("_rank"))
-        homes = F.when(F.col("_rank").isin(list(before)), F.concat(homes, F.array(F.struct(to.alias("part"), F.lit(1).alias("guest"))))).otherwise(homes)
-    placed = ranked.withColumn("_home", F.explode(homes)).withColumns({"_part": F.col("_home.part"), "_guest": F.col("_home.guest")}).drop("_home")
-    window = Window.partitionBy("_part").orderBy("_guest", F.col("_rank").desc(), F.col(tie))
+    before = {p: order[i - 1] for i, p in enumerate(order)}
+    every = range(len(marks) + 1)
+    # The first rows of a range are guests at the end of the range before it.
+    first = F.get(_fixed([heads.get(p) for p in every], kind), F.col(part)) == F.col(rank)
+    own = F.struct(F.col(part).alias("part"), F.lit(0).alias("guest"))
+    other = F.struct(F.get(_fixed([before.get(p) for p in every], "int"), F.col(part)).alias("part"), F.lit(1).alias("guest"))
+    placed = ranked.withColumn(home, F.explode(F.when(first, F.array(own, other)).otherwise(F.array(own))))
+    placed = placed.withColumns({part: F.col(home)["part"], guest: F.col(home)["guest"]}).drop(home)
+    window = Window.partitionBy(part).orderBy(guest, F.col(rank).desc(), F.col(tie))
     placed = placed.withColumns({f"next_{c}": F.lead(c).over(window) for c in columns})
-    return placed.filter("_guest = 0").drop("_rank", "_part", "_guest")
+    return placed.filter(F.col(guest) == 0).drop(rank, part, guest)

@@ -523,6 +523,33 @@ def test_next_row_of_nothing(spark):
     assert order_minhash.with_next(spark.createDataFrame([], "doc_id bigint, text string"), "doc_id", "text", ["text"]).count() == 0
 
 
+def test_next_rows_of_text_keys_and_clashing_names(spark):
+    rows = [(None if n % 17 == 0 else f"{n * 7919 % 400:x}\u00e9", f"text {n % 150}", n) for n in range(400)]
+    df = spark.createDataFrame(rows, "doc_id string, text string, n int").selectExpr("*", "n AS rank", "n AS part", "n AS home", "n AS guest", "n AS print_step_0")
+    found = order_minhash.with_next(order_minhash.with_fingerprint(df, "text", "print"), "doc_id", "text", ["n"])
+    assert set(found.columns) == {*df.columns, "print", "next_n"}
+    found = found.collect()
+    assert len(found) == 400 and all(r["n"] == r["rank"] == r["part"] == r["home"] == r["guest"] == r["print_step_0"] for r in found)
+    named = sorted((r for r in rows if r[0] is not None), key=lambda r: r[0].encode(), reverse=True)
+    after = {r["n"]: r["next_n"] for r in found}
+    assert sorted(after.values()) == list(range(400))
+    assert all(after[a[2]] == b[2] for a, b in zip(named, named[1:]))
+    unnamed = {r[2] for r in rows if r[0] is None}
+    assert after[named[-1][2]] in unnamed and [n for n in unnamed if after[n] not in unnamed and after[n] == named[0][2]]
+
+
+def test_next_rows_at_many_partitions_have_a_short_plan(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "500")
+    try:
+        found = order_minhash.with_next(spark.range(20_000).selectExpr("id AS doc_id", "string(id) AS text"), "doc_id", "text", ["doc_id"])
+        assert all(r["next_doc_id"] == (r["doc_id"] - 1) % 20_000 for r in found.collect())
+        lines = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "from_json" not in lines
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 # 9 ------------------------------------------------------------------------------------------------------------------------
 
 def test_warc_round_trip(spark, tmp_path):
