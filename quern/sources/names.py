@@ -57,12 +57,14 @@ def lookup_category(docs: DataFrame, dimension: DataFrame, column: str = "catego
     """Attach the constant of each category name.
 
     With ``on_unknown="error"`` a row of an unknown category fails the query with
-    the offending name; ``"null"`` leaves the constant null.
+    the offending name and the valid ones; ``"null"`` leaves the constant null.
     """
     joined = docs.join(dimension.select(F.col("category_name").alias(column), "constant"), column, "left")
     if on_unknown == "null":
         return joined
-    message = F.concat(F.lit("Unknown category name "), F.coalesce(F.col(column), F.lit("null")))
+    quoted = F.concat(F.lit("'"), F.col("category_name"), F.lit("'"))
+    valid = dimension.agg(F.array_join(F.array_sort(F.collect_set(quoted)), ", ")).scalar()
+    message = F.concat(F.lit("Unknown category name "), F.coalesce(F.col(column), F.lit("null")), F.lit("\nValid names: "), valid)
     return joined.withColumn(
         "constant", F.when(F.col("constant").isNull(), F.raise_error(message).cast("string"))
         .otherwise(F.col("constant")))

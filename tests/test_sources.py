@@ -79,6 +79,8 @@ def test_category_lookup(spark):
     unknown = spark.createDataFrame([("hats",)], "category_name string")
     with pytest.raises(Exception, match="Unknown category name hats"):
         names.lookup_category(unknown, dimension).collect()
+    with pytest.raises(Exception, match="Valid names: .*'jeans', .*'t-shirts'"):
+        names.lookup_category(unknown, dimension).collect()
     assert names.lookup_category(unknown, dimension, on_unknown="null").first().constant is None
     constants = spark.createDataFrame([("AMAZON_PQA_T_SHIRTS",), ("X",)], "constant string")
     assert {r.category_name for r in names.category_of_constant(constants, dimension).collect()} == {"t-shirts", None}
