@@ -278,7 +278,7 @@ def stream_incremental_load(spark, d):
     """Documents arrive as a file stream, are chunked on arrival and kept by key."""
     path, checkpoint = new_folder(spark, "stream"), new_folder(spark, "stream-progress")
     source = fx.table(spark, d, "documents").schema
-    stream = incremental.parquet_stream(spark, d, source, "documents.parquet")
+    stream = incremental.table_stream(spark, f"{d}/documents.parquet", source)
 
     def transform(batch):
         chunked = batch.withColumn("chunk_text", text.first_words("text"))

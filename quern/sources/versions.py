@@ -28,6 +28,10 @@ class VersionLog:
         self._fs = self._folder.getFileSystem(conf)
         self._context = self._fs_names.FileContext.getFileContext(self._fs.makeQualified(self._folder).toUri(), conf)
 
+    def prepare(self) -> None:
+        """Make the folder, so that a table without versions can be read as an empty one."""
+        self._fs.mkdirs(self._folder)
+
     def _file(self, name: str):
         return self._fs.makeQualified(self._fs_names.Path(f"{self.folder}/{name}"))
 
@@ -52,7 +56,7 @@ class VersionLog:
 
     def publish(self, version: int, entry: dict) -> None:
         """Make ``entry`` the given version, or raise ``VersionConflict``."""
-        self._fs.mkdirs(self._folder)
+        self.prepare()
         draft = self._file(f"draft-{uuid.uuid4().hex}")
         stream = self._fs.create(draft, False)
         try:

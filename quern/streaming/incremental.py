@@ -34,9 +34,17 @@ def json_stream(spark: SparkSession, folder: str, schema: T.StructType, files_pe
 
 
 def parquet_stream(spark: SparkSession, folder: str, schema: T.StructType, pattern: str = "*.parquet") -> DataFrame:
+    """The Parquet files of a folder whose name fits ``pattern``."""
     return spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
 
 
+def table_stream(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A Parquet table that grows: the part files of its folder, or the one file that it is."""
+    folder, _, name = path.rstrip("/").rpartition("/")
+    # Spark takes a plain path for a folder; a pattern may fit either.
+    return spark.readStream.schema(schema).parquet(f"{folder}/{{{name}}}")
+
+
 def arrival(log: VersionLog, stream: str, batch: int) -> int:
     """The number of a batch among all arrivals at a table: the next one, or that which the batch took before."""
     while True:
@@ -53,8 +61,9 @@ def arrival(log: VersionLog, stream: str, batch: int) -> int:
 
 def incremental_load(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], path: str,
                      checkpoint: str, keys: Sequence[str], version: Sequence[str]) -> StreamingQuery:
-    """Load everything that has arrived, then stop; run again for what arrives later."""
+    """Load everything that has arrived, then stop; run again for what arrives later. Where nothing has, the table is empty."""
     log = VersionLog(stream.sparkSession, path)
+    log.prepare()
 
     def write_batch(batch: DataFrame, batch_id: int, name: str) -> None:
         number = F.lit(arrival(log, name, batch_id)).cast("bigint")

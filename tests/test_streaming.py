@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quern.plans import corpus
 from quern.streaming import incremental
 
 SCHEMA = T.StructType().add("id", "string").add("text", "string").add("version", "long")
@@ -52,6 +53,30 @@ def test_a_new_checkpoint_or_stream_keeps_stored_rows(spark, tmp_path):
     assert load("p0") == {"a": "new", "b": "two"}
 
 
+def test_a_table_streams_as_one_file_or_as_many(spark, tmp_path):
+    schema = T.StructType().add("doc_id", "long").add("text", "string").add("lang", "string").add("source", "string").add("n_chars", "long")
+    rows = [(i, f"some text number {i}", "en", "web", 18) for i in range(20)]
+    for name, some in (("parts", rows), ("one", rows), ("none", [])):
+        (tmp_path / name).mkdir()
+        docs = spark.createDataFrame(some, schema)
+        if name == "one":
+            docs.toPandas().to_parquet(tmp_path / name / "documents.parquet", index=False)
+        elif name == "parts":
+            docs.repartition(3).write.parquet(str(tmp_path / name / "documents.parquet"))
+        else:
+            docs.coalesce(1).write.parquet(str(tmp_path / name / "documents.parquet"))
+        found = corpus.stream_incremental_load(spark, str(tmp_path / name)).collect()
+        assert {r.doc_id: r.chunk_text for r in found} == {i: t for i, t, *_ in some}
+
+
+def test_a_load_of_an_empty_folder_is_an_empty_table(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    table = str(tmp_path / "table")
+    stream = incremental.json_stream(spark, str(tmp_path / "in"), SCHEMA)
+    incremental.incremental_load(stream, lambda df: df, table, str(tmp_path / "p"), ["id"], ["version"]).awaitTermination()
+    assert incremental.read_current(spark, table, SCHEMA, ["id"], ["version"]).collect() == []
+
+
 def test_arrivals_are_numbered_by_the_log(spark, tmp_path):
     log = incremental.VersionLog(spark, str(tmp_path))
     taken = [incremental.arrival(log, *b) for b in [("s", 0), ("t", 0), ("s", 1), ("s", 1), ("t", 0), ("t", 1), ("u", 0)]]
