@@ -13,10 +13,12 @@ from pyspark.sql import types as T
 from quern.functions import encoders
 from quern.operators.blocks import QUERIES_PER_BLOCK, best_of, fresh, hits_schema, hits_table, numbered, score_blocks
 from quern.operators.ranking import SCORE_DIGITS, rank_cut
-from quern.session import ship_package, stage
+from quern.session import dealt, ship_package, stage
 from quern.sources.encodings import EncodingStore
 
 VECTORS_PER_SLICE = 16_384
+NUMBERS_PER_BLOCK = 1 << 20  # of the vectors that a task holds of each side
+PAIRS_PER_STEP = 1 << 22
 CENTROID_DIGITS = 9
 LISTS_PER_BLOCK = 16_384
 
@@ -86,6 +88,43 @@ def _l2_kernel(k: int):
     return score
 
 
+def _many_kernel(k: int):
+    """As ``_l2_kernel``, for many queries: distances in steps of bounded size, and little work per pair beyond them.
+
+    The ``k``-th least of the least distances of many strips of documents bounds that of all, so only the few pairs
+    within it are scored and sorted.
+    """
+    def score(queries: pa.Table, docs: pa.Table) -> pa.Table:
+        query, query_ids = numbered(queries["query_id"])
+        doc, doc_ids = numbered(docs["doc_id"])
+        parts = []
+        if len(query) and len(doc):
+            q, d = _matrix(queries["embedding"]), _matrix(docs["embedding"])
+            q_norm, d_norm = (q * q).sum(1), (d * d).sum(1)
+            strips = np.unique(np.linspace(0, len(d), min(len(d), max(16 * k, 256)), endpoint=False).astype(np.int64))
+            rows = max(1, PAIRS_PER_STEP // len(d))
+            for at in range(0, len(q), rows):
+                dot = q[at:at + rows] @ d.T
+                near = np.multiply(dot, -2.0)
+                near += d_norm
+                norm = q_norm[at:at + rows, None]
+                least = np.minimum.reduceat(near, strips, axis=1) if len(strips) > k else near
+                bound = np.partition(least, min(k, len(d)) - 1, axis=1)[:, min(k, len(d)) - 1:][:, :1]
+                # Distances whose rounded score is that of the bound tie with it; far away, all of them may.
+                worst = 1.0 / (1.0 + np.maximum(bound + norm, 0.0)) - 2.0 * 10.0 ** -SCORE_DIGITS
+                limit = np.where(worst > 0.0, 1.0 / np.where(worst > 0.0, worst, 1.0) - 1.0 - norm, np.inf)
+                row, col = np.nonzero(~(near > limit))
+                squared = q_norm[at + row] + d_norm[col] - 2.0 * dot[row, col]
+                scores = np.round(1.0 / (1.0 + np.maximum(squared, 0.0)), SCORE_DIGITS)
+                order = np.lexsort((doc[col], -np.nan_to_num(scores, nan=-np.inf), row))
+                row, col, scores = row[order], col[order], scores[order]
+                best = np.arange(len(row)) - np.searchsorted(row, row) < k
+                parts.append((query[at + row[best]], doc[col[best]], scores[best]))
+        number, found, scores = (np.concatenate(c) for c in zip(*parts)) if parts else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        return pa.table({"query_id": query_ids.take(pa.array(number)), "doc_id": doc_ids.take(pa.array(found)), "score": pa.array(scores, pa.float64())})
+    return score
+
+
 class _Best:
     """The best ``k`` documents of each query of a block over all batches of a task."""
 
@@ -144,18 +183,24 @@ def _nearest_in_place(queries: DataFrame, vectors: DataFrame, k: int) -> DataFra
     return vectors.select("doc_id", "embedding").mapInArrow(run, schema)
 
 
-def _nearest(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
+def _nearest(queries: DataFrame, vectors: DataFrame, k: int, dim: int) -> DataFrame:
     """Best ``k`` vectors of every query, and more rows than that.
 
-    One block of queries is sent to the vectors. More queries are a table like the vectors: both are dealt into blocks
-    and slices, and each task scores one block against one slice, so nothing passes the driver and the plan is the same
-    for any number of them. A vector then moves once per ``QUERIES_PER_BLOCK`` queries, next to as many distances.
+    One block of queries is sent to the vectors. More queries are a table like the vectors: equal ones are asked once, both are
+    dealt into blocks and slices of ``NUMBERS_PER_BLOCK``, and each task scores one block against one slice, so nothing passes
+    the driver and the plan is the same for any number of them. A vector then moves once per block, next to as many distances.
     """
     n = queries.count()
     if n <= QUERIES_PER_BLOCK:
         return _nearest_in_place(queries, vectors, k)
-    return score_blocks(queries.select("query_id", "embedding"), vectors.select("doc_id", "embedding"), _l2_kernel(k), n, QUERIES_PER_BLOCK,
-                        vectors.count(), VECTORS_PER_SLICE)
+    asked = stage(dealt(queries.select("embedding"), "embedding").distinct().select(
+        F.monotonically_increasing_id().alias("_asked"), "embedding"), "asked")
+    size = max(QUERIES_PER_BLOCK, NUMBERS_PER_BLOCK // max(1, dim))
+    found = score_blocks(asked.withColumnRenamed("_asked", "query_id"), vectors.select("doc_id", "embedding"), _many_kernel(k),
+                         asked.count(), size, vectors.count(), size)
+    best = rank_cut(found, k).withColumnRenamed("query_id", "_asked")
+    same = queries.select("query_id", "embedding").join(asked, "embedding").select("query_id", "_asked")
+    return same.join(best, "_asked").select("query_id", "doc_id", "score")
 
 
 def knn_exact(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
@@ -166,7 +211,7 @@ def knn_exact(queries: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
     """
     dim = dimension_of(queries)
     queries, vectors = (sound(t.select(c, "embedding"), dim) for t, c in ((queries, "query_id"), (vectors, "doc_id")))
-    return rank_cut(_nearest(queries, vectors, k), k)
+    return rank_cut(_nearest(queries, vectors, k, dim), k)
 
 
 def neural_topk(queries: DataFrame, docs: DataFrame, text: str, k: int, dim: int,
@@ -313,7 +358,7 @@ def knn_ivf(queries: DataFrame, vectors: DataFrame, centroids: DataFrame, k: int
     found = _score_lists(pairs.join(queries, "query_id"), listed, probes, sizes, k)
     unlisted = others.count()
     if unlisted:
-        found = found.unionByName(_nearest(queries, others, k))
+        found = found.unionByName(_nearest(queries, others, k, dim))
     hits = rank_cut(found, k)
     if with_candidates:
         compared = probes.groupBy("query_id").agg((F.sum("vectors") + unlisted).alias("candidates"))

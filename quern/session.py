@@ -75,6 +75,15 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dealt(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt out by ``keys`` into as many partitions as the session has for shuffles, neither fewer nor more.
+
+    For steps that hold what a task gets, or make many rows of one: Spark measures scans and exchanges in compressed
+    bytes, and gives one task a table that is small on disk, however many rows it has.
+    """
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 _shipped_to: set[str] = set()
 
 
