@@ -56,7 +56,7 @@ class KeyedTable:
                sort: Sequence[str] = (), if_exists: str = "error") -> KeyedTable:
         """A new empty table; one that exists is an ``error``, is ``keep``-t as it is, or ``replace``-d by a new version.
 
-        Choose ``buckets`` so that one of them is what a task should rewrite. Rows of a bucket are sorted by ``sort``, so that
+        A load rewrites the buckets it touches; Spark shares a large one among tasks. Rows of a file are sorted by ``sort``, so that
         filters on these columns skip row groups.
         """
         if if_exists not in ("error", "keep", "replace"):
@@ -124,7 +124,7 @@ class KeyedTable:
                 load = f"data/{LOAD}={uuid.uuid4().hex}"
                 if touched:
                     stored = conform(self._scan(manifest, touched), T.StructType([*changed.fields, T.StructField(BUCKET, T.IntegerType())]))
-                    rows = merge(stored, incoming).repartition(len(touched), BUCKET).sortWithinPartitions(
+                    rows = merge(stored, incoming).hint("rebalance", BUCKET).sortWithinPartitions(
                         BUCKET, *manifest.sort, *manifest.keys)
                     rows.write.partitionBy(BUCKET).option("maxRecordsPerFile", 1_000_000).parquet(f"{self.path}/{load}")
                 written = load, manifest, touched

@@ -172,3 +172,18 @@ def test_two_categories_loaded_one_after_the_other(spark, tmp_path):
     assert rows(anew) == [("TOTAL", 1), ("wigs", 1)]
     with pytest.raises(ValueError, match="upsert or replace"):
         ingest.load(ingest.questions(spark, str(tmp_path), ["wigs"]), path, "category_name", ["question_id"], mode="append")
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_path):
+    rows = spark.range(0, 40_000, 1, 8).selectExpr("id", "id % 7 AS v", "sha2(string(id), 256) AS t")
+    table = KeyedTable.create(spark, str(tmp_path / "t"), rows.schema, ["id"], buckets=2)
+    kept = {n: spark.conf.get(n) for n in ("spark.sql.adaptive.advisoryPartitionSizeInBytes",)}
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "300k")
+        table.load(rows, ["v"])
+    finally:
+        for n, value in kept.items():
+            spark.conf.set(n, value)
+    files = [len(list(b.glob("*.parquet"))) for b in (tmp_path / "t" / "data").glob("*/*=*")]
+    assert len(files) == 2 and min(files) > 1
+    assert table.read().exceptAll(rows).count() == 0 and table.read().count() == 40_000
