@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from quern.functions.text import tokens
 from quern.operators.matching import count_known, dot_topk, match_counts_by
-from quern.session import stage
+from quern.session import dealt, stage
 
 K1 = 1.2
 B = 0.75
@@ -75,13 +75,21 @@ def analysed(docs: DataFrame, fields: Sequence[str], keep: Sequence[str] = (), h
     )
 
 
+def _narrow(docs: DataFrame, fields: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """The columns an analysis reads."""
+    wanted = {"doc_id", *keep, *(f if f in docs.columns else f.split(".")[0] for f in fields)}
+    return docs.select(*(F.col(f"`{c}`") for c in docs.columns if c in wanted))
+
+
 def token_counts(docs: DataFrame, fields: Sequence[str], keep: Sequence[str] = (), han: str = "run",
                  vocabulary: DataFrame | None = None, with_lengths: bool = False) -> DataFrame:
     """Term frequency per document and field: ``(doc_id, *keep, field, field_length, token, tf)``.
 
     With a ``vocabulary`` of ``(field, token)`` only its tokens are counted.
     """
-    rows = analysed(docs, fields, keep, han)
+    # Dealt out by document first, so a task counts whole documents: their texts move instead of their tokens, and no
+    # task of the scan holds a count for every token of a table that is small on disk.
+    rows = analysed(dealt(_narrow(docs, fields, keep), "doc_id"), fields, keep, han)
     listed = F.col("tokens")
     if with_lengths:
         listed = F.array_append(listed, F.lit(LENGTH_MARK))

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -267,3 +268,37 @@ def test_no_posting_is_joined_by_its_token(spark, skewed):
     plan = lexical.bm25_topk(queries, docs, {"body": 1.0}, 3)._jdf.queryExecution().optimizedPlan().toString()
     joins = [line for line in plan.splitlines() if "Join" in line]
     assert not any("tf" in line for line in joins)
+
+
+def test_equal_questions_are_asked_once_in_blocks(spark, monkeypatch):
+    sizes = []
+    blocks = vector.score_blocks
+    monkeypatch.setattr(vector, "score_blocks", lambda *a: (sizes.append((a[3], a[4])), blocks(*a))[1])
+    docs = spark.createDataFrame([(i, [float(i % 40), 0.5]) for i in range(120)], "doc_id long, embedding array<float>")
+    asked = spark.range(1500).selectExpr("id AS query_id", "array(float(id % 50), float(0)) AS embedding")
+    found = {}
+    for r in vector.knn_exact(asked, docs, 3).collect():
+        found.setdefault(r.query_id, []).append((r.rank, r.doc_id, r.score))
+    assert sizes == [(50, vector.NUMBERS_PER_BLOCK // 2)]
+    for q in range(1500):
+        score = [(-round(1 / (1 + (q % 50 - i % 40) ** 2 + 0.25), 6), i) for i in range(120)]
+        assert sorted(found[q]) == [(n, i, -s) for n, (s, i) in enumerate(sorted(score)[:3], 1)]
+
+
+def test_many_kernel_equals_the_plain_one():
+    r = np.random.default_rng(5)
+    for n, m, dim, k, far in ((200, 400, 3, 5, 1.0), (30, 4, 2, 10, 1.0), (40, 700, 4, 3, 3000.0)):
+        docs = r.integers(-3, 4, (m, dim)).astype(np.float32) * far
+        q = pa.table({"query_id": list(range(n)), "embedding": list(r.integers(-3, 4, (n, dim)).astype(np.float32) * far)})
+        d = pa.table({"doc_id": [f"d{i}" for i in r.permutation(m)], "embedding": list(docs)})
+        order = [("query_id", "ascending"), ("score", "descending"), ("doc_id", "ascending")]
+        assert vector._many_kernel(k)(q, d).sort_by(order).equals(vector._l2_kernel(k)(q, d).sort_by(order))
+
+
+def test_tokens_are_counted_after_documents_are_dealt_out(spark):
+    """One task of a scan would otherwise count all tokens of a table that is small on disk."""
+    docs = spark.range(0, 50, 1, 1).selectExpr("id % 40 AS doc_id", "concat('red box ', id, ' red') AS t", "'unused' AS other")
+    counted = lexical.token_counts(docs, ["t"])
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate") < plan.index("Exchange") and plan.count("Exchange") == 1 and "other" not in plan
+    assert {(r.doc_id, r.token): r.tf for r in counted.collect()}[3, "red"] == 4
