@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from quern.operators.blocks import TERMS_PER_BLOCK, best_of, hits_table, numbered, score_blocks
 from quern.operators.ranking import SCORE_DIGITS, rank_cut, rounded
 
-POSTINGS_PER_SLICE = 2_000_000
+POSTINGS_PER_SLICE = 500_000
 
 
 def count_known(occurrences: DataFrame, keys: Sequence[str], vocabulary: DataFrame, on: Sequence[str]) -> DataFrame:

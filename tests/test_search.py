@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quern.operators import fusion, lexical, matching, results, sparse, vector
+from quern.operators.blocks import group_count
 from quern.operators.ranking import rank_cut
 
 
@@ -302,3 +303,7 @@ def test_tokens_are_counted_after_documents_are_dealt_out(spark):
     plan = counted._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Generate") < plan.index("Exchange") and plan.count("Exchange") == 1 and "other" not in plan
     assert {(r.doc_id, r.token): r.tf for r in counted.collect()}[3, "red"] == 4
+
+
+def test_slices_of_postings_are_small_enough_for_a_worker():
+    assert group_count(50_000_000, matching.POSTINGS_PER_SLICE, 12) >= 100
