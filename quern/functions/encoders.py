@@ -24,6 +24,8 @@ DenseFactory = Callable[[], Callable[[list[str]], np.ndarray]]
 SparseFactory = Callable[[], Callable[[list[str]], list[dict[str, float]]]]
 AnswerFactory = Callable[[], Callable[[list[str]], list[str]]]
 
+ROWS_AT_ONCE = 512  # Spark's batches may hold ten thousand texts, whose encodings would lie beside them
+
 _WORD = regex.compile(r"[\p{L}\p{N}]+")
 
 
@@ -54,6 +56,12 @@ def _encoded(df: DataFrame, encode, field_map: dict[str, str]) -> DataFrame:
     return df.withColumns({target: once(F.col(source)) for source, target in field_map.items()})
 
 
+def _pieces(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for batch in batches:
+        for at in range(0, len(batch), ROWS_AT_ONCE):
+            yield batch.iloc[at:at + ROWS_AT_ONCE]
+
+
 def dense_encode(df: DataFrame, field_map: dict[str, str], dim: int, factory: DenseFactory | None = None) -> DataFrame:
     """Add an ``array<float>`` column for each ``{text column: vector column}``."""
     ship_package(df.sparkSession)
@@ -62,7 +70,7 @@ def dense_encode(df: DataFrame, field_map: dict[str, str], dim: int, factory: De
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         run = load()
-        for batch in batches:
+        for batch in _pieces(batches):
             vectors = np.asarray(run(batch.fillna("").tolist()), dtype=np.float32)
             if vectors.shape != (len(batch), dim):
                 raise ValueError(f"encoder returned shape {vectors.shape}, expected {(len(batch), dim)}")
@@ -82,7 +90,7 @@ def sparse_encode(df: DataFrame, field_map: dict[str, str], factory: SparseFacto
     @F.pandas_udf(T.MapType(T.StringType(), T.FloatType()))
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         run = load()
-        for batch in batches:
+        for batch in _pieces(batches):
             yield pd.Series(run(batch.fillna("").tolist()), index=batch.index)
 
     return _encoded(df, encode, field_map)

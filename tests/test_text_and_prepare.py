@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quern.functions import text
+from quern.functions import encoders, text
 from quern.operators import prepare
 
 
@@ -117,3 +117,21 @@ def test_attributes_of_small_keys_are_independent(spark, n):
     drawn = keys.select(*(prepare.uniform(F.col("id"), F.lit(0), s).alias(str(s)) for s in prepare.MODULI)).toPandas()
     apart = drawn.corr().to_numpy() - np.eye(len(prepare.MODULI))
     assert abs(apart).max() < 1.5 / n ** 0.5
+
+
+def test_encoders_get_bounded_pieces_of_a_batch(spark):
+    def dense():
+        def run(texts):
+            assert len(texts) <= encoders.ROWS_AT_ONCE
+            return np.array([[float(len(t)), 1.0] for t in texts])
+        return run
+
+    def sparse():
+        def run(texts):
+            assert len(texts) <= encoders.ROWS_AT_ONCE
+            return [{t: 1.0} for t in texts]
+        return run
+    docs = spark.range(0, 2 * encoders.ROWS_AT_ONCE + 7, 1, 1).selectExpr("id", "if(id % 100 = 3, null, repeat('a', int(id % 50))) AS t")
+    both = encoders.sparse_encode(encoders.dense_encode(docs, {"t": "d"}, 2, dense), {"t": "s"}, sparse).collect()
+    assert len(both) == 2 * encoders.ROWS_AT_ONCE + 7
+    assert all(r.d == [float(len(r.t or "")), 1.0] and r.s == {r.t or "": 1.0} for r in both)
