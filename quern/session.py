@@ -62,16 +62,16 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/quern/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder once and read it back.
 
     Used where several branches of a plan need the same costly intermediate:
     it is computed once, stays columnar (each branch reads only its columns)
-    and survives the loss of any executor.
+    and survives the loss of any executor. ``codec`` is how to compress it, else as the session says.
     """
     spark = df.sparkSession
     path = new_folder(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 

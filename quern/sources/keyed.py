@@ -126,7 +126,8 @@ class KeyedTable:
                     stored = conform(self._scan(manifest, touched), T.StructType([*changed.fields, T.StructField(BUCKET, T.IntegerType())]))
                     rows = merge(stored, incoming).hint("rebalance", BUCKET).sortWithinPartitions(
                         BUCKET, *manifest.sort, *manifest.keys)
-                    rows.write.partitionBy(BUCKET).option("maxRecordsPerFile", 1_000_000).parquet(f"{self.path}/{load}")
+                    rows.write.partitionBy(BUCKET).option("maxRecordsPerFile", 1_000_000).parquet(
+                        f"{self.path}/{load}", compression="zstd")
                 written = load, manifest, touched
             load = written[0]
             full = {int(c.removeprefix(f"{BUCKET}=")) for c in self.log.children(f"{self.path}/{load}") if c.startswith(f"{BUCKET}=")}
@@ -146,11 +147,12 @@ class KeyedTable:
         return before.made != now.made or before.schema != now.schema or any(
             before.live.get(str(b)) != now.live.get(str(b)) for b in touched)
 
-    def load(self, rows: DataFrame, version: Sequence[str], source: str | None = None, batch: int = 0) -> int:
+    def load(self, rows: DataFrame, version: Sequence[str], source: str | None = None, batch: int = 0, single: bool = False) -> int:
         """Upsert: the incoming row of highest ``version`` replaces the stored row of its key. Returns the published version.
 
         New columns and fields are added to the table (see ``schemas.evolve``). With a ``source``, a ``batch`` not beyond the last
-        applied one of that source is skipped.
+        applied one of that source is skipped. ``single`` says that ``rows`` are a stored table with one row per key, which need not
+        be reduced and stored again.
         """
         _, manifest = self._at()
         keys = manifest.keys
@@ -162,8 +164,9 @@ class KeyedTable:
                     for k in keys if changed[k].dataType != manifest.struct[k].dataType]
         if rehashed:
             raise SchemaConflict(rehashed)  # a wider key would lie in another bucket
-        current = conform(latest_by_key(rows, keys, version), changed)
-        incoming = stage(current.withColumn(BUCKET, self._bucket_of(manifest)), "incoming")
+        current = conform(rows if single else latest_by_key(rows, keys, version), changed)
+        incoming = current.withColumn(BUCKET, self._bucket_of(manifest))
+        incoming = incoming if single else stage(incoming, "incoming")
 
         def merge(stored: DataFrame, new: DataFrame) -> DataFrame:
             return _without(stored, new, keys).unionByName(conform(new, stored.schema))

@@ -28,6 +28,11 @@ def latest_by_key(rows: DataFrame, keys: Sequence[str], version: Sequence[str])
     if not others:
         return rows.distinct()
     digest = F.xxhash64(*(_hashable(F.col(c), rows.schema[c].dataType) for c in others))
+    rest = [c for c in others if c not in version]
+    plain = {*version} <= {*rows.columns} and "_digest" not in rows.columns and not any(_has_map(rows.schema[c].dataType) for c in rest)
+    if plain and len(rest) < len(others):  # values that rows are ordered by need not move twice
+        best = F.max(F.struct(*dict.fromkeys(version), digest.alias("_digest"), *rest)).alias("_row")
+        return rows.groupBy(*keys).agg(best).select(*keys, *(F.col(f"_row.`{c}`") for c in others)).select(*rows.columns)
     best = F.max_by(F.struct(*others), F.struct(*version, digest)).alias("_row")
     return rows.groupBy(*keys).agg(best).select(*keys, "_row.*").select(*rows.columns)
 

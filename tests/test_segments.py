@@ -146,3 +146,32 @@ def test_the_index_is_not_moved(spark, tmp_path):
             level = depth(line)
     first_join = next(i for i, line in enumerate(above) if "SortMergeJoin" in line)
     assert not any("Exchange" in line for line in above[:first_join + 1])
+
+
+def test_postings_move_as_lists(spark, tmp_path):
+    """A task packs its postings before they move: one row per term and task, a list of equal values kept once."""
+    docs = spark.createDataFrame([(i, "hot hot" + f" w{i % 7}" * (i % 3), None, "ab"[i % 2] if i % 5 else None, 0) for i in range(200)], SCHEMA).coalesce(1)
+    index = SearchIndex.create(spark, str(tmp_path / "i"), docs, ["body"], keep=["kind"], buckets=4)
+    index.add(docs, ["ver"])
+    _, manifest = index._at()
+    stored = index._rows(manifest.parts[0], manifest, segments.ROWS, False)
+    tasks = spark.read.parquet(f"{index.path}/{manifest.parts[0].folder}/{segments.ROWS}").where("term = 'body:hot'").count()
+    postings = sum(n for _, n in index.segments())
+    assert stored.count() <= 9 * tasks < postings and stored.agg(F.sum("n")).first()[0] == postings + 200
+    assert {len(r.tf) for r in stored.where("term = 'body:hot'").collect()} == {1}
+    found = index.touched(spark.createDataFrame([("body:hot",)], "term string"))
+    assert rows(found.na.fill("none", ["kind"]), "doc_id", "kind", "field_length", "tf") == sorted(
+        (i, "ab"[i % 2] if i % 5 else "none", 2 + i % 3, 2) for i in range(200))
+
+
+def test_added_texts_are_stored_once_beside_the_documents(spark, tmp_path, monkeypatch):
+    """The reduced batch is staged; neither loading nor counting stages or deals out its texts again."""
+    from quern.sources import keyed
+    labels = []
+    for module in (segments, keyed):
+        monkeypatch.setattr(module, "stage", lambda df, label, *codec, held=module.stage: labels.append((label, "body" in df.columns)) or held(df, label, *codec))
+    docs = spark.createDataFrame([(i, f"w{i}", None, "a", 0) for i in range(20)], SCHEMA)
+    index = SearchIndex.create(spark, str(tmp_path / "i"), docs, ["body"], buckets=2)
+    index.add(docs, ["ver"])
+    assert [label for label, texts in labels if texts] == ["segment-docs"]
+    assert {r.doc_id for r in index.docs.read().collect()} == set(range(20))
