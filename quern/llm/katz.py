@@ -15,21 +15,24 @@ A text starts with one mark, so its first word has that mark as context in all o
 How it runs. Texts are cut into *blocks* of some megabytes; a block numbers its own vocabulary and sends every distinct token
 or n-gram once, with its count, as packed arrays, instead of one row per token:
 
-1. Token counts are merged per hash bucket and returned to the blocks with a number for each token.
+1. Token counts are merged per hash bucket and returned to the blocks with a number for each token, frequent ones having small numbers.
 2. For each order from 2 on, n-grams go, with the counts of their lower-order parts, to the bucket of their context. Contexts that
    hold more than a quarter of a bucket's share of all tokens are spread over all buckets by the last word, and only their sums meet
-   again (at most four such contexts per bucket and order). The buckets are the stored n-gram tables; contexts stand in them in
-   ascending order, and back-off weights are stored in that same order.
+   again (at most four such contexts per bucket and order). The buckets are the stored n-gram tables: contexts in ascending order with
+   what their weights are made of, and the counts of their n-grams.
 3. Counts of counts are summed, back-off weights computed per bucket, and the answers return to the blocks: counts,
    a weight for each context that has an unseen word in the block, and the place of each n-gram in its table, which is its number as a
    context of the next order.
 
 Most contexts stand in one block only, as their bucket sees. What follows them is asked by nobody else, so the block counts it from its own
 tokens, with the same formulas, and sends only its counts of counts: the stored tables hold the n-grams of contexts shared by blocks.
+An n-gram whose lower-order part stands in one block only, or was never trained, has a count that the block knows as well: of these only the
+counts are sent, for the sums of their context, neither the word nor a request.
 
 A task holds one block or one bucket; there is a bucket for each ``BUCKET_TOKENS`` tokens (at least one per shuffle partition), so both have
-a bound at any size. Tables below the shared folder carry everything from step to step; blocks are stored bucketed
-by their number, so that answers come to them without moving them. Tokens are identified by 64-bit hashes.
+a bound at any size. Tables below the shared folder carry everything from step to step; blocks and answers are stored bucketed
+by the block's number, so that an answer is moved once, to where it is stored, and read from there by all later steps. Tokens are
+identified by 64-bit hashes.
 
 Null text is empty text (one token, the end). Repeated rows count and are scored each; null ids train.
 Without training texts all tokens are unknown, with probability one.
@@ -51,7 +54,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm.text import folded_words, map_chunks, text_bytes
-from quern.session import new_folder, ship_package, stage
+from quern.session import new_folder, ship_package
 
 TOP = 5
 BLOCK_BYTES = 8 << 20
@@ -192,26 +195,35 @@ def _bucket_ends(hashes: np.ndarray, buckets: int) -> np.ndarray:
 
 
 class _Tokens:
-    """Order 1: the tokens of a block with their numbers and counts; the start of a text is one more, behind the last."""
+    """Order 1: the tokens of a block with their numbers and counts; the start of a text is one more, behind the last. Tokens of no
+    other block (``own``) have no number, but a negative one to tell them apart. ``by_rank`` are the tokens by ascending number."""
     order = 1
 
-    def __init__(self, hashes: np.ndarray, tokens: np.ndarray, answers: pd.DataFrame, model: Model):
+    def __init__(self, hashes: np.ndarray, tokens: np.ndarray, counts: np.ndarray, answers: pd.DataFrame, model: Model):
         n = len(hashes)
         ends = _bucket_ends(hashes, model.buckets)
         self.ident, self.count = np.full(n + 1, START, np.int64), np.full(n + 1, model.texts, np.int64)
         self.own = np.zeros(n + 1, bool)
-        for bucket, place, count in zip(answers["bucket"], answers["first"], answers["second"]):
-            part = slice(ends[bucket], ends[bucket + 1])
-            place = _unpack_sorted(place)
-            self.ident[part], self.own[part] = (int(bucket) << 32) + (place >> 1), place & 1
-            self.count[part] = unpack(count)
-        self.gram, self.denominator = tokens, np.full(n + 1, model.unigrams.denominator)
+        self.count[:n] = counts
+        for bucket, places, shared in zip(answers["bucket"], answers["first"], answers["second"]):
+            part = np.arange(ends[bucket], ends[bucket + 1])
+            marked = unpack(places)
+            self.own[part] = marked & 1
+            self.ident[part] = np.where(marked & 1, START - 1 - part, (marked >> 1) * model.buckets + int(bucket))
+            common = part[(marked & 1) == 0]
+            self.count[common[np.argsort(-self.ident[common])]] = _unpack_sorted(shared)
+        self.by_rank = np.argsort(self.ident[:n])
+        self.rank = np.empty(n, np.int64)
+        self.rank[self.by_rank] = np.arange(n)
+        self.gram, self.denominator, self.tells = tokens, np.full(n + 1, model.unigrams.denominator), np.ones(n + 1, bool)
 
 
 class _Grams:
     """The distinct n-grams of an order in a block: for each its context and its lower-order part as places in the order below, and its
-    last token. ``gram`` tells the n-gram at a position of ``at``. Asked about are those with a known context that other blocks have
-    too, by bucket and context; ``own`` are n-grams of no other block, ``inside`` those whose context is one already."""
+    last token. ``gram`` tells the n-gram at a position of ``at``. ``own`` are n-grams of no other block, ``inside`` those whose context is
+    one already. The count of an n-gram is ``settled`` if its lower-order part is of no other block or was never trained. ``sent`` are the
+    n-grams with a known context that other blocks have too, by bucket, context and last token; asked about are those not settled.
+    ``tells`` are those of which, as contexts, this block and no other tells the denominator of the lower-order part."""
 
     def __init__(self, block: _Block, below: _Tokens | _Grams, first: _Tokens, model: Model):
         self.order, tokens, n = below.order + 1, block.tokens, len(first.count) - 1
@@ -222,37 +234,53 @@ class _Grams:
         else:
             self.at = np.flatnonzero(np.arange(len(tokens)) - np.repeat(block.starts, block.lengths) >= self.order - 2)
             before = below.gram[self.at - 1]
-        key, place = np.unique(before.astype(np.int64) * (n + 1) + tokens[self.at], return_inverse=True)
+        key, place = np.unique(before.astype(np.int64) * (n + 1) + first.rank[tokens[self.at]], return_inverse=True)
         self.gram = np.zeros(len(tokens), np.int32)
         self.gram[self.at] = place
-        self.context, self.last = (key // (n + 1)).astype(np.int32), (key % (n + 1)).astype(np.int32)
+        self.context, self.last = (key // (n + 1)).astype(np.int32), first.by_rank[key % (n + 1)]
         self.short = np.empty(len(key), np.int32)
         self.short[place] = below.gram[self.at]
         self.count, self.alpha, self.raised = np.zeros(len(key), np.int64), np.ones(len(key)), np.zeros(len(key), bool)
         self.ident, self.inside = np.zeros(len(key), np.int64), below.own[self.context]
-        self.own = self.inside.copy()
+        self.own, self.tells = self.inside | below.own[self.short], np.zeros(len(key), bool)
+        self.settled = below.own[self.short] | (below.count[self.short] == 0)
         trained = np.repeat(block.train, block.lengths)[self.at]
         self.trained = np.bincount(self.gram[self.at[trained]], minlength=len(key))
         known = np.flatnonzero((below.count[self.context] > 0) & ~self.inside)
         v = below.ident[self.context[known]]
-        w = np.where(below.count[self.short[known]] > 0, first.ident[self.last[known]], UNKNOWN)
         bucket = _mixed(v) % np.uint64(model.buckets) if self.order == 2 else (v >> 32).astype(np.uint64)
         heavy = model.heavy(below.count[self.context[known]])
-        bucket[heavy] = _mixed(v[heavy] * 3 + _mixed(w[heavy]).view(np.int64)) % np.uint64(model.buckets)
+        bucket[heavy] = _mixed(v[heavy] * 3 + _mixed(first.ident[self.last[known[heavy]]]).view(np.int64)) % np.uint64(model.buckets)
         order = np.lexsort((v, bucket))
-        self.asked, self.asked_v, self.asked_w = known[order], v[order], w[order]
+        self.sent, self.sent_v = known[order], v[order]
         self.slices = np.searchsorted(bucket[order], np.arange(model.buckets + 1, dtype=np.uint64))
 
+    def slice(self, bucket: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """What goes to a bucket: n-grams, the starts of their contexts, and which n-grams are asked about; which contexts have one that
+        is, and which have a settled one that needs the context's weight or denominator (a trained one of at most TOP frees something)."""
+        part = slice(self.slices[bucket], self.slices[bucket + 1])
+        sent, starts = self.sent[part], _runs(self.sent_v[part])
+        asked, trained = ~self.settled[sent], self.trained[sent]
+        wants = ~asked & ((trained == 0) | (trained > TOP))
+        return sent, starts, asked, np.logical_or.reduceat(asked, starts), np.logical_or.reduceat(wants, starts)
+
     def take(self, answers: pd.DataFrame, below: _Tokens | _Grams, model: Model) -> None:
         """Counts and back-off weights as the buckets answered, and of own contexts; and what the next order needs of them."""
-        for k, counts, weights, places in zip(answers["bucket"], answers["first"], answers["second"], answers["third"]):
-            part = slice(self.slices[k], self.slices[k + 1])
-            asked, v = self.asked[part], self.asked_v[part]
-            own = np.repeat(unpack(weights, np.float64), np.diff(np.append(_runs(v), len(v))))
-            self.count[asked], self.alpha[asked], self.raised[asked] = unpack(counts), np.abs(own), own < 0
+        self.count[self.sent] = self.trained[self.sent]
+        for k, counts, flags, weights, places in zip(*(answers[c] for c in ("bucket", "first", "second", "weight", "third"))):
+            sent, starts, asked, has, wants = self.slice(k)
+            told = np.ones(np.count_nonzero(has) + np.count_nonzero(wants))
+            told[unpack(flags, bool)] = unpack(weights, np.float64)
+            weight = np.ones(len(starts))
+            weight[wants] = told[np.count_nonzero(has):]
+            weight[has] = np.where(wants[has], weight[has], told[:np.count_nonzero(has)])
+            own = np.repeat(weight, np.diff(np.append(starts, len(sent))))
+            self.alpha[sent], self.raised[sent] = np.abs(own), own < 0
+            self.count[sent[asked]] = unpack(counts)
             if places is not None:
                 place = _unpack_sorted(places)
-                self.ident[asked], self.own[asked] = (int(k) << 32) + (place >> 1), place & 1
+                sent = sent[asked]
+                self.ident[sent], self.own[sent], self.tells[sent] = (int(k) << 32) + (place >> 2), place & 1, place & 2
         inside = np.flatnonzero(self.inside & (below.count[self.context] > 0))
         context, start = np.unique(self.context[inside], return_inverse=True)
         self.count[inside] = counts = self.trained[inside]
@@ -276,7 +304,7 @@ class _Block:
         self.ids, self.train, self.lengths = list(row["ids"]), unpack(row["train"], bool), unpack(row["lengths"])
         self.tokens = unpack(row["tokens"], np.int32)
         self.starts = np.cumsum(self.lengths) - self.lengths
-        first = _Tokens(_unpack_sorted(row["vocab"], np.uint64), self.tokens, answers[answers["level"] == 1], model)
+        first = _Tokens(_unpack_sorted(row["vocab"], np.uint64), self.tokens, unpack(row["counts"]), answers[answers["level"] == 1], model)
         self.levels = [first]
         for k in range(2, order + 1):
             level = _Grams(self, self.levels[-1], first, model)
@@ -311,89 +339,137 @@ def _token_requests(buckets: int):
     return run
 
 
-_ANSWER = "kind string, block bigint, bucket bigint, first binary, second binary, third binary, stats array<bigint>"
+_ANSWER = "block bigint, bucket bigint, level int, first binary, second binary, weight binary, third binary, stats array<bigint>"
 
 
 def _merge_tokens(rows: pd.DataFrame) -> pd.DataFrame:
-    """The bucket's table (hashes, counts) and per block the places (doubled, plus one if no other block has the token) and counts of its tokens."""
+    """Sums over the bucket's tokens, and per block their numbers, doubled (frequent tokens have small ones; 1 means no other block has the
+    token), and the counts of numbered ones from the largest number down."""
     rows = rows.sort_values("block")
     parts = [_unpack_sorted(k, np.uint64) for k in rows["first"]]
     keys, place = np.unique(np.concatenate(parts), return_inverse=True)
     counts = np.bincount(place, np.concatenate([unpack(c) for c in rows["second"]]), len(keys)).astype(np.int64)
     stats = [int(counts.sum()), int((counts > 0).sum()), *(int((counts == r).sum()) for r in range(1, TOP + 2))]
     bucket, at, out = int(rows["bucket"].iloc[0]), 0, []
-    out.append(("table", -1, bucket, _pack_sorted(keys), pack(counts), None, stats))
-    marked = 2 * np.arange(len(keys)) + (np.bincount(place, minlength=len(keys)) == 1)
+    out.append((-1, bucket, 1, None, None, None, None, stats))
+    number = np.empty(len(keys), np.int64)
+    number[np.argsort(-counts, kind="stable")] = np.arange(len(keys))
+    marked = np.where(np.bincount(place, minlength=len(keys)) == 1, 1, 2 * number)
     for block, part in zip(rows["block"], parts):
         own = place[at:at + len(part)]
         at += len(part)
-        out.append(("answer", block, bucket, _pack_sorted(marked[own]), pack(counts[own]), None, None))
-    return pd.DataFrame(out, columns=["kind", "block", "bucket", "first", "second", "third", "stats"])
+        common = own[(marked[own] & 1) == 0]
+        out.append((block, bucket, 1, pack(marked[own]), _pack_sorted(counts[common[np.argsort(-number[common])]]), None, None, None))
+    return pd.DataFrame(out, columns=["block", "bucket", "level", "first", "second", "weight", "third", "stats"])
 
 
-_REQUEST = ("block bigint, bucket bigint, v binary, runs binary, total binary, base binary, w binary, word binary, lower binary, trained binary, "
-            "stats array<bigint>")
+def _pack_runs(values: np.ndarray, starts: np.ndarray) -> bytes:
+    """Values that ascend in runs which begin at ``starts``."""
+    steps = np.diff(values, prepend=values.dtype.type(0))
+    steps[starts] = values[starts]
+    return pack(steps)
 
 
-def _per_word(values: np.ndarray, word: np.ndarray, words: int) -> np.ndarray:
-    out = np.zeros(words, np.int64)
-    out[word] = values
-    return out
+def _unpack_runs(data: bytes, runs: np.ndarray) -> np.ndarray:
+    steps = unpack(data)
+    runs = runs[runs > 0]
+    starts, sums = np.cumsum(runs) - runs, np.cumsum(steps)
+    return sums - np.repeat(sums[starts] - steps[starts], runs)
+
+
+_REQUEST = ("block bigint, bucket bigint, v binary, runs binary, total binary, base binary, w binary, lower binary, trained binary, "
+            "settled_runs binary, settled_lower binary, settled_trained binary, wants binary, stats array<bigint>")
 
 
 def _gram_requests(model: Model, order: int):
+    columns = [c.split()[0] for c in _REQUEST.split(", ")]
+
     def run(block: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         out = []
         for row in block.to_dict("records"):
             b = _Block(row, answers, model, order)
             below, top = b.levels[-2:]
-            inside, none = top.trained[top.inside], pack(np.zeros(0, np.int64))
-            out.append((row["block"], row["block"] % model.buckets, *[none] * 5, pack(np.zeros(0, np.int32)), none, none, [int((inside == r).sum()) for r in range(1, TOP + 2)]))
+            inside, none = top.trained[top.inside | top.settled], pack(np.zeros(0, np.int64))
+            out.append((row["block"], row["block"] % model.buckets, *[none] * 10, pack(np.zeros(0, bool)),
+                        [int((inside == r).sum()) for r in range(1, TOP + 2)]))
             for k in np.flatnonzero(np.diff(top.slices)):
-                part = slice(top.slices[k], top.slices[k + 1])
-                v, asked = top.asked_v[part], top.asked[part]
-                starts = _runs(v)
-                one = asked[starts]
-                ws, word = np.unique(top.asked_w[part], return_inverse=True)
-                lower = below.count[top.short[asked]]
-                if order == 2:  # a function of the word
-                    lower = _per_word(lower, word, len(ws))
-                out.append((row["block"], int(k), _pack_sorted(v[starts]), pack(np.diff(np.append(starts, len(v)))),
-                            pack(below.count[top.context[one]]), pack(below.denominator[top.short[one]].astype(np.int64)),
-                            _pack_sorted(ws), pack(word.astype(np.int32)), pack(lower), pack(top.trained[asked]), None))
-        return pd.DataFrame(out, columns=["block", "bucket", "v", "runs", "total", "base", "w", "word", "lower", "trained", "stats"])
+                sent, starts, asked, _, wants = top.slice(k)
+                one, extra = sent[starts], ~asked & (top.trained[sent] > 0)
+                runs, settled, asked = np.add.reduceat(asked, starts, dtype=np.int64), sent[extra], sent[asked]
+                w, lower = b.levels[0].ident[top.last[asked]], below.count[top.short[asked]]
+                total, base = below.count[top.context[one]], below.denominator[top.short[one]].astype(np.int64)
+                heavy = model.heavy(total)
+                lower = lower[top.trained[asked] > 0]
+                if order == 2:  # a function of the token, and nearly sorted by its number
+                    lower = _zigzag(lower[np.unique(w[top.trained[asked] > 0], return_index=True)[1]])
+                out.append((row["block"], int(k), _pack_sorted(below.ident[top.context[one]]), pack(runs), pack(np.where(heavy, total, 0)),
+                            pack(np.where(heavy | below.tells[top.context[one]], base, 0)), _pack_runs(w, (np.cumsum(runs) - runs)[runs > 0]),
+                            pack(lower), pack(top.trained[asked]), pack(np.add.reduceat(extra, starts, dtype=np.int64)),
+                            pack(below.count[top.short[settled]]), pack(top.trained[settled]), pack(wants), None))
+        return pd.DataFrame(out, columns=columns)
     return run
 
 
-_TABLE = ("bucket bigint, v binary, total binary, base binary, context binary, w binary, word binary, lower binary, counts binary, "
-          "stats array<bigint>, blocks array<bigint>, places array<binary>")
+def _zigzag(values: np.ndarray) -> np.ndarray:
+    """Differences as numbers from 0 on, small if neighbours are alike."""
+    steps = np.diff(values, prepend=np.int64(0))
+    return (steps << 1) ^ (steps >> 63)
+
 
+def _unzigzag(steps: np.ndarray) -> np.ndarray:
+    return np.cumsum((steps >> 1) ^ -(steps & 1))
 
-def _merge_grams(order: int):
+
+def _told(parts, place: np.ndarray, n: int) -> np.ndarray:
+    """Values by place, from those that are not 0; such values of one place are equal."""
+    values = np.concatenate([unpack(x) for x in parts])
+    out, told = np.zeros(n, np.int64), np.flatnonzero(values)
+    out[place[told]] = values[told]
+    return out
+
+
+_TABLE = ("bucket bigint, v binary, total binary, lower binary, context binary, counts binary, settled_context binary, settled_counts binary, "
+          "stats array<bigint>, blocks array<bigint>, places array<binary>, wanted array<binary>")
+
+
+def _merge_grams(model: Model, order: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        """The bucket's table: contexts with their counts, n-grams sorted by context with their counts, and where each block's requests stand."""
+        """The bucket's table: contexts with their counts and the lower-order probability of the words seen after them, counts of the n-grams
+        sorted by context and last token, and where each block's requests stand."""
         inside = [x for x in rows["stats"] if x is not None]
         rows = rows.sort_values("block")
         runs = [unpack(r) for r in rows["runs"]]
         heads = np.concatenate([_unpack_sorted(v) for v in rows["v"]])
-        vs, first, context = np.unique(heads, return_index=True, return_inverse=True)
-        totals, bases = (np.concatenate([unpack(x) for x in rows[c]])[first] for c in ("total", "base"))
-        context = np.repeat(context, np.concatenate(runs))
-        own, words = [_unpack_sorted(w) for w in rows["w"]], [unpack(w, np.int32) for w in rows["word"]]
-        ws, word = np.unique(np.concatenate([o[w] for o, w in zip(own, words)]), return_inverse=True)
-        key, first, place = np.unique(context * max(len(ws), 1) + word, return_index=True, return_inverse=True)
+        vs, head = np.unique(heads, return_inverse=True)
+        totals, bases = (_told(rows[c], head, len(vs)) for c in ("total", "base"))
+        last = [_unpack_runs(w, r) for w, r in zip(rows["w"], runs)]
+        trained = [unpack(t) for t in rows["trained"]]
         lower = [unpack(x) for x in rows["lower"]]
-        lower = np.concatenate([x[w] for x, w in zip(lower, words)] if order == 2 else lower)[first]
-        context, word = key // max(len(ws), 1), (key % max(len(ws), 1)).astype(np.int32)
         if order == 2:
-            lower = _per_word(lower, word, len(ws))
-        counts = np.bincount(place, np.concatenate([unpack(t) for t in rows["trained"]]), len(key)).astype(np.int64)
-        ends = np.cumsum([int(r.sum()) for r in runs])
-        places = [_pack_sorted(p.astype(np.int32)) for p in np.split(place, ends[:-1])]
+            lower = [_unzigzag(x)[np.unique(w[t > 0], return_inverse=True)[1]] for x, w, t in zip(lower, last, trained)]
+        last, trained = np.concatenate(last), np.concatenate(trained)
+        words = int(last.max(initial=0)) + 1
+        key, place = np.unique(np.repeat(head, np.concatenate(runs)) * words + last, return_inverse=True)
+        context, known = key // words, np.zeros(len(key), np.int64)
+        known[place[trained > 0]] = np.concatenate(lower)
+        counts = np.bincount(place, trained, len(key)).astype(np.int64)
+        settled, settled_lower, settled_counts = (
+            np.concatenate([unpack(x) for x in rows[c]]) for c in ("settled_runs", "settled_lower", "settled_trained"))
+        settled = np.repeat(head, settled)
+        by_context = np.argsort(settled, kind="stable")
+        # All that follows a context in training was sent here, unless the context is heavy.
+        sums = np.zeros(len(vs)) + np.bincount(context, counts, len(vs)) + np.bincount(settled, settled_counts, len(vs))
+        totals = np.where(totals > 0, totals, sums.astype(np.int64))
+        d = model.discounts(order - 1)
+        lower = (np.bincount(context, np.where(counts > 0, discounted(known, d), 0), len(vs))
+                 + np.bincount(settled, discounted(settled_lower, d), len(vs))) / np.maximum(bases, 1)
+        places = [_pack_sorted(p.astype(np.int32)) for p in np.split(place, np.cumsum([int(r.sum()) for r in runs])[:-1])]
+        wanted = [_pack_sorted(h[unpack(x, bool)]) for h, x in zip(np.split(head, np.cumsum([len(r) for r in runs])[:-1]), rows["wants"])]
         stats = [int((counts == r).sum()) + int(sum(x[r - 1] for x in inside)) for r in range(1, TOP + 2)]
-        return pd.DataFrame([{"bucket": int(rows["bucket"].iloc[0]), "v": _pack_sorted(vs), "total": pack(totals), "base": pack(bases),
-                              "context": _pack_sorted(context), "w": _pack_sorted(ws), "word": pack(word), "lower": pack(lower),
-                              "counts": pack(counts), "stats": stats, "blocks": [int(b) for b in rows["block"]], "places": places}])
+        return pd.DataFrame([{"bucket": int(rows["bucket"].iloc[0]), "v": _pack_sorted(vs), "total": pack(totals), "lower": pack(lower),
+                              "context": _pack_sorted(context), "counts": pack(counts), "settled_context": _pack_sorted(settled[by_context]),
+                              "settled_counts": pack(settled_counts[by_context]), "stats": stats, "blocks": [int(b) for b in rows["block"]],
+                              "places": places, "wanted": wanted}])
     return run
 
 
@@ -402,12 +478,10 @@ class _Bucket:
 
     def __init__(self, row: dict, model: Model, order: int):
         self.v, self.total, self.context = _unpack_sorted(row["v"]), unpack(row["total"]), _unpack_sorted(row["context"])
-        self.counts, lower = unpack(row["counts"]), unpack(row["lower"])
-        if order == 2:
-            lower = lower[unpack(row["word"], np.int32)]
-        p = discounted(lower, model.discounts(order - 1)) / unpack(row["base"])[self.context]
-        self.seen = np.bincount(self.context, discounted(self.counts, model.discounts(order)), len(self.v))
-        self.lower = np.bincount(self.context, np.where(self.counts > 0, p, 0), len(self.v))
+        self.counts, self.lower = unpack(row["counts"]), unpack(row["lower"], np.float64).copy()
+        d = model.discounts(order)
+        self.seen = (np.zeros(len(self.v)) + np.bincount(self.context, discounted(self.counts, d), len(self.v))
+                     + np.bincount(_unpack_sorted(row["settled_context"]), discounted(unpack(row["settled_counts"]), d), len(self.v)))
         self.heavy = model.heavy(self.total)
 
 
@@ -417,14 +491,14 @@ def _heavy_sums(model: Model, order: int):
             for row in batch.to_pylist():
                 b = _Bucket(row, model, order)
                 yield pa.RecordBatch.from_arrays([pa.array(x[b.heavy], t) for x, t in (
-                    (b.v, pa.int64()), (b.seen.astype(float), pa.float64()), (b.lower.astype(float), pa.float64()))], names=["v", "seen", "lower"])
+                    (b.v, pa.int64()), (b.seen, pa.float64()), (b.lower, pa.float64()))], names=["v", "seen", "lower"])
     return run
 
 
 def _weights(model: Model, order: int, heavy, last: bool):
-    """Back-off weights of the bucket's contexts as table, and per block the counts and weights it asked for: a negative weight says
-    that the context's count is raised, and contexts whose words are all seen get 1. Unless
-    the order is the last, also the places, doubled, plus one if no other block has the n-gram."""
+    """Per block the counts and back-off weights it asked for, of contexts asked about and then of those of settled n-grams: a negative
+    weight says that the context's count is raised, and contexts whose words are all seen get 1; only weights other than 1 are told. Unless
+    the order is the last, also the places, fourfold, plus one if no other block has the n-gram, plus two in the last block that has it."""
     def run(batches):
         hv, hs, hl = heavy.value
         for batch in batches:
@@ -434,22 +508,27 @@ def _weights(model: Model, order: int, heavy, last: bool):
                 b.seen[b.heavy], b.lower[b.heavy] = hs[at], hl[at]
                 alpha, denominator = context_weights(b.total, b.seen, b.lower, model.least(order))
                 raised = denominator > b.total
-                out = [{"kind": "table", "block": -1, "bucket": row["bucket"], "first": None, "second": pack(alpha)}]
                 places = [_unpack_sorted(place, np.int32) for place in row["places"]]
-                marked = 2 * np.arange(len(b.counts)) + (np.bincount(np.concatenate(places), minlength=len(b.counts)) == 1)
-                for block, place in zip(row["blocks"], places):
-                    if not len(place):
+                every, at = np.concatenate(places), 0
+                marked = 4 * every.astype(np.int64) + (np.bincount(every, minlength=len(b.counts)) == 1)[every]
+                latest = np.zeros(len(b.counts), np.int64)
+                latest[every] = np.arange(len(every))
+                marked[latest] += 2
+                for block, place, wanted in zip(row["blocks"], places, row["wanted"]):
+                    wanted, mark, at = _unpack_sorted(wanted), marked[at:at + len(place)], at + len(place)
+                    if not len(place) and not len(wanted):
                         continue
                     context, counts = b.context[place], b.counts[place]
                     runs = _runs(context)
-                    own = context[runs]
-                    weight = np.where(np.minimum.reduceat(counts, runs) > 0, 1.0, alpha[own])
-                    out.append({"kind": "answer", "block": block, "bucket": row["bucket"], "first": pack(counts),
-                                "second": pack(np.where(raised[own], -weight, weight)), "third": None if last else _pack_sorted(marked[place])})
-                for part in out:
-                    yield pa.RecordBatch.from_pylist([part], schema=_arrow)
-    _arrow = pa.schema([("kind", pa.string()), ("block", pa.int64()), ("bucket", pa.int64()), ("first", pa.binary()), ("second", pa.binary()),
-                        ("third", pa.binary()), ("stats", pa.list_(pa.int64()))])
+                    unseen = np.minimum.reduceat(counts, runs) == 0 if len(runs) else np.zeros(0, bool)
+                    own = np.concatenate([context[runs], wanted])
+                    weight = np.where(np.concatenate([unseen, np.ones(len(wanted), bool)]), alpha[own], 1.0)
+                    weight = np.where(raised[own], -weight, weight)
+                    yield pa.RecordBatch.from_pylist([{
+                        "block": block, "bucket": row["bucket"], "level": order, "first": pack(counts), "second": pack(weight != 1),
+                        "weight": pack(weight[weight != 1]), "third": None if last else _pack_sorted(mark)}], schema=_arrow)
+    _arrow = pa.schema([("block", pa.int64()), ("bucket", pa.int64()), ("level", pa.int32()), ("first", pa.binary()), ("second", pa.binary()),
+                        ("weight", pa.binary()), ("third", pa.binary()), ("stats", pa.list_(pa.int64()))])
     return run
 
 
@@ -488,24 +567,32 @@ def train_and_score(docs: DataFrame, train: Column, id_col: str = "doc_id", text
     texts, words = blocks.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("texts", "words"))).first()
     buckets = max(partitions, -(-words // bucket_tokens))
 
+    store, path = f"katz_answers_{uuid.uuid4().hex}", new_folder(spark, "katz-answers")
+
+    def keep(rows: DataFrame) -> DataFrame:
+        """Add answers to those stored, bucketed by block as the blocks are, so that they are moved once."""
+        rows.repartition(partitions, "block").write.mode("append").bucketBy(partitions, "block").saveAsTable(store, path=path)
+        return spark.table(store)
+
     requests = blocks.select("block", "vocab", "counts").mapInArrow(
         _token_requests(buckets), "block bigint, bucket bigint, first binary, second binary")
-    tokens = stage(requests.groupBy("bucket").applyInPandas(_merge_tokens, _ANSWER), "katz-tokens")
-    total, distinct, *of_counts = tokens.filter("kind = 'table'").agg(
+    answers = keep(requests.groupBy("bucket").applyInPandas(_merge_tokens, _ANSWER))
+    total, distinct, *of_counts = answers.filter("block = -1").agg(
         *(F.coalesce(F.sum(F.col("stats")[i]), F.lit(0)) for i in range(TOP + 3))).first()
     model = Model(Unigrams(total, distinct, discounts(of_counts), of_counts), texts, buckets, [])
-    answers = tokens.filter("kind = 'answer'").select("block", "bucket", "first", "second", "third", F.lit(1).alias("level"))
     for n in range(2, order + 1):
-        asked = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(_gram_requests(model, n), _REQUEST)
-        table = stage(asked.groupBy("bucket").applyInPandas(_merge_grams(n), _TABLE), f"katz-grams-{n}")
+        asked = blocks.groupBy("block").cogroup(answers.drop("stats").groupBy("block")).applyInPandas(_gram_requests(model, n), _REQUEST)
+        grams = f"katz_grams_{uuid.uuid4().hex}"
+        asked.groupBy("bucket").applyInPandas(_merge_grams(model, n), _TABLE).write.saveAsTable(grams)
+        table = spark.table(grams)
         of_counts = list(table.agg(*(F.coalesce(F.sum(F.col("stats")[i]), F.lit(0)) for i in range(TOP + 1))).first())
         model = replace(model, d=[*model.d, discounts(of_counts)])
-        opened = table.select("bucket", "v", "total", "base", "context", *(["word"] if n == 2 else []), "lower", "counts", "blocks", "places")
-        sums = opened.mapInArrow(_heavy_sums(model, n), "v bigint, seen double, lower double")
+        opened = table.drop("stats")
+        sums = opened.drop("blocks", "places", "wanted").mapInArrow(_heavy_sums(model, n), "v bigint, seen double, lower double")
         sums = sums.groupBy("v").agg(F.sum("seen").alias("seen"), F.sum("lower").alias("lower")).toPandas().sort_values("v")
         heavy = spark.sparkContext.broadcast(tuple(sums[c].to_numpy() for c in ("v", "seen", "lower")))
-        weights = stage(opened.mapInArrow(_weights(model, n, heavy, n == order), _ANSWER), f"katz-weights-{n}")
-        answers = answers.unionByName(weights.filter("kind = 'answer'").select("block", "bucket", "first", "second", "third", F.lit(n).alias("level")))
+        answers = keep(opened.mapInArrow(_weights(model, n, heavy, n == order), _ANSWER))
+        spark.sql(f"DROP TABLE {grams}")  # all that was asked of it is answered
 
     schema = (f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(_score(model, order), schema)
+    return blocks.groupBy("block").cogroup(answers.drop("stats").groupBy("block")).applyInPandas(_score(model, order), schema)

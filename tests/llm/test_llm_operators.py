@@ -215,6 +215,18 @@ def test_katz_of_any_order_equals_the_recursive_definition(spark, docs, order, b
         assert got == pytest.approx(exp, rel=1e-9)
 
 
+def test_katz_moves_answers_once_and_drops_used_tables(spark, docs, capsys):
+    before = {t.name for t in spark.catalog.listTables()}
+    scored = katz.train_and_score(docs, F.lit(True), order=3)
+    capsys.readouterr()
+    scored.explain()
+    assert "Exchange" not in capsys.readouterr().out
+    left = {t.name for t in spark.catalog.listTables()} - before
+    assert sorted(t.rsplit("_", 1)[0] for t in left) == ["katz_answers", "katz_blocks"]
+    answers = spark.table(next(t for t in left if t.startswith("katz_answers_")))
+    assert {r["level"] for r in answers.select("level").distinct().collect()} == {1, 2, 3} and scored.count() == docs.count()
+
+
 # 3 ------------------------------------------------------------------------------------------------------------------------
 
 def test_quality_on_held_out_documents(spark):
